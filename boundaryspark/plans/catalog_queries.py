@@ -245,7 +245,7 @@ def merge_layers(spark, sf_dir):
 
 
 @query("disputed_ids", with_inputs("fx_world fx_name_list", """
-SELECT fid, 'DIS' || lpad(cast(row_number() OVER (ORDER BY fid) AS string), greatest(3, len(cast(row_number() OVER (ORDER BY fid) AS string))), '0') AS "shapeID",
+SELECT fid, 'DIS' || lpad(cast(row_number() OVER (ORDER BY fid) AS string), cast(greatest(3, len(cast(row_number() OVER (ORDER BY fid) AS string))) AS int), '0') AS "shapeID",
  CASE WHEN code IS NULL THEN cast(110 + row_number() OVER (PARTITION BY code IS NULL ORDER BY fid) AS string) ELSE code END AS "shapeGroup"
 FROM (SELECT fid, replace(country_na, ' (disp)', '') AS name FROM fx_world WHERE contains(country_na, 'disp')) w
 LEFT JOIN (SELECT name, max(code) AS code FROM fx_name_list GROUP BY 1 HAVING count(*) = 1) u ON w.name = u.name"""))

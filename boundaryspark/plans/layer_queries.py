@@ -182,7 +182,7 @@ def latest_timestamp(spark, sf_dir):
 
 
 @query("sequence_features", """
-SELECT adm, pos, row_number() OVER (PARTITION BY adm ORDER BY pos) AS feature_no FROM (SELECT l_returnflag AS adm, l_orderkey * 10 + l_linenumber AS pos, l_discount FROM lineitem) WHERE l_discount > 0""")
+SELECT adm, pos, row_number() OVER (PARTITION BY adm ORDER BY pos) AS feature_no FROM (SELECT l_returnflag AS adm, l_orderkey * 10 + l_linenumber AS pos, max(l_discount) AS d FROM lineitem GROUP BY ALL) WHERE d > 0""")
 def sequence_features(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").groupBy(
         F.col("l_returnflag").alias("adm"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos")).agg(

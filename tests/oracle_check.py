@@ -47,8 +47,8 @@ def compare(spark, con, name, query, sql, sf_dir):
     if got_cols != want_cols:
         return f"COLUMNS {got_cols} != {want_cols}"
     if got != want:
-        only_got = [r for r in got if r not in set(want)][:3]
-        only_want = [r for r in want if r not in set(got)][:3]
+        only_got = sorted(set(got) - set(want))[:3]
+        only_want = sorted(set(want) - set(got))[:3]
         return f"DIFFERENT {len(got)} vs {len(want)} rows\n  spark {only_got}\n  sql   {only_want}"
     if not got:
         return "EMPTY"
