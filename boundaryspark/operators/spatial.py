@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from boundaryspark.functions import geometry as G
+from boundaryspark.runtime import materialize
 
 PAIRS_PER_CELL = 250_000
 MAX_CELLS_PER_SIDE = 8192
@@ -130,11 +131,15 @@ def _min_integral(a, b, fa, fb, ga, gb) -> Column:
         (low_a + meet) * t + (meet + low_b) * (1 - t))
 
 
-def intersection_areas(left_edges: DataFrame, right_edges: DataFrame, left: str, right: str,
-                       cell: float | None = None) -> DataFrame:
+def cap_areas(caps: DataFrame, ids: list[str]) -> DataFrame:
+    """Planar area per feature from its caps."""
+    return caps.groupBy(*ids).agg(F.sum(
+        F.col("w") * (F.col("hl") + F.col("hr")) / 2 * (F.col("xr") - F.col("xl"))).alias("area"))
+
+
+def intersection_areas(left_caps: DataFrame, right_caps: DataFrame, left: str, right: str, cell: float) -> DataFrame:
     """left, right, isec: planar area of each overlapping pair, summed over grid cells."""
-    cell = cell or choose_cell(left_edges, [left])
-    lc, rc = _divide_hot_cells(edge_caps(left_edges, [left], cell), edge_caps(right_edges, [right], cell), cell)
+    lc, rc = _divide_hot_cells(left_caps, right_caps, cell)
     lc = lc.select(left, "col", "row", "strip", "sl", "sr", *[F.col(c).alias(f"l_{c}") for c in ("xl", "xr", "hl", "hr", "w")])
     rc = rc.select(right, "col", "row", "strip", *[F.col(c).alias(f"r_{c}") for c in ("xl", "xr", "hl", "hr", "w")])
     a = F.greatest("l_xl", "r_xl", "sl")
@@ -165,12 +170,16 @@ def overlap_join(left_edges: DataFrame, right_edges: DataFrame, left: str, right
                  cell: float | None = None, least_area: float = 1e-6) -> DataFrame:
     """Pairs that share area, with equality = I/U, within = I/A1, contains = I/A2.
 
-    Edges are in degrees; areas are in square kilometres on the equal-area projection.
+    Edges are in degrees; areas are in square kilometres on the equal-area projection.  The caps
+    of each side are written once, since counting, joining and the areas all read them.
     """
     le, re = equal_area_edges(left_edges), equal_area_edges(right_edges)
-    shared = intersection_areas(le, re, left, right, cell).filter(F.col("isec") > least_area)
-    with_areas = shared.join(edge_areas(le, [left]).withColumnRenamed("area", "a1"), left) \
-        .join(edge_areas(re, [right]).withColumnRenamed("area", "a2"), right)
+    cell = cell or choose_cell(le, [left])
+    lc = materialize(edge_caps(le, [left], cell), "left-caps")
+    rc = materialize(edge_caps(re, [right], cell), "right-caps")
+    shared = intersection_areas(lc, rc, left, right, cell).filter(F.col("isec") > least_area)
+    with_areas = shared.join(cap_areas(lc, [left]).withColumnRenamed("area", "a1"), left) \
+        .join(cap_areas(rc, [right]).withColumnRenamed("area", "a2"), right)
     isec = F.col("isec")
     return with_areas.select(left, right, "isec", "a1", "a2",
                              (isec / (F.col("a1") + F.col("a2") - isec)).alias("equality"),
@@ -180,14 +189,21 @@ def overlap_join(left_edges: DataFrame, right_edges: DataFrame, left: str, right
 def point_in_boundary(points: DataFrame, edges: DataFrame, point_ids: list[str], ids: list[str],
                       cell: float | None = None) -> DataFrame:
     """point_ids, ids for every polygon that covers a point (columns x, y)."""
+    return point_cover(points, edges, point_ids, ids, cell).drop("cover")
+
+
+def point_cover(points: DataFrame, edges: DataFrame, point_ids: list[str], ids: list[str],
+                cell: float | None = None, shared: list[str] | None = None) -> DataFrame:
+    """As `point_in_boundary`, with the winding number; `shared` columns must be equal on both sides."""
     cell = cell or choose_cell(edges, ids)
     caps = edge_caps(edges, ids, cell)
     placed = points.select(*point_ids, "x", "y", _floor(F.col("x"), cell).alias("col"), _floor(F.col("y"), cell).alias("row"))
     slope = (F.col("hr") - F.col("hl")) / (F.col("xr") - F.col("xl"))
     above = F.col("hl") + (F.col("x") - F.col("xl")) * slope > F.col("y") - F.col("row") * F.lit(cell)
-    hits = placed.join(caps, ["col", "row"]).filter((F.col("xl") <= F.col("x")) & (F.col("x") < F.col("xr")) & above)
-    covered = hits.groupBy(*point_ids, *ids).agg(F.sum("w").alias("_cover"))
-    return covered.filter(F.col("_cover") != 0).drop("_cover")
+    hits = placed.join(caps, [*(shared or []), "col", "row"]).filter(
+        (F.col("xl") <= F.col("x")) & (F.col("x") < F.col("xr")) & above)
+    out = [*point_ids, *[i for i in ids if i not in point_ids]]
+    return hits.groupBy(*out).agg(F.sum("w").alias("cover")).filter(F.col("cover") != 0)
 
 
 def bbox_join(left: DataFrame, right: DataFrame, left_ids: list[str], right_ids: list[str], cell: float) -> DataFrame:

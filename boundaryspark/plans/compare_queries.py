@@ -13,7 +13,7 @@ from boundaryspark.plans.inputs import features, table, with_inputs
 from boundaryspark.plans.layer_queries import FEATURE_SQL
 from boundaryspark.plans.registry import query
 
-DX, DY = 0.37, 0.11
+DX, DY = 3.7, 0.11
 
 
 def left_features(spark, sf_dir):
@@ -121,7 +121,9 @@ FROM (SELECT (SELECT sum(area * within) FROM best JOIN l_a ON uid = left_id) AS
 def total_agreement(spark, sf_dir):
     left = P.edge_areas(P.equal_area_edges(E.explode_edges(left_features(spark, sf_dir), ["left_id"])), ["left_id"])
     right = P.edge_areas(P.equal_area_edges(E.explode_edges(right_features(spark, sf_dir), ["right_id"])), ["right_id"])
-    out = M.total_agreement(overlaps(spark, sf_dir), _best(spark, sf_dir), left, right, "left_id")
+    pairs = overlaps(spark, sf_dir)
+    best = M.best_matches(pairs, left_features(spark, sf_dir), "left_id", "right_id")
+    out = M.total_agreement(pairs, best, left, right, "left_id")
     return out.select(*[F.round(c, 0).alias(c) for c in ("match_area", "isec_area", "union_area")], F.round("percent", 6).alias("percent"))
 
 

@@ -37,6 +37,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write once to the shared folder and read back, where several consumers need one costly input."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's own size estimate of the optimised plan."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
