@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boundaryspark.functions import scalars as S
@@ -65,7 +65,8 @@ def resolve_country_code(df: DataFrame, name: str, names: DataFrame, aliases: di
     """Code of the exact name if the list holds it once, else the alias code, else null."""
     unique = names.groupBy("name").agg(F.count(F.lit(1)).alias("_n"), F.max("code").alias("_code")) \
         .filter(F.col("_n") == 1).select(F.col("name").alias(name), "_code")
-    alias_code = F.coalesce(*[F.when(F.col(name) == n, F.lit(c)) for n, c in (aliases or COUNTRY_ALIASES).items()])
+    known = COUNTRY_ALIASES if aliases is None else aliases
+    alias_code = F.coalesce(F.lit(None).cast("string"), *[F.when(F.col(name) == n, F.lit(c)) for n, c in known.items()])
     joined = spread_join(df, unique, [name], "left")
     return joined.withColumn("iso_code", F.coalesce("_code", alias_code)).drop("_code")
 
@@ -126,10 +127,6 @@ def catalog_search(df: DataFrame, q: str = "", adm: str = "", continent: str = "
     return out
 
 
-def plain_number(value: Column | str) -> Column:
-    return F.coalesce(F.format_string("%.6f", F.nanvl(S.col(value).cast("double"), F.lit(None))), F.lit(""))
-
-
 def api_record(df: DataFrame, base_url: str, prefix: str) -> DataFrame:
     """Published record: all texts, no nulls, dates and links rendered."""
     def text(name: str) -> Column:
@@ -276,7 +273,3 @@ def merge_layers(*layers: DataFrame) -> DataFrame:
 def dedupe_country_names(df: DataFrame, name: str, iso: str, order: str) -> DataFrame:
     """First row per name and code."""
     return first_per_key(df, [name, iso], F.col(order))
-
-
-def alias_table(spark: SparkSession, aliases: dict[str, str] | None = None) -> DataFrame:
-    return spark.createDataFrame(list((aliases or COUNTRY_ALIASES).items()), "name string, code string")

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boundaryspark.runtime import numbered
+from boundaryspark.operators import catalog as C
+from boundaryspark.operators import overlay as O
+from boundaryspark.operators import simplify as S
+from boundaryspark.operators import topology as T
+from boundaryspark.runtime import materialize, numbered, spread_join
 
 FIRST_DISPUTED_CODE = 111  # fixed value: codes given to disputed areas without a country code
 
@@ -19,3 +23,45 @@ def disputed_ids(disputed: DataFrame, order: str, code: str = "iso_code") -> Dat
     return codes.select(
         *disputed.columns, F.concat(F.lit("DIS"), F.lpad(F.col("_no").cast("string"), width, F.lit("0"))).alias("shapeID"),
         F.coalesce(F.col(code), (F.col("_k") + (FIRST_DISPUTED_CODE - 1)).cast("string")).alias("shapeGroup"))
+
+
+def unresolved_names(world: DataFrame, names: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
+    """Undisputed areas whose name gives no country code: none may be left before a build."""
+    plain, _ = C.split_disputed(world, "country_na")
+    renamed = plain.withColumn("country_na", C.rename_by_pattern("country_na"))
+    coded = C.resolve_country_code(renamed, "country_na", names, aliases)
+    return coded.filter(F.coalesce("iso_code", F.lit("")) == "").select("fid", "country_na")
+
+
+def composite_layers(world: DataFrame, layers: DataFrame, names: DataFrame, aliases: dict[str, str] | None = None,
+                     keep_share: float = 0.10, gap_km2: float = 10000.0) -> DataFrame:
+    """The composite at the levels ADM0, ADM1 and ADM2, with disputed areas on top.
+
+    `world`: fid, country_na, geom.  `layers`: iso, adm, shapeID, shapeName, geom of the national
+    layers.  Result: level, shapeGroup, shapeType, shapeName, shapeID, geom.
+    """
+    plain, marked = C.split_disputed(world, "country_na")
+    coded = C.resolve_country_code(plain.withColumn("country_na", C.rename_by_pattern("country_na")), "country_na", names, aliases)
+    base_names = C.dedupe_country_names(coded.select(F.col("iso_code").alias("iso"), F.col("country_na").alias("shapeName"), "fid"),
+                                        "iso", "shapeName", "fid").groupBy("iso").agg(F.min_by("shapeName", "fid").alias("shapeName"))
+    base = materialize(T.dissolve(coded.select(F.col("iso_code").alias("iso"), "geom"), ["iso"]), "base")
+
+    # each level of a country comes from the layer that exists nearest above it
+    present = layers.select("iso", "adm").distinct().withColumn("source", F.col("adm"))
+    wanted = C.level_fallback(present, "source").filter(F.col("source").isNotNull() & (F.col("adm") != "ADM0")).select(
+        "iso", F.col("adm").alias("level"), F.col("source").alias("adm"))
+    small = materialize(S.simplify_fraction(layers.select("adm", "iso", "shapeID", "geom"), ["iso", "shapeID"], ["adm"], keep_share), "small")
+    pairs = small.select(F.concat_ws("/", "adm", "shapeID").alias("unit"), "iso")
+    cut = materialize(O.clip(small.select(F.concat_ws("/", "adm", "shapeID").alias("unit"), "geom"), base, "unit", "iso", pairs), "clipped")
+    named = layers.select(F.concat_ws("/", "adm", "shapeID").alias("unit"), "adm", "shapeID", "shapeName")
+    national = spread_join(cut.join(named, "unit"), wanted, ["iso", "adm"]).select(
+        "level", F.col("iso").alias("shapeGroup"), F.col("adm").alias("shapeType"), "shapeName", "shapeID", "geom")
+    world_layer = base.join(base_names, "iso").select(
+        F.lit("ADM0").alias("level"), F.col("iso").alias("shapeGroup"), F.lit("ADM0").alias("shapeType"), "shapeName",
+        F.col("iso").alias("shapeID"), "geom")
+    areas = disputed_ids(C.resolve_country_code(marked, "country_na", names, aliases), "fid")
+    disputed = areas.select(F.explode(F.array(F.lit("ADM0"), F.lit("ADM1"), F.lit("ADM2"))).alias("level"), "shapeGroup",
+                            F.lit("DISP").alias("shapeType"), F.col("country_na").alias("shapeName"), "shapeID", "geom")
+    merged = materialize(C.merge_layers(world_layer, national, disputed), "merged")
+    filled = T.fill_gaps(merged.select("level", "shapeID", "geom"), ["shapeID"], ["level"], gap_km2)
+    return filled.join(merged.drop("geom"), ["level", "shapeID"])

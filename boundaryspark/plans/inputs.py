@@ -6,6 +6,8 @@ so the inputs grow with the tables and need no single big task.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,13 +156,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived input as a DataFrame."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    for base in ("region", "nation", "supplier", "customer", "part", "orders", "events"):
-        table(spark, sf_dir, base).createOrReplaceTempView(base)
 
     def register(wanted: str) -> DataFrame:
         for needed in _NEEDS.get(wanted, []):
             register(needed)
-        df = spark.sql({**COMMON, **_SPARK_ONLY}[wanted])
+        text = {**COMMON, **_SPARK_ONLY}[wanted]
+        for base in ("region", "nation", "supplier", "customer", "part", "orders", "events"):
+            if re.search(rf"\b{base}\b", text):
+                table(spark, sf_dir, base).createOrReplaceTempView(base)
+        df = spark.sql(text)
         df.createOrReplaceTempView(wanted)
         return df
 

@@ -168,3 +168,28 @@ def arcs(spark, sf_dir):
     return S.arcs(features(spark, sf_dir), ["uid"], ["adm"]).groupBy("adm", "uid", "ring").agg(F.count(F.lit(1)).alias("edges"))
 
 
+
+
+def _composite_inputs(spark, sf_dir):
+    units = features(spark, sf_dir)
+    name = F.when(F.col("uid") == 24, F.concat("unit_name", F.lit(" (disp)"))).when(F.col("uid") == 3, "Burma").otherwise(F.col("unit_name"))
+    world = units.filter(F.col("adm") == "ADM0").select(F.col("uid").alias("fid"), name.alias("country_na"), "geom")
+    layers = units.filter(F.col("adm") != "ADM0").select(
+        "iso", "adm", F.concat("adm", F.col("uid").cast("string")).alias("shapeID"), F.col("unit_name").alias("shapeName"), "geom")
+    names = units.filter(F.col("adm") == "ADM0").select(F.col("unit_name").alias("name"), F.col("iso").alias("code"))
+    return world, layers, names
+
+
+@query("composite_layers")
+def composite_layers(spark, sf_dir):
+    from boundaryspark.plans.composite import composite_layers as build
+    out = build(*_composite_inputs(spark, sf_dir), aliases={"Burma": "N03"})
+    return out.groupBy("level", "shapeType", "shapeGroup").agg(
+        F.count(F.lit(1)).alias("units"), F.round(F.sum(G.planar_area(G.project_equal_area("geom")) / 1e6), 0).alias("km2"))
+
+
+@query("unresolved_names", with_inputs("fx_country", "SELECT cast(k AS bigint) AS fid, 'Burma' AS country_na FROM fx_country WHERE k = 3"))
+def unresolved_names(spark, sf_dir):
+    from boundaryspark.plans.composite import unresolved_names as unresolved
+    world, _, names = _composite_inputs(spark, sf_dir)
+    return unresolved(world.drop("geom"), names, {})
