@@ -7,6 +7,7 @@ units is the same arc in both, read in a fixed direction, so both copies lose th
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -108,20 +109,37 @@ def effective_areas(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return area
 
 
-def _per_arc(measure):
-    """Grouped map: edges of an arc in, its vertices (last one left out) with a value out."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq")
-        x = np.append(pdf["x1"].to_numpy(), pdf["x2"].to_numpy()[-1])
-        y = np.append(pdf["y1"].to_numpy(), pdf["y2"].to_numpy()[-1])
-        turn = not _canonical(x, y)
-        if turn:
-            x, y = x[::-1], y[::-1]
-        value = measure(*_to_metres(x, y))
-        if turn:
-            value = value[::-1]
-        return pdf.assign(value=value[:-1].astype(float)).drop(columns=["x2", "y2"])
-    return run
+def _measure_arcs(edges: DataFrame, arc_key: list[str], measure) -> DataFrame:
+    """Vertices (the last one of each arc left out) with the value `measure` gives them.
+
+    Arcs are hashed to partitions and sorted there; a task reads them batch by batch and holds one
+    unfinished arc at most.
+    """
+    def values(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        x1, y1, x2, y2 = (pdf[c].to_numpy() for c in T.COORDS)
+        out = np.full(len(pdf), np.inf)
+        stops = np.append(starts[1:], len(pdf))
+        for a, b in zip(starts[stops - starts > 1], stops[stops - starts > 1]):
+            x, y = np.append(x1[a:b], x2[b - 1]), np.append(y1[a:b], y2[b - 1])
+            step = 1 if _canonical(x, y) else -1
+            out[a:b] = measure(*_to_metres(x[::step], y[::step]))[::step][:-1]
+        return pdf.assign(value=out).drop(columns=["x2", "y2"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            pdf = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            changed = (pdf[arc_key] != pdf[arc_key].shift()).any(axis=1).to_numpy()
+            starts = np.flatnonzero(changed)
+            if len(starts) > 1:
+                yield values(pdf.iloc[:starts[-1]], starts[:-1])
+            rest = pdf.iloc[starts[-1]:].reset_index(drop=True)
+        if rest is not None and len(rest):
+            yield values(rest, np.array([0]))
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in edges.schema.fields
+                       if f.name not in ("x2", "y2")) + ", value double"
+    return edges.repartition(*arc_key).sortWithinPartitions(*arc_key, "seq").mapInPandas(run, schema)
 
 
 def _divide_long(arc_edges: DataFrame, key: list[str], tolerance: float, limit: int) -> DataFrame:
@@ -180,10 +198,6 @@ def _close_rings(kept: DataFrame, original: DataFrame, key: list[str]) -> DataFr
     return rows.unionByName(ends)
 
 
-def _schema(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in ("x2", "y2")) + ", value double"
-
-
 def simplify(features: DataFrame, ids: list[str], layer: list[str], metres: float = 100.0,
              kernel_vertices: int = KERNEL_VERTICES) -> DataFrame:
     """Douglas-Peucker with a tolerance in metres."""
@@ -191,8 +205,7 @@ def simplify(features: DataFrame, ids: list[str], layer: list[str], metres: floa
     arc_key = [*key, "poly", "ring", "arc"]
     edges = materialize(arcs(features, ids, layer), "arcs")
     parts = _divide_long(edges, arc_key, metres, kernel_vertices)
-    measured = parts.groupBy(*arc_key, "part").applyInPandas(
-        _per_arc(lambda x, y: douglas_peucker(x, y, metres)), _schema(parts))
+    measured = _measure_arcs(parts, [*arc_key, "part"], lambda x, y: douglas_peucker(x, y, metres).astype(float))
     kept = materialize(measured.filter(F.col("value") > 0), "kept")
     return assemble(_close_rings(kept, edges, key), key)
 
@@ -206,7 +219,7 @@ def simplify_fraction(features: DataFrame, ids: list[str], layer: list[str], fra
     key = [*layer, *ids]
     arc_key = [*key, "poly", "ring", "arc"]
     edges = materialize(arcs(features, ids, layer), "arcs").withColumn("part", F.floor(F.col("seq") / kernel_vertices))
-    measured = materialize(edges.groupBy(*arc_key, "part").applyInPandas(_per_arc(effective_areas), _schema(edges)), "areas")
+    measured = materialize(_measure_arcs(edges, [*arc_key, "part"], effective_areas), "areas")
     cut = measured.filter(F.col("value") < float("inf")).agg(F.percentile_approx("value", 1 - fraction, 10000).alias("c"))
     kept = measured.filter(F.col("value") > F.coalesce(cut.scalar(), F.lit(-1.0)))
     return assemble(_close_rings(materialize(kept, "kept"), edges, key), key)
