@@ -130,5 +130,5 @@ def quiet_periods(events: DataFrame, key: str, now: Column, gap_hours: float) ->
 
 
 def shuffled_jobs(jobs: DataFrame, seed: int, partitions: int) -> DataFrame:
-    """Jobs dealt out to partitions at random, so large ones do not meet."""
-    return jobs.withColumn("_r", F.rand(seed)).repartition(partitions, "_r").drop("_r")
+    """Jobs dealt out to partitions by a seeded hash, so large ones do not meet and a rerun agrees."""
+    return jobs.withColumn("_r", F.xxhash64(F.lit(seed), *jobs.columns)).repartition(partitions, "_r").drop("_r")

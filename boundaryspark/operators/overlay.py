@@ -75,8 +75,7 @@ def overlay_edges(left_edges: DataFrame, right_edges: DataFrame, pairs: DataFram
     re = materialize(T.numbered_edges(right_edges).select(right, "no", *T.COORDS), "overlay-right")
     pairs = materialize(pairs.select(*key), "overlay-pairs")
     cell = T.edge_cell(le)
-    near = T._laid(le, cell, "a_", [left]).join(T._laid(re, cell, "b_", [right]), ["col", "row"]) \
-        .drop("col", "row").distinct().join(pairs, key, "left_semi")
+    near = T.near_pairs(le, re, cell, [left], [right]).join(pairs, key, "left_semi")
     met = materialize(meeting_points(near).select(*key, "a_no", "b_no", "points"), "overlay-points")
     a_split = materialize(split_edges(le.join(pairs, left), met.withColumnRenamed("a_no", "no"), key), "overlay-a")
     b_split = materialize(split_edges(re.join(pairs, right), met.withColumnRenamed("b_no", "no"), key), "overlay-b")
@@ -134,9 +133,7 @@ def repair(features: DataFrame, ids: list[str]) -> DataFrame:
     """
     edges = materialize(T.numbered_edges(explode_edges(features, ids)).select(*ids, "no", *T.COORDS), "repair-edges")
     cell = T.edge_cell(edges)
-    near = T._laid(edges, cell, "a_", ids).join(T._laid(edges, cell, "b_", ids), [*ids, "col", "row"]) \
-        .filter(F.col("a_no") < F.col("b_no")).drop("col", "row").distinct()
-    met = meeting_points(near)
+    met = meeting_points(T.near_pairs(edges, edges, cell, ids, ids, shared=ids))
     splits = met.select(*ids, F.col("a_no").alias("no"), "points").unionByName(met.select(*ids, F.col("b_no").alias("no"), "points"))
     noded = materialize(T.with_canonical(split_edges(edges, splits, ids)), "repair-noded")
     odd = noded.groupBy(*ids, *T.EDGE).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") % 2 == 1).select(

@@ -223,6 +223,22 @@ def _laid(edges: DataFrame, cell: float, prefix: str, keep: list[str]) -> DataFr
     return rows.select(*keep, "col", "row", F.col("no").alias(f"{prefix}no"), *[F.col(c).alias(f"{prefix}{c}") for c in COORDS])
 
 
+def near_pairs(a_edges: DataFrame, b_edges: DataFrame, cell: float, a_ids: list[str], b_ids: list[str],
+               shared: list[str] | None = None) -> DataFrame:
+    """Pairs of edges (a_no, a_x1, ..., b_no, b_x1, ...) that pass through a common grid cell, each once."""
+    on = [*(shared or []), "col", "row"]
+    span = lambda p: {"xl": F.least(f"{p}x1", f"{p}x2"), "xr": F.greatest(f"{p}x1", f"{p}x2")}
+    a, b = P.divide_crowded_cells(_laid(a_edges, cell, "a_", a_ids).withColumns(span("a_")),
+                                  _laid(b_edges, cell, "b_", b_ids).withColumns(span("b_")), cell, on)
+    helper = ["xl", "xr", "sl", "sr", "strips"]
+    boxes = (F.least("a_x1", "a_x2") <= F.greatest("b_x1", "b_x2")) & (F.least("b_x1", "b_x2") <= F.greatest("a_x1", "a_x2")) \
+        & (F.least("a_y1", "a_y2") <= F.greatest("b_y1", "b_y2")) & (F.least("b_y1", "b_y2") <= F.greatest("a_y1", "a_y2"))
+    met = a.drop(*helper).join(b.drop(*helper), [*on, "strip"]).filter(boxes)
+    if shared:
+        met = met.filter(F.col("a_no") < F.col("b_no"))
+    return met.drop("col", "row", "strip").distinct()
+
+
 def _cross(ox, oy, ax, ay, bx, by) -> Column:
     return (ax - ox) * (by - oy) - (ay - oy) * (bx - ox)
 
@@ -245,10 +261,9 @@ def self_crossings(edges: DataFrame, ids: list[str], cell: float | None = None)
     """ids, a_no, b_no, x, y of edges of one feature that cross each other."""
     e = numbered_edges(edges)
     cell = cell or edge_cell(edges)
-    pairs = _laid(e, cell, "a_", ids).join(_laid(e, cell, "b_", ids), [*ids, "col", "row"]) \
-        .filter((F.col("a_no") < F.col("b_no")) & proper_crossing())
     x, y = crossing_point()
-    return pairs.select(*ids, "a_no", "b_no", x.alias("x"), y.alias("y")).distinct()
+    return near_pairs(e, e, cell, ids, ids, shared=ids).filter(proper_crossing()).select(
+        *ids, "a_no", "b_no", x.alias("x"), y.alias("y"))
 
 
 def crossing_point() -> tuple[Column, Column]:

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
@@ -60,11 +61,13 @@ def spread_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "i
     """Join a side with hot keys to a side with few rows per key.
 
     The few-rows side is repeated under every salt, so one hot key is worked on by
-    `salts` tasks.  Exact for inner, left, left_semi and left_anti joins.
+    `salts` tasks.  Exact for inner, left, left_semi and left_anti joins.  The salt is a hash of the
+    row, so a task run again after a lost executor sends its rows to the same place.
     """
     if estimated_bytes(small) <= BROADCAST_LIMIT_BYTES:
         return big.join(F.broadcast(small), keys, how)
-    salted = big.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    plain = [F.col(f"`{f.name}`") for f in big.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int"))
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 

@@ -169,3 +169,23 @@ def test_long_arcs_simplify_like_short_ones(spark):
 def test_tiny_shapes_survive(spark):
     df = frame(spark, [("l", "dot", [[ring((0, 0), (1e-7, 0), (1e-7, 1e-7), (0, 0))]])], "layer string, id string")
     assert S.simplify(df, ["id"], ["layer"], 100.0).count() == 1
+
+
+def test_crowded_cells_everywhere(spark, monkeypatch):
+    """Envelopes, points, crossings and overlays do not change when every cell counts as crowded."""
+    from boundaryspark.operators.layers import with_bounds
+    shapes = [("s", SQUARE), ("e", ELL), ("d", DONUT), ("b", BOW), ("h", SHIFTED)]
+    left, right = frame(spark, shapes, "l string"), frame(spark, shapes, "r string")
+    points = spark.createDataFrame([(i, (i % 37) / 11 + 0.013, (i % 29) / 9 + 0.017) for i in range(200)], "p int, x double, y double")
+    edges = E.explode_edges(frame(spark, shapes), ["id"])
+
+    def run():
+        boxes = {tuple(r) for r in P.bbox_join(with_bounds(left), with_bounds(right), ["l"], ["r"], 5.0).collect()}
+        inside = {tuple(r) for r in P.point_in_boundary(points, edges, ["p"], ["id"], 5.0).collect()}
+        crossing = {(r["id"], round(r["x"], 9)) for r in T.self_crossings(edges, ["id"], 5.0).collect()}
+        return boxes, inside, crossing
+
+    want = run()
+    assert len(want[0]) == 25 and want[2] == {("b", 1.0)}
+    monkeypatch.setattr(P, "PAIRS_PER_CELL", 2)
+    assert run() == want
