@@ -52,6 +52,15 @@ def resolve_country_code(spark, sf_dir):
     return C.resolve_country_code(world, "new_name", derived(spark, sf_dir, "fx_name_list"))
 
 
+@query("unresolved_names", with_inputs("fx_world fx_name_list", f"""
+SELECT fid, n.new_name AS country_na FROM (SELECT fid, {_RENAMED} AS new_name FROM fx_world WHERE NOT contains(country_na, 'disp')) n
+LEFT JOIN (SELECT name, max(code) AS code FROM fx_name_list GROUP BY 1 HAVING count(*) = 1) u ON n.new_name = u.name LEFT JOIN {_ALIASES} ON n.new_name = a.name
+WHERE coalesce(u.code, a.code) IS NULL"""))
+def unresolved_names(spark, sf_dir):
+    from boundaryspark.plans.composite import unresolved_names as unresolved
+    return unresolved(derived(spark, sf_dir, "fx_world"), derived(spark, sf_dir, "fx_name_list"))
+
+
 @query("split_disputed", with_inputs("fx_world", """
 SELECT fid, CASE WHEN contains(country_na, 'disp') THEN replace(country_na, ' (disp)', '') ELSE country_na END AS country_na, contains(country_na, 'disp') AS disputed FROM fx_world"""))
 def split_disputed(spark, sf_dir):

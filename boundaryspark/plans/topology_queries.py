@@ -186,10 +186,3 @@ def composite_layers(spark, sf_dir):
     out = build(*_composite_inputs(spark, sf_dir), aliases={"Burma": "N03"})
     return out.groupBy("level", "shapeType", "shapeGroup").agg(
         F.count(F.lit(1)).alias("units"), F.round(F.sum(G.planar_area(G.project_equal_area("geom")) / 1e6), 0).alias("km2"))
-
-
-@query("unresolved_names", with_inputs("fx_country", "SELECT cast(k AS bigint) AS fid, 'Burma' AS country_na FROM fx_country WHERE k = 3"))
-def unresolved_names(spark, sf_dir):
-    from boundaryspark.plans.composite import unresolved_names as unresolved
-    world, _, names = _composite_inputs(spark, sf_dir)
-    return unresolved(world.drop("geom"), names, {})
