@@ -51,8 +51,14 @@ def _canonical(x: np.ndarray, y: np.ndarray) -> bool:
     return first <= last
 
 
-def _to_metres(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return x * METRES_PER_DEGREE * np.cos(np.radians((y.min() + y.max()) / 2)), y * METRES_PER_DEGREE
+def with_scale(edges: DataFrame, arc_key: list[str]) -> DataFrame:
+    """Adds `scale`, the metres per degree of longitude at the mean latitude of the whole arc.
+
+    It is fixed before an arc is divided, so parts measure like the arc does.
+    """
+    low, high = F.min(F.least("y1", "y2")), F.max(F.greatest("y1", "y2"))
+    scales = edges.groupBy(*arc_key).agg((F.cos(F.radians((low + high) / 2)) * float(METRES_PER_DEGREE)).alias("scale"))
+    return edges.join(scales, arc_key)
 
 
 def _distances(px, py, ax, ay, bx, by):
@@ -116,13 +122,13 @@ def _measure_arcs(edges: DataFrame, arc_key: list[str], measure) -> DataFrame:
     unfinished arc at most.
     """
     def values(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-        x1, y1, x2, y2 = (pdf[c].to_numpy() for c in T.COORDS)
+        x1, y1, x2, y2, scale = (pdf[c].to_numpy() for c in [*T.COORDS, "scale"])
         out = np.full(len(pdf), np.inf)
         stops = np.append(starts[1:], len(pdf))
         for a, b in zip(starts[stops - starts > 1], stops[stops - starts > 1]):
             x, y = np.append(x1[a:b], x2[b - 1]), np.append(y1[a:b], y2[b - 1])
             step = 1 if _canonical(x, y) else -1
-            out[a:b] = measure(*_to_metres(x[::step], y[::step]))[::step][:-1]
+            out[a:b] = measure(x[::step] * scale[a], y[::step] * METRES_PER_DEGREE)[::step][:-1]
         return pdf.assign(value=out).drop(columns=["x2", "y2"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -152,13 +158,11 @@ def _divide_long(arc_edges: DataFrame, key: list[str], tolerance: float, limit:
     while True:
         sizes = state.groupBy(*key, "part").agg(
             F.count(F.lit(1)).alias("_n"), F.min_by(F.struct("x1", "y1"), "seq").alias("_a"),
-            F.max_by(F.struct("x2", "y2"), "seq").alias("_b"), F.min("seq").alias("_first"),
-            F.min("y1").alias("_lo"), F.max("y1").alias("_hi"))
+            F.max_by(F.struct("x2", "y2"), "seq").alias("_b"), F.min("seq").alias("_first"))
         long = materialize(sizes.filter(F.col("_n") > limit), "long-arcs")
         if long.isEmpty():
             return state
-        cos = F.cos(F.radians((F.col("_lo") + F.col("_hi")) / 2)) * float(METRES_PER_DEGREE)
-        m = float(METRES_PER_DEGREE)
+        cos, m = F.col("scale"), float(METRES_PER_DEGREE)
         px, py = F.col("x1") * cos, F.col("y1") * m
         ax, ay = F.col("_a.x1") * cos, F.col("_a.y1") * m
         bx, by = F.col("_b.x2") * cos, F.col("_b.y2") * m
@@ -203,7 +207,7 @@ def simplify(features: DataFrame, ids: list[str], layer: list[str], metres: floa
     """Douglas-Peucker with a tolerance in metres."""
     key = [*layer, *ids]
     arc_key = [*key, "poly", "ring", "arc"]
-    edges = materialize(arcs(features, ids, layer), "arcs")
+    edges = materialize(with_scale(arcs(features, ids, layer), arc_key), "arcs")
     parts = _divide_long(edges, arc_key, metres, kernel_vertices)
     measured = _measure_arcs(parts, [*arc_key, "part"], lambda x, y: douglas_peucker(x, y, metres).astype(float))
     kept = materialize(measured.filter(F.col("value") > 0), "kept")
@@ -218,7 +222,7 @@ def simplify_fraction(features: DataFrame, ids: list[str], layer: list[str], fra
     """
     key = [*layer, *ids]
     arc_key = [*key, "poly", "ring", "arc"]
-    edges = materialize(arcs(features, ids, layer), "arcs").withColumn("part", F.floor(F.col("seq") / kernel_vertices))
+    edges = materialize(with_scale(arcs(features, ids, layer), arc_key), "arcs").withColumn("part", F.floor(F.col("seq") / kernel_vertices))
     measured = materialize(_measure_arcs(edges, [*arc_key, "part"], effective_areas), "areas")
     cut = measured.filter(F.col("value") < float("inf")).agg(F.percentile_approx("value", 1 - fraction, 10000).alias("c"))
     kept = measured.filter(F.col("value") > F.coalesce(cut.scalar(), F.lit(-1.0)))
