@@ -37,7 +37,7 @@ def _zip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             buffer = io.BytesIO()
             with zipfile.ZipFile(buffer, "w") as archive:
                 for name in names:
-                    archive.writestr(name, meta if name == "meta.txt" else name)
+                    archive.writestr(zipfile.ZipInfo(name, (2024, 1, 1, 0, 0, 0)), meta if name == "meta.txt" else name)
             contents.append(buffer.getvalue())
         yield pd.DataFrame({"package_id": batch["path"], "path": batch["path"], "content": contents})
 

@@ -12,7 +12,7 @@ from boundaryspark.operators import simplify as S
 from boundaryspark.operators import topology as T
 from boundaryspark.plans.compare_queries import OVERLAP_SQL, left_features, right_features
 from boundaryspark.plans.inputs import features, with_inputs
-from boundaryspark.plans.layer_queries import feature_sql
+from boundaryspark.plans.layer_queries import FEATURE_SQL, feature_sql
 from boundaryspark.plans.registry import query
 
 OUTLINE_SQL = {
@@ -145,13 +145,15 @@ def clip(spark, sf_dir):
     return out.select("uid", "mask", F.round(G.planar_area(G.project_equal_area("geom")) / 1e6, 2).alias("km2"))
 
 
-@query("fill_gaps")
+@query("fill_gaps", with_inputs("fx_vertex", """SELECT adm, uid, round(sum(CASE WHEN ring = 0 THEN area WHEN area / 1e6 < 10000 THEN 0 ELSE -area END) / 1e6, 2) AS km2
+FROM rings WHERE adm = 'ADM2' GROUP BY ALL""", {k: FEATURE_SQL[k] for k in ("p", "pe", "rings")}))
 def fill_gaps(spark, sf_dir):
     out = T.fill_gaps(features(spark, sf_dir, "ADM2"), ["uid"], ["adm"], 10000.0)
     return out.select("adm", "uid", F.round(G.planar_area(G.project_equal_area("geom")) / 1e6, 2).alias("km2"))
 
 
-@query("simplify")
+# every corner of the units lies farther off than the tolerance, so none may go
+@query("simplify", feature_sql("SELECT adm, uid, cast(all_n AS bigint) AS vertices FROM feat"))
 def simplify(spark, sf_dir):
     out = S.simplify(features(spark, sf_dir), ["uid"], ["adm"], 100.0)
     return out.select("adm", "uid", G.all_vertices("geom").alias("vertices"))
