@@ -18,8 +18,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="tables are not
 
 
 def names():
-    import __spark_entry__ as driver
-    chosen = [n for n in driver.queries() if os.environ.get("BOUNDARYSPARK_ALL") or n not in MANY_JOBS]
+    from boundaryspark.plans import all_queries
+    chosen = [n for n in all_queries.QUERIES if os.environ.get("BOUNDARYSPARK_ALL") or n not in MANY_JOBS]
     return chosen
 
 
