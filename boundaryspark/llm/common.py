@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,3 +68,38 @@ def connected_components(edges: DataFrame, low: str = "a", high: str = "b") -> D
         total = tuple(state)
     roots = edges.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct()
     return edges.select(F.col("v").alias("node"), F.col("u").alias("component")).unionAll(roots)
+
+
+#: Bits of the tables that tell later passes which hashes matter; they fill up with very many hashes and
+#: then let more rows through, but their size never grows.
+TABLE_BITS = 23
+
+
+def hash_table(df: DataFrame, value: Column) -> bytes:
+    """A bit table of fixed size in which the low bits of every hash are set."""
+    bits = df.select(F.shiftrightunsigned(value, 64 - TABLE_BITS).alias("bit"))
+    parts = bits.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
+    out = bytearray((1 << TABLE_BITS) // 8 + 4096)
+    for bucket, part in parts:
+        # the bitmap functions number buckets from 1 for bits above 0; bucket 0 holds bit 0 alone
+        at = max(0, bucket) * 4096
+        out[at:at + len(part)] = part
+    return zlib.compress(bytes(out), 1)
+
+
+def table_of(packed: bytes):
+    """Function that tells for an array of 64-bit hashes which are in the table."""
+    bits = np.unpackbits(np.frombuffer(zlib.decompress(packed), np.uint8), bitorder="little")
+
+    def known(hashes: np.ndarray) -> np.ndarray:
+        place = (hashes.view(np.uint64) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        return bits[_bitmap_place(place)] > 0
+    return known
+
+
+def _bitmap_place(value: np.ndarray) -> np.ndarray:
+    """Place of a value in the joined bitmaps: Spark's bucket of 32768 bits and its position there."""
+    bucket = np.where(value > 0, 1 + (value - 1) // 32768, value // 32768)
+    position = np.where(value > 0, (value - 1) % 32768, -value % 32768)
+    return bucket * 32768 + position

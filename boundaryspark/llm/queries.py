@@ -1,6 +1,6 @@
 """Importing the operator modules fills the registry."""
 
-from boundaryspark.llm import bpe, decontaminate, exact_dedup, html_text, quality, secret_scan, urls, warc  # noqa: F401
+from boundaryspark.llm import bpe, decontaminate, exact_dedup, html_text, quality, repeats, secret_scan, urls, warc  # noqa: F401
 from boundaryspark.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
