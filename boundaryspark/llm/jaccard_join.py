@@ -26,10 +26,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boundaryspark.llm.common import connected_components, hash_table, table, table_of
+from boundaryspark.llm.common import broadcast_if_counted, connected_components, hash_table, table, table_of
 from boundaryspark.llm.registry import query
 from boundaryspark.runtime import materialize
 
@@ -167,27 +167,28 @@ def _first_hashes(members: np.ndarray) -> list[int]:
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
-    """First pass: (doc_id, node, n, keys, bitmap) of every text and, once per task, counts of hashed shingles."""
+    """First pass: (doc_id, text_hash, node, n, keys, bitmap) of every text and, once per task, counts of hashed shingles."""
     def run(batches):
         known, counts = WordHashes(), np.zeros(1 << COUNT_BITS, np.int64)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int32(), pa.binary()]
-        names = ["doc_id", "node", "n", "keys", "bitmap", "slice", "counts"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int32(), pa.binary()]
+        names = ["doc_id", "text_hash", "node", "n", "keys", "bitmap", "slice", "counts"]
         for batch in batches:
-            out = [[] for _ in range(5)]
-            for number, content in zip(batch.column(0), batch.column(1), strict=True):
+            out = [[] for _ in range(6)]
+            for number, content, text_hash in zip(*(batch.column(i) for i in range(3)), strict=True):
                 members = shingle_set(content.as_py() or "", size, known)
                 counts += np.bincount((members >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=len(counts))
-                row = (number.as_py(), node_of(members), len(members), _first_hashes(members), bitmap_of(members).tobytes()) \
-                    if len(members) else (number.as_py(), None, 0, [], None)
+                row = (node_of(members), len(members), _first_hashes(members), bitmap_of(members).tobytes()) \
+                    if len(members) else (None, 0, [], None)
+                row = (number.as_py(), text_hash.as_py(), *row)
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
             empty = [None] * len(out[0])
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([*out, empty, empty], kinds, strict=True)], names=names)
         if counts.any():
             parts = np.split(counts, 16)
-            rows = [[None] * 16, [None] * 16, [None] * 16, [None] * 16, [None] * 16, list(range(16)), [p.tobytes() for p in parts]]
+            rows = [*[[None] * 16] * 6, list(range(16)), [p.tobytes() for p in parts]]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=names)
-    return texts.mapInArrow(run, "doc_id long, node long, n long, keys array<long>, bitmap binary, slice int, counts binary")
+    return texts.mapInArrow(run, "doc_id long, text_hash long, node long, n long, keys array<long>, bitmap binary, slice int, counts binary")
 
 
 def _shingle_counts(sets: DataFrame) -> np.ndarray:
@@ -297,9 +298,10 @@ def _second_pass(texts: DataFrame, counts: np.ndarray, wanted: bytes, size: int,
 
 def join_texts(documents: DataFrame, shingle: int = 4, percent: int = 85, tile: int = TILE,
                doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(doc_id, node, n, component) per row, the component being named by a node, and the links (a, b) of nodes
+    """(doc_id, text_hash, node, n, component) per row, the component being named by a node, and the links (a, b) of nodes
     that connect them.  Equal sets have one node."""
-    texts = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
+    texts = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"),
+                             F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_hash"))
     written = materialize(_sets(texts, shingle), "sets")
     rows = written.where("slice is null")
     nodes = rows.where("node is not null")
@@ -339,22 +341,23 @@ def join_texts(documents: DataFrame, shingle: int = 4, percent: int = 85, tile:
                 yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
         links = materialize(forest.unionAll(both.mapInArrow(verify, "a long, b long")), "links")
     components = materialize(connected_components(links), "components")
-    out = rows.select("doc_id", "node", "n").hint("merge").join(components, "node", "left").withColumn(
+    out = rows.select("doc_id", "text_hash", "node", "n").hint("merge").join(components, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
-    return materialize(out.select("doc_id", "node", "n", "component"), "joined"), links
+    return materialize(out.select("doc_id", "text_hash", "node", "n", "component"), "joined"), links
 
 
 def keep_one(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `documents` without the further members of each component: the row of the largest set stays,
-    then of the smallest id.  Rows with empty sets all stay."""
+    """The rows of `documents` without the further members of each component: the text of the largest set stays,
+    then of the smallest id.  Rows with empty sets all stay, and so do rows alike in id and text."""
     joined, _ = join_texts(documents, shingle, percent)
-    order = F.struct(-F.col("n"), F.col("doc_id").isNull(), F.col("doc_id"))
+    order = F.struct(-F.col("n"), F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash"))
     best = joined.where("component is not null").groupBy("component").agg(
-        F.min_by(F.struct("doc_id", "node"), order).alias("best"), F.count(F.lit(1)).alias("members")).where("members > 1")
+        F.min_by(F.struct("doc_id", "text_hash"), order).alias("best"), F.count(F.lit(1)).alias("members")).where("members > 1")
     dropped = joined.hint("merge").join(best, "component").where(
-        ~(F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("node") == F.col("best.node")))).select(F.col("doc_id").alias("_id"))
-    dropped = materialize(dropped.distinct(), "dropped")
-    return documents.join(dropped, documents["doc_id"].eqNullSafe(dropped["_id"]), "left_anti")
+        ~(F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))))
+    dropped = broadcast_if_counted(materialize(dropped.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_gone")).distinct(), "dropped"))
+    rows = documents.withColumn("_hash", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    return rows.join(dropped, rows["doc_id"].eqNullSafe(dropped["_id"]) & (rows["_hash"] == dropped["_gone"]), "left_anti").drop("_hash")
 
 
 @query("op5_jaccard_join")

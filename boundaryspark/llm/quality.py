@@ -136,8 +136,8 @@ def train(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max
     return fit([r["text"] for r in rows], [int(r["quality"] > 0) for r in rows])
 
 
-def score_texts(df: DataFrame, model: Model, text: str = "text", keep_text: bool = True) -> DataFrame:
-    """Add `score`, the probability of label 1."""
+def score_texts(df: DataFrame, model: Model, text: str = "text", keep_text: bool = True, into: str = "score") -> DataFrame:
+    """Add `score` (or the name `into`), the probability of label 1."""
     state = []
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -145,7 +145,13 @@ def score_texts(df: DataFrame, model: Model, text: str = "text", keep_text: bool
             state.append(model.scorer())
         column = batch.column(batch.schema.get_field_index(text))
         return [pa.array([state[0](x.as_py() or "") for x in column], pa.float64())]
-    return append_columns(df, [T.StructField("score", T.DoubleType())], run, () if keep_text else (text,))
+    return append_columns(df, [T.StructField(into, T.DoubleType())], run, () if keep_text else (text,))
+
+
+def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `documents` that score at least `threshold`, with all their columns."""
+    scored = score_texts(documents, train(documents, labels), into="_quality")
+    return scored.where(F.col("_quality") >= threshold).select(*documents.columns)
 
 
 @query("op6_quality")
