@@ -29,7 +29,9 @@ from boundaryspark.llm.registry import query
 
 #: Entries of each per-process cache of words; a full cache starts anew.
 CACHED_WORDS = 250_000
-NONE = 1 << 62
+NONE = 1 << 96
+#: Children of an inner node of the tree of ranks.
+FAN = 16
 #: str.split() also splits at these, which the vocabulary's pattern takes as ordinary characters.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -54,51 +56,60 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
-def merge_pairs(ids: list[int], pairs: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Apply merges, lowest rank first and leftmost among equals."""
+def merge_pairs(ids: list[int], pairs: dict[int, int]) -> list[int]:
+    """Apply merges, lowest rank first and leftmost among equals.
+
+    `pairs` maps left << 17 | right to rank << 17 | merged.  Inner nodes of the tree hold the minimum of
+    `FAN` nodes below them, so that a short word is a root over its leaves.
+    """
     n = len(ids)
     if n < 2:
         return ids
-    size = 1 << (n - 1).bit_length()
-    shift, mask = size.bit_length(), (1 << size.bit_length()) - 1
-    tree = [NONE] * (2 * size)
-    for i in range(n - 1):
-        found = pairs.get((ids[i], ids[i + 1]))
-        if found:
-            tree[size + i] = found[0] << shift | i
-    for node in range(size - 1, 0, -1):
-        left, right = tree[2 * node], tree[2 * node + 1]
-        tree[node] = left if left < right else right
-
-    def put(leaf: int, value: int) -> None:
-        node = size + leaf
-        tree[node] = value
-        while node > 1:
-            node >>= 1
-            left, right = tree[2 * node], tree[2 * node + 1]
-            least = left if left < right else right
-            if tree[node] == least:
-                break
-            tree[node] = least
-
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    alive = bytearray(b"\x01") * n
-    while tree[1] != NONE:
-        i = tree[1] & mask
+    shift, get = n.bit_length(), pairs.get
+    mask, symbols = (1 << shift) - 1, (1 << 17) - 1
+    leaves = [NONE] * n
+    left = ids[0]
+    for i in range(1, n):
+        right = ids[i]
+        found = get(left << 17 | right)
+        if found is not None:
+            leaves[i - 1] = found << shift | i - 1
+        left = right
+    levels = [leaves]
+    while len(levels[-1]) > FAN or len(levels) == 1:
+        below = levels[-1]
+        levels.append([min(below[k:k + FAN]) for k in range(0, len(below), FAN)])
+    flat, after, before = len(levels) == 2 and n <= FAN, list(range(1, n + 1)), list(range(-1, n - 1))
+    top = levels[-1]
+    least = min(top)
+    while least != NONE:
+        i = least & mask
+        merged = ids[i] = least >> shift & symbols
         j = after[i]
-        ids[i] = pairs[ids[i], ids[j]][1]
         k = after[i] = after[j]
-        alive[j] = 0
-        put(j, NONE)
+        leaves[j] = leaves[i] = NONE
         if k < n:
             before[k] = i
-        found = pairs.get((ids[i], ids[k])) if k < n else None
-        put(i, found[0] << shift | i if found else NONE)
+            found = get(merged << 17 | ids[k])
+            if found is not None:
+                leaves[i] = found << shift | i
         p = before[i]
         if p >= 0:
-            found = pairs.get((ids[p], ids[i]))
-            put(p, found[0] << shift | p if found else NONE)
-    return [x for x, live in zip(ids, alive, strict=True) if live]
+            found = get(ids[p] << 17 | merged)
+            leaves[p] = NONE if found is None else found << shift | p
+        if flat:
+            least = min(leaves)
+        else:
+            for leaf in (j, i, p) if p >= 0 else (j, i):
+                for depth in range(1, len(levels)):
+                    leaf //= FAN
+                    levels[depth][leaf] = min(levels[depth - 1][leaf * FAN:(leaf + 1) * FAN])
+            least = min(top)
+    out, i = [], 0
+    while i < n:
+        out.append(ids[i])
+        i = after[i]
+    return out
 
 
 class Vocabulary:
@@ -113,7 +124,7 @@ class Vocabulary:
         self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.added.items()}
         self.pairs = {}
         for rank, (a, b) in enumerate(model["merges"]):
-            self.pairs[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            self.pairs.setdefault(vocab[a] << 17 | vocab[b], rank << 17 | vocab[a + b])
         letters = byte_alphabet()
         self.inner = [vocab.get(c) for c in letters]
         self.last = [vocab.get(c + self.suffix) for c in letters]
