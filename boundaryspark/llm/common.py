@@ -16,6 +16,9 @@ from boundaryspark.runtime import materialize
 #: Rows that a broadcast may have; callers' rows are under 200 bytes, so a copy stays below 20 MB.
 BROADCAST_ROWS = 100_000
 
+#: Rows that an appending function sees at once: its results stay small beside Spark's own batches.
+SLICE_ROWS = 1000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,9 +33,11 @@ def append_columns(df: DataFrame, fields: list[T.StructField],
     kept_names, out_names = [f.name for f in kept], [*[f.name for f in kept], *[f.name for f in fields]]
 
     def run(batches):
-        for batch in batches:
-            columns = [batch.column(batch.schema.get_field_index(n)) for n in kept_names]
-            yield pa.RecordBatch.from_arrays([*columns, *function(batch)], names=out_names)
+        for whole in batches:
+            for first in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(first, SLICE_ROWS)
+                columns = [batch.column(batch.schema.get_field_index(n)) for n in kept_names]
+                yield pa.RecordBatch.from_arrays([*columns, *function(batch)], names=out_names)
     return df.mapInArrow(run, schema)
 
 
