@@ -1,17 +1,18 @@
 """Repeated byte strings: every byte covered by a string of `length` bytes that also starts elsewhere.
 
-Method: bucket-pointer refinement over sampled suffixes.  With q = length / 2, suffixes get an initial
+Method: bucket-pointer refinement over sampled suffixes.  With q = length / 4, suffixes get an initial
 bucket by their first q bytes.  Of all q-grams of a window of `length` bytes, the one of least hash is its
 anchor (content-defined, so equal windows have equal anchors at equal offsets), and a task of Spark holds
-whole buckets of one anchor.  There each window of `length` bytes around an occurrence is a suffix whose
-bucket is refined by sorting on the pair (its bucket, the bucket of the offset q later), where the bucket
-pointers of all offsets come from one rolling hash and are used again for every window; a refined bucket
-of two or more suffixes is a repeat.  Suffixes are refined only as far as the `length` bytes asked for.
-
-Passes: (1) texts are hashed, and the anchors of different texts are counted; (2) texts that hold an anchor
-met at least twice send those anchors with q bytes on either side to their bucket; equal surroundings in a
-task meet before the shuffle, so a passage in a third of all rows sends a row per task; (3) removed ranges
-come back to their text.  Which anchors and texts a pass needs is told by bit tables of fixed size; a false
+whole buckets of one anchor.  There every window whose anchor this is is a suffix, and its bucket is
+refined by the bucket pointers q and then 2q bytes later: each level is the pair of two pointers of the
+level before, used again for all offsets, and the last level is sorted; a refined bucket of two or more
+suffixes is a repeat.  Suffixes are refined only as far as the `length` bytes asked for.
+
+Passes: (1) texts give their anchors with a hash of the bytes of the anchor's windows; anchors whose bytes
+all agree with those of another place repeat whole and are settled by counting; (2) texts send the bytes of
+the anchors that have places of equal and of other bytes to their bucket; equal bytes in a task meet before
+the shuffle, so a passage in a third of all rows sends a row per task; (3) removed ranges come back to
+their text.  Which anchors and texts a pass needs is told by bit tables of fixed size; a false
 hit costs a row, never a result.  Anchors of more than `hot` occurrences do not meet in one task: each of
 their windows becomes a row of its own, counted by an aggregate.  Copies of a whole text are removed whole.
 
@@ -27,7 +28,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from boundaryspark.llm.common import hash_table, table, table_of
@@ -70,8 +72,9 @@ def gram_hashes(data: np.ndarray, q: int) -> np.ndarray:
     return mix((sums[..., q:] - sums[..., :-q]) * inverse[:n - q + 1])
 
 
-def _anchors(grams: np.ndarray, windows: np.ndarray | None, width: int) -> np.ndarray:
-    """Places of the leftmost least gram of `width` grams, for the given windows (all if None)."""
+def _anchors(grams: np.ndarray, windows: np.ndarray | None, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors (places of the leftmost least of `width` grams) of the given windows (all if None), and the first and
+    last start of the windows that have them."""
     n = len(grams)
     keys = (grams & ~_PLACE) | (np.arange(n, dtype=np.uint64) & _PLACE)
     blocks = -(-n // width) * width
@@ -85,30 +88,38 @@ def _anchors(grams: np.ndarray, windows: np.ndarray | None, width: int) -> np.nd
     if windows is not None:
         least, starts = least[windows], starts[windows]
     places = starts + ((least & _PLACE).astype(np.int64) - starts) % (1 << 22)
-    return np.unique(places)
+    first = np.flatnonzero(np.diff(places, prepend=-1))
+    last = np.append(first[1:], len(places)) - 1
+    return places[first], starts[first], starts[last]
 
 
-def segment_anchors(data: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(anchor hashes, places, starts of windows that repeat in the segment) for each segment of a text."""
-    q = length // 2
+def segment_anchors(data: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(anchor hashes, places, first and last start of their windows, starts of windows that repeat in the segment)
+    for each segment of a text."""
+    q = length // 4
     for first in range(0, max(0, len(data) - length + 1), SEGMENT):
         part = data[first:first + SEGMENT + length - 1]
         grams = gram_hashes(part, q)
         width = length - q + 1
-        places = _anchors(grams, None, width)
+        places, low, high = _anchors(grams, None, width)
         repeated = np.zeros(0, np.int64)
         if len(np.unique(grams[places])) < len(places):
             whole = window_buckets(grams, q, length)
             _, firsts, group, counts = np.unique(whole, return_index=True, return_inverse=True, return_counts=True)
             repeated = np.flatnonzero(counts[group] > 1)
-            places = _anchors(grams, np.sort(firsts), width)
-        yield grams[places], places + first, repeated + first
+            places, low, high = _anchors(grams, np.sort(firsts), width)
+        yield grams[places], places + first, low + first, high + first, repeated + first
 
 
 def window_buckets(grams: np.ndarray, q: int, length: int) -> np.ndarray:
-    """Refined bucket of every window: the pair of the buckets at its start and q (or what is left) later."""
-    windows = grams.shape[-1] - (length - q)
-    return mix(grams[..., :windows] * np.uint64(0xD6E8FEB86659FD93) + grams[..., length - q:length - q + windows])
+    """Refined bucket of every window: the pointers of one level, now and later, are those of the next."""
+    reach = q
+    while reach < length:
+        step = min(reach, length - reach)
+        n = grams.shape[-1] - step
+        grams = mix(grams[..., :n] * np.uint64(0xD6E8FEB86659FD93) + grams[..., step:step + n])
+        reach += step
+    return grams
 
 
 def _runs(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -119,43 +130,70 @@ def _runs(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
     return [(int(s[0]), int(s[-1]) + length) for s in np.split(starts, cut)]
 
 
+def merged_ranges(ranges: list[tuple[int, int]]) -> list[list[int]]:
+    """The union of ranges as ranges apart from each other."""
+    merged: list[list[int]] = []
+    for start, end in sorted(ranges):
+        if merged and start <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], end)
+        else:
+            merged.append([start, end])
+    return merged
+
+
 def _batch(columns: list[list], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
 def _texts(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     content = F.coalesce(F.col(text), F.lit(""))
-    return documents.select(F.col(doc_id).alias("doc_id"), F.unhex(F.sha2(content, 256)).alias("key"), content.alias("_text"))
+    return documents.select(F.col(doc_id).alias("doc_id"), F.unhex(F.sha2(content, 256)).alias("key"), content.alias("_text")).withColumn(
+        "tid", F.xxhash64("key"))
 
 
 def find_repeats(documents: DataFrame, length: int = LENGTH, hot: int = HOT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, ranges, n_removed, kept) per row; `kept` is null where the whole text or nothing of it is removed."""
-    q = length // 2
+    q = length // 4
     texts = _texts(documents, doc_id, text)
 
     def first_pass(batches):
         seen: set[bytes] = set()
-        for batch in batches:
-            rows = [[], [], [], []]
-            for number, key, content in zip(*(batch.column(i) for i in range(3)), strict=True):
-                key, data = key.as_py(), content.as_py().encode("utf-8", "replace")
-                hashes = []
-                if key not in seen and len(data) >= length:
-                    hashes = np.concatenate([h for h, _, _ in segment_anchors(np.frombuffer(data, np.uint8), length)]).view(np.int64)
-                seen.add(key)
-                for column, value in zip(rows, (number.as_py(), key, len(data), hashes), strict=True):
-                    column.append(value)
-            yield _batch(rows, [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64())], ["doc_id", "key", "n_bytes", "hashes"])
-    rows = materialize(texts.mapInArrow(first_pass, "doc_id long, key binary, n_bytes long, hashes array<long>"), "texts")
+        for whole in batches:
+            for start in range(0, whole.num_rows, 2000):
+                rows = [[] for _ in range(7)]
+                for number, key, content in zip(*(whole.column(i).slice(start, 2000) for i in range(3)), strict=True):
+                    key, data = key.as_py(), content.as_py().encode("utf-8", "replace")
+                    parts = [np.zeros(0, np.int64)] * 4
+                    if key not in seen and len(data) >= length:
+                        found = list(segment_anchors(np.frombuffer(data, np.uint8), length))
+                        parts = [np.concatenate([x[k] for x in found]) for k in (0, 2, 3)]
+                        parts[0] = parts[0].view(np.int64)
+                        parts.append(np.array([xxhash.xxh3_64_intdigest(data[a:b + length]) - (1 << 63)
+                                               for a, b in zip(parts[1].tolist(), parts[2].tolist(), strict=True)], np.int64))
+                    seen.add(key)
+                    for column, value in zip(rows, (number.as_py(), key, len(data), *parts), strict=True):
+                        column.append(value)
+                yield _batch(rows, [pa.int64(), pa.binary(), pa.int64(), *[pa.list_(pa.int64())] * 4], first_names)
+    first_names = ["doc_id", "key", "n_bytes", "hashes", "lows", "highs", "bytes_hashes"]
+    rows = materialize(texts.mapInArrow(first_pass, "doc_id long, key binary, n_bytes long, hashes array<long>, lows array<long>, "
+                                                    "highs array<long>, bytes_hashes array<long>"), "texts")
     classes = materialize(rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.max("n_bytes").alias("n")), "classes")
-    # a task sends the anchors of a text once; copies in other tasks count again, which only lets more anchors through
-    counts = rows.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    counts = materialize(counts, "anchors")
-    wanted = hash_table(counts, F.col("hash"))
-    very_hot = np.array([r[0] for r in counts.where(F.col("n") > hot).select("hash").collect()], np.int64).view(np.uint64)
+    # a task sends the anchors of a text once; copies in other tasks count too, and are removed whole anyway
+    anchors = rows.select(F.xxhash64("key").alias("tid"), F.inline(F.arrays_zip("hashes", "lows", "highs", "bytes_hashes"))).select(
+        "tid", F.col("hashes").alias("hash"), F.col("lows").cast("int").alias("low"),
+        (F.col("highs") - F.col("lows")).cast("int").alias("windows"), "bytes_hashes").repartition("hash")
+    same, alike = Window.partitionBy("hash", "bytes_hashes"), Window.partitionBy("hash")
+    anchors = anchors.withColumn("same", F.count(F.lit(1)).over(same)).withColumns({
+        "n": F.count(F.lit(1)).over(alike), "least": F.min("same").over(alike)}).where("n > 1")
+    anchors = materialize(anchors.select("tid", F.when(F.col("least") == 1, F.col("hash")).alias("hash"), "n", "same", "low", "windows"), "anchors")
+    settled = anchors.where("same > 1").select("tid", F.col("low").cast("long").alias("start"),
+                                               (F.col("low") + F.col("windows") + length).cast("long").alias("end"))
+    open_anchors = anchors.where("hash is not null")
+    wanted = hash_table(open_anchors, F.col("hash"))
+    very_hot = np.array([r[0] for r in open_anchors.where(F.col("n") > hot).select("hash").distinct().collect()], np.int64).view(np.uint64)
 
     def second_pass(batches):
-        seen: set[bytes] = set()
+        seen: set[int] = set()
         known = table_of(wanted)
         met: dict[tuple[int, bytes], tuple | None] = {}
         for batch in batches:
@@ -164,52 +202,55 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, hot: int = HOT, doc
             def add(kind, place, key, start, end=None, before=None, near=None, out=out):
                 for column, value in zip(out, (kind, place, key, start, end, before, near), strict=True):
                     column.append(value)
-            for _, key, content in zip(*(batch.column(i) for i in range(3)), strict=True):
+            for _, _, content, key in zip(*(batch.column(i) for i in range(4)), strict=True):
                 key = key.as_py()
                 raw = content.as_py().encode("utf-8", "replace")
                 if key in seen or len(raw) < length:
                     continue
                 seen.add(key)
-                data = np.frombuffer(raw, np.uint8)
-                for hashes, places, repeated in segment_anchors(data, length):
-                    for a, b in _runs(repeated, length):
-                        add(1, None, key, a, b)
+                data, covered = np.frombuffer(raw, np.uint8), []
+                for hashes, places, lows, highs, repeated in segment_anchors(data, length):
+                    covered += _runs(repeated, length)
                     keep = known(hashes.view(np.int64))
-                    for h, place in zip(hashes[keep], places[keep], strict=True):
-                        low, high = max(0, place - (length - q)), min(len(raw), place + length)
+                    for h, place, low, high in zip(hashes[keep], places[keep].tolist(), lows[keep].tolist(),
+                                                   (highs[keep] + length).tolist(), strict=True):
                         if len(very_hot) and h in very_hot:
-                            starts = np.arange(low, high - length + 1)
-                            for s, w in zip(starts, window_buckets(gram_hashes(data[low:high], q), q, length), strict=True):
-                                add(2, int(w.view(np.int64)), key, int(s), int(s) + length)
+                            for s, w in enumerate(window_buckets(gram_hashes(data[low:high], q), q, length).view(np.int64).tolist()):
+                                add(2, w, key, low + s, low + s + length)
                             continue
                         around = raw[low:high]
                         same = (int(h), hashlib.blake2b(around, digest_size=16).digest())
                         if same in met:  # equal surroundings of another place: all their windows repeat
                             if met[same] is not None:
-                                add(1, None, *met[same])
+                                add(1, met[same][0], *met[same])
                                 met[same] = None
-                            add(1, None, key, int(low), int(high))
+                            covered.append((low, high))
                         else:
-                            if len(met) >= 200_000:
+                            if len(met) >= 100_000:
                                 met.clear()
-                            met[same] = (key, int(low), int(high))
-                            add(0, int(h.view(np.int64)), key, int(low), int(high), int(place - low), around)
-                    if len(out[0]) >= 8000:
-                        yield _batch(out, kinds, names)
-                        for column in out:
-                            column.clear()
+                            met[same] = (key, low, high)
+                            add(0, int(h.view(np.int64)), key, low, high, place - low, around)
+                for a, b in merged_ranges(covered):
+                    add(1, key, key, a, b)
+                if len(out[0]) >= 4000:
+                    yield _batch(out, kinds, names)
+                    for column in out:
+                        column.clear()
             if out[0]:
                 yield _batch(out, kinds, names)
     names = ["kind", "hash", "key", "start", "end", "before", "near"]
-    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-    schema = "kind int, hash long, key binary, start long, end long, before int, near binary"
-    sent = materialize(texts.mapInArrow(second_pass, schema), "occurrences")
-    buckets = sent.where("kind = 0").select("hash", "key", "start", "before", "near").repartition("hash").sortWithinPartitions("hash", "key", "start")
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    schema = "kind int, hash long, key long, start long, end long, before int, near binary"
+    sent = texts.mapInArrow(second_pass, schema).repartition("hash").sortWithinPartitions("hash", "key", "start")
 
     def refine(batches):
         held: list[tuple] = []
         for batch in batches:
-            held += zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True)
+            kind = batch.column(0).to_numpy()
+            if (kind > 0).any():  # ranges and single windows go on as they are
+                yield batch.filter(pa.array(kind > 0)).select([0, 1, 2, 3, 4])
+                batch = batch.filter(pa.array(kind == 0))
+            held += zip(*(batch.column(i).to_pylist() for i in (1, 2, 3, 5, 6)), strict=True)
             if len(held) >= CHUNK:
                 last = held[-1][0]
                 cut = len(held)
@@ -224,67 +265,62 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, hot: int = HOT, doc
     def refined(held: list[tuple]) -> pa.RecordBatch:
         """Ranges of the windows that share their refined bucket with a window of the same anchor."""
         unique = [r for k, r in enumerate(held) if k == 0 or r[:3] != held[k - 1][:3]]
-        hashes = np.array([r[0] for r in unique], np.int64).view(np.uint64)
+        hashes = np.array([r[0] for r in unique], np.int64)
         alone = np.ones(len(unique), bool)
         alone[1:] &= hashes[1:] != hashes[:-1]
         alone[:-1] &= hashes[:-1] != hashes[1:]
         unique = [r for r, a in zip(unique, alone, strict=True) if not a]
-        hashes, reach = hashes[~alone], length - q
-        count, columns = len(unique), reach + 1
-        ids = np.empty((columns, count), np.uint64)
-        for first in range(0, count, 1024):
+        reach, ids = length - q, []
+        for first in range(0, len(unique), 1024):
             part = unique[first:first + 1024]
             bytes_of = np.zeros((len(part), q + 2 * reach), np.uint8)
-            valid = np.zeros((len(part), columns), bool)
-            for i, (_, _, _, before, near) in enumerate(part):
-                low = reach - before
-                bytes_of[i, low:low + len(near)] = np.frombuffer(near, np.uint8)
-                valid[i, low:max(low, low + len(near) - length + 1)] = True
-            found = window_buckets(gram_hashes(bytes_of, q), q, length) + hashes[first:first + 1024, None] * np.uint64(3)
-            lone = mix(np.arange(first * columns, (first + len(part)) * columns, dtype=np.uint64)).reshape(len(part), columns)
-            ids[:, first:first + 1024] = np.where(valid, found, lone ^ np.uint64(0x5555555555555555)).T
-        again = np.zeros((columns, count), bool)
-        for k in range(columns):
-            order = np.argsort(ids[k])
-            equal = np.zeros(count + 1, bool)
-            equal[1:-1] = ids[k][order][1:] == ids[k][order][:-1]
-            again[k, order] = equal[1:] | equal[:-1]
+            for i, (_, _, _, _, near) in enumerate(part):
+                bytes_of[i, :len(near)] = np.frombuffer(near, np.uint8)
+            found = window_buckets(gram_hashes(bytes_of, q), q, length)
+            ids += [found[i, :len(r[4]) - length + 1] for i, r in enumerate(part)]
         out = [[], [], []]
-        for i in np.flatnonzero(again.any(axis=0)):
-            _, key, start, before, _ = unique[i]
-            for a, b in _runs(np.flatnonzero(again[:, i]) + start - (reach - before), length):
-                out[0].append(key)
-                out[1].append(a)
-                out[2].append(b)
-        return _batch(out, [pa.binary(), pa.int64(), pa.int64()], ["key", "start", "end"])
-    ranges = buckets.mapInArrow(refine, "key binary, start long, end long").unionAll(
-        sent.where("kind = 1").select("key", "start", "end"))
+        if ids:
+            counts = np.array([len(x) for x in ids])
+            flat = np.concatenate(ids)
+            order = np.argsort(flat)
+            equal = np.zeros(len(flat) + 1, bool)
+            equal[1:-1] = flat[order][1:] == flat[order][:-1]
+            again = np.empty(len(flat), bool)
+            again[order] = equal[1:] | equal[:-1]
+            ends = np.cumsum(counts)
+            for i in np.flatnonzero(np.logical_or.reduceat(again, ends - counts)):
+                _, key, start, _, _ = unique[i]
+                for a, b in _runs(np.flatnonzero(again[ends[i] - counts[i]:ends[i]]) + start, length):
+                    out[0].append(key)
+                    out[1].append(a)
+                    out[2].append(b)
+        n = len(out[0])
+        return _batch([[1] * n, [None] * n, *out], [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()],
+                      ["kind", "hash", "key", "start", "end"])
+    told = materialize(sent.mapInArrow(refine, "kind int, hash long, key long, start long, end long"), "ranges")
+    tid = F.col("key").alias("tid")
+    ranges = told.where("kind = 1").select(tid, "start", "end").unionAll(settled)
     if len(very_hot):
-        windows = sent.where("kind = 2").select("hash", "key", "start", "end").distinct()
+        windows = told.where("kind = 2").select("hash", tid, "start", "end").distinct()
         often = windows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        ranges = ranges.unionAll(windows.join(often, "hash").select("key", "start", "end"))
-    single = classes.where("copies = 1").select("key")
-    by_text = materialize(ranges.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("ranges"))
-                          .join(single, "key"), "ranges")
-    touched = hash_table(by_text, F.xxhash64("key"))
+        ranges = ranges.unionAll(windows.join(often, "hash").select("tid", "start", "end"))
+    single = classes.where("copies = 1").select(F.xxhash64("key").alias("tid"))
+    by_text = materialize(ranges.groupBy("tid").agg(F.collect_list(F.struct("start", "end")).alias("ranges")).join(single, "tid"), "ranges")
+    touched = hash_table(by_text, F.col("tid"))
 
     def touched_only(batches):
         known = None
         for batch in batches:
             known = known or table_of(touched)
-            yield batch.filter(pa.array(known(batch.column(2).to_numpy()))).select([0, 1])
-    affected = texts.select("key", "_text", F.xxhash64("key").alias("_hash")).mapInArrow(touched_only, "key binary, _text string")
+            yield batch.filter(pa.array(known(batch.column(2).to_numpy())))
+    affected = texts.select("key", "_text", "tid").mapInArrow(touched_only, "key binary, _text string, tid long")
 
     def cut(batches):
         for batch in batches:
             out = [[], [], [], []]
             for key, content, spans in zip(*(batch.column(i) for i in range(3)), strict=True):
-                raw, merged = content.as_py().encode("utf-8", "replace"), []
-                for span in spans.as_py():
-                    if merged and span["start"] <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], span["end"])
-                    else:
-                        merged.append([span["start"], span["end"]])
+                raw = content.as_py().encode("utf-8", "replace")
+                merged = merged_ranges([(x["start"], x["end"]) for x in spans.as_py()])
                 edges = [0, *[x for span in merged for x in span], len(raw)]
                 out[0].append(key.as_py())
                 out[1].append([{"start": a, "end": b} for a, b in merged])
@@ -292,7 +328,7 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, hot: int = HOT, doc
                 out[3].append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
             span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
             yield _batch(out, [pa.binary(), pa.list_(span), pa.int64(), pa.binary()], ["key", "ranges", "n_removed", "kept"])
-    results = affected.join(by_text, "key").select("key", "_text", "ranges").mapInArrow(
+    results = affected.join(by_text, "tid").select("key", "_text", "ranges").mapInArrow(
         cut, "key binary, ranges array<struct<start:long,end:long>>, n_removed long, kept binary")
     full = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n").alias("end")))
     copies = classes.where((F.col("copies") > 1) & (F.col("n") >= length)).select(
