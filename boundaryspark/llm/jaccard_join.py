@@ -9,10 +9,12 @@ in which two bitmaps differ are distinct members of the symmetric difference.  W
 verified by intersecting the sorted shingle arrays.
 
 Only links between texts not yet known to be connected are looked for, which the components cannot
-lose: first, texts that share their least shingle hashes meet in small tiles with their arrays and leave a
-spanning forest of verified links; then only tiles with texts of several components are worked on, and
-only pairs across components.  A group of thousands of near copies so costs links along a tree instead of
-all pairs.  A tile of more than `tile` texts is divided into blocks and pairs of blocks, which is exact.
+lose: first, texts of like size that share a least shingle hash meet in tiles with their arrays, where all
+pairs are decided and a spanning forest of verified links is left; then only tiles with texts of several
+components are worked on, and of them only pairs across components that met in no tile of the first kind.
+A group of thousands of near copies so costs links along a tree instead of all pairs.  A first tile of more
+than `TILE` texts is worked on in runs, and pairs of different runs are left to the second kind; a second
+tile of more than `tile` texts is divided into blocks and pairs of blocks.  Both are exact.
 
 Sets that are equal are one node, so copies are not expanded.  Shingles and sets are held as 64-bit hashes.
 
@@ -68,9 +70,9 @@ def shingle_set(text: str, size: int, known: WordHashes) -> np.ndarray:
     return np.unique(_mix(out + np.uint64(width)))
 
 
-def bitmap_of(members: np.ndarray) -> np.ndarray:
-    """Signature of at least as many bits as the set has members, a power of two from 64 up, as 64-bit words."""
-    bits = max(64, 1 << int(len(members) - 1).bit_length())
+def bitmap_of(members: np.ndarray, per_member: int = 1) -> np.ndarray:
+    """Signature of at least `per_member` bits for each member, a power of two from 64 up, as 64-bit words."""
+    bits = max(64, per_member << int(len(members) - 1).bit_length())
     place = (members >> np.uint64(20)) & np.uint64(bits - 1)
     out = np.zeros(bits, np.uint8)
     out[place.astype(np.int64)] = 1
@@ -162,8 +164,12 @@ def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _first_hashes(members: np.ndarray) -> list[int]:
-    """Least member under each of a few fixed orders."""
-    return [int(_mix(members ^ salt).min().view(np.int64)) for salt in _KEY_SALTS[:KEYS]]
+    """Keys of the first tiles: the least member under each of a few fixed orders, with the band of sizes."""
+    size = np.log(len(members)) / np.log(1.5)
+    least = np.array([_mix(members ^ salt).min() for salt in _KEY_SALTS[:KEYS]], np.uint64)
+    # like sizes at the edge of one band share another
+    bands = np.array([int(size + k / KEYS) * KEYS + k for k in range(KEYS)], np.uint64)
+    return _mix(_mix(least) + bands * _MULTIPLIER).view(np.int64).tolist()
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
@@ -204,42 +210,35 @@ def _shingle_counts(sets: DataFrame) -> np.ndarray:
     return np.minimum(total.ravel(), np.iinfo(np.int32).max).astype(np.int32)
 
 
-def _forest(arrays: DataFrame, percent: int) -> DataFrame:
-    """Verified links of a spanning forest inside the tiles of equal least hashes."""
-    keyed = arrays.select(F.posexplode("keys").alias("which", "least"), "n", "node", "members").select(
-        F.xxhash64("which", "least").alias("key"), "n", "node", "members")
-
-    def run(batches):
-        for rows in _groups(batches, 4):
-            out = []
-            for tile in _tiles(rows):
-                # members of a very large tile meet in runs of neighbours by size; links across runs are left to the second step
-                for first in range(0, len(tile), TILE):
-                    part = tile[first:first + TILE]
-                    members = [np.frombuffer(r[3], np.uint64) for r in part]
-                    band = Band(np.array([r[1] for r in part]), [bitmap_of(m) for m in members], percent)
-                    parts = Components(len(part))
-                    for i in range(len(part)):
-                        for j in band.partners(i):
-                            if parts.find(i) != parts.find(j) and linked(members[i], members[j], percent):
-                                parts.join(i, j)
-                                out.append((part[i][2], part[j][2]))
-            if out:
-                yield _pairs(out)
-    return keyed.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(run, "a long, b long")
+def _first_tile(rows: list[tuple], key: int, percent: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """(links of a spanning forest, (node, run)) of the texts that share a key, given as (n, node, members) by size."""
+    links, met = [], []
+    for first in range(0, len(rows), TILE):
+        part = rows[first:first + TILE]
+        met += [(r[1], key + first) for r in part]
+        members = [np.frombuffer(r[2], np.uint64) for r in part]
+        band = Band(np.array([r[0] for r in part]), [bitmap_of(m, 16) for m in members], percent)
+        parts = Components(len(part))
+        for i in range(len(part)):
+            for j in band.partners(i).tolist():
+                if parts.find(i) != parts.find(j) and linked(members[i], members[j], percent):
+                    parts.join(i, j)
+                    links.append((part[i][1], part[j][1]))
+    return links, met
 
 
 def _candidates(tiles: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in a tile that sizes and bitmaps let through."""
+    """Pairs of different components in a tile that met in no first tile, as sizes and bitmaps let through."""
     def run(batches):
-        for rows in _groups(batches, 5):
+        for rows in _groups(batches, 6):
             out = set()
             for tile in _tiles(rows):
-                labels = np.array([r[3] for r in tile])
+                labels, met = np.array([r[3] for r in tile]), [set(r[5] or ()) for r in tile]
                 band = Band(np.array([r[1] for r in tile]), [np.frombuffer(r[4], np.uint64) for r in tile], percent)
                 for i in range(len(tile)):
-                    for j in band.partners(i):
-                        if labels[i] != labels[j]:
+                    partners = band.partners(i)
+                    for j in partners[labels[partners] != labels[i]].tolist():
+                        if met[i].isdisjoint(met[j]):
                             out.add((min(tile[i][2], tile[j][2]), max(tile[i][2], tile[j][2])))
             if out:
                 yield _pairs(sorted(out))
@@ -247,15 +246,16 @@ def _candidates(tiles: DataFrame, percent: int) -> DataFrame:
 
 
 def _members(texts: DataFrame, wanted: bytes, size: int) -> DataFrame:
-    """(node, members) of the texts that the table names, once per task."""
+    """(node, members) of the texts whose hashes the table holds, once per task."""
     def run(batches):
         known, in_table, seen = WordHashes(), table_of(wanted), set()
-        for batch in batches:
+        for whole in batches:
+            batch = whole.filter(pa.array(in_table(whole.column(2).to_numpy())))
             out = [[], []]
             for content in batch.column(1):
                 members = shingle_set(content.as_py() or "", size, known)
                 node = node_of(members)
-                if len(members) and node not in seen and in_table(np.array([node]))[0]:
+                if len(members) and node not in seen:
                     seen.add(node)
                     out[0].append(node)
                     out[1].append(members.tobytes())
@@ -264,36 +264,76 @@ def _members(texts: DataFrame, wanted: bytes, size: int) -> DataFrame:
 
 
 def _second_pass(texts: DataFrame, counts: np.ndarray, wanted: bytes, size: int, percent: int) -> DataFrame:
-    """(token, node, n) of every set's first shingles in rarest-first order; for wanted nodes also their members."""
-    rarity = counts.tobytes()
+    """What the texts that share a key give: kind 0 (key a token, a node, b its size) for each text of a token that
+    several sets have among their first shingles; kind 1 (a, b) links of the first tiles; kind 2 (a node, b the run
+    of a first tile in which it met others)."""
+    rarity, names, kinds = counts.tobytes(), ["key", "n", "node", "members"], [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
 
-    def run(batches):
+    def send(batches):
         known, in_table, seen, order = WordHashes(), table_of(wanted), set(), np.frombuffer(rarity, np.int32)
-        kinds, names = [pa.int64(), pa.int64(), pa.int64(), pa.binary()], ["token", "node", "n", "members"]
-        for batch in batches:
-            tokens, nodes, numbers, kept = [], [], [], [[], [], []]
-            for content in batch.column(1):
-                members = shingle_set(content.as_py() or "", size, known)
-                n, node = len(members), node_of(members)
-                if n == 0 or node in seen:
-                    continue
-                seen.add(node)
-                prefix = n - -(-percent * n // 100) + 1
-                seldom = order[(members >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]
-                first = np.lexsort((members, seldom))[:prefix]
-                tokens.append(members[first].view(np.int64))
-                nodes.append(np.full(len(first), node))
-                numbers.append(np.full(len(first), n))
-                if in_table(np.array([node]))[0]:
-                    for column, value in zip(kept, (node, n, members.tobytes()), strict=True):
-                        column.append(value)
-            if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (tokens, nodes, numbers)]
-                                                 + [pa.nulls(sum(map(len, tokens)), pa.binary())], names=names)
-            if kept[0]:
-                columns = [[None] * len(kept[0]), *kept]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-    return texts.mapInArrow(run, "token long, node long, n long, members binary")
+        for whole in batches:
+            for start in range(0, whole.num_rows, 2000):
+                tokens, nodes, numbers, tiles = [], [], [], [[], [], [], []]
+                for content in whole.column(1).slice(start, 2000):
+                    members = shingle_set(content.as_py() or "", size, known)
+                    n, node = len(members), node_of(members)
+                    if n == 0 or node in seen:
+                        continue
+                    seen.add(node)
+                    prefix = n - -(-percent * n // 100) + 1
+                    seldom = order[(members >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]
+                    first = np.lexsort((members, seldom))[:prefix]
+                    tokens.append(members[first].view(np.int64))
+                    nodes.append(np.full(len(first), node))
+                    numbers.append(np.full(len(first), n, np.int32))
+                    keys = np.array(_first_hashes(members))
+                    for key in keys[in_table(keys)].tolist():
+                        for column, value in zip(tiles, (key, n, node, members.tobytes()), strict=True):
+                            column.append(value)
+                if tokens:
+                    columns = [np.concatenate(x) for x in (tokens, numbers, nodes)]
+                    yield pa.RecordBatch.from_arrays([*[pa.array(c, k) for c, k in zip(columns, kinds, strict=False)],
+                                                      pa.nulls(len(columns[0]), pa.binary())], names=names)
+                if tiles[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(tiles, kinds, strict=True)], names=names)
+
+    def meet(batches):
+        def grouped():
+            held = []
+            for batch in batches:
+                held.append(batch)
+                if sum(b.num_rows for b in held) >= 4096:
+                    together = pa.concat_batches(held)
+                    keys = together.column(0).to_numpy()
+                    cut = int(np.searchsorted(keys, keys[-1]))
+                    if cut:
+                        yield together.slice(0, cut)
+                    held = [together.slice(cut)]
+            if held:
+                yield pa.concat_batches(held)
+        for batch in grouped():
+            keys, numbers, nodes = (batch.column(i).to_numpy() for i in range(3))
+            plain = ~batch.column(3).is_valid().to_numpy(zero_copy_only=False)
+            new = np.ones(len(keys), bool)  # sorted, so copies of a set sent by several tasks are neighbours
+            new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1]) | (plain[1:] != plain[:-1])
+            out = []
+            some = np.flatnonzero(plain & new)
+            edge = np.flatnonzero(np.diff(keys[some], prepend=keys[some[:1]] - 1 if len(some) else 0))
+            counts_of = np.diff(np.append(edge, len(some)))
+            shared = some[np.repeat(counts_of, counts_of) > 1]
+            out.append((np.zeros(len(shared), np.int32), keys[shared], nodes[shared], numbers[shared].astype(np.int64)))
+            tiles: dict[int, list[tuple]] = {}
+            for i in np.flatnonzero(~plain & new).tolist():
+                tiles.setdefault(int(keys[i]), []).append((int(numbers[i]), int(nodes[i]), batch.column(3)[i].as_py()))
+            for key, rows in tiles.items():
+                if len(rows) > 1:
+                    for kind, pairs in zip((1, 2), _first_tile(rows, key, percent), strict=True):
+                        a, b = np.array(pairs, np.int64).reshape(-1, 2).T
+                        out.append((np.full(len(a), kind, np.int32), np.zeros(len(a), np.int64), a, b))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[k] for o in out])) for k in range(4)], names=["kind", "key", "a", "b"])
+    sent = texts.mapInArrow(send, "key long, n int, node long, members binary")
+    return sent.repartition("key").sortWithinPartitions("key", F.col("members").isNull(), "n", "node").mapInArrow(
+        meet, "kind int, key long, a long, b long")
 
 
 def join_texts(documents: DataFrame, shingle: int = 4, percent: int = 85, tile: int = TILE,
@@ -306,30 +346,30 @@ def join_texts(documents: DataFrame, shingle: int = 4, percent: int = 85, tile:
     rows = written.where("slice is null")
     nodes = rows.where("node is not null")
     counts = _shingle_counts(written)
-    keys = nodes.select("node", F.posexplode("keys").alias("which", "least"))
-    shared = keys.groupBy("which", "least").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    active = keys.join(shared, ["which", "least"]).select("node").distinct()
-    passed = materialize(_second_pass(texts, counts, hash_table(active, F.col("node")), shingle, percent), "prefixes")
-    once = nodes.groupBy("node").agg(F.first("keys").alias("keys"), F.first("bitmap").alias("bitmap"))
-    arrays = passed.where("members is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("members").alias("members"))
-    forest = materialize(_forest(arrays.join(once.select("node", "keys"), "node"), percent), "forest")
+    keys = nodes.select("node", F.explode("keys").alias("key")).groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    wanted = hash_table(keys.where("low <> high"), F.col("key"))
+    passed = materialize(_second_pass(texts, counts, wanted, shingle, percent), "met")
+    once = nodes.groupBy("node").agg(F.first("bitmap").alias("bitmap"))
+    forest = passed.where("kind = 1").select("a", "b")
     labels = materialize(connected_components(forest), "labels")
-    prefixes = passed.where("token is not null").select("token", "node", "n").join(labels, "node", "left").withColumn(
-        "label", F.coalesce("component", "node")).drop("component")
+    met = passed.where("kind = 2").groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("met"))
+    prefixes = passed.where("kind = 0").select(F.col("key").alias("token"), F.col("a").alias("node"), F.col("b").alias("n"))
+    prefixes = prefixes.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
     mixed = prefixes.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"),
                                           F.count(F.lit(1)).alias("held")).where("low <> high").drop("low", "high")
-    tiles = prefixes.join(mixed, "token").dropDuplicates(["token", "node"])
+    tiles = prefixes.join(mixed, "token")
     tiles = tiles.withColumn("parts", F.ceil(F.col("held") / tile).cast("int")).withColumn(
         "part", F.pmod(F.hash("node"), F.col("parts")))
     # a divided tile: every text goes to the pairs of its block with each block
     tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         F.xxhash64("token", F.least("part", "other"), F.greatest("part", "other")).alias("tile"), "n", "node", "label")
-    tiles = tiles.join(once.select("node", "bitmap"), "node").select("tile", "n", "node", "label", "bitmap")
+    tiles = tiles.join(once.join(met, "node", "left"), "node").select("tile", "n", "node", "label", "bitmap", "met")
     pairs = materialize(_candidates(tiles, percent).distinct(), "pairs")
     links = forest
     if pairs.limit(1).count():
         ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-        held = materialize(_members(texts, hash_table(ends, F.col("node")), shingle).groupBy("node").agg(
+        hashes = rows.join(ends, "node").select("text_hash")
+        held = materialize(_members(texts, hash_table(hashes, F.col("text_hash")), shingle).groupBy("node").agg(
             F.first("members").alias("members")), "members")
         both = pairs.join(held.withColumnsRenamed({"node": "a", "members": "_a"}), "a").join(
             held.withColumnsRenamed({"node": "b", "members": "_b"}), "b").select("a", "b", "_a", "_b")
