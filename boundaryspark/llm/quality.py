@@ -28,7 +28,7 @@ from boundaryspark.llm.common import append_columns, table
 from boundaryspark.llm.registry import query
 
 BUCKETS = 1 << 17
-MAX_ROWS = 6000
+MAX_ROWS = 2000
 MAX_CHARS = 200_000
 THRESHOLD = 0.3
 FOLDS = 5
@@ -99,7 +99,8 @@ def fit(texts: list[str], labels: list[int], dim: int = 8, epochs: int = 6, rate
     rows = []
     for text in texts:
         features, counts = np.unique(text_features(text, known), return_counts=True)
-        rows.append((features, (counts / max(1, counts.sum())).astype(np.float32)))
+        rows.append((features.astype(np.int32), (counts / max(1, counts.sum())).astype(np.float32)))
+    known.clear()
     layer[1] = rng.normal(0, 1 / dim, dim)
     steps, total = 0, max(1, epochs * len(rows))
     for _ in range(epochs):
