@@ -146,7 +146,7 @@ def api_record(df: DataFrame, base_url: str, prefix: str) -> DataFrame:
         "boundaryYearRepresented": text("boundaryYear"), "boundaryType": F.coalesce(adm, F.lit("")),
         "boundaryCanonical": F.coalesce(F.nullif(F.col("boundaryCanonical"), F.lit("")), F.lit("Unknown")),
         "boundarySource": text("boundarySource"), "boundaryLicense": text("boundaryLicense"),
-        "licenseDetail": S.strip_scheme(S.clean_free_text(text("licenseDetail"))),
+        "licenseDetail": text("licenseDetail"),
         "licenseSource": S.strip_scheme(text("licenseSource")),
         "boundarySourceURL": S.strip_scheme(text("boundarySourceURL")),
         "sourceDataUpdateDate": F.coalesce(F.date_format("sourceDataUpdateDate", "EEE MMM dd HH:mm:ss yyyy"), F.lit("")),

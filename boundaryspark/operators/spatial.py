@@ -177,20 +177,22 @@ def equal_area_edges(edges: DataFrame) -> DataFrame:
 
 
 def overlap_join(left_edges: DataFrame, right_edges: DataFrame, left: str, right: str,
-                 cell: float | None = None, least_area: float = 1e-6) -> DataFrame:
+                 cell: float | None = None, least_share: float = 1e-9) -> DataFrame:
     """Pairs that share area, with equality = I/U, within = I/A1, contains = I/A2.
 
     Edges are in degrees; areas are in square kilometres on the equal-area projection.  The caps
-    of each side are written once, since counting, joining and the areas all read them.
+    of each side are written once, since counting, joining and the areas all read them.  Overlaps of up to
+    `least_share` of the smaller unit are rounding.
     """
     le, re = equal_area_edges(left_edges), equal_area_edges(right_edges)
     cell = cell or choose_cell(le, [left])
     lc = materialize(edge_caps(le, [left], cell), "left-caps")
     rc = materialize(edge_caps(re, [right], cell), "right-caps")
-    shared = intersection_areas(lc, rc, left, right, cell).filter(F.col("isec") > least_area)
+    shared = intersection_areas(lc, rc, left, right, cell).filter(F.col("isec") > 0)
     with_areas = shared.join(cap_areas(lc, [left]).withColumnRenamed("area", "a1"), left) \
         .join(cap_areas(rc, [right]).withColumnRenamed("area", "a2"), right)
     isec = F.col("isec")
+    with_areas = with_areas.filter(isec > least_share * F.least("a1", "a2"))
     return with_areas.select(left, right, "isec", "a1", "a2",
                              (isec / (F.col("a1") + F.col("a2") - isec)).alias("equality"),
                              (isec / F.col("a1")).alias("within"), (isec / F.col("a2")).alias("contains"))

@@ -141,7 +141,7 @@ _STEM = f"'{BASE}/' || c.iso || '/' || adm || '/{PREFIX}-' || c.iso || '-' || ad
 _API = f"""
 SELECT boundary_id AS "boundaryID", name AS "boundaryName", c.iso AS "boundaryISO", boundary_year AS "boundaryYearRepresented", adm AS "boundaryType",
  coalesce(nullif(boundary_canonical, ''), 'Unknown') AS "boundaryCanonical", boundary_source AS "boundarySource", boundary_license AS "boundaryLicense",
- {_BARE.format("replace(replace(replace(license_detail, ',', ''), chr(92), ''), chr(34), '')")} AS "licenseDetail", {_BARE.format('license_source')} AS "licenseSource",
+ coalesce(license_detail, '') AS "licenseDetail", {_BARE.format('license_source')} AS "licenseSource",
  {_BARE.format('boundary_source_url')} AS "boundarySourceURL", strftime(source_date, '%a %b %d %H:%M:%S %Y') AS "sourceDataUpdateDate", strftime(build_date, '%b %d, %Y') AS "buildDate",
  continent AS "Continent", region AS "UNSDG-region", subregion AS "UNSDG-subregion", income AS "worldBankIncomeGroup", cast(units AS string) AS "admUnitCount", '' AS "meanVertices",
  cast(min_vertices AS string) AS "minVertices", cast(max_vertices AS string) AS "maxVertices", '' AS "meanPerimeterLengthKM", printf('%.6f', min_area) AS "minPerimeterLengthKM",
