@@ -121,7 +121,6 @@ class Vocabulary:
         vocab: dict[str, int] = model["vocab"]
         self.suffix = model.get("end_of_word_suffix") or ""
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.added.items()}
         self.pairs = {}
         for rank, (a, b) in enumerate(model["merges"]):
             self.pairs.setdefault(vocab[a] << 17 | vocab[b], rank << 17 | vocab[a + b])
@@ -171,8 +170,11 @@ class Vocabulary:
             out += [known.get(c) or (self.encode_chunk(c) if c else b"") for c in chunks]
         return b"".join(out)
 
-    def decode(self, ids: bytes) -> str:
-        return " ".join(map(self.tokens.__getitem__, array("I", ids)))
+
+def token_names(content: bytes) -> dict[int, str]:
+    """Token of each id; all that decoding needs of a vocabulary file."""
+    spec = json.loads(content)
+    return {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
 
 
 _LOADED: dict[int, Vocabulary] = {}
@@ -210,12 +212,13 @@ def encode_texts(df: DataFrame, path: str | None = None, text: str = "text", kee
 
 def decode_ids(df: DataFrame, path: str | None = None, ids: str = "ids") -> DataFrame:
     """Add `decoded`, the text of packed ids; null ids give an empty text."""
-    content = _content(path)
+    content, state = _content(path), []
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        vocabulary = _vocabulary(content)
+        if not state:
+            state.append(token_names(content))
         column = batch.column(batch.schema.get_field_index(ids))
-        return [pa.array([vocabulary.decode(x.as_py() or b"") for x in column], pa.string())]
+        return [pa.array([" ".join(map(state[0].__getitem__, array("I", x.as_py() or b""))) for x in column], pa.string())]
     return append_columns(df, [T.StructField("decoded", T.StringType())], run)
 
 

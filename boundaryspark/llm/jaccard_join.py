@@ -46,7 +46,7 @@ class WordHashes(dict):
     """Hash of each word; starts anew when full, so a task's memory is bounded."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
