@@ -28,7 +28,7 @@ from boundaryspark.llm.common import append_columns, table
 from boundaryspark.llm.registry import query
 
 #: Entries of each per-process cache of words; a full cache starts anew.
-CACHED_WORDS = 100_000
+CACHED_WORDS = 180_000
 NONE = 1 << 96
 #: Children of an inner node of the tree of ranks.
 FAN = 16
