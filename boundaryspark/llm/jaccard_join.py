@@ -4,9 +4,10 @@ Method: size-banded tiles with hashed bitmap signatures.  A tile holds the texts
 shingle: of a set of n, two sets that reach the threshold share a shingle among their
 n - ceil(t * n) + 1 first ones in any common order, here rarest first by counts over all texts in a table of
 fixed size (the order steers cost, never results).  In a tile, texts stand by set size, and each meets only
-the band of sizes that the threshold leaves.  Bitmaps of hashed shingles bound the overlap from above: bits
-in which two bitmaps differ are distinct members of the symmetric difference.  What passes the bound is
-verified by intersecting the sorted shingle arrays.
+the band of sizes that the threshold leaves.  Bitmaps of hashed shingles bound the overlap from above: a bit is
+the parity of the shingles hashed to it, so each bit in which two bitmaps differ has a member of the symmetric
+difference of its own, and common shingles hide none.  What passes the bound is verified by intersecting the
+sorted shingle arrays.
 
 Only links between texts not yet known to be connected are looked for, which the components cannot
 lose: first, texts of like size that share a least shingle hash meet in tiles with their arrays, where all
@@ -71,11 +72,13 @@ def shingle_set(text: str, size: int, known: WordHashes) -> np.ndarray:
 
 
 def bitmap_of(members: np.ndarray, per_member: int = 1) -> np.ndarray:
-    """Signature of at least `per_member` bits for each member, a power of two from 64 up, as 64-bit words."""
+    """Signature of at least `per_member` bits for each member, a power of two from 64 up, as 64-bit words.
+
+    A bit is the parity of the members hashed to it, so that members which two sets share cancel out.
+    """
     bits = max(64, per_member << int(len(members) - 1).bit_length())
     place = (members >> np.uint64(20)) & np.uint64(bits - 1)
-    out = np.zeros(bits, np.uint8)
-    out[place.astype(np.int64)] = 1
+    out = (np.bincount(place.astype(np.int64), minlength=bits) & 1).astype(np.uint8)
     return np.packbits(out, bitorder="little").view(np.uint64)
 
 
@@ -113,7 +116,7 @@ class Band:
             block = np.zeros((len(bitmaps), width), np.uint64)
             for i in np.flatnonzero((self.words == width) | (self.words == 2 * width)):
                 b = bitmaps[i]
-                block[i] = b if len(b) == width else b[:width] | b[width:]
+                block[i] = b if len(b) == width else b[:width] ^ b[width:]
             widest[int(width)] = block
         self.rows = widest
 
