@@ -313,29 +313,36 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, hot: int = HOT, doc
         for batch in batches:
             known = known or table_of(touched)
             yield batch.filter(pa.array(known(batch.column(2).to_numpy())))
-    affected = texts.select("key", "_text", "tid").mapInArrow(touched_only, "key binary, _text string, tid long")
+    affected = texts.select("key", "_text", "tid", "doc_id").mapInArrow(
+        touched_only, "key binary, _text string, tid long, doc_id long")
 
     def cut(batches):
         for batch in batches:
             out = [[], [], [], []]
-            for key, content, spans in zip(*(batch.column(i) for i in range(3)), strict=True):
+            for content, spans in zip(batch.column(2), batch.column(3), strict=True):
                 raw = content.as_py().encode("utf-8", "replace")
                 merged = merged_ranges([(x["start"], x["end"]) for x in spans.as_py()])
                 edges = [0, *[x for span in merged for x in span], len(raw)]
-                out[0].append(key.as_py())
+                out[0].append(len(raw))
                 out[1].append([{"start": a, "end": b} for a, b in merged])
                 out[2].append(sum(b - a for a, b in merged))
                 out[3].append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
             span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-            yield _batch(out, [pa.binary(), pa.list_(span), pa.int64(), pa.binary()], ["key", "ranges", "n_removed", "kept"])
-    results = affected.join(by_text, "tid").select("key", "_text", "ranges").mapInArrow(
-        cut, "key binary, ranges array<struct<start:long,end:long>>, n_removed long, kept binary")
-    full = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n").alias("end")))
-    copies = classes.where((F.col("copies") > 1) & (F.col("n") >= length)).select(
-        "key", full.alias("ranges"), F.col("n").alias("n_removed"), F.lit(None).cast("binary").alias("kept"))
-    joined = rows.select("doc_id", "key", "n_bytes").hint("merge").join(results.unionAll(copies), "key", "left")
-    return joined.select("doc_id", "n_bytes", F.coalesce("ranges", F.array().cast("array<struct<start:long,end:long>>")).alias("ranges"),
-                         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), "kept", "key")
+            made = [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.list_(span), pa.int64(), pa.binary()), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made, batch.column(1)],
+                                             names=["doc_id", "n_bytes", "ranges", "n_removed", "kept", "key"])
+    # a text in `by_text` has no copy, so its row is made where its text is and `kept` is not moved again
+    changed = affected.hint("merge").join(by_text, "tid").select("doc_id", "key", "_text", "ranges").mapInArrow(
+        cut, "doc_id long, n_bytes long, ranges array<struct<start:long,end:long>>, n_removed long, kept binary, key binary")
+    others = rows.select("doc_id", "key", "n_bytes").hint("merge").join(classes.select("key", "copies"), "key").withColumn(
+        "tid", F.xxhash64("key")).hint("merge").join(by_text.select("tid"), "tid", "left_anti")
+    whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
+    full = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
+    none = F.array().cast("array<struct<start:long,end:long>>")
+    return changed.unionByName(others.select(
+        "doc_id", "n_bytes", F.when(whole, full).otherwise(none).alias("ranges"),
+        F.when(whole, F.col("n_bytes")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
+        F.lit(None).cast("binary").alias("kept"), "key"))
 
 
 @query("op9_repeats")
