@@ -77,12 +77,15 @@ def connected_components(edges: DataFrame, low: str = "a", high: str = "b") -> D
 
 #: Bits of the tables that tell later passes which hashes matter; they fill up with very many hashes and
 #: then let more rows through, but their size never grows.
-TABLE_BITS = 23
+TABLE_BITS = 26
 
 
 def hash_table(df: DataFrame, value: Column) -> bytes:
-    """A bit table of fixed size in which the low bits of every hash are set."""
-    bits = df.select(F.shiftrightunsigned(value, 64 - TABLE_BITS).alias("bit"))
+    """A bit table of fixed size in which the low bits of every hash are set.
+
+    The high bits would not do: anchors are least hashes, whose high bits are mostly zero.
+    """
+    bits = df.select(value.bitwiseAND(F.lit((1 << TABLE_BITS) - 1).cast("long")).alias("bit"))
     parts = bits.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
     out = bytearray((1 << TABLE_BITS) // 8 + 4096)
@@ -95,11 +98,11 @@ def hash_table(df: DataFrame, value: Column) -> bytes:
 
 def table_of(packed: bytes):
     """Function that tells for an array of 64-bit hashes which are in the table."""
-    bits = np.unpackbits(np.frombuffer(zlib.decompress(packed), np.uint8), bitorder="little")
+    table_bytes = np.frombuffer(zlib.decompress(packed), np.uint8)
 
     def known(hashes: np.ndarray) -> np.ndarray:
-        place = (hashes.view(np.uint64) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-        return bits[_bitmap_place(place)] > 0
+        place = _bitmap_place(hashes.view(np.int64) & np.int64((1 << TABLE_BITS) - 1))
+        return (table_bytes[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
     return known
 
 
