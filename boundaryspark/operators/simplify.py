@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from boundaryspark.functions import geometry as G
 from boundaryspark.operators import topology as T
 from boundaryspark.operators.edges import assemble, explode_edges
-from boundaryspark.runtime import materialize, running_sums, spread_join
+from boundaryspark.runtime import materialize, numbered, running_sums, spread_join
 
 METRES_PER_DEGREE = np.pi * G.SEMI_MAJOR / 180
+ANGLE_WEIGHT = 0.7
 KERNEL_VERTICES = 100_000  # longer arcs are first divided by joins, with the same result
 
 
@@ -88,13 +89,20 @@ def douglas_peucker(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarra
     return keep
 
 
-def effective_areas(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Triangle area at which each vertex drops out; ends never do."""
+def effective_areas(x: np.ndarray, y: np.ndarray, weighting: float = ANGLE_WEIGHT) -> np.ndarray:
+    """Triangle area, less for sharp angles, at which each vertex drops out; ends never do.
+
+    The area is multiplied by 1 - `weighting` * cosine of the angle at the vertex, so spikes go before bends.
+    """
     n = len(x)
     area = np.full(n, np.inf)
     before, after = np.arange(-1, n - 1), np.arange(1, n + 1)
-    triangle = lambda i: abs((x[i] - x[before[i]]) * (y[after[i]] - y[before[i]])
-                             - (x[after[i]] - x[before[i]]) * (y[i] - y[before[i]])) / 2
+
+    def triangle(i: int) -> float:
+        ax, ay, bx, by = x[before[i]] - x[i], y[before[i]] - y[i], x[after[i]] - x[i], y[after[i]] - y[i]
+        sides = np.hypot(ax, ay) * np.hypot(bx, by)
+        return abs(ax * by - ay * bx) / 2 * (1 - weighting * (ax * bx + ay * by) / sides) if sides else 0.0
+
     current = {i: triangle(i) for i in range(1, n - 1)}
     heap = [(a, i) for i, a in current.items()]
     heapq.heapify(heap)
@@ -214,16 +222,30 @@ def simplify(features: DataFrame, ids: list[str], layer: list[str], metres: floa
     return assemble(_close_rings(kept, edges, key), key)
 
 
-def simplify_fraction(features: DataFrame, ids: list[str], layer: list[str], fraction: float = 0.10,
-                      kernel_vertices: int = KERNEL_VERTICES) -> DataFrame:
-    """Keep the given share of the removable vertices, those with the largest effective triangles.
+def _largest(vertices: DataFrame, layer: list[str], fraction: float) -> DataFrame:
+    """layer, x1, y1 of the share of vertices with the largest values in each layer, exactly; ties go by a hash of the vertex."""
+    values = vertices.groupBy(*layer, "value").agg(F.count(F.lit(1)).alias("_n"))
+    placed = running_sums(numbered(values, "value", "_no", layer), layer, "_no", {"_upto": F.col("_n")})
+    goals = vertices.groupBy(*layer).agg((F.count(F.lit(1)) - F.round(F.count(F.lit(1)) * fraction)).cast("long").alias("_drop"))
+    cuts = placed.join(goals, layer).filter((F.col("_upto") > F.col("_drop")) & (F.col("_upto") - F.col("_n") <= F.col("_drop")))
+    cuts = materialize(cuts.select(*layer, F.col("value").alias("_cut"), (F.col("_upto") - F.col("_drop")).alias("_quota")), "cuts")
+    ranked = spread_join(vertices, cuts, layer)
+    ties = ranked.filter("value = _cut").select(*layer, "x1", "y1", "_quota", F.xxhash64("x1", "y1").alias("_hash"))
+    held = numbered(ties, "_hash", "_rank", layer).filter("_rank <= _quota")
+    return ranked.filter("value > _cut").select(*layer, "x1", "y1").unionByName(held.select(*layer, "x1", "y1"))
 
-    Arcs longer than the kernel takes are worked on in pieces whose end vertices stay.
+
+def simplify_fraction(features: DataFrame, ids: list[str], layer: list[str], fraction: float = 0.10) -> DataFrame:
+    """Keep the given share of the removable vertices of each layer, those with the largest weighted triangles.
+
+    A vertex that several units share is one vertex.  An arc is measured whole, in one task.
     """
     key = [*layer, *ids]
     arc_key = [*key, "poly", "ring", "arc"]
-    edges = materialize(with_scale(arcs(features, ids, layer), arc_key), "arcs").withColumn("part", F.floor(F.col("seq") / kernel_vertices))
-    measured = materialize(_measure_arcs(edges, [*arc_key, "part"], effective_areas), "areas")
-    cut = measured.filter(F.col("value") < float("inf")).agg(F.percentile_approx("value", 1 - fraction, 10000).alias("c"))
-    kept = measured.filter(F.col("value") > F.coalesce(cut.scalar(), F.lit(-1.0)))
+    edges = materialize(with_scale(arcs(features, ids, layer), arc_key), "arcs")
+    measured = materialize(_measure_arcs(edges, arc_key, effective_areas), "areas")
+    fixed = F.col("value") == float("inf")
+    vertices = materialize(measured.filter(~fixed).groupBy(*layer, "x1", "y1").agg(F.max("value").alias("value")), "vertices")
+    chosen = materialize(_largest(vertices, layer, fraction), "chosen")
+    kept = measured.filter(fixed).unionByName(measured.filter(~fixed).join(chosen, [*layer, "x1", "y1"], "left_semi"))
     return assemble(_close_rings(materialize(kept, "kept"), edges, key), key)

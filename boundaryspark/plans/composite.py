@@ -40,6 +40,9 @@ def composite_layers(world: DataFrame, layers: DataFrame, names: DataFrame, alia
     `world`: fid, country_na, geom.  `layers`: iso, adm, shapeID, shapeName, geom of the national
     layers.  Result: level, shapeGroup, shapeType, shapeName, shapeID, geom.
     """
+    unknown = [r["country_na"] for r in unresolved_names(world, names, aliases).limit(10).collect()]
+    if unknown:
+        raise ValueError(f"names without a country code: {unknown}")
     plain, marked = C.split_disputed(world, "country_na")
     coded = C.resolve_country_code(plain.withColumn("country_na", C.rename_by_pattern("country_na")), "country_na", names, aliases)
     base_names = C.dedupe_country_names(coded.select(F.col("iso_code").alias("iso"), F.col("country_na").alias("shapeName"), "fid"),
@@ -53,6 +56,9 @@ def composite_layers(world: DataFrame, layers: DataFrame, names: DataFrame, alia
     small = materialize(S.simplify_fraction(layers.select("adm", "iso", "shapeID", "geom"), ["iso", "shapeID"], ["adm"], keep_share), "small")
     pairs = small.select(F.concat_ws("/", "adm", "shapeID").alias("unit"), "iso")
     cut = materialize(O.clip(small.select(F.concat_ws("/", "adm", "shapeID").alias("unit"), "geom"), base, "unit", "iso", pairs), "clipped")
+    # units of countries that the base map lacks stay as they are
+    unmasked = small.join(base.select("iso"), "iso", "left_anti").select(F.concat_ws("/", "adm", "shapeID").alias("unit"), "geom")
+    cut = cut.select("unit", "geom").unionByName(unmasked)
     named = layers.select(F.concat_ws("/", "adm", "shapeID").alias("unit"), "adm", "shapeID", "shapeName")
     national = spread_join(cut.join(named, "unit"), wanted, ["iso", "adm"]).select(
         "level", F.col("iso").alias("shapeGroup"), F.col("adm").alias("shapeType"), "shapeName", "shapeID", "geom")

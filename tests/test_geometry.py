@@ -165,6 +165,27 @@ def test_long_arcs_simplify_like_short_ones(spark):
     assert one == many
 
 
+def test_fraction_is_exact_in_each_layer(spark):
+    def ring(size, n):
+        pts = [(size * math.cos(t), size * math.sin(t)) for t in [2 * math.pi * i / n for i in range(n)]]
+        return [[pts + pts[:1]]]
+    straight = [(i / 50, 0.0) for i in range(51)] + [(1.0, 1.0), (0.0, 1.0)]
+    rows = [("coarse", "a", ring(5, 400)), ("fine", "a", ring(0.01, 200)), ("ties", "a", [[straight + straight[:1]]])]
+    got = {r["layer"]: len(r["geom"][0][0]) for r in S.simplify_fraction(
+        frame(spark, rows, "layer string, id string"), ["id"], ["layer"], 0.1).collect()}
+    # the share of all vertices but the first, the first, and the closing one
+    assert got == {"coarse": 40 + 2, "fine": 20 + 2, "ties": 5 + 2}
+
+
+def test_composite_names_what_it_cannot_place(spark):
+    from boundaryspark.plans.composite import composite_layers
+    world = frame(spark, [("Nowhere", SQUARE)], "country_na string").withColumn("fid", F.lit(1))
+    layers = frame(spark, [("NOW", "ADM1", "u", "n", SQUARE)], "iso string, adm string, shapeID string, shapeName string")
+    names = spark.createDataFrame([("Somewhere", "SOM")], "name string, code string")
+    with pytest.raises(ValueError, match="Nowhere"):
+        composite_layers(world, layers, names)
+
+
 def test_tiny_shapes_survive(spark):
     df = frame(spark, [("l", "dot", [[ring((0, 0), (1e-7, 0), (1e-7, 1e-7), (0, 0))]])], "layer string, id string")
     assert S.simplify(df, ["id"], ["layer"], 100.0).count() == 1
