@@ -57,8 +57,8 @@ def composite_layers(world: DataFrame, layers: DataFrame, names: DataFrame, alia
     pairs = small.select(F.concat_ws("/", "adm", "shapeID").alias("unit"), "iso")
     cut = materialize(O.clip(small.select(F.concat_ws("/", "adm", "shapeID").alias("unit"), "geom"), base, "unit", "iso", pairs), "clipped")
     # units of countries that the base map lacks stay as they are
-    unmasked = small.join(base.select("iso"), "iso", "left_anti").select(F.concat_ws("/", "adm", "shapeID").alias("unit"), "geom")
-    cut = cut.select("unit", "geom").unionByName(unmasked)
+    unmasked = small.join(base.select("iso"), "iso", "left_anti").select(F.concat_ws("/", "adm", "shapeID").alias("unit"), "iso", "geom")
+    cut = cut.select("unit", "iso", "geom").unionByName(unmasked)
     named = layers.select(F.concat_ws("/", "adm", "shapeID").alias("unit"), "adm", "shapeID", "shapeName")
     national = spread_join(cut.join(named, "unit"), wanted, ["iso", "adm"]).select(
         "level", F.col("iso").alias("shapeGroup"), F.col("adm").alias("shapeType"), "shapeName", "shapeID", "geom")
