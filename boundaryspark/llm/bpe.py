@@ -133,6 +133,7 @@ class Vocabulary:
         self.space = re.compile(f"[{SPACE}]+")
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
+        self.names = names_of(spec)
 
     def encode_word(self, word: str) -> bytes:
         data = word.encode("utf-8", "replace")
@@ -171,12 +172,16 @@ class Vocabulary:
         return b"".join(out)
 
 
-def token_names(content: bytes) -> dict[int, str]:
+def names_of(spec: dict) -> dict[int, str]:
     """Token of each id; all that decoding needs of a vocabulary file."""
-    spec = json.loads(content)
     return {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
 
 
+def decode(ids: bytes, names: dict[int, str]) -> str:
+    """Text of packed ids, token by token."""
+    return " ".join(map(names.__getitem__, array("I", ids)))
+
+
 _LOADED: dict[int, Vocabulary] = {}
 
 
@@ -216,15 +221,30 @@ def decode_ids(df: DataFrame, path: str | None = None, ids: str = "ids") -> Data
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         if not state:
-            state.append(token_names(content))
+            state.append(names_of(json.loads(content)))
         column = batch.column(batch.schema.get_field_index(ids))
-        return [pa.array([" ".join(map(state[0].__getitem__, array("I", x.as_py() or b""))) for x in column], pa.string())]
+        return [pa.array([decode(x.as_py() or b"", state[0]) for x in column], pa.string())]
     return append_columns(df, [T.StructField("decoded", T.StringType())], run)
 
 
+def round_trip(df: DataFrame, path: str | None = None, text: str = "text", keep_text: bool = True) -> DataFrame:
+    """Add `ids`, `n_tokens` and `decoded`, the text of these ids, in one pass: chained, the two
+    functions above would run two Python processes in every task."""
+    content = _content(path)
+
+    def run(batch: pa.RecordBatch) -> list[pa.Array]:
+        vocabulary = _vocabulary(content)
+        column = batch.column(batch.schema.get_field_index(text))
+        ids = [vocabulary.encode(x.as_py() or "") for x in column]
+        return [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                pa.array([decode(x, vocabulary.names) for x in ids], pa.string())]
+    fields = [T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()), T.StructField("decoded", T.StringType())]
+    return append_columns(df, fields, run, () if keep_text else (text,))
+
+
 @query("op1_bpe")
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = decode_ids(encode_texts(documents, keep_text=False))
+    decoded = round_trip(documents, keep_text=False)
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                           F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))

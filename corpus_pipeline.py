@@ -35,9 +35,9 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed token ids of every text, and the digest of the text that they decode to."""
-    encoded = bpe.encode_texts(docs.select("doc_id", "lang", "source", "text"), keep_text=False)
-    return bpe.decode_ids(encoded).select("doc_id", "lang", "source", "n_tokens", "ids",
-                                          F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
+    encoded = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), keep_text=False)
+    return encoded.select("doc_id", "lang", "source", "n_tokens", "ids",
+                          F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
 
 
 STAGES = [("quality", quality_stage), ("exact_dedup", exact_dedup_stage), ("near_dedup", near_dedup_stage),

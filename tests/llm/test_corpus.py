@@ -40,6 +40,8 @@ def test_bpe_as_the_library(spark, docs):
     from tokenizers import Tokenizer
     library = Tokenizer.from_file(bpe.default_path())
     rows = bpe.decode_ids(bpe.encode_texts(docs)).collect()
+    once = bpe.round_trip(docs).collect()
+    assert sorted(map(str, once)) == sorted(map(str, rows))
     assert len(rows) == 17 and rows[0]["score"] == "y"
     for r in rows:
         ids = library.encode(r["text"] or "", add_special_tokens=False).ids
