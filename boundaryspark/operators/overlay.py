@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boundaryspark.operators import spatial as P
@@ -10,61 +10,6 @@ from boundaryspark.operators import topology as T
 from boundaryspark.operators.edges import assemble, explode_edges
 from boundaryspark.runtime import materialize
 
-NEAR = 1e-12  # share of an edge below which a crossing is taken to lie on its end
-
-
-def meeting_points(pairs: DataFrame) -> DataFrame:
-    """Adds `points`: where edges a and b meet; ends of the edges are kept exactly."""
-    a1, a2 = _end("a", 1), _end("a", 2)
-    b1, b2 = _end("b", 1), _end("b", 2)
-    rx, ry = a2["x"] - a1["x"], a2["y"] - a1["y"]
-    sx, sy = b2["x"] - b1["x"], b2["y"] - b1["y"]
-    den = rx * sy - ry * sx
-    qx, qy = b1["x"] - a1["x"], b1["y"] - a1["y"]
-    scale = F.sqrt((rx * rx + ry * ry) * (sx * sx + sy * sy))
-    parallel = F.abs(den) <= scale * NEAR
-    safe = F.when(parallel, F.lit(None)).otherwise(den)
-    t, u = (qx * sy - qy * sx) / safe, (qx * ry - qy * rx) / safe
-    crossing = (F.when(F.abs(t) <= NEAR, a1).when(F.abs(t - 1) <= NEAR, a2).when(F.abs(u) <= NEAR, b1)
-                .when(F.abs(u - 1) <= NEAR, b2)
-                .otherwise(F.struct((a1["x"] + t * rx).alias("x"), (a1["y"] + t * ry).alias("y"))))
-    meets = (t >= -NEAR) & (t <= 1 + NEAR) & (u >= -NEAR) & (u <= 1 + NEAR)
-    on_line = parallel & (F.abs(qx * ry - qy * rx) <= NEAR * scale)
-    points = F.when(on_line, F.array(a1, a2, b1, b2)).when(meets, F.array(crossing))
-    return pairs.withColumn("points", points).filter(F.col("points").isNotNull())
-
-
-def _end(side: str, n: int) -> Column:
-    return F.struct(F.col(f"{side}_x{n}").alias("x"), F.col(f"{side}_y{n}").alias("y"))
-
-
-def split_edges(edges: DataFrame, splits: DataFrame, ids: list[str]) -> DataFrame:
-    """Edges (ids, no, coordinates) cut at the `points` of `splits` that lie strictly inside them."""
-    gathered = splits.groupBy(*ids, "no").agg(F.array_distinct(F.flatten(F.collect_list("points"))).alias("points"))
-    joined = edges.join(gathered, [*ids, "no"], "left")
-    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    along = lambda p: ((p["x"] - F.col("x1")) * dx + (p["y"] - F.col("y1")) * dy) / (dx * dx + dy * dy)
-    is_end = lambda p: ((p["x"] == F.col("x1")) & (p["y"] == F.col("y1"))) | ((p["x"] == F.col("x2")) & (p["y"] == F.col("y2")))
-    inner = F.filter("points", lambda p: ~is_end(p) & (along(p) > 0) & (along(p) < 1))
-    sorted_inner = F.array_sort(F.transform(inner, lambda p: F.struct(along(p).alias("t"), p["x"].alias("x"), p["y"].alias("y"))))
-    chain = F.concat(
-        F.array(F.struct(F.lit(0.0).alias("t"), F.col("x1").alias("x"), F.col("y1").alias("y"))),
-        F.coalesce(sorted_inner, F.array().cast("array<struct<t:double,x:double,y:double>>")),
-        F.array(F.struct(F.lit(1.0).alias("t"), F.col("x2").alias("x"), F.col("y2").alias("y"))))
-    n = F.size("_chain") - 1
-    steps = F.arrays_zip(F.slice("_chain", F.lit(1), n).alias("a"), F.slice("_chain", F.lit(2), n).alias("b"))
-    cut = joined.withColumn("_chain", chain).select(*ids, F.explode(steps).alias("_s"))
-    return cut.select(*ids, F.col("_s.a.x").alias("x1"), F.col("_s.a.y").alias("y1"),
-                      F.col("_s.b.x").alias("x2"), F.col("_s.b.y").alias("y2")) \
-        .filter((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
-
-
-def _middles(edges: DataFrame, offset: float = 0.0) -> DataFrame:
-    """Middle of each edge, moved to its left by a share of its length."""
-    return edges.withColumn("x", (F.col("x1") + F.col("x2")) / 2 - (F.col("y2") - F.col("y1")) * offset) \
-        .withColumn("y", (F.col("y1") + F.col("y2")) / 2 + (F.col("x2") - F.col("x1")) * offset)
-
-
 def overlay_edges(left_edges: DataFrame, right_edges: DataFrame, pairs: DataFrame, left: str, right: str,
                   how: str) -> DataFrame:
     """Outline edges of intersection, union or difference for each (left, right) pair."""
@@ -76,9 +21,9 @@ def overlay_edges(left_edges: DataFrame, right_edges: DataFrame, pairs: DataFram
     pairs = materialize(pairs.select(*key), "overlay-pairs")
     cell = T.edge_cell(le)
     near = T.near_pairs(le, re, cell, [left], [right]).join(pairs, key, "left_semi")
-    met = materialize(meeting_points(near).select(*key, "a_no", "b_no", "points"), "overlay-points")
-    a_split = materialize(split_edges(le.join(pairs, left), met.withColumnRenamed("a_no", "no"), key), "overlay-a")
-    b_split = materialize(split_edges(re.join(pairs, right), met.withColumnRenamed("b_no", "no"), key), "overlay-b")
+    met = materialize(T.meeting_points(near).select(*key, "a_no", "b_no", "points"), "overlay-points")
+    a_split = materialize(T.split_edges(le.join(pairs, left), met.withColumnRenamed("a_no", "no"), key), "overlay-a")
+    b_split = materialize(T.split_edges(re.join(pairs, right), met.withColumnRenamed("b_no", "no"), key), "overlay-b")
 
     a, b = T.with_canonical(a_split), T.with_canonical(b_split)
     on = [*key, *T.EDGE]
@@ -87,7 +32,7 @@ def overlay_edges(left_edges: DataFrame, right_edges: DataFrame, pairs: DataFram
     a_only, b_only = a.join(b, on, "left_anti"), b.join(a, on, "left_anti")
 
     def inside(edges: DataFrame, polygons: DataFrame, covering: str, kind: str) -> DataFrame:
-        points = _middles(edges.select(*key, *T.COORDS))
+        points = T.middles(edges.select(*key, *T.COORDS))
         ids = [*key, *T.COORDS]
         covered = P.point_in_boundary(points, polygons, ids, ["_cover_id"]).filter(
             F.col("_cover_id") == F.col(covering)).drop("_cover_id")
@@ -132,14 +77,11 @@ def repair(features: DataFrame, ids: list[str]) -> DataFrame:
     follows the winding rule can differ on overlapping parts.
     """
     edges = materialize(T.numbered_edges(explode_edges(features, ids)).select(*ids, "no", *T.COORDS), "repair-edges")
-    cell = T.edge_cell(edges)
-    met = meeting_points(T.near_pairs(edges, edges, cell, ids, ids, shared=ids))
-    splits = met.select(*ids, F.col("a_no").alias("no"), "points").unionByName(met.select(*ids, F.col("b_no").alias("no"), "points"))
-    noded = materialize(T.with_canonical(split_edges(edges, splits, ids)), "repair-noded")
+    noded = materialize(T.with_canonical(T.node_edges(edges, ids)), "repair-noded")
     odd = noded.groupBy(*ids, *T.EDGE).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") % 2 == 1).select(
         *ids, F.col("ax").alias("x1"), F.col("ay").alias("y1"), F.col("bx").alias("x2"), F.col("by").alias("y2"))
     odd = materialize(odd, "repair-odd")
-    points = _middles(odd, 1e-6)
+    points = T.middles(odd, 1e-6)
     at = [*ids, *T.COORDS]
     cover = P.point_cover(points, edges, at, ids, shared=ids).filter(F.abs(F.col("cover")) % 2 == 1).drop("cover")
     inner_left = odd.join(cover, at, "left_semi")

@@ -17,6 +17,7 @@ from boundaryspark.runtime import materialize
 
 COORDS = ["x1", "y1", "x2", "y2"]
 EDGE = ["ax", "ay", "bx", "by"]
+NEAR = 1e-12  # share of an edge below which a crossing is taken to lie on its end
 KERNEL_EDGES = 200_000  # larger groups are ordered by joins instead of one task
 
 
@@ -46,13 +47,32 @@ def overlapping_edges(edges: DataFrame, layer: list[str]) -> DataFrame:
     return with_canonical(edges).groupBy(*layer, *EDGE).agg(F.count(F.lit(1)).alias("owners")).filter("owners > 2")
 
 
-def dissolve_edges(edges: DataFrame, key: list[str]) -> DataFrame:
-    """Outline of all polygons of a key: edges met once in each direction cancel out."""
+def net_edges(edges: DataFrame, key: list[str]) -> DataFrame:
+    """Edges of a key after opposite ones cancel out, and how often each is left over (`times`)."""
     net = with_canonical(edges).groupBy(*key, *EDGE).agg(F.sum("dir").alias("_net")).filter(F.col("_net") != 0)
     ahead = F.col("_net") > 0
     pick = lambda a, b: F.when(ahead, F.col(a)).otherwise(F.col(b))
     return net.select(*key, pick("ax", "bx").alias("x1"), pick("ay", "by").alias("y1"),
-                      pick("bx", "ax").alias("x2"), pick("by", "ay").alias("y2"))
+                      pick("bx", "ax").alias("x2"), pick("by", "ay").alias("y2"), F.abs("_net").alias("times"))
+
+
+def dissolve_edges(edges: DataFrame, key: list[str]) -> DataFrame:
+    """Outline of all polygons of a key that share their vertices and do not overlap."""
+    return net_edges(edges, key).drop("times")
+
+
+def union_edges(edges: DataFrame, key: list[str]) -> DataFrame:
+    """Outline of the union of all polygons of a key, also where vertices do not match or polygons overlap.
+
+    What is left after cancelling is cut where it meets, cancelled again, and kept where the winding number
+    is above zero on the left and zero on the right.  Cancelling changes no winding number.
+    """
+    every = lambda df: df.withColumn("times", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("times")
+    net = materialize(every(net_edges(edges, key)).withColumn("no", F.struct(*COORDS)), "union-net")
+    noded = materialize(net_edges(node_edges(net, key), key), "union-noded")
+    at = [*key, *COORDS]
+    cover = P.point_cover(middles(noded.select(*at), 1e-6), every(noded), at, key, shared=key)
+    return noded.join(cover, at).filter((F.col("cover") > 0) & (F.col("cover") <= F.col("times"))).select(*at)
 
 
 def outline_measures(outline: DataFrame, key: list[str]) -> DataFrame:
@@ -127,8 +147,10 @@ def order_rings(edges: DataFrame, key: list[str], kernel_edges: int = KERNEL_EDG
     """key, eid, coordinates, ring_id and seq: each edge's ring and its place in it."""
     stored = materialize(edges.select(*key, *COORDS).withColumn("eid", F.monotonically_increasing_id()), "outline")
     links = materialize(_next_edges(stored, key), "links")
-    sizes = materialize(links.groupBy(*key).agg(F.count(F.lit(1)).alias("_edges")), "sizes")
-    most = sizes.agg(F.max("_edges")).first()[0] or 0
+    sizes = materialize(links.groupBy(*key).agg(F.count(F.lit(1)).alias("_edges"), F.count_distinct("nxt").alias("_next")), "sizes")
+    most, twice, total = (x or 0 for x in sizes.agg(F.max("_edges"), F.max(F.col("_edges") - F.col("_next")), F.sum("_edges")).first())
+    if twice or total != stored.count():
+        raise ValueError(f"edges do not close into rings: {total} edges go on, {twice} successors at most are shared in a key")
     small = links.join(sizes.filter(F.col("_edges") <= kernel_edges), key, "left_semi")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in links.schema.fields) + ", ring_id long, seq long"
     ordered = small.groupBy(*key).applyInPandas(_order_small, schema)
@@ -169,16 +191,21 @@ def stitch_rings(edges: DataFrame, key: list[str], kernel_edges: int = KERNEL_ED
 
 
 def dissolve(features: DataFrame, key: list[str]) -> DataFrame:
-    """One multipart feature per key."""
-    edges = explode_edges(features, key)
-    return assemble(stitch_rings(dissolve_edges(edges, key), key), key)
+    """One multipart feature per key: the union of its features.  A null key is a key like others."""
+    group = F.to_json(F.struct(*key), {"ignoreNullFields": "false"})
+    named = features.withColumn("_group", group)
+    outline = union_edges(explode_edges(named, ["_group"]), ["_group"])
+    out = assemble(stitch_rings(outline, ["_group"]), ["_group"])
+    return out.join(features.select(*key).distinct().withColumn("_group", group), "_group").select(*key, "geom")
 
 
 def fill_gaps(features: DataFrame, ids: list[str], layer: list[str], max_area_km2: float) -> DataFrame:
     """Holes of the dissolved layer below the area limit go to the unit with the longest border on them."""
     key = [*layer, *ids]
-    edges = materialize(explode_edges(features, key).select(*key, *COORDS), "gap-edges")
-    rings = materialize(order_rings(dissolve_edges(edges, layer), layer), "gap-rings")
+    plain = explode_edges(features, key).withColumn("no", F.struct(F.struct(*ids).alias("unit"), "poly", "ring", "seq"))
+    plain = materialize(plain.select(*key, "no", *COORDS), "gap-plain")
+    edges = materialize(node_edges(plain, layer, ids), "gap-edges")
+    rings = materialize(order_rings(union_edges(edges, layer), layer), "gap-rings")
     measured = outline_measures(rings, [*layer, "ring_id"])
     gaps = measured.filter((F.col("area_km2") < 0) & (F.col("area_km2") > -max_area_km2)).select(*layer, "ring_id")
     gap_edges = rings.join(gaps, [*layer, "ring_id"], "left_semi")
@@ -304,3 +331,67 @@ def misplaced_holes(edges: DataFrame, ids: list[str]) -> DataFrame:
     shells = edges.filter(F.col("ring") == 0).join(middle.select(*own).distinct(), own, "left_semi")
     covered = materialize(P.point_cover(middle, shells, [*own, "hole"], own, shared=own), "validity-holes")
     return middle.join(covered, [*own, "hole"], "left_anti").select(*ids).distinct().withColumn("_misplaced", F.lit(True))
+
+
+# --- noding ------------------------------------------------------------------------------------------
+
+
+def meeting_points(pairs: DataFrame) -> DataFrame:
+    """Adds `points`: where edges a and b meet; ends of the edges are kept exactly."""
+    a1, a2 = _end("a", 1), _end("a", 2)
+    b1, b2 = _end("b", 1), _end("b", 2)
+    rx, ry = a2["x"] - a1["x"], a2["y"] - a1["y"]
+    sx, sy = b2["x"] - b1["x"], b2["y"] - b1["y"]
+    den = rx * sy - ry * sx
+    qx, qy = b1["x"] - a1["x"], b1["y"] - a1["y"]
+    scale = F.sqrt((rx * rx + ry * ry) * (sx * sx + sy * sy))
+    parallel = F.abs(den) <= scale * NEAR
+    safe = F.when(parallel, F.lit(None)).otherwise(den)
+    t, u = (qx * sy - qy * sx) / safe, (qx * ry - qy * rx) / safe
+    crossing = (F.when(F.abs(t) <= NEAR, a1).when(F.abs(t - 1) <= NEAR, a2).when(F.abs(u) <= NEAR, b1)
+                .when(F.abs(u - 1) <= NEAR, b2)
+                .otherwise(F.struct((a1["x"] + t * rx).alias("x"), (a1["y"] + t * ry).alias("y"))))
+    meets = (t >= -NEAR) & (t <= 1 + NEAR) & (u >= -NEAR) & (u <= 1 + NEAR)
+    on_line = parallel & (F.abs(qx * ry - qy * rx) <= NEAR * scale)
+    points = F.when(on_line, F.array(a1, a2, b1, b2)).when(meets, F.array(crossing))
+    return pairs.withColumn("points", points).filter(F.col("points").isNotNull())
+
+
+def _end(side: str, n: int) -> Column:
+    return F.struct(F.col(f"{side}_x{n}").alias("x"), F.col(f"{side}_y{n}").alias("y"))
+
+
+def split_edges(edges: DataFrame, splits: DataFrame, ids: list[str]) -> DataFrame:
+    """Edges (ids, no, coordinates) cut at the `points` of `splits` that lie strictly inside them."""
+    gathered = splits.groupBy(*ids, "no").agg(F.array_distinct(F.flatten(F.collect_list("points"))).alias("points"))
+    joined = edges.join(gathered, [*ids, "no"], "left")
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    along = lambda p: ((p["x"] - F.col("x1")) * dx + (p["y"] - F.col("y1")) * dy) / (dx * dx + dy * dy)
+    is_end = lambda p: ((p["x"] == F.col("x1")) & (p["y"] == F.col("y1"))) | ((p["x"] == F.col("x2")) & (p["y"] == F.col("y2")))
+    inner = F.filter("points", lambda p: ~is_end(p) & (along(p) > 0) & (along(p) < 1))
+    sorted_inner = F.array_sort(F.transform(inner, lambda p: F.struct(along(p).alias("t"), p["x"].alias("x"), p["y"].alias("y"))))
+    chain = F.concat(
+        F.array(F.struct(F.lit(0.0).alias("t"), F.col("x1").alias("x"), F.col("y1").alias("y"))),
+        F.coalesce(sorted_inner, F.array().cast("array<struct<t:double,x:double,y:double>>")),
+        F.array(F.struct(F.lit(1.0).alias("t"), F.col("x2").alias("x"), F.col("y2").alias("y"))))
+    n = F.size("_chain") - 1
+    steps = F.arrays_zip(F.slice("_chain", F.lit(1), n).alias("a"), F.slice("_chain", F.lit(2), n).alias("b"))
+    cut = joined.withColumn("_chain", chain).select(*ids, F.explode(steps).alias("_s"))
+    return cut.select(*ids, F.col("_s.a.x").alias("x1"), F.col("_s.a.y").alias("y1"),
+                      F.col("_s.b.x").alias("x2"), F.col("_s.b.y").alias("y2")) \
+        .filter((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
+
+
+def middles(edges: DataFrame, offset: float = 0.0) -> DataFrame:
+    """Middle of each edge, moved to its left by a share of its length."""
+    return edges.withColumn("x", (F.col("x1") + F.col("x2")) / 2 - (F.col("y2") - F.col("y1")) * offset) \
+        .withColumn("y", (F.col("y1") + F.col("y2")) / 2 + (F.col("x2") - F.col("x1")) * offset)
+
+
+def node_edges(edges: DataFrame, layer: list[str], ids: list[str] | None = None) -> DataFrame:
+    """Edges (layer, ids, coordinates) cut where edges of a layer meet; with `ids`, `no` holds them as `unit`."""
+    ids = ids or []
+    met = meeting_points(near_pairs(edges, edges, edge_cell(edges), layer, layer, shared=layer))
+    splits = met.select(*layer, F.explode(F.array("a_no", "b_no")).alias("no"), "points").withColumns(
+        {i: F.col(f"no.unit.{i}") for i in ids})
+    return split_edges(edges, splits, [*layer, *ids])

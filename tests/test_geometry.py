@@ -96,6 +96,22 @@ def test_dissolve_and_borders(spark):
     assert [(r["left_unit"], r["right_unit"], r["edges"]) for r in borders] == [(1, 2, 1)]
 
 
+def test_dissolve_is_the_union(spark):
+    box = lambda a, b, *more: [[ring((a, a), (b, a), *more, (b, b), (a, b), (a, a))]]
+    # right of the first box, which has one more vertex on the common border
+    beside = [[ring((1, 0), (2, 0), (2, 1), (1, 1), (1, 0))]]
+    rows = [("tee", box(0, 1, (1, 0.5))), ("tee", beside), ("overlap", box(0, 2)), ("overlap", box(1, 3)), (None, box(0, 1)),
+            ("inside", box(0, 3)), ("inside", box(1, 2)), ("twice", box(0, 1)), ("twice", box(0, 1)), ("plug", DONUT), ("plug", box(1, 2))]
+    out = as_dict(T.dissolve(frame(spark, rows, "k string"), ["k"]).select("k", F.round(G.planar_area("geom"), 9).alias("a")), "a")
+    assert out == {("tee",): 2.0, ("overlap",): 7.0, (None,): 1.0, ("inside",): 9.0, ("twice",): 1.0, ("plug",): 9.0}
+
+
+def test_open_chains_are_refused(spark):
+    edges = spark.createDataFrame([("k", 0.0, 0.0, 1.0, 0.0), ("k", 1.0, 0.0, 1.0, 1.0)], "k string, x1 double, y1 double, x2 double, y2 double")
+    with pytest.raises(ValueError, match="rings"):
+        T.order_rings(edges, ["k"])
+
+
 def test_large_groups_order_like_small_ones(spark):
     edges = T.dissolve_edges(E.explode_edges(frame(spark, [("d", DONUT), ("two", SQUARE + AWAY), ("ell", ELL)]), ["id"]), ["id"])
     shape = lambda limit: as_dict(E.assemble(T.stitch_rings(edges, ["id"], limit), ["id"]).select(
