@@ -15,7 +15,10 @@ FINGERPRINT_FIELDS = [
 
 PACKAGE_MODULUS = 10 ** 8
 SHAPE_MODULUS = 10 ** 14
-METADATA_LINES_COMPARED = 19
+#: Only for `detect_changes(mode="legacy")`, which compares so many first lines.
+LEGACY_METADATA_LINES = 19
+# Labels of the metadata lines that hold dates.
+DATE_LABELS = ["Source Data Updated On", "File Built On"]
 
 
 def package_fingerprint(content: Column | str) -> Column:
@@ -56,18 +59,45 @@ def previous_build_join(new: DataFrame, old: DataFrame, keys: list[str]) -> Data
         .withColumn("in_old", F.coalesce("_in_old", F.lit(False))).drop("_in_new", "_in_old")
 
 
-def detect_changes(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
-    """`geometry_size` and `metadata_lines` decide: added, removed, geometry, metadata or unchanged.
+def geometry_fingerprint(features: DataFrame, keys: list[str], geom: str = "geom") -> DataFrame:
+    """`geometry_fingerprint` of each layer: all its units with every coordinate and their other columns, in any order.
 
-    A side that lacks a value (an unreadable earlier build) counts as changed.
+    Hashes of the units are counted and summed, so a layer of any size is one row of an aggregate.
     """
-    pairs = previous_build_join(new, old, keys)
-    first_lines = [F.slice(F.col(f"{side}_metadata_lines"), 1, METADATA_LINES_COMPARED) for side in ("new", "old")]
+    others = sorted(c for c in features.columns if c not in keys and c != geom)
+    unit = F.sha2(F.to_json(F.struct(F.col(geom).alias("geom"), *others), {"ignoreNullFields": "false"}).cast("binary"), 256)
+    sums = [F.sum(F.conv(F.substring("_unit", at, 15), 16, 10).cast("decimal(38,0)")) for at in (1, 16, 31, 46)]
+    text = F.concat_ws("-", F.count(F.lit(1)), *sums)
+    return features.withColumn("_unit", unit).groupBy(*keys).agg(F.sha2(text.cast("binary"), 256).alias("geometry_fingerprint"))
+
+
+def metadata_lines_fingerprint(lines: Column | str) -> Column:
+    """SHA-256 of all metadata lines in their order, without the lines that hold dates; null for missing lines."""
+    def dated(line: Column) -> Column:
+        starts = [F.startswith(line, F.lit(f"{label}:")) for label in DATE_LABELS]
+        return F.coalesce(starts[0] | starts[1], F.lit(False))
+    return F.sha2(F.to_json(F.filter(S.col(lines), lambda line: ~dated(line))).cast("binary"), 256)
+
+
+def detect_changes(new: DataFrame, old: DataFrame, keys: list[str], mode: str = "fingerprint") -> DataFrame:
+    """Added, removed, geometry, metadata or unchanged, by `geometry_fingerprint` and all `metadata_lines` but dates.
+
+    `mode="legacy"` is the historic rule: `geometry_size` and the first 19 lines decide, so edits of equal size and
+    later lines are not seen.  A side that lacks a value (an unreadable earlier build) counts as changed.
+    """
+    if mode not in ("fingerprint", "legacy"):
+        raise ValueError(f"unknown mode {mode!r}")
+    if mode == "legacy":
+        geometry, metadata = F.col("geometry_size"), F.slice("metadata_lines", 1, LEGACY_METADATA_LINES)
+    else:
+        geometry, metadata = F.col("geometry_fingerprint"), metadata_lines_fingerprint("metadata_lines")
+    sides = [side.select(*keys, geometry.alias("geometry"), metadata.alias("metadata")) for side in (new, old)]
+    pairs = previous_build_join(*sides, keys)
     kind = (F.when(~F.col("in_old"), "added").when(~F.col("in_new"), "removed")
-            .when(F.col("new_geometry_size").isNull() | F.col("old_geometry_size").isNull()
-                  | F.col("new_metadata_lines").isNull() | F.col("old_metadata_lines").isNull(), "error")
-            .when(F.col("new_geometry_size") != F.col("old_geometry_size"), "geometry")
-            .when(first_lines[0] != first_lines[1], "metadata").otherwise("unchanged"))
+            .when(F.col("new_geometry").isNull() | F.col("old_geometry").isNull()
+                  | F.col("new_metadata").isNull() | F.col("old_metadata").isNull(), "error")
+            .when(F.col("new_geometry") != F.col("old_geometry"), "geometry")
+            .when(F.col("new_metadata") != F.col("old_metadata"), "metadata").otherwise("unchanged"))
     return pairs.select(*keys, kind.alias("change"),
                         (~kind.isin("unchanged", "removed")).alias("rebuild"))
 

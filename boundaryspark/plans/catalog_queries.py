@@ -323,7 +323,8 @@ FROM fx_catalog_new n FULL JOIN fx_catalog_old o ON n.iso = o.iso AND n.adm = o.
 def detect_changes(spark, sf_dir):
     def side(name):
         return derived(spark, sf_dir, name).select(
-            "iso", "adm", F.col("units").alias("geometry_size"), F.array("boundary_license", "license_detail").alias("metadata_lines"))
+            "iso", "adm", F.sha2(F.col("units").cast("string"), 256).alias("geometry_fingerprint"),
+            F.array("boundary_license", "license_detail").alias("metadata_lines"))
     return I.detect_changes(side("fx_catalog_new"), side("fx_catalog_old"), KEYS)
 
 

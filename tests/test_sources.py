@@ -167,6 +167,29 @@ def test_upsert_is_idempotent(spark):
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect())) == [("A", "0", 1), ("B", "0", 9), ("C", "0", 3)]
 
 
+def test_changes_of_late_lines_and_of_equal_size(spark):
+    from boundaryspark.schema import GEOMETRY_DDL
+    from boundaryspark.operators import identity as I
+    keys, lines = ["iso", "adm"], [f"line {i}" for i in range(1, 26)]
+    square = [[[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 0.0)]]]
+    moved = [[[(0.0, 0.0), (1.0, 0.0), (1.0, 1.5), (0.0, 0.0)]]]
+    dated = [*lines, "Source Data Updated On: 2020-01-01", "File Built On: 2020-01-01"]
+
+    def side(rows):
+        units = spark.createDataFrame([(iso, "ADM1", n, g) for iso, gs, _ in rows for n, g in gs], f"iso string, adm string, name string, geom {GEOMETRY_DDL}")
+        meta = spark.createDataFrame([(iso, "ADM1", 100, m) for iso, _, m in rows], "iso string, adm string, geometry_size long, metadata_lines array<string>")
+        return meta.join(I.geometry_fingerprint(units.repartition(3), keys), keys, "left")
+    two = [("a", square), ("b", moved)]
+    old = side([("LINE", two, lines), ("GEOM", two, lines), ("NAME", two, lines), ("SAME", two, dated), ("NONE", two, None), ("GONE", two, lines)])
+    new = side([("LINE", two, [*lines[:19], "changed", *lines[20:]]), ("GEOM", [("a", moved), ("b", moved)], lines), ("NAME", [("a", square), ("c", moved)], lines),
+                ("SAME", two[::-1], [*lines, "Source Data Updated On: 2021-02-02", "File Built On: 2021-02-02"]), ("NONE", two, lines), ("NEW", two, lines)])
+    found = {r["iso"]: (r["change"], r["rebuild"]) for r in I.detect_changes(new, old, keys).collect()}
+    assert found == {"LINE": ("metadata", True), "GEOM": ("geometry", True), "NAME": ("geometry", True), "SAME": ("unchanged", False),
+                     "NONE": ("error", True), "GONE": ("removed", False), "NEW": ("added", True)}
+    legacy = {r["iso"]: r["change"] for r in I.detect_changes(new, old, keys, mode="legacy").collect()}
+    assert legacy["LINE"] == legacy["GEOM"] == "unchanged"
+
+
 def test_stream_upsert_over_several_batches(spark, tmp_path):
     folder = str(tmp_path / "in")
     for rows in ([("a", 1), ("b", 1)], [("b", 2)], [("a", 3), ("b", 1)]):
