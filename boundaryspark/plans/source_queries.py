@@ -86,23 +86,24 @@ def package_fingerprint(spark, sf_dir):
 _STEP = 0.0001
 
 
-def quantised_arcs(spark, sf_dir):
-    """Outer rings as two delta-encoded arcs each; the second one is stored backwards."""
-    points = E.explode_vertices(features(spark, sf_dir, "ADM2"), ["uid"]).filter(F.col("ring") == 0)
+def quantised_arcs(spark, sf_dir, inner=False):
+    """Outer rings, and inner ones if asked, as two delta-encoded arcs each; the second one is stored backwards."""
+    points = E.explode_vertices(features(spark, sf_dir, "ADM2"), ["uid"]).filter(F.lit(inner) | (F.col("ring") == 0))
+    number = (lambda ring: (F.col("uid") * 2 + ring) * 2) if inner else (lambda ring: F.col("uid") * 2)
     q = lambda c: F.round(F.col(c) / _STEP)
-    n = F.max("seq").over(W.partitionBy("uid"))
+    n = F.max("seq").over(W.partitionBy("uid", "ring"))
     both = points.withColumn("_n", n).withColumn("part", F.explode(F.array(F.lit(0), F.lit(1)))).filter(
         ((F.col("part") == 0) & (F.col("seq") <= 2)) | ((F.col("part") == 1) & (F.col("seq") >= 2)))
-    placed = both.select(F.lit("units").alias("layer"), (F.col("uid") * 2 + F.col("part")).alias("arc_id"),
+    placed = both.select(F.lit("units").alias("layer"), (number(F.col("ring")) + F.col("part")).alias("arc_id"),
                          F.when(F.col("part") == 0, F.col("seq")).otherwise(F.col("_n") - F.col("seq")).alias("seq"),
                          q("x").alias("qx"), q("y").alias("qy"))
     by_arc = W.partitionBy("arc_id").orderBy("seq")
     step = lambda c: F.col(c) - F.coalesce(F.lag(c).over(by_arc), F.lit(0.0))
     arcs = placed.select("layer", "arc_id", "seq", step("qx").alias("dx"), step("qy").alias("dy"), F.lit(_STEP).alias("sx"), F.lit(_STEP).alias("sy"),
                          F.lit(0.0).alias("tx"), F.lit(0.0).alias("ty"), F.lit(True).alias("quantised"))
-    units = derived(spark, sf_dir, "fx_unit").filter(F.col("adm") == "ADM2").select("uid")
-    refs = units.select(F.lit("units").alias("layer"), "uid", F.lit(0).alias("poly"), F.lit(0).alias("ring"),
-                        F.posexplode(F.array(F.col("uid") * 2, F.col("uid") * 2 + 1)).alias("pos", "arc_id")) \
+    rings = points.select("uid", "ring").distinct()
+    refs = rings.select(F.lit("units").alias("layer"), "uid", F.lit(0).alias("poly"), "ring",
+                        F.posexplode(F.array(number(F.col("ring")), number(F.col("ring")) + 1)).alias("pos", "arc_id")) \
         .withColumn("reversed", F.col("pos") == 1)
     return arcs, refs
 
@@ -122,6 +123,13 @@ def topojson_rings(spark, sf_dir):
     return out.select("uid", F.col("seq").cast("long").alias("seq"), F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
+@query("topojson_all_rings", with_inputs("fx_vertex", f"""SELECT uid, ring, cast(seq AS bigint) AS seq, round(round(x / {_STEP}) * {_STEP}, 6) AS x, round(round(y / {_STEP}) * {_STEP}, 6) AS y FROM fx_vertex WHERE adm = 'ADM2'"""))
+def topojson_all_rings(spark, sf_dir):
+    arcs, refs = quantised_arcs(spark, sf_dir, inner=True)
+    out = J.splice_rings(J.delta_decode(arcs, ["layer", "arc_id"]), refs, ["uid"])
+    return out.select("uid", "ring", F.col("seq").cast("long").alias("seq"), F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
 # --- writers, read back --------------------------------------------------------------------------
 
 

@@ -110,7 +110,7 @@ def repair(spark, sf_dir):
 
 @query("repair_bow_ties")
 def repair_bow_ties(spark, sf_dir):
-    units = bow_ties(spark, sf_dir, "ADM2").filter(F.size(F.element_at("geom", 1)) == 1)
+    units = bow_ties(spark, sf_dir, "ADM2")
     return O.repair_report(units, O.repair(units, ["adm", "uid"]), ["adm", "uid"])
 
 
@@ -176,7 +176,7 @@ def _composite_inputs(spark, sf_dir):
     units = features(spark, sf_dir)
     name = F.when(F.col("uid") == 24, F.concat("unit_name", F.lit(" (disp)"))).when(F.col("uid") == 3, "Burma").otherwise(F.col("unit_name"))
     world = units.filter(F.col("adm") == "ADM0").select(F.col("uid").alias("fid"), name.alias("country_na"), "geom")
-    layers = units.filter(F.col("adm") != "ADM0").select(
+    layers = units.select(
         "iso", "adm", F.concat("adm", F.col("uid").cast("string")).alias("shapeID"), F.col("unit_name").alias("shapeName"), "geom")
     names = units.filter(F.col("adm") == "ADM0").select(F.col("unit_name").alias("name"), F.col("iso").alias("code"))
     return world, layers, names

@@ -225,3 +225,36 @@ def test_crowded_cells_everywhere(spark, monkeypatch):
     assert len(want[0]) == 25 and want[2] == {("b", 1.0)}
     monkeypatch.setattr(P, "PAIRS_PER_CELL", 2)
     assert run() == want
+
+
+def test_repair_query_sees_holes_and_composite_sees_national_layers(spark):
+    from boundaryspark.plans.inputs import features
+    from boundaryspark.plans.topology_queries import _composite_inputs, repair_bow_ties
+    small = "/root/testdata/sf0.001"
+    units = {r["uid"]: r["n"] for r in features(spark, small, "ADM2").select("uid", F.size(F.element_at("geom", 1)).alias("n")).collect()}
+    rows = {r["uid"]: r for r in repair_bow_ties(spark, small).collect()}
+    assert set(rows) == set(units) and 2 in units.values()
+    for uid, n in units.items():
+        if n == 2 and uid % 17 != 5:
+            assert rows[uid]["new_area_km2"] == pytest.approx(rows[uid]["old_area_km2"], rel=1e-6)
+    levels = {r["adm"] for r in _composite_inputs(spark, small)[1].select("adm").distinct().collect()}
+    assert levels == {"ADM0", "ADM1", "ADM2"}
+
+
+def test_bow_tie_with_a_hole_keeps_the_hole(spark):
+    # two triangles of area 1 each; the hole of 0.04 lies in the left one
+    tie = [[ring((0, 0), (2, 2), (2, 0), (0, 2), (0, 0)), ring((0.2, 0.9), (0.2, 1.1), (0.4, 1.1), (0.4, 0.9), (0.2, 0.9))]]
+    out = O.repair(frame(spark, [("tie", tie)]), ["id"])
+    assert out.select(G.planar_area("geom")).first()[0] == pytest.approx(1.96)
+
+
+def test_composite_falls_back_to_the_national_layer(spark):
+    from boundaryspark.plans.composite import composite_layers
+    world = frame(spark, [(1, "Aland", SQUARE), (2, "Bland", RIGHT)], "fid long, country_na string")
+    layers = frame(spark, [("A", "ADM0", "A0", "Aland", SQUARE), ("B", "ADM0", "B0", "Bland", RIGHT), ("B", "ADM1", "B1", "b", RIGHT)],
+                   "iso string, adm string, shapeID string, shapeName string")
+    names = spark.createDataFrame([("Aland", "A"), ("Bland", "B")], "name string, code string")
+    out = composite_layers(world, layers, names, keep_share=1.0)
+    found = sorted((r["level"], r["shapeGroup"], r["shapeType"], round(r["a"], 6)) for r in out.withColumn("a", G.planar_area("geom")).collect())
+    assert found == [("ADM0", "A", "ADM0", 1.0), ("ADM0", "B", "ADM0", 1.0), ("ADM1", "A", "ADM0", 1.0), ("ADM1", "B", "ADM1", 1.0),
+                     ("ADM2", "A", "ADM0", 1.0), ("ADM2", "B", "ADM1", 1.0)]
