@@ -34,6 +34,7 @@ REVISIT_BYTES = 1000
 FILE_BYTES = 16 * 1024 * 1024
 END = b"\r\n\r\n"
 VERSION = re.compile(rb"WARC/\d\.\d\r?\n")
+HEADER_END = re.compile(rb"\r\n\r\n|\nWARC/\d\.\d\r?\n")
 MEMBER = b"\x1f\x8b\x08"
 RECORD_SCHEMA = ("file string, offset long, length long, record_type string, target_uri string, "
                  "headers map<string,string>, payload binary, note string")
@@ -80,10 +81,11 @@ def write_pages(pages: DataFrame, path: str, date: str = "2000-01-01T00:00:00Z",
 def _header(data: bytes, at: int) -> tuple[dict[str, str], int] | None:
     """Fields and the place of the block of the record at `at`, if its header is whole."""
     version = VERSION.match(data, at)
-    end = data.find(END, at, at + 65536)
-    if not version or end < 0:
+    # a header of any length goes to the next empty line; a version line before that starts another record
+    found = HEADER_END.search(data, version.end() - 2) if version else None
+    if not found or found[0] != END:
         return None
-    fields = {}
+    end, fields = found.start(), {}
     for line in data[version.end():end].split(b"\r\n"):
         name, colon, value = line.partition(b":")
         if not colon:
@@ -215,7 +217,9 @@ FROM p LEFT JOIN g USING (payload_digest)
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_pages(table(spark, sf_dir, "pages"), path)
-    records = read_archives(spark, path).where("record_type <> 'gap'")
+    gap = F.raise_error(F.concat(F.lit("gap in an archive just written: "), F.col("file"), F.lit(" at "), F.col("offset").cast("string"),
+                                 F.lit(", "), F.col("note")))
+    records = read_archives(spark, path).where(F.when(F.col("record_type") == "gap", gap.cast("boolean")).otherwise(True))
     field = lambda name: F.col("headers")[name]
     response = F.col("record_type") == "response"
     return records.select(

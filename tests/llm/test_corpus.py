@@ -220,6 +220,20 @@ def test_archives_are_salvaged(spark):
     assert got == [(1, "revisit"), (2, "response"), (2, "response"), (3, "response"), (5, "response"), (6, "response")]
 
 
+def test_long_urls_are_read_back_and_gaps_fail(spark, monkeypatch):
+    rows = [(1, "http://a/" + "x" * 100_000, "one"), (2, "http://b/WARC/1.1", "two"), (3, "http://c/" + "é" * 70_000, "y" * 3000)]
+    path = scratch_path(spark, "warc-test")
+    warc.write_pages(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path)
+    got = sorted((int(r["headers"]["page-id"]), r["target_uri"], bytes(r["payload"]).decode()) for r in warc.read_archives(spark, path).collect())
+    assert got == rows
+    # a header cut off before its empty line does not swallow the record after it
+    cut = b"WARC/1.1\r\nWARC-Type: response\r\n" + record(b"next")
+    assert [(r.kind, r.payload) for r in warc.read_archive(cut)] == [("gap", b""), ("response", b"next")]
+    monkeypatch.setattr(warc, "write_pages", lambda pages, path: spark.createDataFrame([("junk",)], "value string").write.text(path))
+    with pytest.raises(Exception, match="gap in an archive just written"):
+        warc.op10_warc(spark, SMALL).count()
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_same_as_sql(spark, name):
     from oracle_check import compare, connect
