@@ -2,14 +2,15 @@
 
 Method: each page is parsed to a tree and every container subtree is hashed.  Spark counts the hashes per
 host over pages of different content, so copies of one page count once, and subtrees that recur on many
-pages of their host (`min_pages` and `min_share`) are templates.  A second pass parses again, deletes the
+pages of their host are templates: on `many_pages`, however large the host, or, on smaller hosts, on `min_pages`
+and `min_share` of them.  A second pass parses again, deletes the
 templates, then menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
 comments by element, role and name, and reads the blocks of the articles that are left (of `main` or the
 body where no article is).  Text-level blocks (paragraphs, headings, list items) and whatever holds an
 article are never templates, so passages that many pages share stay.
 
-A host has at most (subtrees per page) / min_share templates; their table is broadcast only if its counted
-rows are few, otherwise it is joined by host.
+The table of templates goes to all tasks only if its counted rows are few; otherwise each page is joined with the
+templates among its own subtrees, by host and content, so that no row carries all templates of its host.
 
 Edge cases: null and empty html give an empty text; unclosed and misnested tags are closed as browsers do
 in the common cases; a null url or one without a host belongs to the host ''; repeated rows give repeated
@@ -28,12 +29,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from boundaryspark.llm.common import append_columns, broadcast_if_counted, table
+from boundaryspark.llm.common import BROADCAST_ROWS, append_columns, table
 from boundaryspark.llm.registry import query
 from boundaryspark.runtime import materialize
 
 MIN_PAGES = 5
 MIN_SHARE = 0.5
+MANY_PAGES = 20
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"']+)))?""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -215,39 +217,55 @@ def host_of(url: str) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(F.col(url), "://([^/?#]*)", 1)), F.lit(""))
 
 
-def site_templates(pages: DataFrame, url: str = "url", page_html: str = "html", min_pages: int = MIN_PAGES,
-                   min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, digest) of the subtrees that recur on many pages of their host."""
+def content_of(page_html: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(page_html), F.lit("")))
+
+
+def page_subtrees(pages: DataFrame, url: str = "url", page_html: str = "html") -> DataFrame:
+    """(host, content, digests) of the pages of different content."""
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         pages_of_batch = [x.as_py() or "" for x in batch.column(batch.schema.get_field_index("_html"))]
-        content = [xxhash.xxh3_64_intdigest(p.encode("utf-8", "replace")) - (1 << 63) for p in pages_of_batch]
-        digests = [sorted(d - (1 << 63) for d in subtrees(parse(p))) for p in pages_of_batch]
-        return [pa.array(content, pa.int64()), pa.array(digests, pa.list_(pa.int64()))]
-    fields = [T.StructField("content", T.LongType()), T.StructField("digests", T.ArrayType(T.LongType()))]
-    hashed = append_columns(pages.select(host_of(url).alias("host"), F.col(page_html).alias("_html")), fields, run, ("_html",))
-    once = materialize(hashed.groupBy("host", "content").agg(F.first("digests").alias("digests")), "subtrees")
+        return [pa.array([sorted(d - (1 << 63) for d in subtrees(parse(p))) for p in pages_of_batch], pa.list_(pa.int64()))]
+    fields = [T.StructField("digests", T.ArrayType(T.LongType()))]
+    rows = pages.select(host_of(url).alias("host"), content_of(page_html).alias("content"), F.col(page_html).alias("_html"))
+    hashed = append_columns(rows, fields, run, ("_html",))
+    return materialize(hashed.groupBy("host", "content").agg(F.first("digests").alias("digests")), "subtrees")
+
+
+def site_templates(once: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, many_pages: int = MANY_PAGES) -> DataFrame:
+    """(host, digest) of the subtrees that recur on many pages of their host."""
     hosts = once.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     counts = once.select("host", F.explode("digests").alias("digest")).groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.where(F.col("n") >= min_pages)
-    return counts.join(hosts, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "digest")
-
-
-def extract_text(pages: DataFrame, url: str = "url", page_html: str = "html", keep_html: bool = True,
-                 min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """Add `text`, the main text of each page."""
-    templates = materialize(site_templates(pages, url, page_html, min_pages, min_share), "templates")
-    small = broadcast_if_counted(templates)
-    by_host = small.groupBy("host").agg(F.collect_list("digest").alias("_templates"))
-    by_host = F.broadcast(by_host) if small is not templates else by_host
-    joined = pages.withColumn("_host", host_of(url)).join(by_host.withColumnRenamed("host", "_host"), "_host", "left")
+    enough = F.least(min_share * F.col("pages"), F.lit(float(many_pages)))
+    return counts.join(hosts, "host").where(F.col("n") >= enough).select("host", "digest")
+
+
+def extract_text(pages: DataFrame, url: str = "url", page_html: str = "html", keep_html: bool = True, min_pages: int = MIN_PAGES,
+                 min_share: float = MIN_SHARE, many_pages: int = MANY_PAGES, few: int = BROADCAST_ROWS) -> DataFrame:
+    """Add `text`, the main text of each page; up to `few` templates are sent to all tasks."""
+    once = page_subtrees(pages, url, page_html)
+    templates = materialize(site_templates(once, min_pages, min_share, many_pages), "templates")
+    rows, sent = pages.withColumn("_host", host_of(url)), None
+    if templates.limit(few + 1).count() <= few:
+        sent = {}
+        for host, digest in templates.collect():
+            sent.setdefault(host, set()).add(digest + (1 << 63))
+    else:
+        own = once.select("host", "content", F.explode("digests").alias("digest")).join(templates, ["host", "digest"]).groupBy(
+            F.col("host").alias("_host"), F.col("content").alias("_content")).agg(F.collect_list("digest").alias("_templates"))
+        rows = rows.withColumn("_content", content_of(page_html)).join(own, ["_host", "_content"], "left")
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        found = batch.column(batch.schema.get_field_index("_templates"))
-        texts = [main_text(parse(p.as_py() or ""), {d + (1 << 63) for d in t.as_py() or ()})
-                 for p, t in zip(batch.column(batch.schema.get_field_index(page_html)), found, strict=True)]
+        column = lambda name: batch.column(batch.schema.get_field_index(name))
+        if sent is None:
+            found = ({d + (1 << 63) for d in t.as_py() or ()} for t in column("_templates"))
+        else:
+            found = (sent.get(h.as_py(), frozenset()) for h in column("_host"))
+        texts = [main_text(parse(p.as_py() or ""), t) for p, t in zip(column(page_html), found, strict=True)]
         return [pa.array(texts, pa.string())]
-    dropped = ("_host", "_templates") if keep_html else ("_host", "_templates", page_html)
-    return append_columns(joined, [T.StructField("text", T.StringType())], run, dropped)
+    dropped = ("_host", "_content", "_templates") if keep_html else ("_host", "_content", "_templates", page_html)
+    return append_columns(rows, [T.StructField("text", T.StringType())], run, dropped)
 
 
 @query("op8_html_text")

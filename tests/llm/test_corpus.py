@@ -182,6 +182,21 @@ def test_main_text(spark):
     assert one == "T & U\none two\nthree four\nJoin our list\nx\ny"
 
 
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_templates_of_a_part_of_a_large_host(spark, few):
+    def page(k):
+        box = "<div><p>Read more in our section</p></div>" if k % 10 < 3 else ""
+        rare = "<table><tr><td>a table of few pages</td></tr></table>" if k % 50 == 7 else ""
+        return f"<body>{box}<p>text of page {k}</p>{rare}</body>"
+    rows = [(k, "https://large.example/a", page(k)) for k in range(200)] + [(1000 + k, "https://small.example/", page(k)) for k in (0, 10, 20, 30, 40, 3, 4)]
+    got = {r["page_id"]: r["text"] for r in html_text.extract_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string"), few=few).collect()}
+    # the block is on 60 of 200 pages and on 5 of 7; the table is on 4
+    assert len(got) == len(rows)
+    for k, _, _ in rows:
+        assert got[k] == f"text of page {k % 1000}" + ("\na table of few pages" if k < 1000 and k % 50 == 7 else "")
+
+
 @pytest.mark.parametrize("hot", [50_000, 1])
 def test_repeats_as_all_windows(spark, docs, hot):
     data = [(r[1] or "").encode() for r in texts()]
