@@ -14,8 +14,10 @@ lose: first, texts of like size that share a least shingle hash meet in tiles wi
 pairs are decided and a spanning forest of verified links is left; then only tiles with texts of several
 components are worked on, and of them only pairs across components that met in no tile of the first kind.
 A group of thousands of near copies so costs links along a tree instead of all pairs.  A first tile of more
-than `TILE` texts is worked on in runs, and pairs of different runs are left to the second kind; a second
-tile of more than `tile` texts is divided into blocks and pairs of blocks.  Both are exact.
+than `TILE` texts is dealt into runs by hashes of key and text, each a group of its own in the shuffle; then one text
+of every component of a run meets those of the other runs of its key in tiles of the same kind, and what pairs of
+different runs are left go to the second kind.  A task holds the arrays of one run, which ends at `TILE` texts or
+`RUN_BYTES`.  A second tile of more than `tile` texts is divided into blocks and pairs of blocks.  Both are exact.
 
 Sets that are equal are one node, so copies are not expanded.  Shingles and sets are held as 64-bit hashes.
 
@@ -39,6 +41,7 @@ from boundaryspark.runtime import materialize
 COUNT_BITS = 17
 KEYS = 2
 TILE = 2048
+RUN_BYTES = 64 * 1024 * 1024
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _KEY_SALTS = np.array([0x0, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)
 
@@ -213,21 +216,74 @@ def _shingle_counts(sets: DataFrame) -> np.ndarray:
     return np.minimum(total.ravel(), np.iinfo(np.int32).max).astype(np.int32)
 
 
-def _first_tile(rows: list[tuple], key: int, percent: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """(links of a spanning forest, (node, run)) of the texts that share a key, given as (n, node, members) by size."""
-    links, met = [], []
-    for first in range(0, len(rows), TILE):
-        part = rows[first:first + TILE]
-        met += [(r[1], key + first) for r in part]
-        members = [np.frombuffer(r[2], np.uint64) for r in part]
-        band = Band(np.array([r[0] for r in part]), [bitmap_of(m, 16) for m in members], percent)
-        parts = Components(len(part))
-        for i in range(len(part)):
-            for j in band.partners(i).tolist():
-                if parts.find(i) != parts.find(j) and linked(members[i], members[j], percent):
-                    parts.join(i, j)
-                    links.append((part[i][1], part[j][1]))
-    return links, met
+def _run_links(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the texts of a run, given as (n, node, members) by size."""
+    members = [np.frombuffer(r[2], np.uint64) for r in rows]
+    band = Band(np.array([r[0] for r in rows]), [bitmap_of(m, 16) for m in members], percent)
+    parts, links = Components(len(rows)), []
+    for i in range(len(rows)):
+        for j in band.partners(i).tolist():
+            if parts.find(i) != parts.find(j) and linked(members[i], members[j], percent):
+                parts.join(i, j)
+                links.append((rows[i][1], rows[j][1]))
+    return links
+
+
+class Runs:
+    """Runs of the texts that share a key and part, from rows in the order of key, part, n and node: the arrays of one run are held."""
+
+    def __init__(self, percent: int, first: int) -> None:
+        self.percent, self.first = percent, first
+        self.at, self.number, self.held, self.bytes = None, 0, [], 0
+
+    def add(self, at: tuple[int, int], n: int, node: int, members: bytes) -> list[tuple[int, int, int, int]]:
+        """Takes a row; gives (kind, key, a, b) of the run that ends before it."""
+        if at == self.at and self.held and self.held[-1][1] == node:
+            return []
+        out = []
+        if at != self.at or len(self.held) >= self.first or self.bytes >= RUN_BYTES:
+            out = self.end()
+            self.number = self.number + 1 if at == self.at else 0
+            self.at, self.held, self.bytes = at, [], 0
+        self.held.append((n, node, members))
+        self.bytes += len(members)
+        return out
+
+    def end(self) -> list[tuple[int, int, int, int]]:
+        if len(self.held) < 2:
+            return []
+        run = xxhash.xxh3_64_intdigest(repr((self.at, self.number))) - (1 << 63)
+        return [*((1, 0, a, b) for a, b in _run_links(self.held, self.percent)), *((2, self.at[0], r[1], run) for r in self.held)]
+
+
+def _rows_of(found: list[tuple[int, int, int, int]]) -> list[np.ndarray]:
+    kind, *others = np.array(found, np.int64).reshape(-1, 4).T
+    return [kind.astype(np.int32), *others]
+
+
+def _split_keys(nodes: DataFrame, shared: DataFrame, first: int) -> dict[int, int]:
+    """Parts of the keys that more than `first` sets hold; there are at most KEYS / `first` of the sets."""
+    hot = materialize(shared.where(F.col("held") > first).select("key"), "hot")
+    if not hot.limit(1).count():
+        return {}
+    held = nodes.select("node", F.explode("keys").alias("key")).join(broadcast_if_counted(hot), "key").groupBy("key").agg(
+        F.count_distinct("node").alias("held"))
+    return {r["key"]: -(-r["held"] // first) for r in held.where(F.col("held") > first).collect()}
+
+
+def _meet_again(reps: DataFrame, percent: int, first: int) -> DataFrame:
+    """Links and runs, as of the second pass, of (key, n, node, members) of one text for every component of a run."""
+    def run(batches):
+        runs = Runs(percent, first)
+        names = ["kind", "key", "a", "b"]
+        for batch in batches:
+            for row in zip(*batch.columns, strict=True):
+                key, n, node, members = (x.as_py() for x in row)
+                found = runs.add((key, -1), n, node, members)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in _rows_of(found)], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in _rows_of(runs.end())], names=names)
+    return reps.repartition("key").sortWithinPartitions("key", "n", "node").mapInArrow(run, "kind int, key long, a long, b long")
 
 
 def _candidates(tiles: DataFrame, percent: int) -> DataFrame:
@@ -266,17 +322,19 @@ def _members(texts: DataFrame, wanted: bytes, size: int) -> DataFrame:
     return texts.mapInArrow(run, "node long, members binary")
 
 
-def _second_pass(texts: DataFrame, counts: np.ndarray, wanted: bytes, size: int, percent: int) -> DataFrame:
+def _second_pass(texts: DataFrame, counts: np.ndarray, wanted: bytes, split: dict[int, int], size: int, percent: int,
+                 first_tile: int) -> DataFrame:
     """What the texts that share a key give: kind 0 (key a token, a node, b its size) for each text of a token that
-    several sets have among their first shingles; kind 1 (a, b) links of the first tiles; kind 2 (a node, b the run
-    of a first tile in which it met others)."""
-    rarity, names, kinds = counts.tobytes(), ["key", "n", "node", "members"], [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+    several sets have among their first shingles; kind 1 (a, b) links of the first tiles; kind 2 (key a tile, a node,
+    b the run of a first tile in which it met others)."""
+    rarity, names = counts.tobytes(), ["key", "n", "node", "part", "members"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
 
     def send(batches):
         known, in_table, seen, order = WordHashes(), table_of(wanted), set(), np.frombuffer(rarity, np.int32)
         for whole in batches:
             for start in range(0, whole.num_rows, 2000):
-                tokens, nodes, numbers, tiles = [], [], [], [[], [], [], []]
+                tokens, nodes, numbers, tiles = [], [], [], [[], [], [], [], []]
                 for content in whole.column(1).slice(start, 2000):
                     members = shingle_set(content.as_py() or "", size, known)
                     n, node = len(members), node_of(members)
@@ -291,56 +349,51 @@ def _second_pass(texts: DataFrame, counts: np.ndarray, wanted: bytes, size: int,
                     numbers.append(np.full(len(first), n, np.int32))
                     keys = np.array(_first_hashes(members))
                     for key in keys[in_table(keys)].tolist():
-                        for column, value in zip(tiles, (key, n, node, members.tobytes()), strict=True):
+                        part = xxhash.xxh3_64_intdigest(repr((key, node))) % split.get(key, 1)
+                        for column, value in zip(tiles, (key, n, node, part, members.tobytes()), strict=True):
                             column.append(value)
                 if tokens:
                     columns = [np.concatenate(x) for x in (tokens, numbers, nodes)]
+                    columns.append(np.zeros(len(columns[0]), np.int32))
                     yield pa.RecordBatch.from_arrays([*[pa.array(c, k) for c, k in zip(columns, kinds, strict=False)],
                                                       pa.nulls(len(columns[0]), pa.binary())], names=names)
                 if tiles[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(tiles, kinds, strict=True)], names=names)
 
     def meet(batches):
-        def grouped():
-            held = []
-            for batch in batches:
-                held.append(batch)
-                if sum(b.num_rows for b in held) >= 4096:
-                    together = pa.concat_batches(held)
-                    keys = together.column(0).to_numpy()
-                    cut = int(np.searchsorted(keys, keys[-1]))
-                    if cut:
-                        yield together.slice(0, cut)
-                    held = [together.slice(cut)]
-            if held:
-                yield pa.concat_batches(held)
-        for batch in grouped():
-            keys, numbers, nodes = (batch.column(i).to_numpy() for i in range(3))
-            plain = ~batch.column(3).is_valid().to_numpy(zero_copy_only=False)
-            new = np.ones(len(keys), bool)  # sorted, so copies of a set sent by several tasks are neighbours
-            new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1]) | (plain[1:] != plain[:-1])
-            out = []
-            some = np.flatnonzero(plain & new)
-            edge = np.flatnonzero(np.diff(keys[some], prepend=keys[some[:1]] - 1 if len(some) else 0))
-            counts_of = np.diff(np.append(edge, len(some)))
-            shared = some[np.repeat(counts_of, counts_of) > 1]
-            out.append((np.zeros(len(shared), np.int32), keys[shared], nodes[shared], numbers[shared].astype(np.int64)))
-            tiles: dict[int, list[tuple]] = {}
-            for i in np.flatnonzero(~plain & new).tolist():
-                tiles.setdefault(int(keys[i]), []).append((int(numbers[i]), int(nodes[i]), batch.column(3)[i].as_py()))
-            for key, rows in tiles.items():
-                if len(rows) > 1:
-                    for kind, pairs in zip((1, 2), _first_tile(rows, key, percent), strict=True):
-                        a, b = np.array(pairs, np.int64).reshape(-1, 2).T
-                        out.append((np.full(len(a), kind, np.int32), np.zeros(len(a), np.int64), a, b))
+        runs, last, last_shared = Runs(percent, first_tile), None, False
+        for batch in batches:
+            keys, numbers, nodes, parts = (batch.column(i).to_numpy() for i in range(4))
+            plain = ~batch.column(4).is_valid().to_numpy(zero_copy_only=False)
+            found = []
+            for i in np.flatnonzero(~plain).tolist():
+                found += runs.add((int(keys[i]), int(parts[i])), int(numbers[i]), int(nodes[i]), batch.column(4)[i].as_py())
+            out = [_rows_of(found)]
+            if plain.any():
+                token = [y[plain].astype(np.int64) for y in (keys, nodes, numbers)]
+                if last is not None:
+                    token = [np.append(x, y) for x, y in zip(last, token, strict=True)]
+                new = np.ones(len(token[0]), bool)  # sorted, so copies of a set sent by several tasks are neighbours
+                new[1:] = (token[0][1:] != token[0][:-1]) | (token[1][1:] != token[1][:-1])
+                token = [x[new] for x in token]
+                same = token[0][1:] == token[0][:-1]
+                shared = np.append(last_shared, same) | np.append(same, False)
+                # whether the last row has a neighbour is known when the next batch comes
+                last, last_shared = tuple(x[-1:] for x in token), bool(shared[-1])
+                keep = np.flatnonzero(shared[:-1])
+                out.append([np.zeros(len(keep), np.int32), *(x[keep] for x in token)])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[k] for o in out])) for k in range(4)], names=["kind", "key", "a", "b"])
-    sent = texts.mapInArrow(send, "key long, n int, node long, members binary")
-    return sent.repartition("key").sortWithinPartitions("key", F.col("members").isNull(), "n", "node").mapInArrow(
+        out = [_rows_of(runs.end())]
+        if last_shared:
+            out.append([np.zeros(1, np.int32), *last])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[k] for o in out])) for k in range(4)], names=["kind", "key", "a", "b"])
+    sent = texts.mapInArrow(send, "key long, n int, node long, part int, members binary")
+    return sent.repartition("key", "part").sortWithinPartitions("key", "part", F.col("members").isNull(), "n", "node").mapInArrow(
         meet, "kind int, key long, a long, b long")
 
 
 def join_texts(documents: DataFrame, shingle: int = 4, percent: int = 85, tile: int = TILE,
-               doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+               doc_id: str = "doc_id", text: str = "text", first_tile: int = TILE) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text_hash, node, n, component) per row, the component being named by a node, and the links (a, b) of nodes
     that connect them.  Equal sets have one node."""
     texts = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"),
@@ -349,13 +402,27 @@ def join_texts(documents: DataFrame, shingle: int = 4, percent: int = 85, tile:
     rows = written.where("slice is null")
     nodes = rows.where("node is not null")
     counts = _shingle_counts(written)
-    keys = nodes.select("node", F.explode("keys").alias("key")).groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    wanted = hash_table(keys.where("low <> high"), F.col("key"))
-    passed = materialize(_second_pass(texts, counts, wanted, shingle, percent), "met")
+    keys = nodes.select("node", F.explode("keys").alias("key")).groupBy("key").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("held"))
+    shared = materialize(keys.where("low <> high").select("key", "held"), "keys")
+    split = _split_keys(nodes, shared, first_tile)
+    passed = materialize(_second_pass(texts, counts, hash_table(shared, F.col("key")), split, shingle, percent, first_tile), "met")
     once = nodes.groupBy("node").agg(F.first("bitmap").alias("bitmap"))
     forest = passed.where("kind = 1").select("a", "b")
     labels = materialize(connected_components(forest), "labels")
-    met = passed.where("kind = 2").groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("met"))
+    linking = passed.where("kind > 0")
+    if split:
+        # one text of every linked component of a run meets those of the other runs of its key
+        runs = passed.where("kind = 2").join(F.broadcast(documents.sparkSession.createDataFrame([(k,) for k in split], "key long")), "key")
+        reps = materialize(runs.join(labels, runs["a"] == labels["node"]).groupBy("key", "b", "component").agg(F.min("a").alias("node"))
+                           .select("key", "node").distinct(), "reps")
+        hashes = rows.join(reps.select("node").distinct(), "node").select("text_hash")
+        arrays = _members(texts, hash_table(hashes, F.col("text_hash")), shingle).groupBy("node").agg(F.first("members").alias("members"))
+        reps = reps.join(arrays, "node").select("key", F.expr("cast(octet_length(members) / 8 as int)").alias("n"), "node", "members")
+        linking = linking.unionAll(materialize(_meet_again(reps, percent, first_tile), "again"))
+        forest = linking.where("kind = 1").select("a", "b")
+        labels = materialize(connected_components(forest), "labels")
+    met = linking.where("kind = 2").groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("met"))
     prefixes = passed.where("kind = 0").select(F.col("key").alias("token"), F.col("a").alias("node"), F.col("b").alias("n"))
     prefixes = prefixes.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
     mixed = prefixes.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"),

@@ -143,6 +143,27 @@ def test_join_as_all_pairs(spark, docs, tile):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, groups.values()))
 
 
+def test_large_first_tiles_are_dealt_into_runs(spark):
+    import numpy as np
+    words = [f"w{k}" for k in range(200)]
+    near = [" ".join(w if i != 3 + 2 * k else f"new{k}" for i, w in enumerate(words)) for k in range(60)]
+    far = [" ".join(f"{k}x{i}" for i in range(50)) for k in range(5)]
+    docs = spark.createDataFrame(list(enumerate(near + far)), "doc_id long, text string").repartition(3)
+    for first in (2048, 7):
+        joined, links = jaccard_join.join_texts(docs, first_tile=first)
+        groups = {}
+        for r in joined.collect():
+            groups.setdefault(r["component"], []).append(r["doc_id"])
+        assert sorted(map(len, groups.values())) == [1] * 5 + [60] and sorted(max(groups.values(), key=len)) == list(range(60))
+        assert links.count() < 60 * 7
+    runs, found = jaccard_join.Runs(85, 7), []
+    for k in range(60):
+        found += runs.add((1, 0), 3, k, np.arange(3, dtype=np.uint64).tobytes())
+        assert len(runs.held) <= 7
+    found += runs.end()
+    assert sorted(f[2] for f in found if f[0] == 2) == list(range(60)) and len({f[3] for f in found if f[0] == 2}) == 9
+
+
 def test_classifier_learns_and_handles_gaps(spark, docs):
     good, bad = "calm clear words in a row here", "### $$$ buy!! buy!! ###"
     rows = [(k, (good if k % 2 else bad) + f" {k}") for k in range(80)] + [(200, None), (None, "")]
