@@ -1,7 +1,8 @@
 """A training corpus from `documents`: low quality, copies, near copies and benchmark passages go, the rest is encoded.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the one before kept.  The pipeline has no
-SQL form, since the quality classifier is learned; tests hold it against a brute-force version.
+SQL form, since the quality classifier is learned; tests hold its operators against brute force one by one, but
+not yet the rows of `run()`.
 
 Null and empty texts are one group of copies; an empty table passes through; columns beyond those of
 `documents` are kept up to the last stage, which returns ids of tokens.
