@@ -167,10 +167,8 @@ def shard_nodes(shard: pa.Table, band: int) -> pa.Table:
             # what rows carry from deeper bands is in this depth's sums already
             np.add.at(leaves, holder, below["leaves"] - below["extra_leaves"])
             np.add.at(saved, holder, below["saved"] - below["extra_saved"])
-        if d < band:
-            own = ~opened
-            leaves += own & (children == 0)
-            saved += np.where(own, (count - 1) * size, 0)
+        leaves += ~opened & (children == 0) & (d < band)
+        saved += np.where(opened, 0, (count - 1) * size)
         below = {"starts": starts, "open": opened, "leaves": leaves, "saved": saved, "extra_leaves": extra_leaves, "extra_saved": extra_saved}
         finished = np.flatnonzero(lengths == d)
         at = np.searchsorted(finished, starts), np.searchsorted(finished, ends_at)
@@ -220,8 +218,8 @@ def _hash_ends(batches):
 
 
 def trie_of_bands(rows: DataFrame, band: int, shard: int) -> DataFrame:
-    """Node rows of written band rows: key, parent_key, depth, band_root, beyond, low, n, parent_low, children, leaves, saved, ends_sha256.
-    Rows `beyond` stand for nodes of the next band and have only key and parent_low."""
+    """Node rows of written band rows: key, parent_key, depth, band_root, beyond, size, low, n, parent_low, children, leaves, saved, ends_sha256.
+    Rows `beyond` are the last nodes of full bands, which the next band gives as its roots; the bytes of their text count here."""
     n = rows.count()
 
     def nodes(batches):
@@ -241,12 +239,13 @@ def trie_of_bands(rows: DataFrame, band: int, shard: int) -> DataFrame:
     open_children = merged.groupBy(F.col("parent_key").alias("key")).agg(F.count(F.lit(1)).alias("open_children"))
     merged = merged.join(open_children, "key", "left").withColumn("children", F.col("children") + F.coalesce("open_children", F.lit(0)))
     # open nodes below give to all above them what no shard could know: their own bytes, and that they are childless
-    given = merged.where("not beyond").select(F.explode(F.concat("above", F.array("key"))).alias("key"), F.when(F.col("children") == 0, 1).otherwise(0).alias("leaf"),
-                                              ((F.col("n") - 1) * F.col("size")).alias("bytes"))
+    takers = F.when(F.col("beyond"), F.col("above")).otherwise(F.concat("above", F.array("key")))
+    given = merged.select(F.explode(takers).alias("key"), F.when((F.col("children") == 0) & ~F.col("beyond"), 1).otherwise(0).alias("leaf"),
+                          ((F.col("n") - 1) * F.col("size")).alias("bytes"))
     given = given.groupBy("key").agg(F.sum("leaf").alias("leaf"), F.sum("bytes").alias("bytes"))
     lows = merged.where("not beyond").select(F.col("key").alias("parent_key"), F.col("low").alias("up"))
     whole = merged.join(given, "key", "left").join(ends, "key", "left").join(lows, "parent_key", "left").select(
-        "key", "parent_key", "depth", "band_root", "beyond", "low", "n", F.col("up").alias("parent_low"), "children",
+        "key", "parent_key", "depth", "band_root", "beyond", "size", "low", "n", F.col("up").alias("parent_low"), "children",
         (F.col("leaves") + F.coalesce("leaf", F.lit(0))).alias("leaves"), (F.col("saved") + F.coalesce("bytes", F.lit(0))).alias("saved"),
         F.coalesce("sha", F.lit(_EMPTY_SHA)).alias("ends_sha256"))
     under_open = F.col("parent_low").isNull() & F.col("parent_key").isNotNull()
@@ -275,8 +274,9 @@ def conversation_trie(conversations: DataFrame, band: int = BAND, shard: int = S
     nodes = trie_of_bands(rows, band, shard)
     if last:
         nodes = materialize(nodes, "trie_nodes")
-        links = nodes.where("beyond").select("key", F.col("parent_low").alias("up"))
-        nodes = nodes.where("not beyond").join(links, "key", "left").withColumn("parent_low", F.coalesce("parent_low", "up"))
+        links = nodes.where("beyond").select("key", F.col("parent_low").alias("up"), F.col("size").alias("last"))
+        nodes = nodes.where("not beyond").join(links, "key", "left").withColumns({
+            "parent_low": F.coalesce("parent_low", "up"), "saved": F.col("saved") + (F.col("n") - 1) * F.coalesce("last", none)})
     return nodes.where("not beyond").select(F.col("low").alias("conv_id"), "depth", F.col("parent_low").alias("parent_conv_id"), F.col("n").alias("n_convs"),
                                             F.col("children").alias("n_children"), F.col("leaves").alias("n_leaves"), F.col("saved").alias("saved_tokens"), "ends_sha256")
 
