@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from boundaryspark.functions import scalars as S
 from boundaryspark.operators.edges import assemble
-from boundaryspark.runtime import running_sums
+from boundaryspark.runtime import materialize, running_sums
+from boundaryspark.sources.json_ranges import read_elements
 
 FEATURES = "array<struct<type:string,properties:string,geometry:struct<type:string,coordinates:string>>>"
 POINTS = "array<array<array<array<double>>>>"
@@ -35,9 +36,14 @@ def _feature_columns(features: DataFrame, others: list[str]) -> DataFrame:
 
 
 def read_feature_collections(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row per feature; `layer` is the file."""
-    texts = spark.read.text(paths, wholetext=True).withColumn("layer", F.col("_metadata.file_path"))
-    return parse_collections(texts)
+    """One row per feature; `layer` is the file.
+
+    Files of any layout are read by byte ranges, so a large file is shared out over many tasks; a feature is one row.
+    """
+    elements = read_elements(spark, paths, [("features", "")])
+    features = elements.select("layer", F.col("element_no").cast("int").alias("feature_no"), F.from_json(
+        F.col("element").cast("string"), FEATURES.removeprefix("array<").removesuffix(">")).alias("_f"))
+    return _feature_columns(features, ["layer", "feature_no"])
 
 
 def read_feature_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -62,26 +68,49 @@ def features_of_members(members: DataFrame) -> DataFrame:
 
 # --- TopoJSON ------------------------------------------------------------------------------------
 
+_TOPO_GEOMETRY = "struct<type:string,arcs:string,properties:string>"
 TOPOLOGY = ("struct<transform:struct<scale:array<double>,translate:array<double>>,arcs:array<array<array<double>>>,"
-            "objects:map<string,struct<geometries:array<struct<type:string,arcs:string,properties:string>>>>>")
+            f"objects:map<string,struct<geometries:array<{_TOPO_GEOMETRY}>>>>")
 
 
 def read_topologies(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """One row per file, for small files."""
     texts = spark.read.text(paths, wholetext=True).withColumn("layer", F.col("_metadata.file_path"))
     return texts.select("layer", F.from_json("value", TOPOLOGY).alias("t"))
 
 
+def read_topology_tables(spark: SparkSession, paths: str | list[str], name: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The tables of `topology_tables` for the object `name` (the first with geometries if None) of files read by byte ranges.
+
+    Arcs are rows, so no task holds a file.  Ranges end at `]]`, as between two arcs without white space.
+    """
+    found = read_elements(spark, paths, [("arcs", ""), ("objects", "*", "geometries", ""), ("transform",)], "]]")
+    value = F.col("element").cast("string")
+    change = found.filter("pattern = 2").select("layer", F.from_json(value, "struct<scale:array<double>,translate:array<double>>").alias("transform"))
+    arcs = found.filter("pattern = 0").select("layer", F.col("element_no").cast("int").alias("arc_id"), F.from_json(value, "array<array<double>>").alias("_a"))
+    rows = found.filter("pattern = 1").select("layer", "name", "element_no", F.from_json(value, _TOPO_GEOMETRY).alias("_g"))
+    firsts = rows.groupBy("layer").agg(F.min_by("name", "element_no").alias("_name")) if name is None else \
+        rows.select("layer", F.lit(name).alias("_name")).distinct()
+    wanted = rows.join(firsts, (rows["layer"] == firsts["layer"]) & rows["name"].eqNullSafe(firsts["_name"])).drop(firsts["layer"])
+    begins = wanted.groupBy("layer").agg(F.min("element_no").alias("_least"))
+    geometries = wanted.join(begins, "layer").select("layer", (F.col("element_no") - F.col("_least")).cast("int").alias("feature_no"), "_g")
+    return _topology_parts(arcs.join(F.broadcast(change), "layer", "left"), geometries)
+
+
 def topology_tables(topologies: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """arcs(layer, arc_id, seq, dx, dy, scale, translate), ring_arcs(...) and feature properties."""
-    scale = F.coalesce(F.col("t.transform.scale"), F.array(F.lit(1.0), F.lit(1.0)))
-    shift = F.coalesce(F.col("t.transform.translate"), F.array(F.lit(0.0), F.lit(0.0)))
-    arcs = topologies.select("layer", scale.alias("_s"), shift.alias("_t"), F.col("t.transform").isNotNull().alias("quantised"),
-                             F.posexplode("t.arcs").alias("arc_id", "_a"))
+    arcs = topologies.select("layer", F.col("t.transform").alias("transform"), F.posexplode("t.arcs").alias("arc_id", "_a"))
+    first = F.element_at(F.map_values("t.objects"), 1)["geometries"]
+    return _topology_parts(arcs, topologies.select("layer", F.posexplode(first).alias("feature_no", "_g")))
+
+
+def _topology_parts(arcs: DataFrame, geometries: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    scale = F.coalesce(F.col("transform.scale"), F.array(F.lit(1.0), F.lit(1.0)))
+    shift = F.coalesce(F.col("transform.translate"), F.array(F.lit(0.0), F.lit(0.0)))
+    arcs = arcs.select("layer", "arc_id", "_a", scale.alias("_s"), shift.alias("_t"), F.col("transform").isNotNull().alias("quantised"))
     points = arcs.select("layer", "arc_id", "quantised", F.col("_s")[0].alias("sx"), F.col("_s")[1].alias("sy"),
                          F.col("_t")[0].alias("tx"), F.col("_t")[1].alias("ty"), F.posexplode("_a").alias("seq", "_p")) \
         .select("layer", "arc_id", "seq", F.col("_p")[0].alias("dx"), F.col("_p")[1].alias("dy"), "sx", "sy", "tx", "ty", "quantised")
-    first = F.element_at(F.map_values("t.objects"), 1)["geometries"]
-    geometries = topologies.select("layer", F.posexplode(first).alias("feature_no", "_g"))
     refs = F.when(F.col("_g.type") == "Polygon", F.concat(F.lit("["), F.col("_g.arcs"), F.lit("]"))) \
         .when(F.col("_g.type") == "MultiPolygon", F.col("_g.arcs"))
     polygons = geometries.select("layer", "feature_no", F.posexplode(F.from_json(refs, "array<array<array<int>>>")).alias("poly", "_p"))
@@ -116,7 +145,15 @@ def splice_rings(points: DataFrame, ring_arcs: DataFrame, ids: list[str]) -> Dat
 
 
 def topojson_to_features(topologies: DataFrame) -> DataFrame:
-    arcs, ring_arcs, props = topology_tables(topologies)
+    return _topology_features(*topology_tables(topologies))
+
+
+def read_topojson_features(spark: SparkSession, paths: str | list[str], name: str | None = None) -> DataFrame:
+    """Features of one object of TopoJSON files, which are read by byte ranges."""
+    return _topology_features(*[materialize(t, "topology") for t in read_topology_tables(spark, paths, name)])
+
+
+def _topology_features(arcs: DataFrame, ring_arcs: DataFrame, props: DataFrame) -> DataFrame:
     vertices = splice_rings(delta_decode(arcs, ["layer", "arc_id"]), ring_arcs, ["feature_no"])
     return assemble(vertices, ["layer", "feature_no"]).join(props, ["layer", "feature_no"])
 
