@@ -7,10 +7,11 @@ the nodes that begin with them and the ends.  A node that all occurrences enter
 chains of such edges are compacted into paths by pointer doubling, and a path gives its four-word phrases from one row; its inner nodes
 lie in an edge of the same count and so are no candidates.  There are no unary cycles, since every occurrence has a first word.
 
-A phrase is frequent only if its parts are.  Two passes before count words and pairs of frequent words; texts are then cut at pairs
-that aren't frequent, which changes the count of no frequent phrase.  Which are frequent is told by bit tables of fixed size;
-a false hit costs a row, never a result.  All counts are aggregates that combine before the shuffle, so a very common phrase is
-a row of each task.  Words are 64-bit hashes of language and word; strings come back for the rows returned.
+A phrase is frequent only if its parts are.  Passes before count words, pairs of frequent words and threes of frequent pairs; texts are then
+cut at pairs and threes that aren't frequent, which changes the count of no frequent phrase.  These counts are held by 32 bits of a hash, so they are
+never too low, and bit tables of fixed size tell which are frequent; a false hit costs a row, never a result.  All counts are aggregates
+that combine before the shuffle, so a very common phrase is a row of each task.  Words are 64-bit hashes of language and word; a last pass
+spells the words of the rows returned.
 
 Edge cases: a null language is `und`, a null or empty text has no words; a text is whole at any length; a repeated row counts
 again; scores that tie go by count and phrase; an empty table, or one without frequent phrases, gives an empty result.
@@ -79,11 +80,15 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], li
             yield texts, languages
 
 
-def _pairs(keys: np.ndarray, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Key of every two words that follow one another, and whether they are of one piece."""
+def _follows(keys: np.ndarray, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every two words that follow one another, and whether they are of one piece."""
     return mix(keys[:-1] * _STEP + keys[1:]), pieces[1:] == pieces[:-1]
 
 
+def _threes(pair: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return mix(pair[:-1] * _STEP ^ pair[1:]), linked[:-1] & linked[1:]
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
@@ -92,59 +97,115 @@ def _inputs(documents: DataFrame, text: str, lang: str) -> DataFrame:
     return documents.select(F.coalesce(F.col(text), F.lit("")).cast("binary").alias("raw"), F.coalesce(F.col(lang), F.lit("und")).alias("lang"))
 
 
-def count_words(texts: DataFrame) -> DataFrame:
-    """(word_key, lang, word, n) of all words."""
+def count_words(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(word_key, language, n) of all words, and (language, lang, n) of all languages; `language` is the hash of its name."""
     def count(batches):
         for raw, languages in _chunks(batches):
-            keys, _, row, starts, ends, data = words_of(raw, languages)
+            keys, _, row, *_ = words_of(raw, languages)
+            seeds = np.array([xxhash.xxh3_64_intdigest(x) for x in languages], np.uint64)
             unique, first, n = np.unique(keys, return_index=True, return_counts=True)
-            whole = data.tobytes()
-            words = [whole[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([_signed(unique), pa.array([languages[r] for r in row[first].tolist()], pa.string()),
-                                              pa.array(words, pa.binary()).cast(pa.string()), pa.array(n.astype(np.int64))],
-                                             names=["word_key", "lang", "word", "n"])
-    counted = texts.mapInArrow(count, "word_key long, lang string, word string, n long")
-    return counted.groupBy("word_key").agg(F.min("lang").alias("lang"), F.min("word").alias("word"), F.sum("n").alias("n"))
-
-
-def frequent_pairs(texts: DataFrame, words: bytes, least: int) -> DataFrame:
-    """(pair, n) of the keys of frequent pairs of frequent words."""
+            yield pa.RecordBatch.from_arrays([_signed(unique), _signed(seeds[row[first]]), pa.array(n.astype(np.int64)),
+                                              pa.nulls(len(n), pa.string())], names=names)
+            _, first, n = np.unique(seeds[row], return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.int64()), _signed(seeds[row[first]]), pa.array(n.astype(np.int64)),
+                                              pa.array([languages[r] for r in row[first].tolist()], pa.string())], names=names)
+    names = ["word_key", "language", "n", "lang"]
+    counted = texts.mapInArrow(count, "word_key long, language long, n long, lang string").groupBy(*[n for n in names if n != "n"]).agg(F.sum("n").alias("n"))
+    counted = materialize(counted, "words")
+    return counted.where("word_key is not null").drop("lang"), counted.where("word_key is null").drop("word_key")
+
+
+def _count_hashes(texts: DataFrame, least: int, hashes) -> DataFrame:
+    """(hash, n) of the 32-bit hashes that occur at least `least` times; `hashes` makes them of keys and pieces."""
     def count(batches):
-        known = table_of(words)
         for raw, languages in _chunks(batches):
             keys, pieces, *_ = words_of(raw, languages)
-            pair, joined = _pairs(keys, pieces)
-            often = known(keys)
-            unique, n = np.unique(pair[joined & often[:-1] & often[1:]], return_counts=True)
-            yield pa.RecordBatch.from_arrays([_signed(unique), pa.array(n.astype(np.int32))], names=["pair", "n"])
-    return texts.mapInArrow(count, "pair long, n int").groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+            unique, n = np.unique(hashes(keys, pieces) >> np.uint64(32), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(unique.astype(np.uint32).view(np.int32)), pa.array(n.astype(np.int32))], names=["hash", "n"])
+    return texts.mapInArrow(count, "hash int, n int").groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+
+class _Known:
+    """Are words, pairs or threes frequent?  Bit tables are unpacked once in a task."""
+
+    def __init__(self, *packed: bytes) -> None:
+        self.packed, self.tables = packed, []
+
+    def __getitem__(self, k: int):
+        self.tables = self.tables or [table_of(p) for p in self.packed]
+        return self.tables[k]
+
+    def linked(self, keys: np.ndarray, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        pair, joined = _follows(keys, pieces)
+        return pair, joined & self[0](pair >> np.uint64(32))
+
+
+def _hash_bits(hashes: DataFrame) -> bytes:
+    return hash_table(hashes, F.col("hash").cast("long"))
+
 
+def frequent_pairs(texts: DataFrame, words: bytes, least: int) -> bytes:
+    """Bit table of the pairs of frequent words that occur often enough."""
+    often = _Known(words)
+
+    def pairs(keys, pieces):
+        known, (pair, joined) = often[0](keys), _follows(keys, pieces)
+        return pair[joined & known[:-1] & known[1:]]
+    return _hash_bits(_count_hashes(texts, least, pairs))
+
+
+def frequent_threes(texts: DataFrame, pairs: bytes, least: int) -> bytes:
+    often = _Known(pairs)
+
+    def threes(keys, pieces):
+        three, linked = _threes(*often.linked(keys, pieces))
+        return three[linked]
+    return _hash_bits(_count_hashes(texts, least, threes))
+
+
+def count_edges(texts: DataFrame, pairs: bytes, threes: bytes) -> DataFrame:
+    """(w1, w2, w3, w4, n): the longest phrase of two to four words that starts at a word and whose pairs and threes are
+    frequent; w3 and w4 are null where it ends before."""
+    often = _Known(pairs, threes)
 
-def count_edges(texts: DataFrame, pairs: bytes) -> DataFrame:
-    """(w1, w2, w3, w4, n): the longest phrase of up to four words that starts at each word, w3 and w4 null at the end of a piece."""
     def count(batches):
-        known = table_of(pairs)
         for raw, languages in _chunks(batches):
             keys, pieces, *_ = words_of(raw, languages)
-            pair, joined = _pairs(keys, pieces)
-            follows = np.append(joined & known(pair), [False] * 4) if len(keys) else np.zeros(4, bool)
-            two = np.flatnonzero(follows[:len(keys)])
-            three = follows[two + 1]
-            four = three & follows[two + 2]
+            pair, linked = often.linked(keys, pieces)
+            three, both = _threes(pair, linked)
+            both = np.append(both & often[1](three >> np.uint64(32)), [False] * 4)
+            two = np.flatnonzero(linked)
+            third = both[two]
+            fourth = third & both[two + 1]
             padded = np.append(keys, np.zeros(4, np.uint64))
-            columns = [padded[two], padded[two + 1], np.where(three, padded[two + 2], np.uint64(0)), np.where(four, padded[two + 3], np.uint64(0))]
-            row = three.astype(np.uint64) + four
+            columns = [padded[two], padded[two + 1], np.where(third, padded[two + 2], np.uint64(0)), np.where(fourth, padded[two + 3], np.uint64(0))]
+            row = third.astype(np.uint64) + fourth
             for c in columns:
                 row = mix(row * _STEP + c)
             _, first, n = np.unique(row, return_index=True, return_counts=True)
-            three, four = three[first], four[first]
+            third, fourth = third[first], fourth[first]
             yield pa.RecordBatch.from_arrays([_signed(columns[0][first]), _signed(columns[1][first]),
-                                              pa.array(columns[2][first].view(np.int64), mask=~three), pa.array(columns[3][first].view(np.int64), mask=~four),
+                                              pa.array(columns[2][first].view(np.int64), mask=~third), pa.array(columns[3][first].view(np.int64), mask=~fourth),
                                               pa.array(n.astype(np.int64))], names=["w1", "w2", "w3", "w4", "n"])
     sent = texts.mapInArrow(count, "w1 long, w2 long, w3 long, w4 long, n long")
     return sent.groupBy("w1", "w2", "w3", "w4").agg(F.sum("n").alias("n"))
 
 
+def spell(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(word_key, word) of the keys in `wanted`, a written table."""
+    often = _Known(hash_table(wanted, F.col("word_key")))
+
+    def found(batches):
+        for raw, languages in _chunks(batches):
+            keys, _, _, starts, ends, data = words_of(raw, languages)
+            unique, first = np.unique(keys, return_index=True)
+            keep = often[0](unique)
+            whole, first = data.tobytes(), first[keep]
+            words = [whole[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([_signed(unique[keep]), pa.array(words, pa.binary()).cast(pa.string())], names=["word_key", "word"])
+    return texts.mapInArrow(found, "word_key long, word string").distinct().join(wanted.select("word_key").distinct(), "word_key", "left_semi")
+
+
 def phrase_key(*words: str):
     return F.xxhash64(F.lit(len(words)), *words)
 
@@ -186,34 +247,33 @@ def _cover(longer: DataFrame, size: int) -> DataFrame:
     return ends.groupBy(*names).agg(F.max("n").alias("cover"))
 
 
-def phrase_graph(documents: DataFrame, least: int = LEAST, text: str = "text", lang: str = "lang") -> dict[str, DataFrame]:
-    """Written tables of the frequent part of the graph: words, pairs (w1, w2), nodes (w1-w3), paths (words), each with its count n, and
-    totals (lang, n) of all words."""
-    texts = _inputs(documents, text, lang)
-    every = materialize(count_words(texts), "words")
-    totals = materialize(every.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    words = every.where(F.col("n") >= least)
-    pairs = hash_table(frequent_pairs(texts, hash_table(words, F.col("word_key")), least), F.col("pair"))
-    rows = materialize(count_edges(texts, pairs), "edges")
+def phrase_graph(texts: DataFrame, least: int = LEAST) -> dict[str, DataFrame]:
+    """Written tables of the frequent part of the graph of (raw, lang): words, pairs (w1, w2), nodes (w1-w3) and paths (words), each with
+    its count n, and languages with the number of all their words."""
+    words, languages = count_words(texts)
+    words = words.where(F.col("n") >= least)
+    pairs = frequent_pairs(texts, hash_table(words, F.col("word_key")), least)
+    rows = materialize(count_edges(texts, pairs, frequent_threes(texts, pairs, least)), "edges")
     flow = rows.where("w3 is not null").groupBy("w1", "w2", "w3").agg(F.sum("n").alias("n"))
     flow = materialize(flow, "nodes")
     two = flow.select("w1", "w2", "n").unionAll(rows.where("w3 is null").select("w1", "w2", "n"))
     two = materialize(two.groupBy("w1", "w2").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "pairs")
     nodes = flow.where(F.col("n") >= least)
     paths = materialize(compact_paths(rows.where(F.col("w4").isNotNull() & (F.col("n") >= least)), nodes), "paths")
-    return {"words": words, "pairs": two, "nodes": nodes, "paths": paths, "totals": totals}
+    return {"words": words, "pairs": two, "nodes": nodes, "paths": paths, "languages": languages}
 
 
 def collocations(documents: DataFrame, least: int = LEAST, top: int = TOP, cover_percent: int = COVER_PERCENT, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the first `top` phrases of two to four words of each language."""
-    graph = phrase_graph(documents, least, text, lang)
+    texts = _inputs(documents, text, lang)
+    graph = phrase_graph(texts, least)
     words, pairs, nodes, paths = (graph[k] for k in ("words", "pairs", "nodes", "paths"))
     fours = _windows(paths, 4)
     covered = F.coalesce(100 * F.col("cover").cast("decimal(30,0)") >= cover_percent * F.col("n").cast("decimal(30,0)"), F.lit(False))
     inner = _windows(paths, 3, inner=True)
     threes = nodes.join(inner, ["w1", "w2", "w3"], "left_anti").join(_cover(fours, 3), ["w1", "w2", "w3"], "left").where(~covered)
     twos = pairs.join(_cover(nodes, 2), ["w1", "w2"], "left").where(~covered)
-    counts = materialize(words.select(phrase_key("word_key").alias("part"), "n", "lang").unionByName(
+    counts = materialize(words.select(phrase_key("word_key").alias("part"), "n", "language").unionByName(
         pairs.select(phrase_key("w1", "w2").alias("part"), "n"), allowMissingColumns=True).unionByName(
         nodes.select(phrase_key("w1", "w2", "w3").alias("part"), "n"), allowMissingColumns=True), "parts")
 
@@ -223,18 +283,19 @@ def collocations(documents: DataFrame, least: int = LEAST, top: int = TOP, cover
         return rows.select(F.array(*names).alias("words"), F.col("n").alias("a"), F.explode(ways).alias("cut")).select("words", "a", "cut.*")
     every = cuts(fours, 4).unionAll(cuts(threes, 3)).unionAll(cuts(twos, 2))
     parts = broadcast_if_counted(counts)
-    every = every.join(parts.select(F.col("part").alias("left"), F.col("n").alias("l"), "lang"), "left")
+    every = every.join(parts.select(F.col("part").alias("left"), F.col("n").alias("l"), "language"), "left")
     every = every.join(parts.select(F.col("part").alias("right"), F.col("n").alias("r")), "right")
     every = every.withColumn("score", F.expr(f"cast(a as decimal(20,0)) * {SCALE} div (cast(l as decimal(20,0)) + cast(r as decimal(20,0)))"))
-    best = every.groupBy("words", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("_best"), F.max("lang").alias("lang"))
-    best = best.select("lang", "words", "a", "_best.l", "_best.r", "_best.score")
+    best = every.groupBy("words", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("_best"), F.max("language").alias("language"))
+    best = best.select("language", "words", "a", "_best.l", "_best.r", "_best.score")
     # ties stay until the phrases themselves are there to part them
     order = [F.col("score").desc(), F.col("a").desc()]
-    best = best.withColumn("_rank", F.rank().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("_rank") <= top).drop("_rank")
+    best = best.withColumn("_rank", F.rank().over(Window.partitionBy("language").orderBy(*order))).where(F.col("_rank") <= top).drop("_rank")
     best = materialize(best.withColumn("_id", F.xxhash64("words")), "best")
-    spelled = best.select("_id", F.posexplode("words").alias("_at", "word_key")).join(words.select("word_key", "word"), "word_key")
+    places = materialize(best.select("_id", F.posexplode("words").alias("_at", "word_key")), "best")
+    spelled = places.join(spell(texts, places), "word_key")
     spelled = spelled.groupBy("_id").agg(F.concat_ws(" ", F.array_sort(F.collect_list(F.struct("_at", "word")))["word"]).alias("phrase"))
-    out = best.join(spelled, "_id").join(broadcast_if_counted(graph["totals"]), "lang")
+    out = best.join(spelled, "_id").join(broadcast_if_counted(graph["languages"]), "language")
     out = out.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order, "phrase")).cast("long"))
     return out.where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 

@@ -164,8 +164,8 @@ def test_phrases_as_by_hand(spark, monkeypatch, chunk):
 
 def test_paths_are_compacted(spark):
     rows = [("en", "a b c d e f g h")] * 5 + [("en", "c d e f x")] * 3
-    df = spark.createDataFrame(rows, "lang string, text string")
-    graph = phrases.phrase_graph(df, least=3)
-    names = {r.word_key: r.word for r in graph["words"].collect()}
+    texts = spark.createDataFrame(rows, "lang string, raw string").selectExpr("cast(raw as binary) raw", "lang")
+    graph = phrases.phrase_graph(texts, least=3)
+    names = {r.word_key: r.word for r in phrases.spell(texts, graph["words"]).collect()}
     paths = sorted((" ".join(names[w] for w in r.words), r.n) for r in graph["paths"].collect())
     assert paths == [("a b c d e", 5), ("c d e f", 8), ("d e f g h", 5), ("d e f x", 3)]
