@@ -84,50 +84,98 @@ def package_fingerprint(spark, sf_dir):
 # --- topology files ------------------------------------------------------------------------------
 
 _STEP = 0.0001
+_Q = f"round(round({{0}} / {_STEP}) * {_STEP}, 6)"
 
 
-def quantised_arcs(spark, sf_dir, inner=False):
-    """Outer rings, and inner ones if asked, as two delta-encoded arcs each; the second one is stored backwards."""
-    points = E.explode_vertices(features(spark, sf_dir, "ADM2"), ["uid"]).filter(F.lit(inner) | (F.col("ring") == 0))
-    number = (lambda ring: (F.col("uid") * 2 + ring) * 2) if inner else (lambda ring: F.col("uid") * 2)
+def quantised_arcs(spark, sf_dir):
+    """Every ring as two delta-encoded arcs, by level; the second one is stored backwards."""
+    points = E.explode_vertices(features(spark, sf_dir), ["adm", "iso", "uid"])
+    number = (F.col("uid") * 2 + F.col("ring")) * 2
     q = lambda c: F.round(F.col(c) / _STEP)
-    n = F.max("seq").over(W.partitionBy("uid", "ring"))
+    n = F.max("seq").over(W.partitionBy("adm", "uid", "ring"))
     both = points.withColumn("_n", n).withColumn("part", F.explode(F.array(F.lit(0), F.lit(1)))).filter(
         ((F.col("part") == 0) & (F.col("seq") <= 2)) | ((F.col("part") == 1) & (F.col("seq") >= 2)))
-    placed = both.select(F.lit("units").alias("layer"), (number(F.col("ring")) + F.col("part")).alias("arc_id"),
+    placed = both.select(F.col("adm").alias("layer"), "iso", (number + F.col("part")).alias("arc_id"),
                          F.when(F.col("part") == 0, F.col("seq")).otherwise(F.col("_n") - F.col("seq")).alias("seq"),
                          q("x").alias("qx"), q("y").alias("qy"))
-    by_arc = W.partitionBy("arc_id").orderBy("seq")
+    by_arc = W.partitionBy("layer", "arc_id").orderBy("seq")
     step = lambda c: F.col(c) - F.coalesce(F.lag(c).over(by_arc), F.lit(0.0))
-    arcs = placed.select("layer", "arc_id", "seq", step("qx").alias("dx"), step("qy").alias("dy"), F.lit(_STEP).alias("sx"), F.lit(_STEP).alias("sy"),
+    arcs = placed.select("layer", "iso", "arc_id", "seq", step("qx").alias("dx"), step("qy").alias("dy"), F.lit(_STEP).alias("sx"), F.lit(_STEP).alias("sy"),
                          F.lit(0.0).alias("tx"), F.lit(0.0).alias("ty"), F.lit(True).alias("quantised"))
-    rings = points.select("uid", "ring").distinct()
-    refs = rings.select(F.lit("units").alias("layer"), "uid", F.lit(0).alias("poly"), "ring",
-                        F.posexplode(F.array(number(F.col("ring")), number(F.col("ring")) + 1)).alias("pos", "arc_id")) \
+    rings = points.select("adm", "iso", "uid", "ring").distinct()
+    refs = rings.select(F.col("adm").alias("layer"), "iso", "uid", F.lit(0).alias("poly"), "ring", F.posexplode(F.array(number, number + 1)).alias("pos", "arc_id")) \
         .withColumn("reversed", F.col("pos") == 1)
     return arcs, refs
 
 
-@query("delta_decode", with_inputs("fx_vertex", f"""SELECT uid * 2 AS arc_id, cast(seq AS int) AS seq, round(round(x / {_STEP}) * {_STEP}, 6) AS x, round(round(y / {_STEP}) * {_STEP}, 6) AS y FROM fx_vertex WHERE adm = 'ADM2' AND ring = 0 AND seq <= 2
-UNION ALL SELECT uid * 2 + 1, cast(n - seq AS int), round(round(x / {_STEP}) * {_STEP}, 6), round(round(y / {_STEP}) * {_STEP}, 6) FROM (SELECT *, max(seq) OVER (PARTITION BY uid) AS n FROM fx_vertex WHERE adm = 'ADM2' AND ring = 0) WHERE seq >= 2"""))
+@query("delta_decode", with_inputs("fx_vertex", f"""SELECT adm AS layer, (uid * 2 + ring) * 2 AS arc_id, cast(seq AS int) AS seq, {_Q.format('x')} AS x, {_Q.format('y')} AS y FROM fx_vertex WHERE seq <= 2
+UNION ALL SELECT adm, (uid * 2 + ring) * 2 + 1, cast(n - seq AS int), {_Q.format('x')}, {_Q.format('y')} FROM (SELECT *, max(seq) OVER (PARTITION BY adm, uid, ring) AS n FROM fx_vertex) WHERE seq >= 2"""))
 def delta_decode(spark, sf_dir):
     arcs, _ = quantised_arcs(spark, sf_dir)
     out = J.delta_decode(arcs, ["layer", "arc_id"])
-    return out.select("arc_id", "seq", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+    return out.select("layer", "arc_id", "seq", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
-@query("topojson_rings", with_inputs("fx_vertex", f"""SELECT uid, cast(seq AS bigint) AS seq, round(round(x / {_STEP}) * {_STEP}, 6) AS x, round(round(y / {_STEP}) * {_STEP}, 6) AS y FROM fx_vertex WHERE adm = 'ADM2' AND ring = 0"""))
-def topojson_rings(spark, sf_dir):
+@query("topojson_all_rings", with_inputs("fx_vertex", f"""SELECT adm AS layer, uid, ring, cast(seq AS bigint) AS seq, {_Q.format('x')} AS x, {_Q.format('y')} AS y FROM fx_vertex"""))
+def topojson_all_rings(spark, sf_dir):
     arcs, refs = quantised_arcs(spark, sf_dir)
     out = J.splice_rings(J.delta_decode(arcs, ["layer", "arc_id"]), refs, ["uid"])
-    return out.select("uid", F.col("seq").cast("long").alias("seq"), F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+    return out.select("layer", "uid", "ring", F.col("seq").cast("long").alias("seq"), F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
-@query("topojson_all_rings", with_inputs("fx_vertex", f"""SELECT uid, ring, cast(seq AS bigint) AS seq, round(round(x / {_STEP}) * {_STEP}, 6) AS x, round(round(y / {_STEP}) * {_STEP}, 6) AS y FROM fx_vertex WHERE adm = 'ADM2'"""))
-def topojson_all_rings(spark, sf_dir):
-    arcs, refs = quantised_arcs(spark, sf_dir, inner=True)
-    out = J.splice_rings(J.delta_decode(arcs, ["layer", "arc_id"]), refs, ["uid"])
-    return out.select("uid", "ring", F.col("seq").cast("long").alias("seq"), F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+def _write_documents(lines, path):
+    """One text file for each level and country; `no` orders its lines."""
+    # by an expression, since adaptive execution may drop a shuffle that the union seems to fulfil
+    count = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lines.repartition(count, F.xxhash64("adm", "iso")).sortWithinPartitions("adm", "iso", "no").select("adm", "iso", "value").write.partitionBy("adm", "iso").text(path)
+
+
+def _document(head, rows, foot):
+    """Lines of documents: a head, rows (adm, iso, no, value) parted by commas, a foot."""
+    groups = rows.groupBy("adm", "iso").agg(F.min("no").alias("_first"), F.max("no").alias("_last"))
+    ends = groups.select("adm", "iso", F.explode(F.array(F.struct((F.col("_first") - 1).alias("no"), F.lit(head).alias("value")),
+                                                         F.struct((F.col("_last") + 1).alias("no"), F.lit(foot).alias("value")))).alias("e")).select("adm", "iso", "e.*")
+    parted = rows.join(groups, ["adm", "iso"]).select("adm", "iso", "no", F.concat(F.when(F.col("no") > F.col("_first"), ",").otherwise(""), "value").alias("value"))
+    return parted.unionByName(ends)
+
+
+@query("topojson_rings", with_inputs("fx_vertex", f"""SELECT adm, iso, uid, ring, cast(seq AS int) AS seq, {_Q.format('x')} AS x, {_Q.format('y')} AS y FROM fx_vertex"""))
+def topojson_rings(spark, sf_dir):
+    # TopoJSON files of all units, read by byte ranges
+    arcs, refs = quantised_arcs(spark, sf_dir)
+    path = scratch_path(spark, "topologies")
+    numbers = arcs.select("layer", "iso", "arc_id").distinct().withColumn("no", F.row_number().over(W.partitionBy("layer", "iso").orderBy("arc_id")) - 1)
+    point = F.struct("seq", F.array(F.col("dx").cast("long"), F.col("dy").cast("long")).alias("p"))
+    lists = arcs.groupBy("layer", "iso", "arc_id").agg(F.array_sort(F.collect_list(point)).alias("ps")).join(numbers, ["layer", "iso", "arc_id"])
+    arc_lines = lists.select(F.col("layer").alias("adm"), "iso", F.col("no").cast("long").alias("no"), F.to_json(F.col("ps.p")).alias("value"))
+    numbered = refs.join(numbers, ["layer", "iso", "arc_id"]).withColumn("ref", F.when(F.col("reversed"), -1 - F.col("no")).otherwise(F.col("no")))
+    rings = numbered.groupBy("layer", "iso", "uid", "ring").agg(F.array_sort(F.collect_list(F.struct("pos", "ref")))["ref"].alias("r"))
+    shapes = rings.groupBy("layer", "iso", "uid").agg(F.array_sort(F.collect_list(F.struct("ring", "r")))["r"].alias("rs"))
+    value = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.col("rs").alias("arcs"), F.struct(F.col("uid").cast("string").alias("uid"), F.lit('{"]]\\').alias("odd")).alias("properties")))
+    shape_lines = shapes.select(F.col("layer").alias("adm"), "iso", F.col("uid").alias("no"), value.alias("value"))
+    far = 1 << 40
+    head = _document('{"type":"Topology","transform":{"scale":[%s,%s],"translate":[0,0]},"objects":{"units":{"type":"GeometryCollection","geometries":[' % (_STEP, _STEP), shape_lines, ']}},"arcs":[')
+    tail = _document("", arc_lines, "]}").withColumn("no", F.col("no") + far)
+    _write_documents(head.unionByName(tail), path)
+    out = J.read_topojson_features(spark, f"{path}/*/*/*.txt").select("layer", F.col("props")["uid"].cast("long").alias("uid"), "geom")
+    rows = E.explode_vertices(out, ["layer", "uid"])
+    part = lambda name: F.regexp_extract("layer", name + "=([^/]+)/", 1).alias(name)
+    return rows.select(part("adm"), part("iso"), "uid", "ring", "seq", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
+@query("read_feature_collections", with_inputs("fx_edge fx_unit", """SELECT e.adm, e.iso, e.uid, '{"' || unit_name || '"}]}' || chr(92) AS odd, round(sum(e.x1 * e.y2 - e.x2 * e.y1) / 2, 6) AS area
+FROM fx_edge e JOIN fx_unit u ON e.adm = u.adm AND e.uid = u.uid GROUP BY ALL"""))
+def read_feature_collections(spark, sf_dir):
+    # foreign files: white space, brackets and escapes in names, members around the features
+    path = scratch_path(spark, "collections")
+    odd = F.concat(F.lit('{"'), "unit_name", F.lit('"}]}\\'))
+    text = F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(F.col("uid").cast("string").alias("uid"), odd.alias("odd"), F.col("iso").alias("features")).alias("properties"),
+                              F.from_json(J.geojson_geometry("geom"), "struct<type:string,coordinates:array<array<array<array<double>>>>>").alias("geometry")))
+    rows = features(spark, sf_dir).select("adm", "iso", F.col("uid").alias("no"), F.regexp_replace(text, ":", " : ").alias("value"))
+    _write_documents(_document('{ "type" : "FeatureCollection", "crs" : { "features" : [ { "type" : "Feature" } ] }, "features" : [', rows, '], "more" : [{ "type" : "Feature" }] }'), path)
+    part = lambda name: F.regexp_extract("layer", name + "=([^/]+)/", 1).alias(name)
+    return J.read_feature_collections(spark, f"{path}/*/*/*.txt").select(
+        part("adm"), part("iso"), F.col("props")["uid"].cast("long").alias("uid"), F.col("props")["odd"].alias("odd"), F.round(G.planar_area("geom"), 6).alias("area"))
 
 
 # --- writers, read back --------------------------------------------------------------------------
