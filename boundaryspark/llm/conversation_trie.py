@@ -103,9 +103,9 @@ def with_roots(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(roots, pa.int64())], names=[*batch.schema.names, "root"])
     long = rows.where("band > 0").select("conv_id").distinct()
     single = rows.join(long, "conv_id", "left_anti").withColumn("root", F.lit(0).cast("long"))
-    # with a number, so that this shuffle stays where the join before it splits skewed partitions
+    # by an expression, so that this shuffle stays whatever adaptive execution makes of the join before it
     count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    folded = rows.join(long, "conv_id", "left_semi").repartition(count, "conv_id").sortWithinPartitions("conv_id", "band").mapInArrow(
+    folded = rows.join(long, "conv_id", "left_semi").repartition(count, F.xxhash64("conv_id")).sortWithinPartitions("conv_id", "band").mapInArrow(
         fold, "conv_id long, band int, ids array<long>, sizes array<long>, root long")
     return single.unionByName(folded)
 
