@@ -161,20 +161,21 @@ def api_record(df: DataFrame, base_url: str, prefix: str) -> DataFrame:
     return df.select(*[v.alias(k) for k, v in record.items()])
 
 
-def camel_case(name: str) -> str:
-    """snake_case or run-together database names as published column names."""
-    fixed = {"boundaryiso": "boundaryISO", "boundaryid": "boundaryID", "boundaryurl": "boundaryURL",
-             "sqkm": "SqKM", "km": "KM"}
-    if name.lower() in fixed:
-        return fixed[name.lower()]
-    if name.startswith("boundary"):
-        return "boundary" + name.removeprefix("boundary").title()
-    first, *rest = name.split("_")
-    return first.lower() + "".join(word.title() for word in rest)
+#: Published spelling of the catalogue's columns, however their stored names mark or run together words.
+_SPELLINGS = {c.replace("-", "").lower(): c for c in CATALOG_COLUMNS}
+_UNITS = {"id": "ID", "iso": "ISO", "url": "URL", "km": "KM", "sqkm": "SqKM"}
+
+
+def published_name(stored: str) -> str:
+    """Column of the catalogue that a stored name means; other names join their words, each but the first capitalised."""
+    words = [w for w in stored.lower().split("_") if w]
+    known = _SPELLINGS.get("".join(words))
+    return known or "".join([*words[:1], *[_UNITS.get(w, w.capitalize()) for w in words[1:]]])
 
 
 def camel_case_columns(df: DataFrame) -> DataFrame:
-    return df.toDF(*[camel_case(c) for c in df.columns])
+    """Columns under their published names."""
+    return df.toDF(*[published_name(c) for c in df.columns])
 
 
 def layer_metadata_text(df: DataFrame, keys: list[str], citation: str = "") -> DataFrame:

@@ -22,17 +22,17 @@ def enrich_with_country(spark, sf_dir):
     return C.enrich_with_country(meta, derived(spark, sf_dir, "fx_area"), "iso")
 
 
-@query("enrich_with_unknown", with_inputs("fx_catalog fx_area", """
-SELECT boundary_id, c.iso, name, a.iso IS NOT NULL AS country_known FROM fx_catalog c LEFT JOIN fx_area a ON c.iso = a.iso"""))
+@query("enrich_with_unknown", with_inputs("fx_catalog fx_known_area", """
+SELECT boundary_id, c.iso, name, a.iso IS NOT NULL AS country_known FROM fx_catalog c LEFT JOIN fx_known_area a ON c.iso = a.iso"""))
 def enrich_with_unknown(spark, sf_dir):
     meta = derived(spark, sf_dir, "fx_catalog").select("boundary_id", "iso")
-    return C.enrich_with_country(meta, derived(spark, sf_dir, "fx_area").select("iso", "name"), "iso", keep_unknown=True)
+    return C.enrich_with_country(meta, derived(spark, sf_dir, "fx_known_area").select("iso", "name"), "iso", keep_unknown=True)
 
 
-@query("unknown_codes", with_inputs("fx_catalog fx_area", "SELECT boundary_id, iso FROM fx_catalog WHERE iso NOT IN (SELECT iso FROM fx_area)"))
+@query("unknown_codes", with_inputs("fx_catalog fx_known_area", "SELECT boundary_id, iso FROM fx_catalog WHERE iso NOT IN (SELECT iso FROM fx_known_area)"))
 def unknown_codes(spark, sf_dir):
     return C.unknown_codes(derived(spark, sf_dir, "fx_catalog").select("boundary_id", "iso"),
-                           derived(spark, sf_dir, "fx_area"), "iso", "iso")
+                           derived(spark, sf_dir, "fx_known_area"), "iso", "iso")
 
 
 _RENAMED = "CASE " + " ".join(f"WHEN contains(country_na, '{p}') THEN '{n}'" for p, n in C.NAME_PATTERNS) + " ELSE country_na END"
@@ -164,9 +164,12 @@ def download_urls(spark, sf_dir):
 
 
 @query("camel_case_columns", with_inputs("fx_catalog", """
-SELECT boundary_id AS "boundary_Id", iso, adm, units AS "admUnits", min_area AS "minArea" FROM fx_catalog"""))
+SELECT boundary_id AS "boundaryID", boundary_source_url AS "boundarySourceURL", iso, adm, units AS "admUnits", min_area AS "minAreaSqKM", max_area AS "maxLengthKM", max_vertices AS "maxVertices"
+FROM fx_catalog"""))
 def camel_case_columns(spark, sf_dir):
-    rows = derived(spark, sf_dir, "fx_catalog").select("boundary_id", "iso", "adm", F.col("units").alias("adm_units"), "min_area")
+    rows = derived(spark, sf_dir, "fx_catalog").select(
+        F.col("boundary_id").alias("boundaryid"), "boundary_source_url", "iso", "adm", F.col("units").alias("adm_units"),
+        F.col("min_area").alias("min_area_sqkm"), F.col("max_area").alias("max_length_km"), F.col("max_vertices").alias("maxvertices"))
     return C.camel_case_columns(rows)
 
 
