@@ -4,51 +4,82 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
+from boundaryspark.functions import geometry as G
 from boundaryspark.operators import spatial as P
 from boundaryspark.operators import topology as T
 from boundaryspark.operators.edges import assemble, explode_edges
 from boundaryspark.runtime import materialize
 
+def _near_cells(edges: DataFrame, own: str, cells: DataFrame, other: str, cell: float, pairs: DataFrame) -> DataFrame:
+    """own, other, no: the edges of each pair that pass through a cell of the other feature."""
+    laid = T._laid(edges, cell, "_", [own]).select(own, F.col("_no").alias("no"), "col", "row")
+    return laid.join(cells, ["col", "row"]).join(pairs, [own, other], "left_semi").select(own, other, "no").distinct()
+
+
+def _runs(parts: DataFrame, key: list[str]) -> DataFrame:
+    """Number the parts of a ring by runs: between two places where the other outline is met, all parts lie on one side of it."""
+    ring = W.partitionBy(*key, "no.poly", "no.ring").orderBy("no.seq", "part")
+    before, follows = F.lag("no.seq").over(ring), F.lag("ends").over(ring)
+    new = F.col("begins") | F.coalesce(follows, F.lit(True)) | (F.col("no.seq") - before > 1)
+    marked = parts.withColumn("_new", new.cast("long"))
+    return marked.withColumn("run", F.sum("_new").over(ring)).drop("_new")
+
+
 def overlay_edges(left_edges: DataFrame, right_edges: DataFrame, pairs: DataFrame, left: str, right: str,
                   how: str) -> DataFrame:
-    """Outline edges of intersection, union or difference for each (left, right) pair."""
+    """Outline edges of intersection, union or difference for each (left, right) pair.
+
+    A pair takes the edges of a feature only in the cells of the other one; all others are outside.  One point tells for all parts
+    between two meeting points whether they lie inside.
+    """
     if how not in ("intersection", "union", "difference"):
         raise ValueError(how)
     key = [left, right]
     le = materialize(T.numbered_edges(left_edges).select(left, "no", *T.COORDS), "overlay-left")
     re = materialize(T.numbered_edges(right_edges).select(right, "no", *T.COORDS), "overlay-right")
-    pairs = materialize(pairs.select(*key), "overlay-pairs")
-    cell = T.edge_cell(le)
-    near = T.near_pairs(le, re, cell, [left], [right]).join(pairs, key, "left_semi")
-    met = materialize(T.meeting_points(near).select(*key, "a_no", "b_no", "points"), "overlay-points")
-    a_split = materialize(T.split_edges(le.join(pairs, left), met.withColumnRenamed("a_no", "no"), key), "overlay-a")
-    b_split = materialize(T.split_edges(re.join(pairs, right), met.withColumnRenamed("b_no", "no"), key), "overlay-b")
-
-    a, b = T.with_canonical(a_split), T.with_canonical(b_split)
+    pairs = materialize(pairs.select(*key).distinct(), "overlay-pairs")
+    cell = min(P.choose_cell(le, [left]), P.choose_cell(re, [right]))
+    l_caps, r_caps = (materialize(P.edge_caps(e, [i], cell), "overlay-caps") for e, i in ((le, left), (re, right)))
+    l_cells, r_cells = (caps.select(i, "col", "row").distinct() for caps, i in ((l_caps, left), (r_caps, right)))
+    near = T.near_pairs(le, re, T.edge_cell(le), [left], [right]).join(pairs, key, "left_semi")
+    met = materialize(T.meeting_points(near).select(*key, "a_no", "b_no", "points").distinct(), "overlay-points")
+
+    def parts(edges: DataFrame, own: str, other: str, cells: DataFrame, number: str) -> tuple[DataFrame, DataFrame]:
+        """Parts of the edges that are near the other feature, and the edges that aren't."""
+        close = materialize(_near_cells(edges, own, cells, other, cell, pairs).unionByName(
+            met.select(*key, F.col(number).alias("no"))).distinct(), "overlay-near")
+        mine = edges.join(close, [own, "no"])
+        cut = T.split_edges(mine, met.select(*key, F.col(number).alias("no"), "points"), key, places=True)
+        return materialize(T.with_canonical(_runs(cut, key)), "overlay-parts"), close
+    (a, a_close), (b, b_close) = parts(le, left, right, r_cells, "a_no"), parts(re, right, left, l_cells, "b_no")
     on = [*key, *T.EDGE]
     both = a.join(b.select(*on, F.col("dir").alias("_dir")), on)
     same, opposite = both.filter(F.col("dir") == F.col("_dir")), both.filter(F.col("dir") != F.col("_dir"))
     a_only, b_only = a.join(b, on, "left_anti"), b.join(a, on, "left_anti")
 
-    def inside(edges: DataFrame, polygons: DataFrame, covering: str, kind: str) -> DataFrame:
-        points = T.middles(edges.select(*key, *T.COORDS))
-        ids = [*key, *T.COORDS]
-        covered = P.point_in_boundary(points, polygons, ids, ["_cover_id"]).filter(
-            F.col("_cover_id") == F.col(covering)).drop("_cover_id")
-        return points.select(*ids).join(covered, ids, kind)
-
-    rp, lp = re.withColumnRenamed(right, "_cover_id"), le.withColumnRenamed(left, "_cover_id")
+    def inside(edges: DataFrame, caps: DataFrame, covering: str, kind: str) -> DataFrame:
+        run = [*key, "poly", "ring", "run"]
+        named = edges.select(*key, F.col("no.poly").alias("poly"), F.col("no.ring").alias("ring"), "run", *T.COORDS)
+        # the middle of the longest part of a run is farthest from its ends
+        size = G.planar_length(*[F.col(c) for c in T.COORDS])
+        points = named.groupBy(*run).agg(F.max_by(F.struct(*T.COORDS), F.struct(size, *T.COORDS)).alias("_e")).select(*run, "_e.*")
+        points = materialize(T.middles(points).select(*run, "x", "y"), "overlay-runs")
+        covered = P.cover_by_caps(points, caps, run, [covering], cell, shared=[covering]).select(*run)
+        return named.join(covered, run, kind)
+
+    far = lambda edges, own, close: edges.join(pairs, own).join(close, [*key, "no"], "left_anti")
     flip = lambda df: df.select(*key, F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2"))
     if how == "intersection":
-        parts = [inside(a_only, rp, right, "left_semi"), inside(b_only, lp, left, "left_semi"), same]
+        found = [inside(a_only, r_caps, right, "left_semi"), inside(b_only, l_caps, left, "left_semi"), same]
     elif how == "union":
-        parts = [inside(a_only, rp, right, "left_anti"), inside(b_only, lp, left, "left_anti"), same]
+        found = [inside(a_only, r_caps, right, "left_anti"), inside(b_only, l_caps, left, "left_anti"), same, far(le, left, a_close), far(re, right, b_close)]
     else:
-        parts = [inside(a_only, rp, right, "left_anti"), flip(inside(b_only, lp, left, "left_semi")), opposite]
-    out = parts[0].select(*key, *T.COORDS)
-    for part in parts[1:]:
-        out = out.unionByName(part.select(*key, *T.COORDS))
+        found = [inside(a_only, r_caps, right, "left_anti"), flip(inside(b_only, l_caps, left, "left_semi")), opposite, far(le, left, a_close)]
+    out = found[0].select(*key, *T.COORDS)
+    for more in found[1:]:
+        out = out.unionByName(more.select(*key, *T.COORDS))
     return out
 
 
@@ -92,6 +123,5 @@ def repair(features: DataFrame, ids: list[str]) -> DataFrame:
 
 def repair_report(features: DataFrame, repaired: DataFrame, ids: list[str]) -> DataFrame:
     """Area of each feature before and after the repair, in km2."""
-    from boundaryspark.functions import geometry as G
     area = lambda df, name: df.select(*ids, (G.planar_area(G.project_equal_area("geom")) / 1e6).alias(name))
     return area(features, "old_area_km2").join(area(repaired, "new_area_km2"), ids, "left")

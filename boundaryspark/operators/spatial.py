@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from boundaryspark.functions import geometry as G
-from boundaryspark.runtime import materialize, spread_join
+from boundaryspark.operators.cells import meet_in_cells
+from boundaryspark.runtime import materialize
 
-PAIRS_PER_CELL = 250_000
 MAX_CELLS_PER_SIDE = 8192
 
 
@@ -101,36 +101,6 @@ def edge_caps(edges: DataFrame, ids: list[str], cell: float) -> DataFrame:
     return sides.unionByName(steps).unionByName(whole)
 
 
-def _strip_of(x: Column, cell: float) -> Column:
-    return F.least(F.greatest(F.floor((x - F.col("col") * F.lit(cell)) / (F.lit(cell) / F.col("strips"))), F.lit(0)),
-                   F.col("strips") - 1).cast("int")
-
-
-def divide_crowded_cells(left: DataFrame, right: DataFrame, cell: float,
-                         on: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Cut the x-range of crowded cells into strips, so that no task gets all pairs of such a cell.
-
-    Both sides have `xl` and `xr`; rows are repeated in every strip their range touches and get
-    `strip` with its bounds `sl` and `sr`.  `on` are the columns two rows must share to meet.
-    """
-    on = on or ["col", "row"]
-    count = lambda df, n: df.groupBy(*on).agg(F.count(F.lit(1)).alias(n))
-    crowded = count(left, "nl").join(count(right, "nr"), on) \
-        .withColumn("strips", F.ceil(F.sqrt(F.col("nl") * F.col("nr") / F.lit(PAIRS_PER_CELL))).cast("int")) \
-        .filter(F.col("strips") > 1).select(*on, "strips")
-
-    def cut(df: DataFrame) -> DataFrame:
-        joined = spread_join(df, crowded, on, "left").withColumn("strips", F.coalesce("strips", F.lit(1)))
-        width = F.lit(cell) / F.col("strips")
-        strip = lambda x: _strip_of(x, cell)
-        return joined.withColumn("strip", F.explode(F.sequence(strip(F.col("xl")), strip(F.col("xr"))))) \
-            .withColumn("sl", F.col("col") * F.lit(cell) + F.col("strip") * width) \
-            .withColumn("sr", F.when(F.col("strip") == F.col("strips") - 1, (F.col("col") + 1) * F.lit(cell))
-                        .otherwise(F.col("col") * F.lit(cell) + (F.col("strip") + 1) * width))
-
-    return cut(left), cut(right).drop("strips")
-
-
 def _min_integral(a, b, fa, fb, ga, gb) -> Column:
     """Integral over [a, b] of the lower of two straight lines given by their end values."""
     da, db = fa - ga, fb - gb
@@ -149,13 +119,9 @@ def cap_areas(caps: DataFrame, ids: list[str]) -> DataFrame:
 
 def intersection_areas(left_caps: DataFrame, right_caps: DataFrame, left: str, right: str, cell: float) -> DataFrame:
     """left, right, isec: planar area of each overlapping pair, summed over grid cells."""
-    lc, rc = divide_crowded_cells(left_caps, right_caps, cell)
-    lc = lc.select(left, "col", "row", "strip", "sl", "sr", *[F.col(c).alias(f"l_{c}") for c in ("xl", "xr", "hl", "hr", "w")])
-    rc = rc.select(right, "col", "row", "strip", *[F.col(c).alias(f"r_{c}") for c in ("xl", "xr", "hl", "hr", "w")])
-    a = F.greatest("l_xl", "r_xl", "sl")
-    b = F.least("l_xr", "r_xr", "sr")
-    pairs = lc.join(rc, ["col", "row", "strip"]).filter((F.col("l_xl") < F.col("r_xr")) & (F.col("r_xl") < F.col("l_xr"))) \
-        .withColumn("a", a).withColumn("b", b).filter(F.col("a") < F.col("b"))
+    named = lambda caps, key, p: caps.select(key, "col", "row", *[F.col(c).alias(f"{p}_{c}") for c in ("xl", "xr", "hl", "hr", "w")])
+    met = meet_in_cells(named(left_caps, left, "l"), named(right_caps, right, "r"), cell, ["col", "row"], [("col", ("l_xl", "l_xr"), ("r_xl", "r_xr"))])
+    pairs = met.withColumn("a", F.greatest("l_xl", "r_xl")).withColumn("b", F.least("l_xr", "r_xr")).filter(F.col("a") < F.col("b"))
     height = lambda s, x: F.col(f"{s}_hl") + (x - F.col(f"{s}_xl")) * (F.col(f"{s}_hr") - F.col(f"{s}_hl")) / (
         F.col(f"{s}_xr") - F.col(f"{s}_xl"))
     area = _min_integral(F.col("a"), F.col("b"), height("l", F.col("a")), height("l", F.col("b")),
@@ -208,14 +174,18 @@ def point_cover(points: DataFrame, edges: DataFrame, point_ids: list[str], ids:
                 cell: float | None = None, shared: list[str] | None = None) -> DataFrame:
     """As `point_in_boundary`, with the winding number; `shared` columns must be equal on both sides."""
     cell = cell or choose_cell(edges, ids)
-    caps = materialize(edge_caps(edges, ids, cell), "cover-caps")
+    return cover_by_caps(points, materialize(edge_caps(edges, ids, cell), "cover-caps"), point_ids, ids, cell, shared)
+
+
+def cover_by_caps(points: DataFrame, caps: DataFrame, point_ids: list[str], ids: list[str], cell: float, shared: list[str] | None = None) -> DataFrame:
+    """`point_cover` of the polygons with these caps, a written table."""
     placed = points.select(*point_ids, "x", "y", _floor(F.col("x"), cell).alias("col"), _floor(F.col("y"), cell).alias("row"))
     on = [*(shared or []), "col", "row"]
-    placed, caps = divide_crowded_cells(placed.withColumns({"xl": F.col("x"), "xr": F.col("x")}), caps, cell, on)
-    placed, caps = placed.drop("xl", "xr", "sl", "sr", "strips"), caps.drop("sl", "sr")
     slope = (F.col("hr") - F.col("hl")) / (F.col("xr") - F.col("xl"))
     above = F.col("hl") + (F.col("x") - F.col("xl")) * slope > F.col("y") - F.col("row") * F.lit(cell)
-    hits = placed.join(caps, [*on, "strip"]).filter(
+    # ids that both sides have, but need not share, are told apart
+    caps = caps.select(*[F.col(c).alias(f"_cap_{c}") if c in point_ids and c not in on else F.col(c) for c in caps.columns])
+    hits = meet_in_cells(placed, caps, cell, on, [("col", ("x", "x"), ("xl", "xr"))]).filter(
         (F.col("xl") <= F.col("x")) & (F.col("x") < F.col("xr")) & above)
     out = [*point_ids, *[i for i in ids if i not in point_ids]]
     return hits.groupBy(*out).agg(F.sum("w").alias("cover")).filter(F.col("cover") != 0)
@@ -230,13 +200,11 @@ def bbox_join(left: DataFrame, right: DataFrame, left_ids: list[str], right_ids:
     def laid(df: DataFrame, ids: list[str], prefix: str) -> DataFrame:
         box = df.select(*ids, *[F.col(c).alias(f"{prefix}{c}") for c in ("xmin", "ymin", "xmax", "ymax")])
         span = lambda lo, hi: F.sequence(_floor(F.col(f"{prefix}{lo}"), cell), _floor(F.col(f"{prefix}{hi}"), cell))
-        return box.withColumn("col", F.explode(span("xmin", "xmax"))).withColumn("row", F.explode(span("ymin", "ymax"))) \
-            .withColumns({"xl": F.col(f"{prefix}xmin"), "xr": F.col(f"{prefix}xmax")})
+        return box.withColumn("col", F.explode(span("xmin", "xmax"))).withColumn("row", F.explode(span("ymin", "ymax")))
 
-    a, b = divide_crowded_cells(laid(left, left_ids, "l_"), laid(right, right_ids, "r_"), cell)
-    pairs = a.drop("xl", "xr").join(b.drop("xl", "xr", "sl", "sr"), ["col", "row", "strip"])
+    axis = lambda name, c: (name, (f"l_{c}min", f"l_{c}max"), (f"r_{c}min", f"r_{c}max"))
+    pairs = meet_in_cells(laid(left, left_ids, "l_"), laid(right, right_ids, "r_"), cell, ["col", "row"], [axis("col", "x"), axis("row", "y")])
     touch = ((F.col("l_xmin") <= F.col("r_xmax")) & (F.col("r_xmin") <= F.col("l_xmax"))
              & (F.col("l_ymin") <= F.col("r_ymax")) & (F.col("r_ymin") <= F.col("l_ymax")))
-    x, y = F.greatest("l_xmin", "r_xmin"), F.greatest("l_ymin", "r_ymin")
-    corner = (F.col("col") == _floor(x, cell)) & (F.col("row") == _floor(y, cell)) & (F.col("strip") == _strip_of(x, cell))
+    corner = (F.col("col") == _floor(F.greatest("l_xmin", "r_xmin"), cell)) & (F.col("row") == _floor(F.greatest("l_ymin", "r_ymin"), cell))
     return pairs.filter(touch & corner).select(*left_ids, *right_ids)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from boundaryspark.functions import geometry as G
 from boundaryspark.operators import spatial as P
+from boundaryspark.operators.cells import meet_in_cells
 from boundaryspark.operators.edges import assemble, explode_edges
 from boundaryspark.runtime import materialize
 
@@ -252,18 +253,21 @@ def _laid(edges: DataFrame, cell: float, prefix: str, keep: list[str]) -> DataFr
 
 def near_pairs(a_edges: DataFrame, b_edges: DataFrame, cell: float, a_ids: list[str], b_ids: list[str],
                shared: list[str] | None = None) -> DataFrame:
-    """Pairs of edges (a_no, a_x1, ..., b_no, b_x1, ...) that pass through a common grid cell, each once."""
+    """Pairs of edges (a_no, a_x1, ..., b_no, b_x1, ...) whose envelopes touch, once for every grid cell that both pass through.
+
+    Callers keep those that meet and make them distinct then, when few are left.
+    """
     on = [*(shared or []), "col", "row"]
-    span = lambda p: {"xl": F.least(f"{p}x1", f"{p}x2"), "xr": F.greatest(f"{p}x1", f"{p}x2")}
-    a, b = P.divide_crowded_cells(_laid(a_edges, cell, "a_", a_ids).withColumns(span("a_")),
-                                  _laid(b_edges, cell, "b_", b_ids).withColumns(span("b_")), cell, on)
-    helper = ["xl", "xr", "sl", "sr", "strips"]
-    boxes = (F.least("a_x1", "a_x2") <= F.greatest("b_x1", "b_x2")) & (F.least("b_x1", "b_x2") <= F.greatest("a_x1", "a_x2")) \
-        & (F.least("a_y1", "a_y2") <= F.greatest("b_y1", "b_y2")) & (F.least("b_y1", "b_y2") <= F.greatest("a_y1", "a_y2"))
-    met = a.drop(*helper).join(b.drop(*helper), [*on, "strip"]).filter(boxes)
+    bounds = lambda p: {f"{p}{k}": f(f"{p}{c}1", f"{p}{c}2") for k, f, c in (
+        ("xl", F.least, "x"), ("xr", F.greatest, "x"), ("yl", F.least, "y"), ("yr", F.greatest, "y"))}
+    helper = [f"{p}{k}" for p in ("a_", "b_") for k in ("xl", "xr", "yl", "yr")]
+    axis = lambda name, c: (name, (f"a_{c}l", f"a_{c}r"), (f"b_{c}l", f"b_{c}r"))
+    met = meet_in_cells(_laid(a_edges, cell, "a_", a_ids).withColumns(bounds("a_")), _laid(b_edges, cell, "b_", b_ids).withColumns(bounds("b_")),
+                        cell, on, [axis("col", "x"), axis("row", "y")])
+    met = met.filter((F.col("a_xl") <= F.col("b_xr")) & (F.col("b_xl") <= F.col("a_xr")) & (F.col("a_yl") <= F.col("b_yr")) & (F.col("b_yl") <= F.col("a_yr")))
     if shared:
         met = met.filter(F.col("a_no") < F.col("b_no"))
-    return met.drop("col", "row", "strip").distinct()
+    return met.drop("col", "row", *helper)
 
 
 def _cross(ox, oy, ax, ay, bx, by) -> Column:
@@ -290,7 +294,7 @@ def self_crossings(edges: DataFrame, ids: list[str], cell: float | None = None)
     cell = cell or edge_cell(edges)
     x, y = crossing_point()
     return near_pairs(e, e, cell, ids, ids, shared=ids).filter(proper_crossing()).select(
-        *ids, "a_no", "b_no", x.alias("x"), y.alias("y"))
+        *ids, "a_no", "b_no", x.alias("x"), y.alias("y")).distinct()
 
 
 def crossing_point() -> tuple[Column, Column]:
@@ -361,8 +365,11 @@ def _end(side: str, n: int) -> Column:
     return F.struct(F.col(f"{side}_x{n}").alias("x"), F.col(f"{side}_y{n}").alias("y"))
 
 
-def split_edges(edges: DataFrame, splits: DataFrame, ids: list[str]) -> DataFrame:
-    """Edges (ids, no, coordinates) cut at the `points` of `splits` that lie strictly inside them."""
+def split_edges(edges: DataFrame, splits: DataFrame, ids: list[str], places: bool = False) -> DataFrame:
+    """Edges (ids, no, coordinates) cut at the `points` of `splits` that lie strictly inside them.
+
+    With `places` each part keeps `no`, its number `part` on the edge, and `begins` and `ends`: is this end one of the points?
+    """
     gathered = splits.groupBy(*ids, "no").agg(F.array_distinct(F.flatten(F.collect_list("points"))).alias("points"))
     joined = edges.join(gathered, [*ids, "no"], "left")
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
@@ -376,8 +383,14 @@ def split_edges(edges: DataFrame, splits: DataFrame, ids: list[str]) -> DataFram
         F.array(F.struct(F.lit(1.0).alias("t"), F.col("x2").alias("x"), F.col("y2").alias("y"))))
     n = F.size("_chain") - 1
     steps = F.arrays_zip(F.slice("_chain", F.lit(1), n).alias("a"), F.slice("_chain", F.lit(2), n).alias("b"))
-    cut = joined.withColumn("_chain", chain).select(*ids, F.explode(steps).alias("_s"))
-    return cut.select(*ids, F.col("_s.a.x").alias("x1"), F.col("_s.a.y").alias("y1"),
+    met = lambda x, y: F.exists(F.coalesce("points", F.array().cast("array<struct<x:double,y:double>>")), lambda p: (p["x"] == F.col(x)) & (p["y"] == F.col(y)))
+    more = []
+    chained = joined.withColumn("_chain", chain)
+    if places:
+        chained = chained.withColumns({"_first": met("x1", "y1"), "_last": met("x2", "y2")})
+        more = [F.col("no"), F.col("part"), ((F.col("part") > 0) | F.col("_first")).alias("begins"), ((F.col("part") < F.col("_n") - 1) | F.col("_last")).alias("ends")]
+    cut = chained.select(*ids, *(["no", n.alias("_n"), "_first", "_last"] if places else []), F.posexplode(steps).alias("part", "_s"))
+    return cut.select(*ids, *more, F.col("_s.a.x").alias("x1"), F.col("_s.a.y").alias("y1"),
                       F.col("_s.b.x").alias("x2"), F.col("_s.b.y").alias("y2")) \
         .filter((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
 
@@ -391,7 +404,7 @@ def middles(edges: DataFrame, offset: float = 0.0) -> DataFrame:
 def node_edges(edges: DataFrame, layer: list[str], ids: list[str] | None = None) -> DataFrame:
     """Edges (layer, ids, coordinates) cut where edges of a layer meet; with `ids`, `no` holds them as `unit`."""
     ids = ids or []
-    met = meeting_points(near_pairs(edges, edges, edge_cell(edges), layer, layer, shared=layer))
+    met = meeting_points(near_pairs(edges, edges, edge_cell(edges), layer, layer, shared=layer)).select(*layer, "a_no", "b_no", "points").distinct()
     splits = met.select(*layer, F.explode(F.array("a_no", "b_no")).alias("no"), "points").withColumns(
         {i: F.col(f"no.unit.{i}") for i in ids})
     return split_edges(edges, splits, [*layer, *ids])

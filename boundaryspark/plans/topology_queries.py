@@ -10,7 +10,7 @@ from boundaryspark.operators import layers as L
 from boundaryspark.operators import overlay as O
 from boundaryspark.operators import simplify as S
 from boundaryspark.operators import topology as T
-from boundaryspark.plans.compare_queries import OVERLAP_SQL, left_features, right_features
+from boundaryspark.plans.compare_queries import DX, DY, OVERLAP_SQL, left_features, right_features
 from boundaryspark.plans.inputs import features, with_inputs
 from boundaryspark.plans.layer_queries import FEATURE_SQL, feature_sql
 from boundaryspark.plans.registry import query
@@ -136,13 +136,25 @@ def overlay_difference(spark, sf_dir):
     return out.select("left_id", "right_id", F.round(G.planar_area("geom"), 5).alias("area"))
 
 
-@query("clip", feature_sql("SELECT f.uid, f.iso AS mask, round(km2, 2) AS km2 FROM feat f WHERE f.adm = 'ADM1'"))
+# units cut by masks that lie across them: the area between the mask's floor and roof below each edge
+_CLIP_SQL = {
+    "mask": f"SELECT iso, x0 + {DX}e0 AS mx0, x1 + {DX}e0 AS mx1, y0 + {DY}e0 AS my0, y1 + {DY}e0 AS my1 FROM fx_unit WHERE adm = 'ADM0'",
+    "cut": """SELECT uid, iso, greatest(least(x1, x2), mx0) AS xa, least(greatest(x1, x2), mx1) AS xb, my0, my1, x1, y1, x2, y2, CASE WHEN x1 > x2 THEN 1 ELSE -1 END AS w
+ FROM (SELECT * FROM fx_edge WHERE adm = 'ADM1' AND x1 <> x2) e JOIN mask USING (iso)""",
+    "side": "SELECT *, y1 + (xa - x1) * (y2 - y1) / (x2 - x1) AS fa, y1 + (xb - x1) * (y2 - y1) / (x2 - x1) AS fb FROM cut WHERE xa < xb",
+    "low": """SELECT uid, iso, w * s * (xb - xa) * CASE WHEN greatest(fa, fb) <= c THEN (fa + fb) / 2 WHEN least(fa, fb) >= c THEN c
+ ELSE ((least(fa, fb) + c) / 2) * (c - least(fa, fb)) / abs(fb - fa) + c * (greatest(fa, fb) - c) / abs(fb - fa) END AS area
+ FROM (SELECT *, my1 AS c, 1 AS s FROM side UNION ALL SELECT *, my0, -1 FROM side)""",
+}
+
+
+@query("clip", with_inputs("fx_edge fx_unit", "SELECT uid, iso AS mask, round(sum(area), 6) AS area FROM low GROUP BY ALL HAVING sum(area) > 1e-9", _CLIP_SQL))
 def clip(spark, sf_dir):
     units = features(spark, sf_dir, "ADM1")
     pairs = units.select("uid", F.col("iso").alias("mask"))
-    masks = features(spark, sf_dir, "ADM0").select(F.col("iso").alias("mask"), "geom")
+    masks = features(spark, sf_dir, "ADM0").select(F.col("iso").alias("mask"), G.map_points("geom", lambda v: G.xy(v["x"] + DX, v["y"] + DY)).alias("geom"))
     out = O.clip(units.select("uid", "geom"), masks, "uid", "mask", pairs)
-    return out.select("uid", "mask", F.round(G.planar_area(G.project_equal_area("geom")) / 1e6, 2).alias("km2"))
+    return out.select("uid", "mask", F.round(G.planar_area("geom"), 6).alias("area"))
 
 
 @query("fill_gaps", with_inputs("fx_vertex", """SELECT adm, uid, round(sum(CASE WHEN ring = 0 THEN area WHEN area / 1e6 < 10000 THEN 0 ELSE -area END) / 1e6, 2) AS km2

@@ -5,6 +5,7 @@ from conftest import AWAY, BOW, CORNER, DONUT, ELL, HALF_ON, NESTED, RIGHT, SHIF
 from pyspark.sql import functions as F
 
 from boundaryspark.functions import geometry as G
+from boundaryspark.operators import cells
 from boundaryspark.operators import edges as E
 from boundaryspark.operators import overlay as O
 from boundaryspark.operators import simplify as S
@@ -77,7 +78,7 @@ def test_crowded_cells_give_the_same(spark, monkeypatch):
     caps = lambda df, i: P.edge_caps(E.explode_edges(df, [i]), [i], 5.0)
     run = lambda: {r["r"]: round(r["isec"], 9) for r in P.intersection_areas(caps(left, "l"), caps(right, "r"), "l", "r", 5.0).collect()}
     whole = run()
-    monkeypatch.setattr(P, "PAIRS_PER_CELL", 2)
+    monkeypatch.setattr(cells, "PAIRS_PER_CELL", 2)
     assert run() == whole == {"b": 0.75, "c": 3.0}
 
 
@@ -223,7 +224,7 @@ def test_crowded_cells_everywhere(spark, monkeypatch):
 
     want = run()
     assert len(want[0]) == 25 and want[2] == {("b", 1.0)}
-    monkeypatch.setattr(P, "PAIRS_PER_CELL", 2)
+    monkeypatch.setattr(cells, "PAIRS_PER_CELL", 2)
     assert run() == want
 
 
@@ -258,3 +259,56 @@ def test_composite_falls_back_to_the_national_layer(spark):
     found = sorted((r["level"], r["shapeGroup"], r["shapeType"], round(r["a"], 6)) for r in out.withColumn("a", G.planar_area("geom")).collect())
     assert found == [("ADM0", "A", "ADM0", 1.0), ("ADM0", "B", "ADM0", 1.0), ("ADM1", "A", "ADM0", 1.0), ("ADM1", "B", "ADM1", 1.0),
                      ("ADM2", "A", "ADM0", 1.0), ("ADM2", "B", "ADM1", 1.0)]
+
+
+def test_wide_boxes_in_one_cell_meet_once(spark):
+    import random
+    rng = random.Random(3)
+    wide = [(i, rng.uniform(0, 2), rng.uniform(0, 2), rng.uniform(7, 9), rng.uniform(7, 9)) for i in range(1000)]
+    small = [(i, x, y, x + 0.05, y + 0.05) for i, x, y in ((i, rng.uniform(0, 9), rng.uniform(0, 9)) for i in range(1000))]
+    sides = "xmin double, ymin double, xmax double, ymax double"
+    a, b = spark.createDataFrame(wide, f"l int, {sides}"), spark.createDataFrame(wide, f"r int, {sides}")
+    assert P.bbox_join(a, b, ["l"], ["r"], 10.0).count() == 1_000_000
+    # before any test of extents: every pair in one block
+    laid = lambda df, p: df.select(F.col(df.columns[0]), *[F.col(c).alias(p + c) for c in ("xmin", "ymin", "xmax", "ymax")], F.lit(0).alias("col"), F.lit(0).alias("row"))
+    axes = [("col", ("l_xmin", "l_xmax"), ("r_xmin", "r_xmax")), ("row", ("l_ymin", "l_ymax"), ("r_ymin", "r_ymax"))]
+    assert cells.meet_in_cells(laid(a, "l_"), laid(b, "r_"), 10.0, ["col", "row"], axes).count() == 1_000_000
+    s, t = spark.createDataFrame(small, f"l int, {sides}"), spark.createDataFrame(small, f"r int, {sides}")
+    got = {tuple(r) for r in P.bbox_join(s, t, ["l"], ["r"], 10.0).collect()}
+    assert got == {(i[0], j[0]) for i in small for j in small if i[1] <= j[3] and j[1] <= i[3] and i[2] <= j[4] and j[2] <= i[4]}
+    candidates = cells.meet_in_cells(laid(s, "l_"), laid(t, "r_"), 10.0, ["col", "row"], axes).count()
+    assert candidates < 1_000_000 / 2
+
+
+def test_overlay_copies_only_edges_near_the_other(spark, monkeypatch):
+    n = 3000
+    circle = [(50 * math.cos(2 * math.pi * i / n), 50 * math.sin(2 * math.pi * i / n)) for i in range(n)]
+    mask = frame(spark, [("m", [[ring(*circle, circle[0])]])], "r string")
+    box = lambda x, y: [[ring((x, y), (x + 4, y), (x + 4, y + 4), (x, y + 4), (x, y))]]
+    units = [(f"{x},{y}", box(x, y)) for x in range(-60, 60, 5) for y in (-48, -2, 33)]
+    left = frame(spark, units, "l string")
+    sizes = []
+    whole = O.materialize
+
+    def counted(df, name):
+        out = whole(df, name)
+        if name == "overlay-parts":
+            sizes.append(out.count())
+        return out
+    monkeypatch.setattr(O, "materialize", counted)
+    got = {r["l"]: r["a"] for r in O.clip(left, mask, "l", "r").select("l", G.planar_area("geom").alias("a")).collect()}
+    # four edges for each unit, crossings, and the mask's edges in the cells of units: not 3,000 for each unit
+    assert sizes[1] < 3 * n
+
+    def inside(x, y):
+        return x * x + y * y < 50 * 50
+    for name, shape in units:
+        (x, y) = shape[0][0][0]
+        corners = [inside(a, b) for a in (x, x + 4) for b in (y, y + 4)]
+        if all(corners):
+            assert got[name] == pytest.approx(16.0)
+        elif name in got:
+            steps = 200
+            share = sum(inside(x + 4 * (i + 0.5) / steps, y + 4 * (j + 0.5) / steps) for i in range(steps) for j in range(steps)) / steps ** 2
+            assert got[name] == pytest.approx(16 * share, abs=0.1)
+    assert sum(1 for name, shape in units if all(inside(a, b) for a in (shape[0][0][0][0], shape[0][0][0][0] + 4) for b in (shape[0][0][0][1], shape[0][0][0][1] + 4))) > 20
