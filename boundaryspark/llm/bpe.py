@@ -37,12 +37,46 @@ SEPARATORS = re.compile("[\x1c-\x1f]")
 SPACE = "\t-\r \x85\xa0  -     　"
 
 
+# Unicode of the tokenizers library where Python's tables differ.  Letters, numbers and lower-casing of
+# versions 16 and 17; marks added since version 9, which the library does not reorder or compose.
+NEWER = {
+    "L": "1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D4A-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B 1138E 11390-113B5 113B7 113D1 113D3 "
+         "11BC0-11BE0 13460-143FA 16100-1611D 16D40-16D6C 18CFF 1E5D0-1E5ED 1E5F0",
+    "N": "10D40-10D49 116D0-116E3 11BF0-11BF9 16130-16139 16D70-16D79 1CCF0-1CCF9 1E5F1-1E5FA",
+    "marks": "07FD 0898-089F 08CA-08D3 09FE 0C3C 0D3B-0D3C 0EBA 1715 1ABF-1ACE 1DF6-1DFA A82C 10D24-10D27 10EAB-10EAC 10EFD-10EFF 10F46-10F50 "
+             "10F82-10F85 11070 1133B 1145E 11839-1183A 11930 1193D-1193E 11943 119E0 11A34 11A47 11A99 11D42 11D44-11D45 11D97 11F41-11F42 "
+             "16FF0-16FF1 1E08F 1E130-1E136 1E2AE 1E2EC-1E2EF 1E4EC-1E4EF",
+    "lower": "1C89>1C8A A7CB>0264 A7CC>A7CD A7CE>A7CF A7D2>A7D3 A7D4>A7D5 A7DA>A7DB A7DC>019B 10D50-10D65>10D70 16EA0-16EB8>16EBB",
+}
+
+
+def _ranges(kind: str) -> list[list[int]]:
+    return [[int(x, 16) for x in (r.split(">")[0].split("-") * 2)[:2]] for r in NEWER[kind].split()]
+
+
+_NEWER_MARK = re.compile("([" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _ranges("marks")) + "])")
+_NEWER_LOWER = {a + k: int(r.split(">")[1], 16) + k for (a, b), r in zip(_ranges("lower"), NEWER["lower"].split(), strict=True) for k in range(b - a + 1)}
+_NEWER_CASED = re.compile("[" + "".join(map(chr, _NEWER_LOWER)) + "]")
+
+
+def normalized(text: str) -> str:
+    """NFC and lower case, as the library has them."""
+    if text.isascii():
+        return text.lower()
+    if _NEWER_MARK.search(text):
+        text = "".join(unicodedata.normalize("NFC", part) for part in _NEWER_MARK.split(text))
+    else:
+        text = unicodedata.normalize("NFC", text)
+    text = text.replace("Σ", "σ").lower()
+    return text.translate(_NEWER_LOWER) if _NEWER_CASED.search(text) else text
+
+
 def category_class(first: str) -> str:
     """The characters of a Unicode category as ranges for a pattern's set."""
-    ranges: list[list[int]] = []
+    ranges: list[list[int]] = _ranges(first)
     for c in range(sys.maxunicode + 1):
         if unicodedata.category(chr(c))[0] == first:
-            if ranges and ranges[-1][1] == c - 1:
+            if ranges[-1][1] == c - 1:
                 ranges[-1][1] = c
             else:
                 ranges.append([c, c])
@@ -143,7 +177,7 @@ class Vocabulary:
 
     def encode_chunk(self, chunk: str) -> bytes:
         """The packed ids of a run without white space."""
-        text = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+        text = normalized(chunk)
         out = []
         for word in self.word.findall(text):
             ids = self.words.get(word)

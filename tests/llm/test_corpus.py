@@ -50,6 +50,21 @@ def test_bpe_as_the_library(spark, docs):
     assert bpe.encode_texts(docs.limit(0)).count() == 0
 
 
+def test_bpe_of_all_code_points():
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(bpe.default_path())
+    ours = bpe.Vocabulary(bpe._content(None))
+    points = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    rng = random.Random(4)
+    marks = [c for c in points if bpe.unicodedata.combining(chr(c))]
+    lines = [f"ab{chr(c)}cd" for c in points] + ["".join(chr(rng.choice(marks)) if rng.random() < 0.6 else rng.choice("aeiouéÅ가각ᄀ𑤵") for _ in range(rng.randint(1, 8)))
+                                                  for _ in range(20000)] + ["\U00011935\U00011930"]
+    for start in range(0, len(lines), 50000):
+        part = lines[start:start + 50000]
+        for line, want in zip(part, library.encode_batch(part, add_special_tokens=False), strict=True):
+            assert list(array("I", ours.encode(line))) == want.ids, ascii(line)
+
+
 def test_secrets_link_parts(spark):
     value = "Abcdefghij0123456789Xy"
     rows = [(1, f"user=alice {value} https://host.example/x"), (2, value), (3, None), (4, "password: token=abcdefghijklmnop"),
