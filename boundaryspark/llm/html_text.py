@@ -5,7 +5,7 @@ host over pages of different content, so copies of one page count once, and subt
 pages of their host are templates: on `many_pages`, however large the host, or, on smaller hosts, on `min_pages`
 and `min_share` of them.  A second pass parses again, deletes the
 templates, then menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments by element, role and name, and reads the blocks of the articles that are left (of `main` or the
+comments by element, role and name (a name alone rarely says so, see `is_boilerplate`), and reads the blocks of the articles that are left (of `main` or the
 body where no article is).  Text-level blocks (paragraphs, headings, list items) and whatever holds an
 article are never templates, so passages that many pages share stay.
 
@@ -45,12 +45,19 @@ footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p
 tfoot th thead tr ul caption""".split())
 CONTAINERS = frozenset("aside center details dialog div dl figure footer form header menu nav ol search section table ul".split())
 DROPPED = frozenset("""nav header footer aside form script style noscript template iframe object svg canvas button select input
-textarea dialog menu head title audio video search embed math map datalist label xmp noembed noframes""".split())
+textarea dialog menu head title audio video search embed map datalist label xmp noembed noframes""".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-NAMES = frozenset("""ad ads advert adverts advertisement advertising advertorial sponsor sponsored sponsors promo promos promotion
-banner cookie cookies consent gdpr notice notices notification popup modal overlay newsletter subscribe subscription signup
-sidebar aside menu navbar nav navigation breadcrumb breadcrumbs footer header masthead topbar comment comments commentlist
-respond disqus share sharing social related recommended widget widgets toolbar pagination pager paywall login search""".split())
+#: Class names that say what a subtree is: adverts, notices about cookies, reader comments, menus.
+PLAIN_NAMES = frozenset("""ad ads advert adverts advertisement advertising advertorial sponsor sponsored sponsors promo promos
+cookie cookies consent gdpr newsletter sidebar menu navbar nav navigation breadcrumb breadcrumbs comments commentlist disqus
+pagination pager paywall""".split())
+#: Names that articles use for their own parts too; they count only with links or form controls, or outside articles.
+DOUBTFUL_NAMES = frozenset("""promotion banner notice notices notification popup modal overlay subscribe subscription signup aside
+footer header masthead topbar comment respond share sharing social related recommended widget widgets toolbar login search""".split())
+CONTROLS = frozenset("form button input select textarea".split())
+#: Share of a subtree's words that stand in links from which on it is a list of links.
+LINK_SHARE = 0.5
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
 SCOPES = frozenset("ul ol dl table article section div main body html menu".split())
@@ -63,6 +70,10 @@ class Node:
     children: list = field(default_factory=list)
     holds_main: bool = False
     digest: int = 0
+    words: int = 0
+    linked: int = 0
+    controls: bool = False
+    heading: bool = False
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -75,9 +86,19 @@ def _finish(node: Node) -> None:
     for child in node.children:
         if isinstance(child, Node):
             node.holds_main |= child.holds_main
+            node.controls |= child.controls
+            node.heading |= child.heading
+            node.words += child.words
+            node.linked += child.linked
             seen.update(child.digest.to_bytes(8, "little"))
         else:
-            seen.update(" ".join(child.split()).encode("utf-8", "replace"))
+            words = child.split()
+            node.words += len(words)
+            seen.update(" ".join(words).encode("utf-8", "replace"))
+    if node.tag == "a":
+        node.linked = node.words
+    node.controls |= node.tag in CONTROLS
+    node.heading |= node.tag in HEADINGS
     node.holds_main |= node.tag in ("article", "main")
     node.digest = seen.intdigest()
 
@@ -151,7 +172,16 @@ def subtrees(node: Node) -> set[int]:
     return found
 
 
-def is_boilerplate(node: Node) -> bool:
+def is_boilerplate(node: Node, whole: Node | None = None) -> bool:
+    """Is a subtree a menu, header, footer, sidebar, notice, advert, form or comments?  `whole` is the article that it is in, if any.
+
+    An element or role of these kinds says so, but the header of an article that holds its heading is a part of it.  A name has to be a whole
+    class: `search-engines` is no search.  Plain names say what the subtree is, others and parts of compound names want
+    evidence: mostly links, form controls, or a place outside articles.  Ids are targets of links and want it too.  No name counts
+    against a subtree that holds most of its article's words.
+    """
+    if node.tag == "header" and whole is not None and node.heading and 2 * node.linked < node.words:
+        return False
     if node.tag in DROPPED:
         return True
     if not node.attrs or node.tag in ("html", "body", "article", "main"):
@@ -161,14 +191,23 @@ def is_boilerplate(node: Node) -> bool:
         return True
     if "display:none" in attrs.get("style", "").replace(" ", "").lower():
         return True
-    words = re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{attrs.get('class', '')} {attrs.get('id', '')}")
-    return not NAMES.isdisjoint(re.split(r"[^a-z0-9]+", words.lower()))
+    if whole is not None and 2 * node.words > whole.words:
+        return False
+    classes, ids = ({re.sub(r"[-_]+", "", w) for w in attrs.get(a, "").lower().split()} for a in ("class", "id"))
+    if not PLAIN_NAMES.isdisjoint(classes):
+        return True
+    parts = set(re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{attrs.get('class', '')} {attrs.get('id', '')}").lower()))
+    named = not (PLAIN_NAMES | DOUBTFUL_NAMES).isdisjoint(parts | classes | ids)
+    links = node.words > 0 and node.linked >= LINK_SHARE * node.words
+    # outside articles a whole name is enough, a part of one isn't
+    alone = whole is None and not DOUBTFUL_NAMES.isdisjoint(classes | ids) or whole is None and not PLAIN_NAMES.isdisjoint(ids)
+    return named and (links or node.controls or node.words == 0 or alone)
 
 
 def main_text(root: Node, templates: frozenset[int] | set[int] = frozenset()) -> str:
     """Blocks of the main content, joined by line breaks."""
-    def gone(x: Node) -> bool:
-        return is_boilerplate(x) or (x.tag in CONTAINERS and not x.holds_main and x.digest in templates)
+    def gone(x: Node, whole: Node | None = None) -> bool:
+        return is_boilerplate(x, whole) or (x.tag in CONTAINERS and not x.holds_main and x.digest in templates)
 
     def outermost(tags: tuple[str, ...], role: str | None = None) -> list[Node]:
         out, todo = [], [root]
@@ -201,7 +240,7 @@ def main_text(root: Node, templates: frozenset[int] | set[int] = frozenset()) ->
                 flush()
             elif isinstance(x, str):
                 line.append(x)
-            elif x is start or not gone(x):
+            elif x is start or not gone(x, start if start.tag in ("article", "main") else None):
                 if x.tag == "br":
                     line.append("\n")
                 block = x.tag in BLOCKS

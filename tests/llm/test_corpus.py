@@ -218,6 +218,55 @@ def test_main_text(spark):
     assert one == "T & U\none two\nthree four\nJoin our list\nx\ny"
 
 
+def test_blocks_are_judged_by_more_than_a_name(spark):
+    prose = "Plain words of a paragraph that belongs to the text"
+    links = '<ul><li><a href="/a">first link</a></li><li><a href="/b">second link</a></li></ul>'
+    kept = [f'<div class="search-engines"><p>{prose} one</p></div>', f'<section id="social"><p>{prose} two</p></section>', "<p>Let <math><mi>x</mi></math> be three.</p>",
+            f'<div class="comment-on-law"><p>{prose} four</p></div>', f'<div id="footer"><p>{prose} five</p></div>', f'<section class="notice"><p>{prose} six</p></section>',
+            f"<p>{prose} <a href='/x'>with a link</a> seven</p>", f'<div class="widget"><h2>Eight</h2><p>{prose}</p></div>']
+    want = [f"{prose} one", f"{prose} two", "Let x be three.", f"{prose} four", f"{prose} five", f"{prose} six", f"{prose} with a link seven", f"Eight\n{prose}"]
+    gone = ['<div class="ad">Buy now</div>', '<div class="Cookie consent">We use cookies</div>', f'<div class="related-posts">{links}</div>', f'<div id="social">{links}</div>',
+            '<div class="newsletter_box"><input name="mail">Your mail</div>', '<footer>the end</footer>', '<aside>aside</aside>', f"<nav>{links}</nav>", '<div role="search">find</div>',
+            '<section class="comments"><p>A reader says</p></section>', "<form><label>Name</label></form>", "<script>var a = '</p>';</script>", '<div style="display: none">unseen</div>']
+    rng, rows, texts_of = random.Random(3), [], {}
+    for k in range(60):
+        parts = [(rng.choice(gone), None) if rng.random() < 0.5 else (kept[i], want[i]) for i in [rng.randrange(len(kept)) for _ in range(12)]]
+        head = f"<header><h1>Title {k}</h1></header>"
+        rows.append((k, f"https://h{k}.example/", f"<html><body><header>Site {k}</header><div class='footer'>outside</div><article>{head}{''.join(p for p, _ in parts)}</article></body></html>"))
+        texts_of[k] = "\n".join([f"Title {k}", *[w for _, w in parts if w]])
+    # nothing of the article goes by the name of the subtree that holds it
+    rows.append((100, "https://one.example/", f'<body><article><div class="sidebar"><p>{prose}</p><p>{prose}</p></div><p>End</p></article></body>'))
+    texts_of[100] = f"{prose}\n{prose}\nEnd"
+    got = {r["page_id"]: r["text"] for r in html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k, text in texts_of.items():
+        assert got[k] == text
+
+
+def test_pages_without_rows_and_very_long_ones(spark):
+    schema = "page_id long, url string, html string, text string, n_chars long"
+    assert html_text.extract_text(spark.createDataFrame([], schema)).count() == 0
+    page = "<article>" + "".join(f"<p>paragraph {k}</p>" for k in range(30000)) + "</article>"
+    rows = [(1, None, page, "x", 1), (1, None, page, "x", 1), (2, "no host", None, "y", 2)]
+    got = [(r["page_id"], r["text"], r["n_chars"]) for r in html_text.extract_text(spark.createDataFrame(rows, schema)).collect()]
+    text = "\n".join(f"paragraph {k}" for k in range(30000))
+    assert sorted(got) == [(1, text, 1), (1, text, 1), (2, "", 2)]
+
+
+def test_secrets_of_nothing_and_of_many_parts(spark):
+    import time
+    schema = "doc_id long, text string, spans string, base string, start int"
+    assert secret_scan.find_secrets(spark.createDataFrame([], schema)).count() == 0
+
+    def seconds(n):
+        text = " ".join(f"user=alice{k} Abcdefghij0123456789X{k}" for k in range(n))
+        start = time.perf_counter()
+        row = secret_scan.find_secrets(spark.createDataFrame([(1, text, "x", "y", 0)], schema)).first()
+        assert len(row["spans"]) == 2 * n
+        return time.perf_counter() - start
+    seconds(10)
+    assert seconds(16000) < 6 * max(seconds(4000), 1)
+
+
 @pytest.mark.parametrize("few", [100_000, 0])
 def test_templates_of_a_part_of_a_large_host(spark, few):
     def page(k):
