@@ -4,7 +4,7 @@ Base spans are found by pattern: `assign` (keyword, separator and a value of 12
 `access` (access identifiers) and `hex` (runs of 16 or more).  Further parts are too weak alone: `ident`
 (a named user, account or key id), `value` (a token of mixed letters and digits) and `endpoint` (an
 address with a scheme).  An interval join links the parts of a text: sorted by start, each weak part
-meets the nearest end before it and the nearest start after it of every role, and it is reported only
+meets the nearest end before it and the nearest start after it of every role (running extremes in both orders), and it is reported only
 when complementary parts lie within `scope` code points: a value with an identifier or an endpoint, an
 identifier with a secret, an endpoint with both.  The join is a sort and running extremes per text, so
 many parts make no pairs.
@@ -103,8 +103,9 @@ def find_secrets(df: DataFrame, doc_id: str = "doc_id", text: str = "text", scop
     roles = [KINDS[k][1] for k in NAMES]
     parts = parts.withColumn("role", F.element_at(F.array(*map(F.lit, roles)), F.col("kind") + 1)).withColumn(
         "weak", F.col("kind") >= len(BASE))
-    order = Window.partitionBy("_row").orderBy("start", "kind", "end")
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    # frames that grow with the rows only: a frame up to the last row would be read anew for every row
+    ways = Window.partitionBy("_row").orderBy("start", "kind", "end"), Window.partitionBy("_row").orderBy(*[F.desc(c) for c in ("start", "kind", "end")])
+    before, after = (w.rowsBetween(Window.unboundedPreceding, -1) for w in ways)
     base_end = F.max(F.when(~F.col("weak"), F.col("end"))).over(before)
     base_start = F.min(F.when(~F.col("weak"), F.col("start"))).over(after)
     free = parts.withColumn("_covered", F.coalesce(base_end > F.col("start"), F.lit(False))
