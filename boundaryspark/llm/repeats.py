@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boundaryspark.llm.common import hash_table, table, table_of
@@ -151,8 +151,35 @@ def _texts(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
         "tid", F.xxhash64("key"))
 
 
+def _counted(rows: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Anchors of more than one place with the number of places of equal bytes (`same`); `hash` is null if all places have equal ones.
+
+    Only aggregates, which combine before the shuffle, see all anchors; a bit table then lets the few through that occur again.
+    """
+    per = anchors.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), (F.min("bytes_hashes") == F.max("bytes_hashes")).alias("alike")).where("n > 1")
+    per = materialize(per, "anchor-counts")
+    wanted = hash_table(per, F.col("hash"))
+
+    def again(batches):
+        known = table_of(wanted)
+        for batch in batches:
+            yield batch.filter(pa.array(known(batch.column("hash").to_numpy())))
+    kept = anchors.mapInArrow(again, anchors.schema)
+    kept = materialize(kept.hint("merge").join(per.hint("merge"), "hash"), "anchors")
+    mixed = kept.where("not alike")
+    same = materialize(mixed.groupBy("hash", "bytes_hashes").agg(F.count(F.lit(1)).alias("same")), "anchor-bytes")
+    least = same.groupBy("hash").agg(F.min("same").alias("least"))
+    parted = mixed.join(same.join(least, "hash"), ["hash", "bytes_hashes"])
+    # places that all have company of equal bytes are settled; the others of an anchor go to their bucket
+    every = kept.where("alike").withColumns({"same": F.col("n"), "least": F.col("n")}).select(*parted.columns).unionAll(parted)
+    return materialize(every.select("tid", F.when(F.col("least") == 1, F.col("hash")).alias("hash"), "n", "same", "low", "windows"), "anchors")
+
+
 def find_repeats(documents: DataFrame, length: int = LENGTH, hot: int = HOT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, ranges, n_removed, kept) per row; `kept` is null where the whole text or nothing of it is removed."""
+    """(doc_id, n_bytes, ranges, n_removed, kept_sha256, text) per row: what is removed, and the hash and the text of what is left.
+
+    `text` replaces bytes that a cut leaves without the rest of their character.
+    """
     q = length // 4
     texts = _texts(documents, doc_id, text)
 
@@ -181,11 +208,8 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, hot: int = HOT, doc
     # a task sends the anchors of a text once; copies in other tasks count too, and are removed whole anyway
     anchors = rows.select(F.xxhash64("key").alias("tid"), F.inline(F.arrays_zip("hashes", "lows", "highs", "bytes_hashes"))).select(
         "tid", F.col("hashes").alias("hash"), F.col("lows").cast("int").alias("low"),
-        (F.col("highs") - F.col("lows")).cast("int").alias("windows"), "bytes_hashes").repartition("hash")
-    same, alike = Window.partitionBy("hash", "bytes_hashes"), Window.partitionBy("hash")
-    anchors = anchors.withColumn("same", F.count(F.lit(1)).over(same)).withColumns({
-        "n": F.count(F.lit(1)).over(alike), "least": F.min("same").over(alike)}).where("n > 1")
-    anchors = materialize(anchors.select("tid", F.when(F.col("least") == 1, F.col("hash")).alias("hash"), "n", "same", "low", "windows"), "anchors")
+        (F.col("highs") - F.col("lows")).cast("int").alias("windows"), "bytes_hashes")
+    anchors = _counted(rows, anchors)
     settled = anchors.where("same > 1").select("tid", F.col("low").cast("long").alias("start"),
                                                (F.col("low") + F.col("windows") + length).cast("long").alias("end"))
     open_anchors = anchors.where("hash is not null")
@@ -304,50 +328,46 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, hot: int = HOT, doc
         windows = told.where("kind = 2").select("hash", tid, "start", "end").distinct()
         often = windows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         ranges = ranges.unionAll(windows.join(often, "hash").select("tid", "start", "end"))
-    single = classes.where("copies = 1").select(F.xxhash64("key").alias("tid"))
-    by_text = materialize(ranges.groupBy("tid").agg(F.collect_list(F.struct("start", "end")).alias("ranges")).join(single, "tid"), "ranges")
+    alone = classes.where("copies = 1").select(F.xxhash64("key").alias("tid"))
+    by_text = ranges.groupBy("tid").agg(F.collect_list(F.struct("start", "end")).alias("ranges")).join(alone, "tid")
+    whole = classes.where((F.col("copies") > 1) & (F.col("n") >= length)).select(F.xxhash64("key").alias("tid"), F.array(
+        F.struct(F.lit(0).cast("long").alias("start"), F.col("n").alias("end"))).alias("ranges"))
+    by_text = materialize(by_text.unionByName(whole), "ranges")
     touched = hash_table(by_text, F.col("tid"))
-
-    def touched_only(batches):
-        known = None
-        for batch in batches:
-            known = known or table_of(touched)
-            yield batch.filter(pa.array(known(batch.column(2).to_numpy())))
-    affected = texts.select("key", "_text", "tid", "doc_id").mapInArrow(
-        touched_only, "key binary, _text string, tid long, doc_id long")
+    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    out_names = ["doc_id", "n_bytes", "ranges", "n_removed", "kept_sha256", "text"]
+    out_kinds = [pa.int64(), pa.int64(), pa.list_(span), pa.int64(), pa.string(), pa.string()]
+    out_schema = "doc_id long, n_bytes long, ranges array<struct<start:long,end:long>>, n_removed long, kept_sha256 string, text string"
+
+    def select(wanted: bool):
+        def run(batches):
+            known = None
+            for batch in batches:
+                known = known or table_of(touched)
+                yield batch.filter(pa.array(known(batch.column("tid").to_numpy()) == wanted))
+        return run
+    # texts that nothing touches are not moved; a false hit of the table finds no ranges
+    untouched = texts.mapInArrow(select(False), texts.schema).select(
+        "doc_id", F.octet_length("_text").cast("long").alias("n_bytes"), F.array().cast("array<struct<start:long,end:long>>").alias("ranges"),
+        F.lit(0).cast("long").alias("n_removed"), F.lower(F.hex("key")).alias("kept_sha256"), F.col("_text").alias("text"))
 
     def cut(batches):
         for batch in batches:
-            out = [[], [], [], []]
-            for content, spans in zip(batch.column(2), batch.column(3), strict=True):
+            out = [[] for _ in out_names]
+            for number, content, spans in zip(*(batch.column(c) for c in ("doc_id", "_text", "ranges")), strict=True):
                 raw = content.as_py().encode("utf-8", "replace")
-                merged = merged_ranges([(x["start"], x["end"]) for x in spans.as_py()])
+                merged = merged_ranges([(x["start"], x["end"]) for x in spans.as_py() or ()])
                 edges = [0, *[x for span in merged for x in span], len(raw)]
-                out[0].append(len(raw))
-                out[1].append([{"start": a, "end": b} for a, b in merged])
-                out[2].append(sum(b - a for a, b in merged))
-                out[3].append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
-            span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-            made = [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.list_(span), pa.int64(), pa.binary()), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *made, batch.column(1)],
-                                             names=["doc_id", "n_bytes", "ranges", "n_removed", "kept", "key"])
-    # a text in `by_text` has no copy, so its row is made where its text is and `kept` is not moved again
-    changed = affected.hint("merge").join(by_text, "tid").select("doc_id", "key", "_text", "ranges").mapInArrow(
-        cut, "doc_id long, n_bytes long, ranges array<struct<start:long,end:long>>, n_removed long, kept binary, key binary")
-    others = rows.select("doc_id", "key", "n_bytes").hint("merge").join(classes.select("key", "copies"), "key").withColumn(
-        "tid", F.xxhash64("key")).hint("merge").join(by_text.select("tid"), "tid", "left_anti")
-    whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
-    full = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
-    none = F.array().cast("array<struct<start:long,end:long>>")
-    return changed.unionByName(others.select(
-        "doc_id", "n_bytes", F.when(whole, full).otherwise(none).alias("ranges"),
-        F.when(whole, F.col("n_bytes")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
-        F.lit(None).cast("binary").alias("kept"), "key"))
+                left = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+                for column, value in zip(out, (number.as_py(), len(raw), [{"start": a, "end": b} for a, b in merged], len(raw) - len(left),
+                                               hashlib.sha256(left).hexdigest(), left.decode("utf-8", "replace")), strict=True):
+                    column.append(value)
+            yield _batch(out, out_kinds, out_names)
+    cut_texts = texts.mapInArrow(select(True), texts.schema).hint("merge").join(by_text.hint("merge"), "tid", "left").select("doc_id", "_text", "ranges")
+    return untouched.unionByName(cut_texts.mapInArrow(cut, out_schema))
 
 
 @query("op9_repeats")
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    digest = F.when(F.col("n_removed") == 0, F.lower(F.hex("key"))).when(
-        F.col("kept").isNull(), F.sha2(F.lit(""), 256)).otherwise(F.sha2("kept", 256))
-    return found.select("doc_id", "n_bytes", "n_removed", F.size("ranges").cast("long").alias("n_spans"), digest.alias("kept_sha256"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("ranges").cast("long").alias("n_spans"), "kept_sha256", "text")
