@@ -1,10 +1,10 @@
 """Exact deduplication against a persistent digest index, DataFrame operations only.
 
 Method: the index is a table bucketed and sorted by digest.  A batch is digested once into a written
-table; its digests go to the index in a sort-merge anti-join, and what is new is appended as further
-sorted buckets.  Inside a batch one aggregate per digest, combined before the shuffle, picks the row
-that stays, so a text that holds a third of all rows is no hot group; the join back is one that
-adaptive execution splits.
+table.  Inside a batch one aggregate per digest, combined before the shuffle, picks the row
+that could stay, so a text that holds a third of all rows is no hot group.  These go to the index, at first an empty one, in a
+sort-merge anti-join, and what is new is appended as further sorted buckets.  Which rows stay is read back from the
+index; the join of rows with these decisions is one that adaptive execution splits.
 
 Texts are equal when equal after all white space of [\\x20\\x09-\\x0D] is deleted; a null text counts as
 empty.  The row of most code points stays, then the smallest id, then the first of rows alike; a null id
@@ -31,7 +31,12 @@ def digest_of(text: str):
 
 
 class DigestIndex:
-    """A table (text_sha256, keep_id) in the warehouse, bucketed and sorted by digest."""
+    """A table (text_sha256, keep_id, batch, keep_row) in the warehouse, bucketed and sorted by digest.
+
+    `batch` and `keep_row` tell which row of which batch brought the digest.
+    """
+
+    SCHEMA = "text_sha256 string, keep_id long, batch string, keep_row long"
 
     def __init__(self, spark: SparkSession, name: str, buckets: int = BUCKETS) -> None:
         self.spark, self.name, self.buckets = spark, name, buckets
@@ -40,65 +45,64 @@ class DigestIndex:
         return self.spark.catalog.tableExists(self.name)
 
     def read(self) -> DataFrame:
+        if not self.exists():
+            self.append(self.spark.createDataFrame([], self.SCHEMA))
         return self.spark.table(self.name)
 
     def unseen(self, digests: DataFrame) -> DataFrame:
         """Rows whose digest the index lacks."""
-        if not self.exists():
-            return digests
         return digests.hint("merge").join(self.read().select("text_sha256").hint("merge"), "text_sha256", "left_anti")
 
     def append(self, new: DataFrame) -> None:
-        (new.select("text_sha256", "keep_id").repartition(self.buckets, "text_sha256").write.mode("append")
+        columns = [f"cast({c.split()[0]} as {c.split()[1]}) as {c.split()[0]}" for c in self.SCHEMA.split(", ")]
+        (new.selectExpr(*columns).repartition(self.buckets, "text_sha256").write.mode("append")
          .bucketBy(self.buckets, "text_sha256").sortBy("text_sha256").saveAsTable(self.name))
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
+def _add_batch(rows: DataFrame, index: DigestIndex) -> tuple[DataFrame, str]:
+    """Groups of a written batch (doc_id, text_sha256, _length, _row); digests that the index lacks are appended to it."""
+    order = F.struct(-F.col("_length"), F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
+    groups = rows.groupBy("text_sha256").agg(F.min_by(F.struct("doc_id", "_row"), order).alias("_best"), F.count(F.lit(1)).alias("group_size"))
+    groups = materialize(groups.select("text_sha256", "group_size", F.col("_best.doc_id").alias("keep_id"), F.col("_best._row").alias("keep_row")), "groups")
+    batch = uuid.uuid4().hex
+    index.append(index.unseen(groups).withColumn("batch", F.lit(batch)))
+    return groups, batch
+
+
+def _digests(df: DataFrame, doc_id: str, text: str) -> list:
+    return [F.col(doc_id).alias("doc_id"), digest_of(text).alias("text_sha256"), F.length(F.coalesce(F.col(text), F.lit(""))).alias("_length")]
+
+
 def decide(df: DataFrame, index: DigestIndex, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `df`: id, digest, the id that stays, the group's size and whether this row stays.
 
-    The digests of texts new to the index are appended to it.
+    The digests that the index lacks are appended to it, and what stays is read back from it.
     """
-    rows = df.select(F.col(doc_id).alias("doc_id"), digest_of(text).alias("text_sha256"),
-                     F.length(F.coalesce(F.col(text), F.lit(""))).alias("_length"))
-    rows = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "digests")
-    order = F.struct(-F.col("_length"), F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
-    groups = rows.groupBy("text_sha256").agg(F.min_by(F.struct("doc_id", "_row"), order).alias("_best"),
-                                             F.count(F.lit(1)).alias("group_size"))
-    groups = groups.select("text_sha256", "group_size", F.col("_best.doc_id").alias("keep_id"),
-                           F.col("_best._row").alias("_keep_row"))
-    before = index.read().select("text_sha256", F.col("keep_id").alias("_held"), F.lit(True).alias("_seen")) \
-        if index.exists() else None
-    if before is not None:
-        groups = groups.join(before.hint("merge"), "text_sha256", "left").withColumns({
-            "keep_id": F.when(F.col("_seen"), F.col("_held")).otherwise(F.col("keep_id")),
-            "_keep_row": F.when(F.col("_seen"), F.lit(None)).otherwise(F.col("_keep_row"))}).drop("_held", "_seen")
-    groups = materialize(groups, "groups")
-    index.append(index.unseen(groups))
-    out = rows.hint("merge").join(groups, "text_sha256")
-    return out.select("doc_id", "keep_id", "group_size",
-                      F.coalesce(F.col("_row") == F.col("_keep_row"), F.lit(False)).alias("kept"), "text_sha256",
-                      "_length")
+    rows = materialize(df.select(*_digests(df, doc_id, text)).withColumn("_row", F.monotonically_increasing_id()), "digests")
+    groups, batch = _add_batch(rows, index)
+    held = groups.select("text_sha256", "group_size").hint("merge").join(index.read().hint("merge"), "text_sha256")
+    held = materialize(held.select("text_sha256", "group_size", "keep_id", F.when(F.col("batch") == batch, F.col("keep_row")).alias("keep_row")), "held")
+    out = rows.hint("merge").join(held, "text_sha256")
+    return out.select("doc_id", "keep_id", "group_size", F.coalesce(F.col("_row") == F.col("keep_row"), F.lit(False)).alias("kept"), "text_sha256")
+
+
+def _fresh_index(spark: SparkSession) -> DigestIndex:
+    return DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
 
 
 def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `df` that stay, with all their columns, judged within `df` alone."""
-    index = DigestIndex(df.sparkSession, f"digest_index_{uuid.uuid4().hex}")
-    decisions = decide(df, index, doc_id, text)
-    kept = materialize(decisions.where("kept").select(F.col("doc_id").alias("_id"), "text_sha256", "_length"), "kept")
-    same = decisions.join(kept, decisions["doc_id"].eqNullSafe(kept["_id"])
-                          & (decisions["text_sha256"] == kept["text_sha256"])
-                          & (decisions["_length"] == kept["_length"]), "left_semi")
-    repeated = same.count() > kept.count()
-    index.drop()
-    rows = df.withColumns({"_digest": digest_of(text), "_n": F.length(F.coalesce(F.col(text), F.lit("")))})
-    rows = rows.join(kept, rows[doc_id].eqNullSafe(kept["_id"]) & (rows["_digest"] == kept["text_sha256"])
-                     & (rows["_n"] == kept["_length"]), "left_semi")
-    if repeated:
-        rows = rows.dropDuplicates([doc_id, "_digest"])
-    return rows.drop("_digest", "_n")
+    rows = materialize(df.select(F.struct("*").alias("_r"), *_digests(df, doc_id, text)).withColumn("_row", F.monotonically_increasing_id()), "digests")
+    index = _fresh_index(df.sparkSession)
+    try:
+        _, batch = _add_batch(rows.drop("_r"), index)
+        kept = materialize(index.read().where(F.col("batch") == batch).select(F.col("keep_row").alias("_row")), "kept")
+    finally:
+        index.drop()
+    return rows.join(kept, "_row", "left_semi").select("_r.*")
 
 
 OP7_SQL = r"""
@@ -112,7 +116,8 @@ FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST)
 
 @query("op7_exact_dedup", OP7_SQL)
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
-    decisions = decide(table(spark, sf_dir, "documents").select("doc_id", "text"), index)
-    index.drop()
-    return decisions.drop("_length")
+    index = _fresh_index(spark)
+    try:
+        return decide(table(spark, sf_dir, "documents").select("doc_id", "text"), index)
+    finally:
+        index.drop()
