@@ -32,6 +32,7 @@ from boundaryspark.runtime import materialize, scratch_path
 
 REVISIT_BYTES = 1000
 FILE_BYTES = 16 * 1024 * 1024
+SLICE = 16 * 1024
 END = b"\r\n\r\n"
 VERSION = re.compile(rb"WARC/\d\.\d\r?\n")
 HEADER_END = re.compile(rb"\r\n\r\n|\nWARC/\d\.\d\r?\n")
@@ -144,22 +145,29 @@ def _next_start(data: bytes, at: int) -> int:
     return len(data)
 
 
+def _member(data: bytes, at: int) -> tuple[bytes, int] | None:
+    """Content and end of the gzip member at `at`, fed in slices so that the rest of the file is not copied; None if it is cut off."""
+    unzip, content, view = zlib.decompressobj(31), [], memoryview(data)
+    while not unzip.eof and at < len(data):
+        content.append(unzip.decompress(view[at:at + SLICE]))
+        at += SLICE
+    return (b"".join(content), min(at, len(data)) - len(unzip.unused_data)) if unzip.eof else None
+
+
 def read_archive(data: bytes) -> Iterator[Record]:
     """All sound records of an archive in order, and a record of kind `gap` for each quarantined stretch."""
     at, gap, why = 0, -1, ""
     while at < len(data):
         found: list[Record] = []
         if data.startswith(MEMBER, at):
-            unzip = zlib.decompressobj(31)
+            onward, reason = at + 1, "truncated member"
             try:
-                inner = unzip.decompress(data[at:])
-                size = len(data) - at - len(unzip.unused_data)
-                if unzip.eof:
-                    found = [r._replace(offset=at, length=size) for r in read_archive(inner)]
-                reason = "truncated member"
+                member = _member(data, at)
+                if member:
+                    found = [r._replace(offset=at, length=member[1] - at) for r in read_archive(member[0])]
+                    onward = member[1] if found else onward
             except zlib.error:
                 reason = "member"
-            onward = at + size if found else at + 1
         else:
             record, onward, reason = _plain(data, at)
             found = [record] if record else []
