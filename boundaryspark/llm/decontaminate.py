@@ -33,6 +33,7 @@ SIMILARITY = 0.8
 RADIUS = 20
 SLOTS = 1 << 17
 #: Four counters of 15 bits in one number: ones in each, a bit of a nibble in each, and what lifts it to the top.
+_MOST_PACKED = (1 << 14) - 1
 _LANES = sum(1 << 15 * j for j in range(4))
 _NIBBLE = sum(1 << 16 * j for j in range(4))
 _LIFT = sum(((1 << 14) - (1 << j)) << 15 * j for j in range(4))
@@ -50,14 +51,16 @@ def shingles(column: str, size: int) -> Column:
 
 
 def simhash(column: str) -> Column:
-    """64-bit SimHash of an array of words, by majorities of packed counters."""
+    """64-bit SimHash of an array of words, by majorities of packed counters, or of one counter a bit where they would run over."""
     spread = (f"shiftrightunsigned((((shiftrightunsigned(h, 4 * k) & 15L) * {_LANES}L) & {_NIBBLE}L) + {_LIFT}L, 14) & {_LANES}L")
     lanes = f"aggregate(hs, 0L, (a, h) -> a + ({spread}))"
     major = f"shiftrightunsigned({lanes} + ({(1 << 14) - 1}L - size(hs) div 2) * {_LANES}L, 14) & {_LANES}L"
     gather = "((x | shiftrightunsigned(x, 14) | shiftrightunsigned(x, 28) | shiftrightunsigned(x, 42)) & 15L)"
-    return F.expr(f"""element_at(transform(array(transform({column}, w -> xxhash64(w))), hs ->
+    ones = "aggregate(hs, 0L, (a, h) -> a + (shiftrightunsigned(h, k) & 1L))"
+    wide = f"aggregate(transform(sequence(0, 63), k -> if({ones} > size(hs) div 2, shiftleft(1L, k), 0L)), 0L, (a, x) -> a | x)"
+    return F.expr(f"""element_at(transform(array(transform({column}, w -> xxhash64(w))), hs -> if(size(hs) > {_MOST_PACKED}, {wide},
         aggregate(transform(sequence(0, 15), k -> {major}), named_struct('f', 0L, 'n', 0),
-            (s, x) -> named_struct('f', s.f | shiftleft({gather}, 4 * s.n), 'n', s.n + 1)).f), 1)""")
+            (s, x) -> named_struct('f', s.f | shiftleft({gather}, 4 * s.n), 'n', s.n + 1)).f)), 1)""")
 
 
 def blocks(radius: int) -> list[tuple[int, int]]:

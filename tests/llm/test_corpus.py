@@ -82,6 +82,14 @@ def test_secret_places_in_long_lists(spark):
     assert [(s["start"], s["end"]) for s in spans] == want
 
 
+@pytest.mark.parametrize(("n", "kinds"), [(5, 5), (16383, 3), (16384, 1), (40000, 3)])
+def test_fingerprints_of_very_long_items(spark, n, kinds):
+    df = spark.createDataFrame([([f"w{k * k % kinds}" for k in range(n)],)], "ws array<string>")
+    row = df.select(decontaminate.simhash("ws").alias("f"), F.transform("ws", lambda w: F.xxhash64(w)).alias("h")).first()
+    counts = [sum(h >> k & 1 for h in row["h"]) for k in range(64)]
+    assert row["f"] & (1 << 64) - 1 == sum((c > n // 2) << k for k, c in enumerate(counts))
+
+
 def test_leaks_as_all_windows(spark):
     rng = random.Random(9)
     words = [f"w{k}x" for k in range(400)]
@@ -302,6 +310,26 @@ def record(payload, kind="response"):
     return head.encode() + payload + b"\r\n\r\n"
 
 
+def test_archives_of_many_members_take_time_in_proportion():
+    import gzip
+    import os
+    import time
+
+    def seconds(n):
+        data = b"".join(gzip.compress(record(os.urandom(8000))) for _ in range(n))
+        start = time.perf_counter()
+        assert sum(r.kind == "response" for r in warc.read_archive(data)) == n
+        return time.perf_counter() - start
+    seconds(50)
+    assert seconds(4000) < 8 * seconds(1000)
+
+
+def test_archives_of_no_rows(spark):
+    path = scratch_path(spark, "none")
+    warc.write_pages(spark.createDataFrame([], "page_id long, url string, html string, digest string, bytes int"), path)
+    assert warc.read_archives(spark, path).where("record_type = 'response'").count() == 0
+
+
 def test_archives_are_salvaged(spark):
     import gzip
     good = [record(b"a" * 50), record(b"WARC/1.1\r\nWARC-Type: fake"), record(b"")]
