@@ -22,6 +22,7 @@ from boundaryspark.runtime import scratch_path
 from boundaryspark.sources import geojson as J
 from boundaryspark.sources import packages as P
 from boundaryspark.sources import sinks as K
+from boundaryspark.sources.versions import VersionedTable
 from boundaryspark.streaming import jobs as ST
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
@@ -246,11 +247,14 @@ def stream_latest_status(spark, sf_dir):
 
 @query("stream_upsert_status", """SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, max_by(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1""")
 def stream_upsert_status(spark, sf_dir):
-    target = scratch_path(spark, "status-table")
-    stream = ST.parquet_stream(spark, f"{sf_dir}/events.parquet").select("user_id", "event_type", "event_id", "ts")
-    ST.upsert_batches(stream.withColumn("place", F.struct("ts", "event_id")), target, ["user_id"], "place", scratch_path(spark, "status-checkpoint")).awaitTermination()
-    newest = spark.read.parquet(target)
-    return newest.filter(F.col("version") == newest.agg(F.max("version")).scalar()).select("user_id", "event_type", "event_id")
+    # several files, one a micro-batch: later batches rewrite the buckets that they touch
+    folder, target = scratch_path(spark, "status-events"), scratch_path(spark, "status-table")
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts")
+    events.repartitionByRange(4, "ts").write.parquet(folder)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    rows = stream.withColumn("place", F.struct("ts", "event_id"))
+    ST.upsert_batches(rows, target, ["user_id"], "place", scratch_path(spark, "status-checkpoint")).awaitTermination()
+    return VersionedTable(spark, target, ["user_id"], "place").read(rows.schema).select("user_id", "event_type", "event_id")
 
 
 @query("stream_task_outcomes", """SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) FILTER (event_type = 'purchase') AS successful, count(*) FILTER (event_type = 'error') AS failed

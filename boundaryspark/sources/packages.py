@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 import zlib
 from collections.abc import Iterator
@@ -29,23 +30,38 @@ def describe_packages(path: Column) -> list[Column]:
             parts["adm"].alias("adm"), parts["file_name"].alias("file_name")]
 
 
-def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for package_id, content in zip(batch["package_id"], batch["content"]):
-            rows = []
-            try:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for info in archive.infolist():
-                        if not info.is_dir() and "__MACOSX" not in info.filename:
-                            rows.append((package_id, info.filename, info.file_size, info.CRC, archive.read(info)))
-            except (zipfile.BadZipFile, zlib.error, NotImplementedError, RuntimeError, EOFError):
-                rows = [(package_id, UNREADABLE, None, None, None)]
-            yield pd.DataFrame(rows, columns=["package_id", "member", "size", "crc", "content"])
-
-
-def package_members(packages: DataFrame) -> DataFrame:
-    """One row per member with its bytes; a broken zip gives one row that says so."""
-    return packages.select("package_id", "content").mapInPandas(_members, MEMBER_SCHEMA)
+#: Bytes of members that are handed on at once.
+MEMBER_BYTES = 16 << 20
+META_FILE = r"meta\.txt"
+
+
+def package_members(packages: DataFrame, unpack: str | None = ".*") -> DataFrame:
+    """One row per member; a zip that can't be read gives one row that says so.
+
+    Names, sizes and checksums come from the zip's directory.  Only members whose whole name matches `unpack` are read, by their place in the
+    file, and have their bytes in `content`; with None no member is.
+    """
+    wanted = re.compile(unpack, re.DOTALL) if unpack is not None else None
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for package_id, content in zip(batch["package_id"], batch["content"]):
+                rows, size = [], 0
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                        infos = [i for i in archive.infolist() if not i.is_dir() and "__MACOSX" not in i.filename]
+                        # a broken member makes the package unreadable, so it shows before any row is handed on
+                        read = [archive.read(i) if wanted and wanted.fullmatch(i.filename) else None for i in infos]
+                    rows = [(package_id, i.filename, i.file_size, i.CRC, data) for i, data in zip(infos, read, strict=True)]
+                except (zipfile.BadZipFile, zlib.error, NotImplementedError, RuntimeError, EOFError):
+                    rows = [(package_id, UNREADABLE, None, None, None)]
+                first = 0
+                for k, row in enumerate(rows):
+                    size += len(row[4] or b"")
+                    if size >= MEMBER_BYTES or k == len(rows) - 1:
+                        yield pd.DataFrame(rows[first:k + 1], columns=["package_id", "member", "size", "crc", "content"])
+                        first, size = k + 1, 0
+    return packages.select("package_id", "content").mapInPandas(run, MEMBER_SCHEMA)
 
 
 def meta_texts(members: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from boundaryspark.operators import intake as N
 from boundaryspark.runtime import scratch_path
 from boundaryspark.sources import packages as P
+from boundaryspark.sources.versions import BUCKETS, VersionedTable
 
 
 def stream_latest_status(stream: DataFrame, key: str = "status_type", ts: str = "ts", tie: str = "event_id") -> DataFrame:
@@ -36,7 +37,8 @@ def stream_quiet_periods(stream: DataFrame, key: str, gap: str, ts: str = "ts",
 
 def intake_batch(packages: DataFrame, countries: DataFrame, licenses: DataFrame, current_year: int | None = None) -> DataFrame:
     """Package contents and metadata verdict of one batch of packages."""
-    members = P.package_members(packages)
+    # names come from the directories of the zips; the metadata file alone is unpacked
+    members = P.package_members(packages, P.META_FILE)
     contents = N.check_package(members)
     kv = N.parse_meta(P.meta_texts(members))
     checks = N.metadata_checks(kv, countries, licenses, members.select("package_id", "member"), current_year)
@@ -66,21 +68,10 @@ def stream_new_tasks(stream: DataFrame, keys: list[str], ts: str = "time_added",
 
 
 def upsert_batches(stream: DataFrame, target: str, keys: list[str], order: str, checkpoint: str,
-                   prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> StreamingQuery:
-    """Keep the newest row per key in a table of numbered versions.
-
-    Each micro-batch writes version n+1 from version n, so a retried batch writes the same version
-    again and readers keep a whole table.  The newest version is the one to read.
-    """
+                   prepare: Callable[[DataFrame], DataFrame] = lambda df: df, buckets: int = BUCKETS) -> StreamingQuery:
+    """Keep the newest row per key in a `VersionedTable`, a version per micro-batch, of which only touched buckets are written."""
     def handle(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        fresh = prepare(batch)
-        others = [c for c in fresh.columns if c not in keys]
-        if number > 0:
-            old = spark.read.schema(fresh.schema).parquet(f"{target}/version={number - 1}")
-            fresh = old.unionByName(fresh)
-        newest = fresh.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col(order)).alias("_r")).select(*keys, "_r.*")
-        newest.write.mode("overwrite").parquet(f"{target}/version={number}")
+        VersionedTable(batch.sparkSession, target, keys, order, buckets).upsert(prepare(batch), number)
 
     return stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -196,6 +196,47 @@ def test_stream_upsert_over_several_batches(spark, tmp_path):
         spark.createDataFrame(rows, "k string, t int").coalesce(1).write.mode("append").parquet(folder)
     stream = spark.readStream.schema("k string, t int").option("maxFilesPerTrigger", 1).parquet(folder)
     ST.upsert_batches(stream, str(tmp_path / "out"), ["k"], "t", str(tmp_path / "cp")).awaitTermination()
-    table = spark.read.parquet(str(tmp_path / "out"))
-    newest = table.filter(F.col("version") == table.agg(F.max("version")).scalar())
+    from boundaryspark.sources.versions import VersionedTable
+    newest = VersionedTable(spark, str(tmp_path / "out"), ["k"], "t").read("k string, t int")
     assert sorted((r["k"], r["t"]) for r in newest.collect()) == [("a", 3), ("b", 2)]
+
+
+def test_members_by_the_directory(spark):
+    import io
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("meta.txt", META)
+        z.writestr("big.geojson", "x" * 100_000)
+    data = bytearray(buffer.getvalue())
+    at = data.index(b"big.geojson") + len("big.geojson")
+    data[at:at + 20] = b"\xff" * 20  # the large member no longer inflates
+    rows = [("good", buffer.getvalue()), ("bad", bytes(data)), ("cut", buffer.getvalue()[:-30]), ("none", None)]
+    packages = spark.createDataFrame([r for r in rows if r[1]], "package_id string, content binary")
+    names = sorted((r["package_id"], r["member"], r["size"], r["content"] is None) for r in P.package_members(packages, None).collect())
+    assert names == [("bad", "big.geojson", 100_000, True), ("bad", "meta.txt", len(META), True), ("cut", P.UNREADABLE, None, True),
+                     ("good", "big.geojson", 100_000, True), ("good", "meta.txt", len(META), True)]
+    one = {(r["package_id"], r["member"]): r["content"] for r in P.package_members(packages, P.META_FILE).collect()}
+    assert bytes(one["bad", "meta.txt"]).decode() == META and one["bad", "big.geojson"] is None
+    whole = {r["package_id"]: r["member"] for r in P.package_members(packages).collect()}
+    assert whole["bad"] == P.UNREADABLE and whole["good"] == "big.geojson"
+
+
+def test_versions_write_touched_buckets_only(spark, tmp_path):
+    from boundaryspark.sources.versions import VersionedTable
+    schema = "k long, v string, at long"
+    table = VersionedTable(spark, str(tmp_path / "t"), ["k"], "at", 16)
+    assert table.read(schema).count() == 0
+    table.upsert(spark.createDataFrame([(k, "a", 1) for k in range(1000)], schema), 0)
+    files = lambda n: list((tmp_path / "t" / "files" / f"version={n}").rglob("*.parquet"))
+    assert len(files(0)) == 16
+    table.upsert(spark.createDataFrame([(7, "b", 2)], schema), 1)
+    assert len(files(1)) == 1
+    table.upsert(spark.createDataFrame([(7, "old", 1), (2000, "c", 1)], schema), 2)
+    want = {**{k: "a" for k in range(1000)}, 7: "b", 2000: "c"}
+    assert {r["k"]: r["v"] for r in table.read(schema).collect()} == want
+    # a retry of the last batch, and of one that failed before its manifest
+    table.upsert(spark.createDataFrame([(7, "old", 1), (2000, "c", 1)], schema), 2)
+    assert {r["k"]: r["v"] for r in table.read(schema).collect()} == want and len(files(2)) <= 2
+    assert {r["k"]: r["v"] for r in table.read(schema, 1).collect()} == {**{k: "a" for k in range(1000)}, 7: "b"}
+    table.upsert(spark.createDataFrame([], schema), 3)
+    assert table.versions() == [0, 1, 2, 3] and {r["k"]: r["v"] for r in table.read(schema).collect()} == want
