@@ -232,7 +232,10 @@ def decode_text(spark, sf_dir):
 
 
 def _status_stream(spark, sf_dir):
-    events = ST.parquet_stream(spark, f"{sf_dir}/events.parquet")
+    return _status_rows(ST.parquet_stream(spark, f"{sf_dir}/events.parquet"))
+
+
+def _status_rows(events):
     kind = F.col("event_type")
     status = F.when(kind == "purchase", "COMPLETE").when(kind == "error", "ERROR").when(kind == "signup", "S").otherwise("PROCESSING")
     return events.select("event_id", F.concat(F.lit("U"), F.lpad(F.col("user_id").cast("string"), 6, "0")).alias("status_type"), status.alias("status"), "ts", "user_id")
@@ -283,3 +286,51 @@ def stream_new_tasks(spark, sf_dir):
     orders = ST.parquet_stream(spark, f"{sf_dir}/orders.parquet").filter(F.col("o_orderstatus") == "O").select(
         F.col("o_custkey").alias("iso"), (F.col("o_orderkey") % 6).alias("adm"), F.col("o_orderdate").alias("time_added"))
     return ST.run_to_table(ST.stream_new_tasks(orders, ["iso", "adm"], window="3650 days"), "append", "new-tasks").select("iso", "adm")
+
+
+# --- streams of several files in order of time, whose state ends -----------------------------------
+
+
+def _in_time_order(spark, rows, ts, name, files=4):
+    """A stream that gets one file a micro-batch, later times in later files."""
+    folder = scratch_path(spark, name)
+    first, last = rows.agg(F.min(F.unix_micros(ts)), F.max(F.unix_micros(ts))).first()
+    marked = rows.withColumn("_part", F.floor((F.unix_micros(ts) - F.lit(first)) * files / F.lit((last or 0) - (first or 0) + 1)))
+    for k in range(files):
+        marked.filter(F.col("_part") == k).drop("_part").write.mode("append").parquet(f"{folder}/part{k}")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+
+
+def _ordered_status(spark, sf_dir):
+    return _in_time_order(spark, _status_rows(table(spark, sf_dir, "events")), "ts", "status-files")
+
+
+@query("stream_closed_outcomes", """SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) FILTER (event_type = 'purchase') AS successful, count(*) FILTER (event_type = 'error') AS failed
+FROM (SELECT event_type, unnest(range(date_trunc('hour', ts) - INTERVAL 23 HOUR, date_trunc('hour', ts) + INTERVAL 1 MINUTE, INTERVAL 1 HOUR)) AS w FROM events) GROUP BY w
+HAVING w + INTERVAL 24 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 24 HOUR FROM events)""")
+def stream_closed_outcomes(spark, sf_dir):
+    out = ST.run_to_table(ST.stream_task_outcomes(_ordered_status(spark, sf_dir), ts="ts"), "append", "closed-outcomes")
+    return out.select(F.date_format("window_start", STAMP).alias("window_start"), "successful", "failed")
+
+
+@query("stream_closed_quiet_periods", """SELECT user_id, count(*) AS events, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen FROM (
+ SELECT user_id, ts, sum(CASE WHEN prev IS NULL OR ts - prev >= INTERVAL 12 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS spell
+ FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events)) GROUP BY user_id, spell
+HAVING max(ts) + INTERVAL 12 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM events)""")
+def stream_closed_quiet_periods(spark, sf_dir):
+    # a silent component is reported by the others' events, which move the watermark on
+    out = ST.run_to_table(ST.stream_quiet_periods(_ordered_status(spark, sf_dir), "user_id", "12 hours"), "append", "closed-quiet")
+    return out.select("user_id", "events", F.date_format("last_seen", STAMP).alias("last_seen"))
+
+
+@query("stream_ready_tasks", """WITH e AS (SELECT o_custkey % 97 AS iso, o_orderkey % 6 AS adm, o_orderkey AS taskid, o_orderdate AS t, CASE o_orderstatus WHEN 'O' THEN 'ready' WHEN 'F' THEN 'COMPLETE' ELSE 'PROCESSING' END AS status FROM orders),
+g AS (SELECT *, count(*) FILTER (status = 'COMPLETE') OVER (PARTITION BY iso, adm ORDER BY t, taskid ROWS UNBOUNDED PRECEDING) AS spell FROM e),
+l AS (SELECT iso, adm, spell, list({'t': t, 'id': taskid} ORDER BY t, taskid) AS s FROM g WHERE status = 'ready' GROUP BY ALL),
+a AS (SELECT iso, adm, unnest(list_reduce(s, lambda acc, x: CASE WHEN x.t >= acc[-1].t + INTERVAL 72 HOUR THEN list_append(acc, x) ELSE acc END, [s[1]])) AS x FROM l)
+SELECT iso, adm, x.id AS taskid FROM a""")
+def stream_ready_tasks(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(
+        (F.col("o_custkey") % 97).alias("iso"), (F.col("o_orderkey") % 6).alias("adm"), F.col("o_orderkey").alias("taskid"), F.col("o_orderdate").alias("time_added"),
+        F.when(F.col("o_orderstatus") == "O", "ready").when(F.col("o_orderstatus") == "F", "COMPLETE").otherwise("PROCESSING").alias("status"))
+    stream = _in_time_order(spark, orders, "time_added", "task-files")
+    return ST.run_to_table(ST.stream_ready_tasks(stream, ["iso", "adm"]), "append", "ready-tasks").select("iso", "adm", "taskid")

@@ -1,12 +1,19 @@
-"""Monitoring and intake as Structured Streaming jobs."""
+"""Monitoring and intake as Structured Streaming jobs.
+
+Windows and spells in append mode come out once, when the watermark is past their end, and their state is dropped
+then; in complete mode the whole result is kept and given after every batch.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from boundaryspark.operators import intake as N
 from boundaryspark.runtime import scratch_path
@@ -67,6 +74,42 @@ def stream_new_tasks(stream: DataFrame, keys: list[str], ts: str = "time_added",
     return stream.withWatermark(ts, window).dropDuplicatesWithinWatermark(keys)
 
 
+def stream_ready_tasks(stream: DataFrame, keys: list[str], ts: str = "time_added", number: str = "taskid", hold: str = "72 hours",
+                       lateness: str = "1 hour") -> DataFrame:
+    """Submitted tasks (status `ready`) of keys that have no ready task: neither completed (`COMPLETE`, `ERROR`) nor older than `hold`.
+
+    The state is one time per key with a ready task.  A task that ends drops it, and so does a timer once the watermark is past `hold`, with
+    no row of that key, so keys that are never heard of again leave nothing behind.  Rows of a key in a micro-batch are put in order of
+    time and number, so they have to fit a task.
+    """
+    spark = stream.sparkSession
+    hold_ms = int(spark.range(1).select(F.expr(f"unix_millis(timestamp_millis(0) + interval {hold})")).first()[0])
+    fields = [f for f in stream.schema.fields if f.name in (*keys, ts, number)]
+
+    def run(key, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(batches)).sort_values(["_ms", number])
+        ready = state.get[0] if state.exists else None
+        taken = []
+        for ms, status in zip(rows["_ms"], rows["status"], strict=True):
+            open_now = ready is not None and ms < ready + hold_ms
+            taken.append(status == "ready" and not open_now)
+            if taken[-1]:
+                ready = int(ms)
+            elif status in ("COMPLETE", "ERROR"):
+                ready = None
+        if ready is not None and ready + hold_ms > state.getCurrentWatermarkMs():
+            state.update((ready,))
+            state.setTimeoutTimestamp(ready + hold_ms)
+        elif state.exists:
+            state.remove()
+        yield rows.loc[taken, [f.name for f in fields]]
+    timed = stream.withColumn("_ms", F.unix_millis(ts)).withWatermark(ts, lateness)
+    return timed.groupBy(*keys).applyInPandasWithState(run, T.StructType(fields), "ready long", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def upsert_batches(stream: DataFrame, target: str, keys: list[str], order: str, checkpoint: str,
                    prepare: Callable[[DataFrame], DataFrame] = lambda df: df, buckets: int = BUCKETS) -> StreamingQuery:
     """Keep the newest row per key in a `VersionedTable`, a version per micro-batch, of which only touched buckets are written."""

@@ -240,3 +240,25 @@ def test_versions_write_touched_buckets_only(spark, tmp_path):
     assert {r["k"]: r["v"] for r in table.read(schema, 1).collect()} == {**{k: "a" for k in range(1000)}, 7: "b"}
     table.upsert(spark.createDataFrame([], schema), 3)
     assert table.versions() == [0, 1, 2, 3] and {r["k"]: r["v"] for r in table.read(schema).collect()} == want
+
+
+def test_ready_tasks_end_and_are_forgotten(spark, tmp_path):
+    schema = "iso string, taskid int, time_added timestamp, status string"
+    hour = lambda h: f"2024-01-{1 + h // 24:02d} {h % 24:02d}:00:00"
+    files = [[("a", 1, 0, "ready"), ("a", 2, 5, "ready"), ("b", 3, 6, "ready")],
+             [("b", 4, 20, "COMPLETE"), ("b", 5, 21, "ready"), ("a", 6, 71, "ready")],
+             [("a", 7, 72, "ready"), ("c", 8, 80, "ready")],
+             [("d", 9, 400, "ready"), ("d", 10, 401, "ERROR")],
+             # late: the watermark is at hour 400
+             [("c", 11, 81, "ready"), ("e", 12, 402, "PROCESSING")]]
+    folder = str(tmp_path / "in")
+    for rows in files:
+        df = spark.createDataFrame([(k, n, hour(h), s) for k, n, h, s in rows], "iso string, taskid int, t string, status string")
+        df.select("iso", "taskid", F.col("t").cast("timestamp").alias("time_added"), "status").coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    taken = ST.stream_ready_tasks(stream, ["iso"])
+    query = taken.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sorted(r["taskid"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 3, 5, 7, 8, 9]
+    # keys a, b and c were never heard of again: timers dropped them
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 0
