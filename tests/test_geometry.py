@@ -312,3 +312,44 @@ def test_overlay_copies_only_edges_near_the_other(spark, monkeypatch):
             share = sum(inside(x + 4 * (i + 0.5) / steps, y + 4 * (j + 0.5) / steps) for i in range(steps) for j in range(steps)) / steps ** 2
             assert got[name] == pytest.approx(16 * share, abs=0.1)
     assert sum(1 for name, shape in units if all(inside(a, b) for a in (shape[0][0][0][0], shape[0][0][0][0] + 4) for b in (shape[0][0][0][1], shape[0][0][0][1] + 4))) > 20
+
+
+@pytest.mark.parametrize("shift", [0.0, 0.37, 0.5, 0.99])
+def test_near_vertices_as_by_hand(spark, shift):
+    import random
+    from boundaryspark.operators import snapping as N
+    rng = random.Random(11)
+    points = [(round(rng.uniform(0, 12), 2) + shift, round(rng.uniform(0, 12), 2) + shift) for _ in range(60)]
+    points += [(x + 1.0, y) for x, y in points[:10]] + [(x + 0.7, y + 0.7) for x, y in points[10:20]] + points[:5]
+    # a crowd within one tolerance
+    points += [(20 + shift + k / 5000, 20 + shift) for k in range(300)]
+    df = spark.createDataFrame([("l", x, y) for x, y in points] + [("m", points[0][0] + 0.1, points[0][1])], "layer string, x double, y double")
+    got = {(r["x"], r["y"]): (r["to_x"], r["to_y"]) for r in N.near_vertices(df, ["layer"], 1.0).collect()}
+    uses = {}
+    for p in points:
+        uses[p] = uses.get(p, 0) + 1
+    parent = {p: p for p in uses}
+
+    def find(p):
+        while parent[p] != p:
+            p = parent[p]
+        return p
+    for a in uses:
+        for b in uses:
+            if (a[0] - b[0]) * (a[0] - b[0]) + (a[1] - b[1]) * (a[1] - b[1]) <= 1.0:
+                parent[find(a)] = find(b)
+    groups = {}
+    for p in uses:
+        groups.setdefault(find(p), []).append(p)
+    want = {p: min(g, key=lambda q: (-uses[q], q)) for g in groups.values() for p in g}
+    assert got == {p: to for p, to in want.items() if p != to}
+
+
+def test_snapped_borders_stay_shared(spark):
+    from boundaryspark.operators import snapping as N
+    off = 4e-6
+    right = [[ring((1 + off, off), (2, 0), (2, 1), (1 - off, 1 + off), (1 + off, off))]]
+    df = frame(spark, [("k", 1, SQUARE), ("k", 2, right), ("k", 3, AWAY)], "layer string, u int")
+    borders = lambda d: T.shared_borders(E.explode_edges(d, ["layer", "u"]), "u", ["layer"]).count()
+    out = N.snap_near(df, ["u"], ["layer"], 2e-5)
+    assert borders(df) == 0 and borders(out) == 1 and out.count() == 3
