@@ -88,13 +88,13 @@ def outline_measures(outline: DataFrame, key: list[str]) -> DataFrame:
 
 
 def _next_edges(edges: DataFrame, key: list[str]) -> DataFrame:
-    """key, eid, nxt: the edge that goes on from each edge's end, the sharpest left turn at a crossing."""
+    """key, eid, nxt, x, y: the edge that goes on from each edge's end, the sharpest left turn at a crossing."""
     outgoing = edges.select(*key, F.col("x1").alias("x2"), F.col("y1").alias("y2"), F.col("eid").alias("_o"),
                             (F.col("x2") - F.col("x1")).alias("_dx"), (F.col("y2") - F.col("y1")).alias("_dy"))
     met = edges.join(outgoing, [*key, "x2", "y2"])
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     turn = F.atan2(dx * F.col("_dy") - dy * F.col("_dx"), dx * F.col("_dx") + dy * F.col("_dy"))
-    return met.groupBy(*key, "eid").agg(F.max_by("_o", F.struct(turn, F.col("_o"))).alias("nxt"))
+    return met.groupBy(*key, "eid").agg(F.max_by("_o", F.struct(turn, F.col("_o"))).alias("nxt"), F.first("x1").alias("x"), F.first("y1").alias("y"))
 
 
 def _order_small(links: pd.DataFrame) -> pd.DataFrame:
@@ -119,35 +119,109 @@ def _order_small(links: pd.DataFrame) -> pd.DataFrame:
     return links.assign(ring_id=eid[label], seq=size - 1 - left)
 
 
-def _order_large(links: DataFrame, key: list[str], edges_at_most: int) -> DataFrame:
-    """The same pointer jumping as joins over rows, for groups too large for one task."""
-    on = [*key, "eid"]
+def _local_chains(rows: pd.DataFrame, key: list[str]) -> pd.DataFrame:
+    """Contract the chains of links that one task holds.
 
-    def hop(state: DataFrame, values: list[str]) -> DataFrame:
-        ahead = state.select(*key, F.col("eid").alias("jump"), *[F.col(v).alias(f"_{v}") for v in values],
-                             F.col("jump").alias("_jump"))
-        return state.join(ahead, [*key, "jump"])
+    Gives the place of every node in its chain (`kind` 0: head and offset), and each chain as one link from its head to the head of the
+    next (`kind` 1), with its length, its least edge id and where that is.  A ring that lies here whole becomes a link to itself.
+    """
+    group = rows.groupby(key, dropna=False, sort=False).ngroup().to_numpy()
+    eid, nxt, weight, least, least_at = (rows[c].to_numpy() for c in ("eid", "nxt", "weight", "least", "least_at"))
+    names = np.unique(eid)
+    code = group * len(names) + np.searchsorted(names, eid)
+    order = np.argsort(code)
+    place = np.minimum(np.searchsorted(names, nxt), len(names) - 1)
+    wanted = group * len(names) + place
+    at = np.minimum(np.searchsorted(code[order], wanted), len(code) - 1)
+    follower = np.where((names[place] == nxt) & (code[order][at] == wanted), order[at], -1)
+    here, all_rows = np.flatnonzero(follower >= 0), np.arange(len(eid))
+    before = np.full(len(eid), -1)
+    before[follower[here]] = here
+    rounds = max(1, int(np.ceil(np.log2(len(eid) + 1))))
 
-    rounds = max(1, int(np.ceil(np.log2(edges_at_most + 1))))
-    state = links.withColumn("label", F.col("eid")).withColumn("jump", F.col("nxt"))
-    for _ in range(rounds):
-        state = materialize(hop(state, ["label"]).select(
-            *on, "nxt", F.least("label", "_label").alias("label"), F.col("_jump").alias("jump")), "ring-label")
-    last = F.col("nxt") == F.col("label")
-    state = state.withColumn("left", F.when(last, 0).otherwise(1).cast("long")) \
-        .withColumn("jump", F.when(last, F.col("eid")).otherwise(F.col("nxt")))
-    for _ in range(rounds):
-        state = materialize(hop(state, ["left"]).select(
-            *on, "nxt", "label", (F.col("left") + F.col("_left")).alias("left"), F.col("_jump").alias("jump")), "ring-rank")
-    sizes = state.groupBy(*key, "label").agg(F.count(F.lit(1)).alias("_size"))
-    return state.join(sizes, [*key, "label"]).select(
-        *on, "nxt", F.col("label").alias("ring_id"), (F.col("_size") - 1 - F.col("left")).alias("seq"))
+    def heads() -> tuple[np.ndarray, np.ndarray]:
+        jump, offset = np.where(before >= 0, before, all_rows), np.where(before >= 0, weight[before], 0)
+        for _ in range(rounds):
+            offset = offset + offset[jump]
+            jump = jump[jump]
+        return jump, offset
+    head, offset = heads()
+    circling = before[head] >= 0
+    if circling.any():
+        # rings without a head begin at their first row
+        first, jump = all_rows.copy(), np.where(follower >= 0, follower, all_rows)
+        for _ in range(rounds):
+            first = np.minimum(first, first[jump])
+            jump = jump[jump]
+        before[circling & (first == all_rows)] = -1
+        head, offset = heads()
+    last = (follower < 0) | (before[np.maximum(follower, 0)] < 0)
+    onward = np.empty(len(eid), nxt.dtype)
+    onward[head[last]] = nxt[last]
+    chains = np.flatnonzero(before < 0)
+    total = np.zeros(len(eid), np.int64)
+    np.add.at(total, head, weight)
+    by_least = np.lexsort((least, head))
+    firsts = by_least[np.append(True, head[by_least][1:] != head[by_least][:-1])]
+    lowest, lowest_at = np.empty(len(eid), least.dtype), np.empty(len(eid), np.int64)
+    lowest[head[firsts]], lowest_at[head[firsts]] = least[firsts], offset[firsts] + least_at[firsts]
+    members = rows.assign(kind=0, head=eid[head], offset=offset)
+    links = rows.iloc[chains].assign(kind=1, head=eid[chains], offset=0, nxt=onward[chains], weight=total[chains], least=lowest[chains],
+                                     least_at=lowest_at[chains])
+    return pd.concat([members, links], ignore_index=True)
+
+
+def _order_large(links: DataFrame, key: list[str], kernel_edges: int) -> DataFrame:
+    """Ring and place of each edge of groups too large for one task, by contraction.
+
+    Links are dealt by place, so that most followers are in the same task, and each task contracts its chains.  The heads that are left are dealt
+    anew, in fewer and so larger areas, until one task holds them.  Places then come back through the levels: every edge is written once
+    on the way down, and read once on the way up.
+    """
+    state = links.withColumns({"weight": F.lit(1).cast("long"), "least": F.col("eid"), "least_at": F.lit(0).cast("long")})
+    plain = [f for f in state.schema.fields]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain) + ", kind int, head long, offset long"
+    levels: list[DataFrame] = []
+    rings: DataFrame | None = None
+
+    def run(batches):
+        held = [b for b in batches if len(b)]
+        if held:
+            out = _local_chains(pd.concat(held, ignore_index=True), key)
+            yield out.astype({"kind": "int32", "head": "int64", "offset": "int64"})
+    while True:
+        state = materialize(state, "ring-links")
+        left, low, high = state.agg(F.count(F.lit(1)), F.min("x"), F.max("x")).first()
+        if not left:
+            break
+        parts = -(-left // kernel_edges)
+        columns = max(1, int(parts ** 0.5))
+        stripe = F.least(F.floor((F.col("x") - F.lit(low)) / F.lit((high - low) or 1.0) * columns), F.lit(columns - 1))
+        # a single task holds what is left, once it is few enough
+        dealt = state.coalesce(1) if parts == 1 else state.withColumn("_s", stripe).repartitionByRange(parts, *key, "_s", "y", "eid").drop("_s")
+        level = materialize(dealt.mapInPandas(run, schema), "ring-level")
+        levels.append(level.filter("kind = 0").select(*key, "eid", "head", "offset"))
+        chains = level.filter("kind = 1")
+        whole = chains.filter("nxt = eid").select(*key, F.col("eid").alias("head"), F.lit(0).cast("long").alias("base"), "weight", "least", "least_at", F.lit(len(levels)).alias("_level"))
+        rings = whole if rings is None else rings.unionByName(whole)
+        state = chains.filter("nxt <> eid").select(*[f.name for f in plain])
+        if state.count() > 0.75 * left and parts > 1:
+            # neighbours lie far apart: larger areas, down to one task for each key
+            kernel_edges *= 4
+    places: DataFrame | None = None
+    for n in range(len(levels), 0, -1):
+        known = rings.filter(F.col("_level") == n).drop("_level")
+        if places is not None:
+            known = known.unionByName(places.withColumnRenamed("eid", "head").select(*known.columns))
+        places = levels[n - 1].join(known, [*key, "head"]).select(
+            *key, "eid", (F.col("base") + F.col("offset")).alias("base"), "weight", "least", "least_at")
+    return places.select(*key, "eid", F.col("least").alias("ring_id"), F.pmod(F.col("base") - F.col("least_at"), F.col("weight")).alias("seq"))
 
 
 def order_rings(edges: DataFrame, key: list[str], kernel_edges: int = KERNEL_EDGES) -> DataFrame:
     """key, eid, coordinates, ring_id and seq: each edge's ring and its place in it."""
     stored = materialize(edges.select(*key, *COORDS).withColumn("eid", F.monotonically_increasing_id()), "outline")
-    links = materialize(_next_edges(stored, key), "links")
+    links = materialize(_next_edges(stored, key), "links")  # with the place of each edge's begin
     sizes = materialize(links.groupBy(*key).agg(F.count(F.lit(1)).alias("_edges"), F.count_distinct("nxt").alias("_next")), "sizes")
     most, twice, total = (x or 0 for x in sizes.agg(F.max("_edges"), F.max(F.col("_edges") - F.col("_next")), F.sum("_edges")).first())
     if twice or total != stored.count():
@@ -157,8 +231,8 @@ def order_rings(edges: DataFrame, key: list[str], kernel_edges: int = KERNEL_EDG
     ordered = small.groupBy(*key).applyInPandas(_order_small, schema)
     if most > kernel_edges:
         large = links.join(sizes.filter(F.col("_edges") > kernel_edges), key, "left_semi")
-        ordered = ordered.unionByName(_order_large(large, key, most))
-    return stored.join(ordered.drop("nxt"), [*key, "eid"])
+        ordered = ordered.select(*key, "eid", "ring_id", "seq").unionByName(_order_large(large, key, kernel_edges))
+    return stored.join(ordered.select(*key, "eid", "ring_id", "seq"), [*key, "eid"])
 
 
 def stitch_rings(edges: DataFrame, key: list[str], kernel_edges: int = KERNEL_EDGES) -> DataFrame:

@@ -353,3 +353,40 @@ def test_snapped_borders_stay_shared(spark):
     borders = lambda d: T.shared_borders(E.explode_edges(d, ["layer", "u"]), "u", ["layer"]).count()
     out = N.snap_near(df, ["u"], ["layer"], 2e-5)
     assert borders(df) == 0 and borders(out) == 1 and out.count() == 3
+
+
+@pytest.mark.parametrize("kernel", [7, 60, 1000])
+def test_rings_by_contraction_as_in_one_task(spark, monkeypatch, kernel):
+    coast = lambda cx, cy, r, n: [(cx + r * (1 + 0.2 * math.sin(17 * t)) * math.cos(t), cy + r * (1 + 0.2 * math.sin(17 * t)) * math.sin(t))
+                                  for t in [2 * math.pi * i / n for i in range(n)]]
+    closed = lambda pts: pts + pts[:1]
+    island = [[closed(coast(0, 0, 5, 300)), closed(coast(0, 0, 2, 90)[::-1])], [closed(coast(20, 3, 4, 111))]]
+    # two squares that touch in a corner
+    tie = [[ring((40, 0), (42, 0), (42, 2), (40, 2), (40, 0))], [ring((42, 2), (44, 2), (44, 4), (42, 4), (42, 2))]]
+    small = [[closed(coast(3, 3, 1, 5))]]
+    edges = E.explode_edges(frame(spark, [("a", island), ("b", tie), ("c", small)], "k string"), ["k"]).select("k", *T.COORDS)
+    noded = T.node_edges(edges.withColumn("no", F.struct(*T.COORDS)), ["k"])
+    rows = lambda limit: {(r["k"], r["x1"], r["y1"], r["x2"], r["y2"]): (r["ring_id"], r["seq"]) for r in T.order_rings(noded, ["k"], limit).collect()}
+
+    def rings(found):
+        """Rings as sets of edges in order from their first, whatever the edge ids are."""
+        out = {}
+        for edge, (number, seq) in found.items():
+            out.setdefault((edge[0], number), {})[seq] = edge
+        assert all(sorted(r) == list(range(len(r))) for r in out.values())
+        turn = lambda r: (lambda at: tuple(r[at:] + r[:at]))(r.index(min(r)))
+        return sorted(turn([r[i] for i in range(len(r))]) for r in out.values())
+    written = []
+    whole = T.materialize
+
+    def counted(df, name):
+        out = whole(df, name)
+        if name in ("ring-level", "ring-links"):
+            written.append((name, out.count()))
+        return out
+    want = rings(rows(200_000))
+    monkeypatch.setattr(T, "materialize", counted)
+    got = rings(rows(kernel))
+    assert got == want and len(want) == 6
+    if kernel == 60:  # edges of the key above the limit: 501
+        assert sum(n for _, n in written) <= 4 * 501
