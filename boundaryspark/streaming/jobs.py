@@ -45,13 +45,17 @@ def stream_quiet_periods(stream: DataFrame, key: str, gap: str, ts: str = "ts",
 def intake_batch(packages: DataFrame, countries: DataFrame, licenses: DataFrame, current_year: int | None = None) -> DataFrame:
     """Package contents and metadata verdict of one batch of packages."""
     # names come from the directories of the zips; the metadata file alone is unpacked
-    members = P.package_members(packages, P.META_FILE)
+    return intake_of_members(packages.select("package_id"), P.package_members(packages, P.META_FILE), countries, licenses, current_year)
+
+
+def intake_of_members(packages: DataFrame, members: DataFrame, countries: DataFrame, licenses: DataFrame, current_year: int | None = None) -> DataFrame:
+    """The same for packages whose members are read, of which the metadata files have their bytes."""
     contents = N.check_package(members)
     kv = N.parse_meta(P.meta_texts(members))
     checks = N.metadata_checks(kv, countries, licenses, members.select("package_id", "member"), current_year)
     verdict = N.metadata_verdict(checks)
     # a package without usable members still gives a row
-    joined = packages.select("package_id").join(contents, "package_id", "left").join(verdict, "package_id", "left")
+    joined = packages.join(contents, "package_id", "left").join(verdict, "package_id", "left")
     reasons = F.coalesce(F.concat_ws("; ", "reasons"), F.lit(""))
     return joined.select("package_id", F.coalesce("has_meta", F.lit(False)).alias("has_meta"),
                          F.coalesce("geometry_files", F.lit(0).cast("long")).alias("geometry_files"),
