@@ -232,13 +232,10 @@ def distinct_sources(catalog: DataFrame, iso: str, adm: str) -> DataFrame:
     return catalog.filter((F.col("iso") == iso) & (F.col("adm") == adm)).select("source").distinct().orderBy("source")
 
 
-def group_records(df: DataFrame, key: str, chunk: int = 10000) -> DataFrame:
-    """Rows of a key as lists.  A key with more than `chunk` rows gives several lists, none is dropped."""
-    record = F.struct(*df.columns)
-    counts = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / chunk).alias("_lists"))
-    spread = spread_join(df, counts, [key])
-    return spread.withColumn("list_no", F.pmod(F.xxhash64(*df.columns), F.col("_lists"))) \
-        .groupBy(key, "list_no").agg(F.collect_list(record).alias("records"))
+def group_records(df: DataFrame, key: str, lists: int = 1) -> DataFrame:
+    """Rows of every key in `lists` lists (`list_no` from 0), whatever its size: by a hash of the row, so keys of very many rows want more."""
+    numbered_rows = df.withColumn("list_no", F.pmod(F.xxhash64(*df.columns), F.lit(lists)).cast("int"))
+    return numbered_rows.groupBy(key, "list_no").agg(F.collect_list(F.struct(*df.columns)).alias("records"))
 
 
 def mean_value(df: DataFrame, key: str, value: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MATCH_THRESHOLD = 0.01  # fixed value: least equality of a match, least share of a relation
@@ -23,15 +23,18 @@ def best_matches(overlaps: DataFrame, left_units: DataFrame, left: str, right: s
     return left_units.select(left).join(chosen, left, "left")
 
 
-def rank_relations(overlaps: DataFrame, metric: str, threshold: float, descending: bool = True) -> DataFrame:
-    order = F.desc(metric) if descending else F.asc(metric)
-    return overlaps.filter(F.col(metric) >= threshold).orderBy(order)
+def rank_relations(overlaps: DataFrame, metric: str, threshold: float, descending: bool = True, unit: str = "left_id",
+                   other: str = "right_id") -> DataFrame:
+    """Relations above the threshold with their `rank` among those of a unit; equal metrics go by the other unit's id."""
+    value = F.round(metric, EQUALITY_DIGITS)
+    order = Window.partitionBy(unit).orderBy(value.desc() if descending else value.asc(), other)
+    return overlaps.filter(F.col(metric) >= threshold).withColumn("rank", F.row_number().over(order))
 
 
-def significant_relations(overlaps: DataFrame) -> DataFrame:
-    """Relations of at least one percent of either unit, best equality first."""
-    return overlaps.filter((F.col("within") >= MATCH_THRESHOLD) | (F.col("contains") >= MATCH_THRESHOLD)) \
-        .orderBy(F.desc("equality"))
+def significant_relations(overlaps: DataFrame, unit: str = "left_id", other: str = "right_id") -> DataFrame:
+    """Relations of at least one percent of either unit, ranked for each unit by equality."""
+    enough = overlaps.filter((F.col("within") >= MATCH_THRESHOLD) | (F.col("contains") >= MATCH_THRESHOLD))
+    return rank_relations(enough, "equality", 0.0, unit=unit, other=other)
 
 
 def total_agreement(overlaps: DataFrame, best: DataFrame, left_areas: DataFrame, right_areas: DataFrame, left: str) -> DataFrame:

@@ -447,7 +447,7 @@ def split_edges(edges: DataFrame, splits: DataFrame, ids: list[str], places: boo
     gathered = splits.groupBy(*ids, "no").agg(F.array_distinct(F.flatten(F.collect_list("points"))).alias("points"))
     joined = edges.join(gathered, [*ids, "no"], "left")
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    along = lambda p: ((p["x"] - F.col("x1")) * dx + (p["y"] - F.col("y1")) * dy) / (dx * dx + dy * dy)
+    along = lambda p: ((p["x"] - F.col("x1")) * dx + (p["y"] - F.col("y1")) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
     is_end = lambda p: ((p["x"] == F.col("x1")) & (p["y"] == F.col("y1"))) | ((p["x"] == F.col("x2")) & (p["y"] == F.col("y2")))
     inner = F.filter("points", lambda p: ~is_end(p) & (along(p) > 0) & (along(p) < 1))
     sorted_inner = F.array_sort(F.transform(inner, lambda p: F.struct(along(p).alias("t"), p["x"].alias("x"), p["y"].alias("y"))))

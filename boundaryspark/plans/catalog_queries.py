@@ -234,7 +234,7 @@ def distinct_sources(spark, sf_dir):
 @query("group_records", with_inputs("fx_source", "SELECT source, count(*) AS records, round(avg(area), 4) AS mean FROM fx_source GROUP BY 1"))
 def group_records(spark, sf_dir):
     rows = derived(spark, sf_dir, "fx_source").select("source", "pos", "area")
-    lists = C.group_records(rows, "source", chunk=1000).groupBy("source").agg(F.sum(F.size("records")).alias("records"))
+    lists = C.group_records(rows, "source", lists=64).groupBy("source").agg(F.sum(F.size("records")).alias("records"))
     return lists.join(C.mean_value(rows, "source", "area"), "source").withColumn("mean", F.round("mean", 4))
 
 

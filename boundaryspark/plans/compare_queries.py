@@ -106,14 +106,15 @@ def best_matches(spark, sf_dir):
     return _best(spark, sf_dir).select("left_id", "right_id", *_ratios())
 
 
-@query("rank_relations", overlap_sql("SELECT left_id, right_id, round(within, 6) AS within FROM ov WHERE within >= 0.05"))
+@query("rank_relations", overlap_sql("""SELECT left_id, right_id, round(within, 6) AS within, row_number() OVER (PARTITION BY left_id ORDER BY round(within, 9) DESC, right_id) AS rank FROM ov WHERE within >= 0.05"""))
 def rank_relations(spark, sf_dir):
-    return M.rank_relations(overlaps(spark, sf_dir), "within", 0.05).select("left_id", "right_id", F.round("within", 6).alias("within"))
+    return M.rank_relations(overlaps(spark, sf_dir), "within", 0.05).select("left_id", "right_id", F.round("within", 6).alias("within"), "rank")
 
 
-@query("significant_relations", overlap_sql(f"SELECT left_id, right_id, {_RATIOS} FROM ov WHERE within >= 0.01 OR contains >= 0.01"))
+@query("significant_relations", overlap_sql(f"""SELECT left_id, right_id, {_RATIOS}, row_number() OVER (PARTITION BY left_id ORDER BY round(ov.equality, 9) DESC, right_id) AS rank
+FROM ov WHERE within >= 0.01 OR contains >= 0.01"""))
 def significant_relations(spark, sf_dir):
-    return M.significant_relations(overlaps(spark, sf_dir)).select("left_id", "right_id", *_ratios())
+    return M.significant_relations(overlaps(spark, sf_dir)).select("left_id", "right_id", *_ratios(), "rank")
 
 
 @query("total_agreement", overlap_sql("""SELECT round(m, 0) AS match_area, round(i, 0) AS isec_area, round(a + b - i, 0) AS union_area, round(least(100, 100 * m / (a + b - i)), 6) AS percent

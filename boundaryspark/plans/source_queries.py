@@ -17,6 +17,7 @@ from boundaryspark.operators import edges as E
 from boundaryspark.plans.catalog_queries import _API, _published, BASE, PREFIX
 from boundaryspark.plans.inputs import derived, features, table, with_inputs
 from boundaryspark.plans.intake_queries import YEAR, _BAD, checks_sql
+from boundaryspark.plans.layer_queries import mod_sql
 from boundaryspark.plans.registry import query
 from boundaryspark.runtime import scratch_path
 from boundaryspark.sources import geojson as J
@@ -76,6 +77,12 @@ def stream_intake(spark, sf_dir):
     return spark.read.parquet(out).select("package_id", (F.col("message") == "").alias("meta_valid"))
 
 
+@query("content_fingerprint", with_inputs("fx_meta_text", f"SELECT package_id, cast({mod_sql('meta_text', 10 ** 8)} AS string) AS fingerprint FROM fx_meta_text"))
+def content_fingerprint(spark, sf_dir):
+    from boundaryspark.operators.identity import package_fingerprint as fingerprint
+    return derived(spark, sf_dir, "fx_meta_text").select("package_id", fingerprint(F.encode("meta_text", "UTF-8")).alias("fingerprint"))
+
+
 @query("package_fingerprint")
 def package_fingerprint(spark, sf_dir):
     from boundaryspark.operators.identity import package_fingerprint as fingerprint
@@ -224,8 +231,11 @@ def registered_functions(spark, sf_dir):
 @query("decode_text", "SELECT doc_id, text FROM documents")
 def decode_text(spark, sf_dir):
     from boundaryspark.functions.scalars import decode_text as decode
+    # every second text in Latin-1, where that holds all its characters and is not UTF-8 by chance
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", decode(F.encode("text", "UTF-8")).alias("text"))
+    latin = F.regexp_replace("text", "[^\\x00-\\xff]", "?")
+    other = (F.col("doc_id") % 2 == 0) & (latin == F.col("text"))
+    return docs.select("doc_id", decode(F.when(other, F.encode(latin, "ISO-8859-1")).otherwise(F.encode("text", "UTF-8"))).alias("text"))
 
 
 # --- streams, replayed over whole tables ---------------------------------------------------------

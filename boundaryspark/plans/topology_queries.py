@@ -46,6 +46,13 @@ def dissolve(spark, sf_dir):
                       (G.all_vertices("geom") - F.aggregate(F.transform("geom", lambda p: F.size(p).cast("long")), F.lit(0).cast("long"), lambda a, n: a + n)).alias("edges"))
 
 
+@query("dissolve_levels", with_inputs("fx_unit", f"""SELECT iso, 1 AS parts, round(({_AX.format('x1')} - {_AX.format('x0')}) * ({_AY.format('y1')} - {_AY.format('y0')}), 2) AS area_km2 FROM fx_unit WHERE adm = 'ADM0'"""))
+def dissolve_levels(spark, sf_dir):
+    # all levels of a country lie on each other: borders that end in the middle of others, overlaps, notches and holes
+    out = T.dissolve(features(spark, sf_dir), ["iso"])
+    return out.select("iso", F.size("geom").alias("parts"), F.round(G.planar_area(G.project_equal_area("geom")) / 1e6, 2).alias("area_km2"))
+
+
 _GC = f"{2 * G.SPHERE_RADIUS / 1000!r} * asin(sqrt(sin(radians(by_ - ay) / 2) ** 2 + sin(radians(bx - ax) / 2) ** 2 * cos(radians(ay)) * cos(radians(by_))))"
 
 
@@ -90,16 +97,29 @@ def validity_report(spark, sf_dir):
     return T.validity_report(bow_ties(spark, sf_dir), ["adm", "uid"]).select("adm", "uid", "valid", "reason", "crossings")
 
 
-@query("layer_geometry_verdict", with_inputs("fx_vertex fx_unit", """SELECT iso, u.adm, true AS bounds_ok, bool_and(c.n IS NULL) AS valid_ok, true AS projection_ok, count(*) FILTER (c.n > 0) AS invalid_features,
- min(CASE WHEN c.n > 0 THEN u.uid END) AS first_invalid, CASE WHEN bool_and(c.n IS NULL) THEN '' ELSE 'at least one geometry is invalid and cannot be repaired' END AS message, bool_and(c.n IS NULL) AS passed
-FROM fx_unit u LEFT JOIN bow_c c ON c.adm = u.adm AND c.uid = u.uid GROUP BY ALL""", _BOW))
+_FLAT = "u.adm = 'ADM2' AND u.uid % 29 = 7"
+
+
+@query("layer_geometry_verdict", with_inputs("fx_vertex fx_unit", f"""SELECT iso, adm, far AS bounds_ok, flat = 0 AS valid_ok, proj AS projection_ok, bad AS invalid_features, first_invalid,
+ concat_ws(' | ', CASE WHEN NOT far THEN 'at least one geometry extends past the bounds of the earth' END, CASE WHEN flat > 0 THEN 'at least one geometry is invalid and cannot be repaired' END,
+  CASE WHEN NOT proj THEN 'the projection must be EPSG 4326' END) AS message, far AND flat = 0 AND proj AS passed
+FROM (SELECT iso, u.adm, bool_and(NOT (u.adm = 'ADM1' AND u.uid % 40 = 3)) AS far, count(*) FILTER ({_FLAT}) AS flat, any_value(cast(substr(iso, 2, 2) AS int) % 4 <> 0) AS proj,
+ count(*) FILTER (c.n > 0 OR {_FLAT} OR h.outside) AS bad, min(CASE WHEN c.n > 0 OR {_FLAT} OR h.outside THEN u.uid END) AS first_invalid
+ FROM fx_unit u LEFT JOIN bow_c c ON c.adm = u.adm AND c.uid = u.uid LEFT JOIN bow_hole h ON h.adm = u.adm AND h.uid = u.uid GROUP BY ALL)""", _BOW))
 def layer_geometry_verdict(spark, sf_dir):
-    units = bow_ties(spark, sf_dir)
-    crossings = T.self_crossings(E.explode_edges(units, ["adm", "uid"]), ["adm", "uid"]).select("adm", "uid").distinct().withColumn("bad", F.lit(True))
-    checks = L.filter_by_bounds(units, flag_only=True).join(crossings, ["adm", "uid"], "left").select(
-        "iso", "adm", F.col("uid").alias("feature_id"), "in_bounds", F.col("bad").isNull().alias("valid"),
-        F.lit(False).alias("repairable"), F.lit(True).alias("projection_ok"))
-    return L.layer_geometry_verdict(checks, ["iso", "adm"])
+    from boundaryspark.plans.jobs import geometry_checks
+    from boundaryspark.sources.packages import check_projection
+    # bow-ties can be repaired, units without area can't; some lie past the bounds, some layers have another projection
+    flat = (F.col("adm") == "ADM2") & (F.col("uid") % 29 == 7)
+    out = (F.col("adm") == "ADM1") & (F.col("uid") % 40 == 3)
+    units = bow_ties(spark, sf_dir).withColumns({"_w": F.when(flat, 0.0).otherwise(1.0), "_d": F.when(out, 400.0).otherwise(0.0)}).withColumn(
+        "geom", G.map_points("geom", lambda v: G.xy(v["x"] + F.col("_d"), v["y"] * F.col("_w"))))
+    units = units.withColumn("package_id", F.concat_ws("/", "iso", "adm"))
+    text = F.when(F.substring("iso", 2, 2).cast("int") % 4 == 0, 'PROJCS["UTM 33N",GEOGCS["WGS 84"]]').otherwise('GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984"]]')
+    members = units.select("package_id", F.lit("units.prj").alias("member"), F.encode(text, "UTF-8").alias("content")).distinct()
+    checked = geometry_checks(units.select("package_id", F.col("uid").alias("feature_no"), "geom"), check_projection(members))
+    part = F.split("package_id", "/")
+    return checked.select(part[0].alias("iso"), part[1].alias("adm"), *[c for c in checked.columns if c != "package_id"])
 
 
 @query("repair", feature_sql("SELECT adm, uid, round(km2, 2) AS km2 FROM feat"))
@@ -109,10 +129,21 @@ def repair(spark, sf_dir):
     return out.select("adm", "uid", F.round(G.planar_area(G.project_equal_area("geom")) / 1e6, 2).alias("km2"))
 
 
-@query("repair_bow_ties")
+# two triangles of a bow-tie are half of the box; a hole lies outside them, so the even-odd rule fills it
+_X, _Y = (lambda c: _AX.format(c)), (lambda c: _AY.format(c))
+_BOX = f"({_X('x1')} - {_X('x0')}) * ({_Y('y1')} - {_Y('y0')})"
+# the hole's upper corners lie on the crossing edges and become vertices of both triangles, which are no longer straight when projected
+_QUAD = "abs({x0} * ({b} - {d} + {c} - {a}) + {xc} * ({d} - {b}) + {xd} * ({a} - {c}))".format(
+    x0=_X("x0"), xc=_X("(x0 * 0.6e0 + x1 * 0.4e0)"), xd=_X("((x0 + x1) / 2)"), a=_Y("y1"), b=_Y("y0"), c=_Y("(y0 * 0.6e0 + y1 * 0.4e0)"), d=_Y("((y0 + y1) / 2)"))
+_HOLE = f"CASE WHEN uid % 10 = 0 THEN ({_X('(x0 * 0.4e0 + x1 * 0.6e0)')} - {_X('(x0 * 0.6e0 + x1 * 0.4e0)')}) * ({_Y('(y0 * 0.6e0 + y1 * 0.4e0)')} - {_Y('(y0 * 0.8e0 + y1 * 0.2e0)')}) ELSE 0 END"
+
+
+@query("repair_bow_ties", with_inputs("fx_unit", f"""SELECT adm, uid, round(abs(CASE WHEN uid % 17 = 5 THEN {_HOLE} ELSE {_BOX} - {_HOLE} END), 2) AS old_area_km2,
+ round(CASE WHEN uid % 17 = 5 AND uid % 10 = 0 THEN {_QUAD} + {_HOLE} WHEN uid % 17 = 5 THEN {_BOX} / 2 ELSE {_BOX} - {_HOLE} END, 2) AS new_area_km2 FROM fx_unit WHERE adm = 'ADM2'"""))
 def repair_bow_ties(spark, sf_dir):
     units = bow_ties(spark, sf_dir, "ADM2")
-    return O.repair_report(units, O.repair(units, ["adm", "uid"]), ["adm", "uid"])
+    out = O.repair_report(units, O.repair(units, ["adm", "uid"]), ["adm", "uid"])
+    return out.select("adm", "uid", F.abs(F.round("old_area_km2", 2)).alias("old_area_km2"), F.round("new_area_km2", 2).alias("new_area_km2"))
 
 
 _DEGREES = {k: (v.replace("ax / 1000 AS px, ay / 1000 + 20000 AS py", "lon AS px, lat + 200 AS py") if k in ("l_p", "r_p") else v)
@@ -182,10 +213,13 @@ def fill_gaps(spark, sf_dir):
     return out.select("adm", "uid", F.round(G.planar_area(G.project_equal_area("geom")) / 1e6, 2).alias("km2"))
 
 
-# every corner of the units lies farther off than the tolerance, so none may go
+# every edge gets a vertex in its middle, which has to go again; the corners lie farther off than the tolerance
 @query("simplify", feature_sql("SELECT adm, uid, cast(all_n AS bigint) AS vertices FROM feat"))
 def simplify(spark, sf_dir):
-    out = S.simplify(features(spark, sf_dir), ["uid"], ["adm"], 100.0)
+    middle = lambda a, b: G.xy((a["x"] + b["x"]) / 2, (a["y"] + b["y"]) / 2)
+    dense = lambda r: F.concat(F.flatten(F.transform(G.ring_steps(r), lambda s: F.array(s["a"], middle(s["a"], s["b"])))), F.slice(r, 1, 1))
+    units = features(spark, sf_dir).withColumn("geom", F.transform("geom", lambda p: F.transform(p, dense)))
+    out = S.simplify(units, ["uid"], ["adm"], 100.0)
     return out.select("adm", "uid", G.all_vertices("geom").alias("vertices"))
 
 
