@@ -142,10 +142,11 @@ def _sources() -> Column:
     return F.when(F.size(found) > 0, joined)
 
 
-def _release_type() -> Column:
+def _release_type(release_types: list[str] | None = None) -> Column:
     value = F.lower(_val())
+    listed = [t.lower() for t in release_types or RELEASE_TYPES]
     return _last(_key().contains("release type"),
-                 F.when(~value.isin(RELEASE_TYPES), F.lit("ERROR: unknown release type"))
+                 F.when(~value.isin(listed), F.lit("ERROR: unknown release type"))
                  .when(~F.contains(F.lower("path"), value), F.lit("ERROR: release type does not fit the folder"))
                  .otherwise(value))
 
@@ -206,8 +207,8 @@ def collect_sources(kv, keys=PACKAGE):
     return _field(kv, keys, "source", _sources())
 
 
-def check_release_type(kv, keys=PACKAGE):
-    return _field(kv, keys, "releaseType", _release_type())
+def check_release_type(kv, keys=PACKAGE, release_types: list[str] | None = None):
+    return _field(kv, keys, "releaseType", _release_type(release_types))
 
 
 def check_license(kv, licenses, keys=PACKAGE):
@@ -235,7 +236,7 @@ def check_license_source(kv, members, keys=PACKAGE):
 
 
 def metadata_checks(kv: DataFrame, countries: DataFrame, licenses: DataFrame, members: DataFrame,
-                    current_year: int | None = None, keys: list[str] = PACKAGE) -> DataFrame:
+                    current_year: int | None = None, keys: list[str] = PACKAGE, release_types: list[str] | None = None) -> DataFrame:
     """All metadata fields of a package, checked in one aggregate: value, "NONE" or "ERROR: ..."."""
     def req(name, outcome):
         return F.coalesce(outcome, F.lit("NONE")).alias(name)
@@ -245,7 +246,7 @@ def metadata_checks(kv: DataFrame, countries: DataFrame, licenses: DataFrame, me
 
     checked = _with_lookups(kv, countries, licenses).groupBy(*keys).agg(
         req("year", _year(current_year)), req("bType", _boundary_type()), req("iso", _iso()),
-        req("source", _sources()), req("releaseType", _release_type()), req("license", _license()),
+        req("source", _sources()), req("releaseType", _release_type(release_types)), req("license", _license()),
         req("licenseSource", _license_source()), req("dataSource", _data_link()),
         opt("canonical", "canonical"), opt("licenseNotes", "license notes"), opt("otherNotes", "other notes"))
     return _with_image(checked, members, keys)

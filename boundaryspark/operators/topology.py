@@ -68,9 +68,34 @@ def union_edges(edges: DataFrame, key: list[str]) -> DataFrame:
     What is left after cancelling is cut where it meets, cancelled again, and kept where the winding number
     is above zero on the left and zero on the right.  Cancelling changes no winding number.
     """
+    return union_rings(edges, key).select(*key, *COORDS)
+
+
+def union_rings(edges: DataFrame, key: list[str], kernel_edges: int = KERNEL_EDGES) -> DataFrame:
+    """The outline of `union_edges` as rings, like `order_rings`.
+
+    If nothing is cut, what is left after cancelling stays as it is; and if no two edges begin in one vertex, rings are apart
+    from each other, so one point tells of a whole ring whether it is a part of the outline.
+    """
+    net = materialize(net_edges(edges, key).withColumn("no", F.struct(*COORDS)), "union-net")
+    splits = materialize(inner_splits(net, key), "union-splits")
+    noded = net.drop("no")
+    if not splits.isEmpty():
+        every = net.withColumn("times", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("times")
+        noded = materialize(net_edges(split_edges(every, splits, key), key), "union-noded")
+    busiest = noded.groupBy(*key, "x1", "y1").agg(F.sum("times").alias("n")).agg(F.max("n")).first()[0] or 0
+    if busiest > 1:
+        return order_rings(_by_winding(noded, key), key, kernel_edges)
+    rings = materialize(order_rings(noded.select(*key, *COORDS), key, kernel_edges), "union-rings")
+    ring = [*key, "ring_id"]
+    points = middles(rings.filter("seq = 0").select(*ring, *COORDS), 1e-6)
+    kept = P.point_cover(points, rings, ring, key, shared=key).filter("cover = 1").select(*ring)
+    return rings.join(kept, ring, "left_semi")
+
+
+def _by_winding(noded: DataFrame, key: list[str]) -> DataFrame:
+    """Edges with cover on their left and none on their right."""
     every = lambda df: df.withColumn("times", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("times")
-    net = materialize(every(net_edges(edges, key)).withColumn("no", F.struct(*COORDS)), "union-net")
-    noded = materialize(net_edges(node_edges(net, key), key), "union-noded")
     at = [*key, *COORDS]
     cover = P.point_cover(middles(noded.select(*at), 1e-6), every(noded), at, key, shared=key)
     return noded.join(cover, at).filter((F.col("cover") > 0) & (F.col("cover") <= F.col("times"))).select(*at)
@@ -237,7 +262,12 @@ def order_rings(edges: DataFrame, key: list[str], kernel_edges: int = KERNEL_EDG
 
 def stitch_rings(edges: DataFrame, key: list[str], kernel_edges: int = KERNEL_EDGES) -> DataFrame:
     """Vertex rows (key, poly, ring, seq, x, y) of polygons: shells with the holes inside them."""
-    rings = materialize(order_rings(edges, key, kernel_edges), "rings")
+    return place_rings(order_rings(edges, key, kernel_edges), key)
+
+
+def place_rings(rings: DataFrame, key: list[str]) -> DataFrame:
+    """`stitch_rings` of edges that are in rings already."""
+    rings = materialize(rings, "rings")
     ox, oy = F.min("x1"), F.min("y1")
     origin = rings.groupBy(*key, "ring_id").agg(ox.alias("_ox"), oy.alias("_oy"))
     cross = G.edge_cross(*[F.col(c) for c in COORDS], F.col("_ox"), F.col("_oy"))
@@ -269,8 +299,8 @@ def dissolve(features: DataFrame, key: list[str]) -> DataFrame:
     """One multipart feature per key: the union of its features.  A null key is a key like others."""
     group = F.to_json(F.struct(*key), {"ignoreNullFields": "false"})
     named = features.withColumn("_group", group)
-    outline = union_edges(explode_edges(named, ["_group"]), ["_group"])
-    out = assemble(stitch_rings(outline, ["_group"]), ["_group"])
+    rings = union_rings(explode_edges(named, ["_group"]), ["_group"])
+    out = assemble(place_rings(rings, ["_group"]), ["_group"])
     return out.join(features.select(*key).distinct().withColumn("_group", group), "_group").select(*key, "geom")
 
 
@@ -280,7 +310,7 @@ def fill_gaps(features: DataFrame, ids: list[str], layer: list[str], max_area_km
     plain = explode_edges(features, key).withColumn("no", F.struct(F.struct(*ids).alias("unit"), "poly", "ring", "seq"))
     plain = materialize(plain.select(*key, "no", *COORDS), "gap-plain")
     edges = materialize(node_edges(plain, layer, ids), "gap-edges")
-    rings = materialize(order_rings(union_edges(edges, layer), layer), "gap-rings")
+    rings = materialize(union_rings(edges, layer), "gap-rings")
     measured = outline_measures(rings, [*layer, "ring_id"])
     gaps = measured.filter((F.col("area_km2") < 0) & (F.col("area_km2") > -max_area_km2)).select(*layer, "ring_id")
     gap_edges = rings.join(gaps, [*layer, "ring_id"], "left_semi")
@@ -475,10 +505,17 @@ def middles(edges: DataFrame, offset: float = 0.0) -> DataFrame:
         .withColumn("y", (F.col("y1") + F.col("y2")) / 2 + (F.col("x2") - F.col("x1")) * offset)
 
 
+def inner_splits(edges: DataFrame, layer: list[str]) -> DataFrame:
+    """layer, no, points: where edges of a layer meet others strictly inside."""
+    met = meeting_points(near_pairs(edges, edges, edge_cell(edges), layer, layer, shared=layer))
+    inner = lambda s: F.filter("points", lambda p: ((p["x"] != F.col(f"{s}_x1")) | (p["y"] != F.col(f"{s}_y1"))) & (
+        (p["x"] != F.col(f"{s}_x2")) | (p["y"] != F.col(f"{s}_y2"))))
+    sides = F.array(*[F.struct(F.col(f"{s}_no").alias("no"), inner(s).alias("points")) for s in ("a", "b")])
+    return met.select(*layer, F.inline(sides)).filter(F.size("points") > 0).distinct()
+
+
 def node_edges(edges: DataFrame, layer: list[str], ids: list[str] | None = None) -> DataFrame:
     """Edges (layer, ids, coordinates) cut where edges of a layer meet; with `ids`, `no` holds them as `unit`."""
     ids = ids or []
-    met = meeting_points(near_pairs(edges, edges, edge_cell(edges), layer, layer, shared=layer)).select(*layer, "a_no", "b_no", "points").distinct()
-    splits = met.select(*layer, F.explode(F.array("a_no", "b_no")).alias("no"), "points").withColumns(
-        {i: F.col(f"no.unit.{i}") for i in ids})
+    splits = inner_splits(edges, layer).withColumns({i: F.col(f"no.unit.{i}") for i in ids})
     return split_edges(edges, splits, [*layer, *ids])

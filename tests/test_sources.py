@@ -262,3 +262,11 @@ def test_ready_tasks_end_and_are_forgotten(spark, tmp_path):
     assert sorted(r["taskid"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 3, 5, 7, 8, 9]
     # keys a, b and c were never heard of again: timers dropped them
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 0
+
+
+def test_release_types_are_an_argument(spark):
+    rows = [("p/gbOpen/a.zip", "Release Type: gbOpen"), ("p/UN_X/b.zip", "Release Type: UN_X"), ("p/gbOpen/c.zip", "Release Type: UN_X")]
+    kv = N.parse_meta(spark.createDataFrame([(p, p, t) for p, t in rows], "package_id string, path string, meta_text string"))
+    got = lambda **o: {r["package_id"][-5]: r["releaseType"].split(":")[0] for r in N.check_release_type(kv, **o).collect()}
+    assert got() == {"a": "gbopen", "b": "ERROR", "c": "ERROR"}
+    assert got(release_types=["gbOpen", "UN_X"]) == {"a": "gbopen", "b": "un_x", "c": "ERROR"}
