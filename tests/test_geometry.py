@@ -390,3 +390,34 @@ def test_rings_by_contraction_as_in_one_task(spark, monkeypatch, kernel):
     assert got == want and len(want) == 6
     if kernel == 60:  # edges of the key above the limit: 501
         assert sum(n for _, n in written) <= 4 * 501
+
+
+def test_values_of_long_lines_as_of_whole_ones(spark):
+    import random
+    import numpy as np
+    rng = random.Random(2)
+
+    def walk(n):
+        x, y, out = 0.0, 0.0, []
+        for _ in range(n):
+            x, y = x + rng.uniform(0, 2), y + rng.uniform(-3, 3)
+            out.append((x, y))
+        return out
+    ring_of = [(1000 * math.cos(t) * (1 + 0.05 * math.sin(9 * t) + 0.01 * math.sin(80 * t)), 1000 * math.sin(t)) for t in [2 * math.pi * i / 700 for i in range(701)]]
+    lines = {"walk": walk(1500), "other": walk(400), "coast": ring_of, "even": [(math.cos(i / 50), math.sin(i / 50)) for i in range(150)], "straight": [(float(i), 0.0) for i in range(130)]}
+    df = spark.createDataFrame([(k, i, *p) for k, line in lines.items() for i, p in enumerate(line)], "line string, pos long, x double, y double")
+    got = {(r["line"], r["pos"]): r["value"] for r in S._rank_long(df, ["line"], 100).collect()}
+    assert len(got) == sum(map(len, lines.values()))
+    for k, line in lines.items():
+        want = S.effective_areas(*np.array(line).T)
+        assert [got[k, i] for i in range(len(line))] == want.tolist(), k
+
+
+def test_fraction_of_long_arcs_as_of_short_ones(spark):
+    coast = [(5 * math.cos(t) * (1 + 0.02 * math.sin(31 * t)), 5 * math.sin(t) + 0.01 * math.cos(77 * t)) for t in [2 * math.pi * i / 300 for i in range(300)]]
+    border = wavy(200)
+    left = [[[(0.0, 0.0), *border, (0.0, 1.0), (0.0, 0.0)]]]
+    right = [[[(2.0, 0.0), (2.0, 1.0), *border[::-1], (2.0, 0.0)]]]
+    df = frame(spark, [("a", "c", [[coast + coast[:1]]]), ("b", "l", left), ("b", "r", right)], "layer string, id string")
+    one, many = ({r["id"]: r["geom"] for r in S.simplify_fraction(df, ["id"], ["layer"], 0.2, kernel_vertices=k).collect()} for k in (100_000, 50))
+    assert one == many and len(one["c"][0][0]) < 100
