@@ -46,7 +46,7 @@ class DigestIndex:
 
     def read(self) -> DataFrame:
         if not self.exists():
-            self.append(self.spark.createDataFrame([], self.SCHEMA))
+            self.append(self.spark.range(0).selectExpr(*[f"cast(null as {c.split()[1]}) as {c.split()[0]}" for c in self.SCHEMA.split(", ")]))
         return self.spark.table(self.name)
 
     def unseen(self, digests: DataFrame) -> DataFrame:

@@ -261,14 +261,15 @@ def _rows_of(found: list[tuple[int, int, int, int]]) -> list[np.ndarray]:
     return [kind.astype(np.int32), *others]
 
 
-def _split_keys(nodes: DataFrame, shared: DataFrame, first: int) -> dict[int, int]:
-    """Parts of the keys that more than `first` sets hold; there are at most KEYS / `first` of the sets."""
+def _split_keys(nodes: DataFrame, shared: DataFrame, first: int) -> DataFrame | None:
+    """(key, parts) of the keys that more than `first` sets hold, a written table; None if there are none."""
     hot = materialize(shared.where(F.col("held") > first).select("key"), "hot")
-    if not hot.limit(1).count():
-        return {}
+    if hot.isEmpty():
+        return None
     held = nodes.select("node", F.explode("keys").alias("key")).join(broadcast_if_counted(hot), "key").groupBy("key").agg(
         F.count_distinct("node").alias("held"))
-    return {r["key"]: -(-r["held"] // first) for r in held.where(F.col("held") > first).collect()}
+    parts = materialize(held.where(F.col("held") > first).select("key", F.ceil(F.col("held") / first).cast("int").alias("parts")), "split")
+    return None if parts.isEmpty() else parts
 
 
 def _meet_again(reps: DataFrame, percent: int, first: int) -> DataFrame:
@@ -322,19 +323,19 @@ def _members(texts: DataFrame, wanted: bytes, size: int) -> DataFrame:
     return texts.mapInArrow(run, "node long, members binary")
 
 
-def _second_pass(texts: DataFrame, counts: np.ndarray, wanted: bytes, split: dict[int, int], size: int, percent: int,
+def _second_pass(texts: DataFrame, counts: np.ndarray, wanted: bytes, split: DataFrame | None, size: int, percent: int,
                  first_tile: int) -> DataFrame:
     """What the texts that share a key give: kind 0 (key a token, a node, b its size) for each text of a token that
     several sets have among their first shingles; kind 1 (a, b) links of the first tiles; kind 2 (key a tile, a node,
     b the run of a first tile in which it met others)."""
-    rarity, names = counts.tobytes(), ["key", "n", "node", "part", "members"]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+    rarity, names = counts.tobytes(), ["key", "n", "node", "members"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
 
     def send(batches):
         known, in_table, seen, order = WordHashes(), table_of(wanted), set(), np.frombuffer(rarity, np.int32)
         for whole in batches:
             for start in range(0, whole.num_rows, 2000):
-                tokens, nodes, numbers, tiles = [], [], [], [[], [], [], [], []]
+                tokens, nodes, numbers, tiles = [], [], [], [[], [], [], []]
                 for content in whole.column(1).slice(start, 2000):
                     members = shingle_set(content.as_py() or "", size, known)
                     n, node = len(members), node_of(members)
@@ -349,12 +350,10 @@ def _second_pass(texts: DataFrame, counts: np.ndarray, wanted: bytes, split: dic
                     numbers.append(np.full(len(first), n, np.int32))
                     keys = np.array(_first_hashes(members))
                     for key in keys[in_table(keys)].tolist():
-                        part = xxhash.xxh3_64_intdigest(repr((key, node))) % split.get(key, 1)
-                        for column, value in zip(tiles, (key, n, node, part, members.tobytes()), strict=True):
+                        for column, value in zip(tiles, (key, n, node, members.tobytes()), strict=True):
                             column.append(value)
                 if tokens:
                     columns = [np.concatenate(x) for x in (tokens, numbers, nodes)]
-                    columns.append(np.zeros(len(columns[0]), np.int32))
                     yield pa.RecordBatch.from_arrays([*[pa.array(c, k) for c, k in zip(columns, kinds, strict=False)],
                                                       pa.nulls(len(columns[0]), pa.binary())], names=names)
                 if tiles[0]:
@@ -387,7 +386,13 @@ def _second_pass(texts: DataFrame, counts: np.ndarray, wanted: bytes, split: dic
         if last_shared:
             out.append([np.zeros(1, np.int32), *last])
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[k] for o in out])) for k in range(4)], names=["kind", "key", "a", "b"])
-    sent = texts.mapInArrow(send, "key long, n int, node long, part int, members binary")
+    sent = texts.mapInArrow(send, "key long, n int, node long, members binary")
+    if split is None:
+        sent = sent.withColumn("part", F.lit(0))
+    else:
+        dealt = F.pmod(F.xxhash64("key", "node"), F.coalesce("parts", F.lit(1))).cast("int")
+        sent = sent.join(broadcast_if_counted(split), "key", "left").withColumn("part", F.when(F.col("members").isNotNull(), dealt).otherwise(0))
+    sent = sent.select("key", "n", "node", "part", "members")
     return sent.repartition("key", "part").sortWithinPartitions("key", "part", F.col("members").isNull(), "n", "node").mapInArrow(
         meet, "kind int, key long, a long, b long")
 
@@ -411,9 +416,9 @@ def join_texts(documents: DataFrame, shingle: int = 4, percent: int = 85, tile:
     forest = passed.where("kind = 1").select("a", "b")
     labels = materialize(connected_components(forest), "labels")
     linking = passed.where("kind > 0")
-    if split:
+    if split is not None:
         # one text of every linked component of a run meets those of the other runs of its key
-        runs = passed.where("kind = 2").join(F.broadcast(documents.sparkSession.createDataFrame([(k,) for k in split], "key long")), "key")
+        runs = passed.where("kind = 2").join(broadcast_if_counted(split.select("key")), "key")
         reps = materialize(runs.join(labels, runs["a"] == labels["node"]).groupBy("key", "b", "component").agg(F.min("a").alias("node"))
                            .select("key", "node").distinct(), "reps")
         hashes = rows.join(reps.select("node").distinct(), "node").select("text_hash")
