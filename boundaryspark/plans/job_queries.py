@@ -9,7 +9,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import functions as F
 
-from boundaryspark.functions import geometry as G
 from boundaryspark.operators import layers as L
 from boundaryspark.plans.inputs import derived, features, table, with_inputs
 from boundaryspark.plans.intake_queries import YEAR

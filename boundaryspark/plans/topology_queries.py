@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from boundaryspark.functions import geometry as G
 from boundaryspark.operators import edges as E
-from boundaryspark.operators import layers as L
 from boundaryspark.operators import overlay as O
 from boundaryspark.operators import simplify as S
 from boundaryspark.operators import snapping as N
