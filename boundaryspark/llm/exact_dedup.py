@@ -65,8 +65,9 @@ class DigestIndex:
 def _add_batch(rows: DataFrame, index: DigestIndex) -> tuple[DataFrame, str]:
     """Groups of a written batch (doc_id, text_sha256, _length, _row); digests that the index lacks are appended to it."""
     order = F.struct(-F.col("_length"), F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
-    groups = rows.groupBy("text_sha256").agg(F.min_by(F.struct("doc_id", "_row"), order).alias("_best"), F.count(F.lit(1)).alias("group_size"))
-    groups = materialize(groups.select("text_sha256", "group_size", F.col("_best.doc_id").alias("keep_id"), F.col("_best._row").alias("keep_row")), "groups")
+    groups = rows.groupBy("text_sha256").agg(F.min_by(F.struct("doc_id", "_row", "_length"), order).alias("_best"), F.count(F.lit(1)).alias("group_size"))
+    groups = materialize(groups.select("text_sha256", "group_size", F.col("_best.doc_id").alias("keep_id"), F.col("_best._row").alias("keep_row"),
+                                       F.col("_best._length").alias("_length")), "groups")
     batch = uuid.uuid4().hex
     index.append(index.unseen(groups).withColumn("batch", F.lit(batch)))
     return groups, batch
@@ -94,15 +95,23 @@ def _fresh_index(spark: SparkSession) -> DigestIndex:
 
 
 def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `df` that stay, with all their columns, judged within `df` alone."""
-    rows = materialize(df.select(F.struct("*").alias("_r"), *_digests(df, doc_id, text)).withColumn("_row", F.monotonically_increasing_id()), "digests")
+    """The rows of `df` that stay, with all their columns, judged within `df` alone.  Texts are moved once, in the last join."""
+    rows = materialize(df.select(*_digests(df, doc_id, text)).withColumn("_row", F.monotonically_increasing_id()), "digests")
     index = _fresh_index(df.sparkSession)
     try:
-        _, batch = _add_batch(rows.drop("_r"), index)
-        kept = materialize(index.read().where(F.col("batch") == batch).select(F.col("keep_row").alias("_row")), "kept")
+        groups, batch = _add_batch(rows, index)
+        brought = index.read().where(F.col("batch") == batch).select("text_sha256")
+        kept = groups.hint("merge").join(brought.hint("merge"), "text_sha256", "left_semi")
+        kept = materialize(kept.select(F.col("keep_id").alias("_id"), F.col("text_sha256").alias("_kept"), F.col("_length").alias("_size")), "kept")
     finally:
         index.drop()
-    return rows.join(kept, "_row", "left_semi").select("_r.*")
+    same = (F.col("doc_id").eqNullSafe(F.col("_id"))) & (F.col("text_sha256") == F.col("_kept")) & (F.col("_length") == F.col("_size"))
+    alike = rows.groupBy("text_sha256", "doc_id", "_length").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = not alike.join(kept, same, "left_semi").isEmpty()
+    found = df.withColumns({"_digest": digest_of(text), "_n": F.length(F.coalesce(F.col(text), F.lit("")))})
+    found = found.join(kept.hint("merge"), found[doc_id].eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_kept")) & (F.col("_n") == F.col("_size")), "left_semi")
+    # of rows alike in id and text one stays
+    return (found.dropDuplicates([doc_id, "_digest"]) if repeated else found).drop("_digest", "_n")
 
 
 OP7_SQL = r"""
