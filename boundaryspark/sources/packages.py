@@ -30,8 +30,9 @@ def describe_packages(path: Column) -> list[Column]:
             parts["adm"].alias("adm"), parts["file_name"].alias("file_name")]
 
 
-#: Bytes of members that are handed on at once.
+#: Bytes and number of members that are handed on at once.
 MEMBER_BYTES = 16 << 20
+MEMBERS_AT_ONCE = 10_000
 META_FILE = r"meta\.txt"
 
 
@@ -43,10 +44,12 @@ def package_members(packages: DataFrame, unpack: str | None = ".*") -> DataFrame
     """
     wanted = re.compile(unpack, re.DOTALL) if unpack is not None else None
 
+    columns = ["package_id", "member", "size", "crc", "content"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0  # members of many small packages are handed on together
         for batch in batches:
             for package_id, content in zip(batch["package_id"], batch["content"]):
-                rows, size = [], 0
                 try:
                     with zipfile.ZipFile(io.BytesIO(content)) as archive:
                         infos = [i for i in archive.infolist() if not i.is_dir() and "__MACOSX" not in i.filename]
@@ -55,12 +58,14 @@ def package_members(packages: DataFrame, unpack: str | None = ".*") -> DataFrame
                     rows = [(package_id, i.filename, i.file_size, i.CRC, data) for i, data in zip(infos, read, strict=True)]
                 except (zipfile.BadZipFile, zlib.error, NotImplementedError, RuntimeError, EOFError):
                     rows = [(package_id, UNREADABLE, None, None, None)]
-                first = 0
-                for k, row in enumerate(rows):
+                for row in rows:
+                    held.append(row)
                     size += len(row[4] or b"")
-                    if size >= MEMBER_BYTES or k == len(rows) - 1:
-                        yield pd.DataFrame(rows[first:k + 1], columns=["package_id", "member", "size", "crc", "content"])
-                        first, size = k + 1, 0
+                    if size >= MEMBER_BYTES or len(held) >= MEMBERS_AT_ONCE:
+                        yield pd.DataFrame(held, columns=columns)
+                        held, size = [], 0
+        if held:
+            yield pd.DataFrame(held, columns=columns)
     return packages.select("package_id", "content").mapInPandas(run, MEMBER_SCHEMA)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from boundaryspark.operators import intake as N
-from boundaryspark.runtime import scratch_path
+from boundaryspark.runtime import materialize, scratch_path
 from boundaryspark.sources import packages as P
 from boundaryspark.sources.versions import BUCKETS, VersionedTable
 
@@ -44,8 +44,9 @@ def stream_quiet_periods(stream: DataFrame, key: str, gap: str, ts: str = "ts",
 
 def intake_batch(packages: DataFrame, countries: DataFrame, licenses: DataFrame, current_year: int | None = None) -> DataFrame:
     """Package contents and metadata verdict of one batch of packages."""
-    # names come from the directories of the zips; the metadata file alone is unpacked
-    return intake_of_members(packages.select("package_id"), P.package_members(packages, P.META_FILE), countries, licenses, current_year)
+    # names come from the directories of the zips; the metadata file alone is unpacked, once for all checks
+    members = materialize(P.package_members(packages, P.META_FILE), "intake-members")
+    return intake_of_members(packages.select("package_id"), members, countries, licenses, current_year)
 
 
 def intake_of_members(packages: DataFrame, members: DataFrame, countries: DataFrame, licenses: DataFrame, current_year: int | None = None) -> DataFrame:
