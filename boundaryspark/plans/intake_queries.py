@@ -8,12 +8,15 @@ from boundaryspark.functions import scalars as S
 from boundaryspark.operators import intake as N
 from boundaryspark.plans.inputs import derived, with_inputs
 from boundaryspark.plans.registry import query
+from boundaryspark.runtime import dealt_by_key
 
 YEAR = 2026
+TEXTS_PER_TASK = 20_000
 
 
 def _kv(spark, sf_dir):
-    return N.parse_meta(derived(spark, sf_dir, "fx_meta_text"))
+    # a text becomes a dozen lines, which are sorted by package in a task
+    return N.parse_meta(dealt_by_key(derived(spark, sf_dir, "fx_meta_text"), N.PACKAGE, TEXTS_PER_TASK))
 
 
 @query("check_package", with_inputs("fx_member", """
