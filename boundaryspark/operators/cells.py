@@ -19,24 +19,37 @@ MAX_DEPTH = 20
 
 #: Name of the column with the cell's number on an axis, then the columns with the lower and upper end of a left and a right row.
 Axis = tuple[str, tuple[str, str], tuple[str, str]]
+#: Side of a cell, or its width and its height.
+Cell = float | tuple[float, float]
 
 
-def _part(x: Column, axis: str, level: Column, cell: float) -> Column:
+def sides(cell: Cell) -> tuple[float, float]:
+    """Width and height of a cell."""
+    return cell if isinstance(cell, tuple) else (cell, cell)
+
+
+def _side(axis: str, cell: Cell) -> Column:
+    return F.lit(sides(cell)[axis == "row"])
+
+
+def _part(x: Column, axis: str, level: Column, cell: Cell) -> Column:
     """Number of the part of a cell that x falls into, of 2^level parts; what lies outside counts to the ends."""
     parts = F.pow(F.lit(2.0), level)
-    place = F.floor((x - F.col(axis) * F.lit(cell)) / F.lit(cell) * parts)
+    side = _side(axis, cell)
+    place = F.floor((x - F.col(axis) * side) / side * parts)
     return F.least(F.greatest(place, F.lit(0)), parts.cast("long") - 1)
 
 
-def _placed(df: DataFrame, ends: list[tuple[str, str, str]], cell: float) -> DataFrame:
+def _placed(df: DataFrame, ends: list[tuple[str, str, str]], cell: Cell) -> DataFrame:
     """Rows in the parts that they touch, at their own level (`_native`) and at all coarser ones."""
     widest = F.lit(0.0)
     for axis, low, high in ends:
-        begin = F.col(axis) * F.lit(cell)
-        inside = F.least(F.col(high), begin + F.lit(cell)) - F.greatest(F.col(low), begin)
-        widest = F.greatest(widest, inside)
+        side = _side(axis, cell)
+        begin = F.col(axis) * side
+        inside = F.least(F.col(high), begin + side) - F.greatest(F.col(low), begin)
+        widest = F.greatest(widest, inside / side)
     # an empty extent fits the deepest level
-    fitting = F.when(widest > 0, F.floor(F.log2(F.lit(cell) / widest))).otherwise(F.lit(MAX_DEPTH))
+    fitting = F.when(widest > 0, F.floor(-F.log2(widest))).otherwise(F.lit(MAX_DEPTH))
     own = F.least(F.greatest(fitting, F.lit(0)), F.col("_depth")).cast("int")
     df = df.withColumn("_own", own).withColumn("_level", F.explode(F.sequence(F.lit(0), F.col("_own"))))
     for axis, low, high in ends:
@@ -66,7 +79,7 @@ def _blocks(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
     return a.join(b, [*key, "_i", "_j"]).drop("_i", "_j")
 
 
-def meet_in_cells(left: DataFrame, right: DataFrame, cell: float, on: list[str], axes: list[Axis]) -> DataFrame:
+def meet_in_cells(left: DataFrame, right: DataFrame, cell: Cell, on: list[str], axes: list[Axis]) -> DataFrame:
     """Pairs of rows equal in `on` whose extents may touch, each once for a cell.
 
     Beside `on`, which includes the axes' cell numbers, column names of the sides differ.  In a crowded cell a pair appears in the
@@ -76,8 +89,9 @@ def meet_in_cells(left: DataFrame, right: DataFrame, cell: float, on: list[str],
     pairs = F.col("_nl") * F.col("_nr") / F.lit(PAIRS_PER_CELL)
     crowded = materialize(count(left, "_nl").join(count(right, "_nr"), on).filter(pairs > 1).select(*on, F.least(
         F.ceil(F.log2(pairs) / 2), F.lit(MAX_DEPTH)).cast("int").alias("_depth")), "crowded")
+    # the stored size of one side tells little of its size in memory, so it is never sent whole to every task
     if crowded.isEmpty():
-        return left.join(right, on)
+        return left.hint("merge").join(right, on)
     crowded = broadcast_if_small(crowded)
     place = lambda df, ends: materialize(_placed(df.join(crowded, on), ends, cell), "crowded-rows")
     a, b = place(left, [(x, *l) for x, l, _ in axes]), place(right, [(x, *r) for x, _, r in axes])
@@ -86,4 +100,4 @@ def meet_in_cells(left: DataFrame, right: DataFrame, cell: float, on: list[str],
     for axis, (low, _), (r_low, _) in axes:
         met = met.filter(F.col(f"_p_{axis}") == _part(F.greatest(F.col(low), F.col(r_low)), axis, F.col("_level"), cell))
     met = met.drop("_level", *[f"_p_{x}" for x, _, _ in axes])
-    return left.join(crowded, on, "left_anti").join(right, on).unionByName(met)
+    return left.join(crowded, on, "left_anti").hint("merge").join(right, on).unionByName(met)

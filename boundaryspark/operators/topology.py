@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from boundaryspark.functions import geometry as G
 from boundaryspark.operators import spatial as P
-from boundaryspark.operators.cells import meet_in_cells
+from boundaryspark.operators.cells import Cell, meet_in_cells, sides
 from boundaryspark.operators.edges import assemble, explode_edges
 from boundaryspark.runtime import materialize
 
@@ -20,6 +20,7 @@ COORDS = ["x1", "y1", "x2", "y2"]
 EDGE = ["ax", "ay", "bx", "by"]
 NEAR = 1e-12  # share of an edge below which a crossing is taken to lie on its end
 KERNEL_EDGES = 200_000  # larger groups are ordered by joins instead of one task
+EDGES_AT_ONCE = 100_000  # smaller groups are ordered together
 
 
 def with_canonical(edges: DataFrame) -> DataFrame:
@@ -123,7 +124,7 @@ def _next_edges(edges: DataFrame, key: list[str]) -> DataFrame:
 
 
 def _order_small(links: pd.DataFrame) -> pd.DataFrame:
-    """Ring label (least edge id) and position of each edge by pointer jumping inside one group."""
+    """Ring label (least edge id) and position of each edge by pointer jumping inside whole groups; edge ids are unique over all groups."""
     eid = links["eid"].to_numpy()
     order = np.argsort(eid)
     links = links.iloc[order]
@@ -144,6 +145,30 @@ def _order_small(links: pd.DataFrame) -> pd.DataFrame:
     return links.assign(ring_id=eid[label], seq=size - 1 - left)
 
 
+def _order_groups(links: DataFrame, key: list[str], total: int) -> DataFrame:
+    """`_order_small` of many groups at once: a task takes them in order of the key and works on about `EDGES_AT_ONCE` edges in a call."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in links.schema.fields) + ", ring_id long, seq long"
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += len(batch)
+            if size < EDGES_AT_ONCE:
+                continue
+            rows = pd.concat(held, ignore_index=True)
+            group = rows.groupby(key, dropna=False, sort=False).ngroup().to_numpy()
+            whole = group != group[-1]  # the last group may go on in the next batch
+            if whole.any():
+                yield _order_small(rows[whole])
+            held, size = [rows[~whole]], int((~whole).sum())
+        if size:
+            yield _order_small(pd.concat(held, ignore_index=True))
+    # by an expression and a number of its own, so that neither a join nor adaptive execution deals the groups anew
+    dealt = links.repartition(max(1, -(-total // EDGES_AT_ONCE)), F.xxhash64(*key)).sortWithinPartitions(*key)
+    return dealt.mapInPandas(run, schema)
+
+
 def _local_chains(rows: pd.DataFrame, key: list[str]) -> pd.DataFrame:
     """Contract the chains of links that one task holds.
 
@@ -203,6 +228,7 @@ def _order_large(links: DataFrame, key: list[str], kernel_edges: int) -> DataFra
     anew, in fewer and so larger areas, until one task holds them.  Places then come back through the levels: every edge is written once
     on the way down, and read once on the way up.
     """
+    kernel_edges = max(kernel_edges, 1)
     state = links.withColumns({"weight": F.lit(1).cast("long"), "least": F.col("eid"), "least_at": F.lit(0).cast("long")})
     plain = [f for f in state.schema.fields]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain) + ", kind int, head long, offset long"
@@ -252,8 +278,7 @@ def order_rings(edges: DataFrame, key: list[str], kernel_edges: int = KERNEL_EDG
     if twice or total != stored.count():
         raise ValueError(f"edges do not close into rings: {total} edges go on, {twice} successors at most are shared in a key")
     small = links.join(sizes.filter(F.col("_edges") <= kernel_edges), key, "left_semi")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in links.schema.fields) + ", ring_id long, seq long"
-    ordered = small.groupBy(*key).applyInPandas(_order_small, schema)
+    ordered = _order_groups(small, key, total)
     if most > kernel_edges:
         large = links.join(sizes.filter(F.col("_edges") > kernel_edges), key, "left_semi")
         ordered = ordered.select(*key, "eid", "ring_id", "seq").unionByName(_order_large(large, key, kernel_edges))
@@ -331,31 +356,33 @@ def fill_gaps(features: DataFrame, ids: list[str], layer: list[str], max_area_km
 # --- crossings, validity, repair -----------------------------------------------------------------
 
 
-def edge_cell(edges: DataFrame) -> float:
-    """Grid width near the extent of an average edge."""
-    row = edges.agg(F.avg(F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1")))).alias("v"),
+def edge_cell(edges: DataFrame) -> tuple[float, float]:
+    """Width and height of a cell near the extents of an average edge, so that edges lie in few cells and cells hold few edges."""
+    row = edges.agg(F.avg(F.abs(F.col("x2") - F.col("x1"))).alias("w"), F.avg(F.abs(F.col("y2") - F.col("y1"))).alias("h"),
                     F.max(F.greatest(F.abs("x1"), F.abs("y1"))).alias("m")).first()
-    return max(row["v"] or 1.0, (row["m"] or 1.0) / 1e6)
+    least = (row["m"] or 1.0) / 1e8
+    return max(row["w"] or 1.0, least), max(row["h"] or 1.0, least)
 
 
-def _laid(edges: DataFrame, cell: float, prefix: str, keep: list[str]) -> DataFrame:
+def _laid(edges: DataFrame, cell: Cell, prefix: str, keep: list[str]) -> DataFrame:
     """Edges by grid cell: along the longer axis cell by cell, across it only the rows they pass."""
-    f = lambda v: F.floor(v / F.lit(cell))
+    wide, high = sides(cell)
+    f = lambda v, side: F.floor(v / F.lit(side))
     lo, hi = F.least("x1", "x2"), F.greatest("x1", "x2")
-    cols = edges.withColumn("col", F.explode(F.sequence(f(lo), f(hi))))
+    cols = edges.withColumn("col", F.explode(F.sequence(f(lo, wide), f(hi, wide))))
     at = lambda x: F.when(F.col("x1") == F.col("x2"), F.col("y1")).otherwise(
         F.col("y1") + (x - F.col("x1")) * (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1")))
-    left, right = F.greatest(lo, F.col("col") * F.lit(cell)), F.least(hi, (F.col("col") + 1) * F.lit(cell))
+    left, right = F.greatest(lo, F.col("col") * F.lit(wide)), F.least(hi, (F.col("col") + 1) * F.lit(wide))
     upright = F.col("x1") == F.col("x2")
     ya = F.when(upright, F.col("y1")).otherwise(at(left))
     yb = F.when(upright, F.col("y2")).otherwise(at(right))
     spread = cols.withColumn("_ya", F.least(ya, yb)).withColumn("_yb", F.greatest(ya, yb))
-    pad = F.lit(cell * 1e-9)
-    rows = spread.withColumn("row", F.explode(F.sequence(f(F.col("_ya") - pad), f(F.col("_yb") + pad))))
+    pad = F.lit(high * 1e-9)
+    rows = spread.withColumn("row", F.explode(F.sequence(f(F.col("_ya") - pad, high), f(F.col("_yb") + pad, high))))
     return rows.select(*keep, "col", "row", F.col("no").alias(f"{prefix}no"), *[F.col(c).alias(f"{prefix}{c}") for c in COORDS])
 
 
-def near_pairs(a_edges: DataFrame, b_edges: DataFrame, cell: float, a_ids: list[str], b_ids: list[str],
+def near_pairs(a_edges: DataFrame, b_edges: DataFrame, cell: Cell, a_ids: list[str], b_ids: list[str],
                shared: list[str] | None = None) -> DataFrame:
     """Pairs of edges (a_no, a_x1, ..., b_no, b_x1, ...) whose envelopes touch, once for every grid cell that both pass through.
 
@@ -392,7 +419,7 @@ def numbered_edges(edges: DataFrame) -> DataFrame:
     return edges.withColumn("no", F.struct("poly", "ring", "seq"))
 
 
-def self_crossings(edges: DataFrame, ids: list[str], cell: float | None = None) -> DataFrame:
+def self_crossings(edges: DataFrame, ids: list[str], cell: Cell | None = None) -> DataFrame:
     """ids, a_no, b_no, x, y of edges of one feature that cross each other."""
     e = numbered_edges(edges)
     cell = cell or edge_cell(edges)
@@ -409,7 +436,7 @@ def crossing_point() -> tuple[Column, Column]:
     return F.col("a_x1") + t * rx, F.col("a_y1") + t * ry
 
 
-def validity_report(features: DataFrame, ids: list[str], cell: float | None = None) -> DataFrame:
+def validity_report(features: DataFrame, ids: list[str], cell: Cell | None = None) -> DataFrame:
     """Per feature: valid, the reasons and the place of the first crossing."""
     rings = lambda test: F.exists("geom", lambda p: F.exists(p, test))
     shape = features.select(
