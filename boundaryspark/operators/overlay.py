@@ -40,7 +40,7 @@ def overlay_edges(left_edges: DataFrame, right_edges: DataFrame, pairs: DataFram
     le = materialize(T.numbered_edges(left_edges).select(left, "no", *T.COORDS), "overlay-left")
     re = materialize(T.numbered_edges(right_edges).select(right, "no", *T.COORDS), "overlay-right")
     pairs = materialize(pairs.select(*key).distinct(), "overlay-pairs")
-    cell = min(P.choose_cell(le, [left]), P.choose_cell(re, [right]))
+    cell = min(P.choose_cell(le, [left]), P.choose_cell(re, [right]), key=P.area_of)
     l_caps, r_caps = (materialize(P.edge_caps(e, [i], cell), "overlay-caps") for e, i in ((le, left), (re, right)))
     l_cells, r_cells = (caps.select(i, "col", "row").distinct() for caps, i in ((l_caps, left), (r_caps, right)))
     near = T.near_pairs(le, re, T.edge_cell(le), [left], [right]).join(pairs, key, "left_semi")
@@ -89,7 +89,7 @@ def overlay(left: DataFrame, right: DataFrame, left_id: str, right_id: str, how:
     from boundaryspark.operators.layers import with_bounds
     if pairs is None:
         boxes = with_bounds(left)
-        size = boxes.agg(F.avg(F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")))).first()[0] or 1.0
+        size = tuple(s or 1.0 for s in boxes.agg(F.avg(F.col("xmax") - F.col("xmin")), F.avg(F.col("ymax") - F.col("ymin"))).first())
         pairs = P.bbox_join(boxes, with_bounds(right), [left_id], [right_id], size)
     key = [left_id, right_id]
     edges = overlay_edges(explode_edges(left, [left_id]), explode_edges(right, [right_id]), pairs, left_id, right_id, how)
