@@ -19,6 +19,7 @@ from boundaryspark.runtime import materialize
 COORDS = ["x1", "y1", "x2", "y2"]
 EDGE = ["ax", "ay", "bx", "by"]
 NEAR = 1e-12  # share of an edge below which a crossing is taken to lie on its end
+ROUNDING = 2e-15  # share of a coordinate below which an end is taken to lie on another edge: a few units in the last place
 KERNEL_EDGES = 200_000  # larger groups are ordered by joins instead of one task
 EDGES_AT_ONCE = 100_000  # smaller groups are ordered together
 
@@ -483,10 +484,14 @@ def meeting_points(pairs: DataFrame) -> DataFrame:
     parallel = F.abs(den) <= scale * NEAR
     safe = F.when(parallel, F.lit(None)).otherwise(den)
     t, u = (qx * sy - qy * sx) / safe, (qx * ry - qy * rx) / safe
-    crossing = (F.when(F.abs(t) <= NEAR, a1).when(F.abs(t - 1) <= NEAR, a2).when(F.abs(u) <= NEAR, b1)
-                .when(F.abs(u - 1) <= NEAR, b2)
+    # coordinates are rounded, which is a large share of a short edge, or of one that crosses at a small angle: so the distance counts too
+    apart = F.greatest(*[F.abs(p[c]) for p in (a1, a2, b1, b2) for c in ("x", "y")]) * ROUNDING
+    to_b, to_a = F.abs(den) / F.sqrt(sx * sx + sy * sy), F.abs(den) / F.sqrt(rx * rx + ry * ry)
+    on = lambda share, length: (F.abs(share) <= NEAR) | (F.abs(share) * length <= apart)
+    on_a1, on_a2, on_b1, on_b2 = on(t, to_b), on(t - 1, to_b), on(u, to_a), on(u - 1, to_a)
+    crossing = (F.when(on_a1, a1).when(on_a2, a2).when(on_b1, b1).when(on_b2, b2)
                 .otherwise(F.struct((a1["x"] + t * rx).alias("x"), (a1["y"] + t * ry).alias("y"))))
-    meets = (t >= -NEAR) & (t <= 1 + NEAR) & (u >= -NEAR) & (u <= 1 + NEAR)
+    meets = ((t >= 0) | on_a1) & ((t <= 1) | on_a2) & ((u >= 0) | on_b1) & ((u <= 1) | on_b2)
     on_line = parallel & (F.abs(qx * ry - qy * rx) <= NEAR * scale)
     points = F.when(on_line, F.array(a1, a2, b1, b2)).when(meets, F.array(crossing))
     return pairs.withColumn("points", points).filter(F.col("points").isNotNull())

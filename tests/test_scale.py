@@ -7,7 +7,9 @@ import pandas as pd
 from conftest import frame, ring
 from pyspark.sql import functions as F
 
+from boundaryspark.functions import geometry as G
 from boundaryspark.operators import edges as E
+from boundaryspark.operators import overlay as O
 from boundaryspark.operators import spatial as P
 from boundaryspark.operators import topology as T
 from boundaryspark.runtime import dealt_by_key
@@ -66,3 +68,14 @@ def test_texts_of_one_file_are_dealt_by_key(spark):
     assert dealt_by_key(df, ["k"], 1000).rdd.getNumPartitions() == 1
     counted = dealt.select("k", F.explode("lines").alias("n")).groupBy("k").agg(F.sum("n").alias("n"))
     assert counted._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_repair_of_thin_bow_ties_with_holes_on_their_edges(spark):
+    def unit(i, width=20 / 36000):
+        x0, x1 = -50 + i * width, -50 + i * width + width
+        at = lambda fx, fy: (x0 * (1 - fx) + x1 * fx, -50.0 * (1 - fy) - 30.0 * fy)
+        shell = [at(0, 0), at(1, 1), at(1, 0), at(0, 1), at(0, 0)]
+        return str(i), [[shell, [at(0.4, 0.2), at(0.4, 0.4), at(0.6, 0.4), at(0.6, 0.2), at(0.4, 0.2)]]]
+    repaired = O.repair(frame(spark, [unit(i) for i in range(0, 3000, 10)]), ["id"]).select((G.planar_area("geom") / (20 * 20 / 36000)).alias("share"))
+    low, high, n = repaired.agg(F.min("share"), F.max("share"), F.count("share")).first()
+    assert n == 300 and abs(low - 0.54) < 1e-6 and abs(high - 0.54) < 1e-6
