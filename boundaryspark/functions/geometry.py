@@ -167,21 +167,28 @@ def _same(a: Column, b: Column) -> Column:
     return (a["x"] == b["x"]) & (a["y"] == b["y"])
 
 
+def _named(value: Column, use) -> Column:
+    """`use(value)` with the value worked out once, however often and inside whatever loops `use` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def clean_ring(ring: Column | str, is_shell: Column) -> Column:
     """Close the ring, drop repeated vertices, orient shells counter-clockwise and holes clockwise.
 
-    The vertex list is walked by index, so the cost stays linear in its length.
+    The vertex list is walked by index and each step's list is worked out once, so the cost stays linear in its length.
     """
-    r = col(ring)
-    n = F.size(r)
-    closed = F.when((n > 0) & ~_same(F.element_at(r, 1), F.element_at(r, -1)),
-                    F.concat(r, F.slice(r, 1, 1))).otherwise(r)
-    before = F.concat(F.slice(closed, 1, 1), F.slice(closed, 1, F.greatest(F.size(closed) - 1, F.lit(0))))
-    marked = F.zip_with(closed, before, lambda v, p: F.struct(v.alias("v"), p.alias("p")))
-    kept = F.filter(marked, lambda m, i: (i == 0) | ~_same(m["v"], m["p"]))
-    distinct = F.transform(kept, lambda m: m["v"])
-    turn = (ring_area(distinct) >= 0) == is_shell
-    return F.when(turn, distinct).otherwise(F.reverse(distinct))
+    def closed(r):
+        return F.when((F.size(r) > 0) & ~_same(F.element_at(r, 1), F.element_at(r, -1)), F.concat(r, F.slice(r, 1, 1))).otherwise(r)
+
+    def distinct(c):
+        before = F.concat(F.slice(c, 1, 1), F.slice(c, 1, F.greatest(F.size(c) - 1, F.lit(0))))
+        marked = F.zip_with(c, before, lambda v, p: F.struct(v.alias("v"), p.alias("p")))
+        return F.transform(F.filter(marked, lambda m, i: (i == 0) | ~_same(m["v"], m["p"])), lambda m: m["v"])
+
+    def turned(d):
+        return F.when((ring_area(d) >= 0) == is_shell, d).otherwise(F.reverse(d))
+
+    return _named(col(ring), lambda r: _named(closed(r), lambda c: _named(distinct(c), turned)))
 
 
 def clean_rings(geom: Column | str) -> Column:

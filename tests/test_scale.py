@@ -79,3 +79,11 @@ def test_repair_of_thin_bow_ties_with_holes_on_their_edges(spark):
     repaired = O.repair(frame(spark, [unit(i) for i in range(0, 3000, 10)]), ["id"]).select((G.planar_area("geom") / (20 * 20 / 36000)).alias("share"))
     low, high, n = repaired.agg(F.min("share"), F.max("share"), F.count("share")).first()
     assert n == 300 and abs(low - 0.54) < 1e-6 and abs(high - 0.54) < 1e-6
+
+
+def test_steps_of_a_ring_are_worked_out_once(spark):
+    # a list named again inside the loop over a ring would be built anew for each vertex
+    ragged = [[ring((0, 0), (0, 0), (0, 2), (2, 2), (2, 2), (2, 0))]]
+    cleaned = frame(spark, [("a", ragged)]).select(G.clean_rings("geom").alias("geom"))
+    assert cleaned._jdf.queryExecution().analyzed().toString().count("zip_with(") == 2
+    assert [(v["x"], v["y"]) for v in cleaned.first()[0][0][0]] == [(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]
