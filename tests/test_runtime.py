@@ -12,6 +12,13 @@ def test_numbered_is_row_number(spark):
         assert [n for _, n in rows] == list(range(1, len(rows) + 1))
 
 
+def test_buckets_are_found_without_looking_through_all_cuts(spark):
+    df = spark.range(3000).select((F.col("id") * 7 % 3001).alias("k"))
+    out = R.numbered(df, "k", "n", buckets=100)
+    assert [r["n"] for r in out.orderBy("k").collect()] == list(range(1, 3001))
+    assert "slice(" in out._jdf.queryExecution().analyzed().toString()
+
+
 def test_spread_join_with_salts(spark, monkeypatch):
     monkeypatch.setattr(R, "BROADCAST_LIMIT_BYTES", -1)
     big = spark.range(500).select(F.lit(1).alias("k"), "id")
