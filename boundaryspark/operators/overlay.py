@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -12,6 +14,22 @@ from boundaryspark.operators import topology as T
 from boundaryspark.operators.edges import assemble, explode_edges
 from boundaryspark.runtime import materialize
 
+GRID_BITS = 40  # the grid of an overlay is the largest coordinate divided by 2^40, far above rounding: less than 0.01 mm on the earth
+
+
+def overlay_grid(*sides: DataFrame) -> float:
+    """Side of the grid that all vertices of an overlay are put on, a power of two, so that the products with it are exact.
+
+    Vertices of both sides that differ by rounding alone would make lines cross where they lie on each other, and rings that do not close.
+    """
+    far = [e.agg(F.max(F.greatest(*[F.abs(c) for c in T.COORDS]))).first()[0] or 1.0 for e in sides]
+    return 2.0 ** (math.ceil(math.log2(max(far))) - GRID_BITS)
+
+
+def _on_grid(value: Column, grid: float) -> Column:
+    return F.rint(value / F.lit(grid)) * F.lit(grid)
+
+
 def _near_cells(edges: DataFrame, own: str, cells: DataFrame, other: str, cell: float, pairs: DataFrame) -> DataFrame:
     """own, other, no: the edges of each pair that pass through a cell of the other feature."""
     laid = T._laid(edges, cell, "_", [own]).select(own, F.col("_no").alias("no"), "col", "row")
@@ -28,23 +46,26 @@ def _runs(parts: DataFrame, key: list[str]) -> DataFrame:
 
 
 def overlay_edges(left_edges: DataFrame, right_edges: DataFrame, pairs: DataFrame, left: str, right: str,
-                  how: str) -> DataFrame:
+                  how: str, grid: float | None = None) -> DataFrame:
     """Outline edges of intersection, union or difference for each (left, right) pair.
 
     A pair takes the edges of a feature only in the cells of the other one; all others are outside.  One point tells for all parts
-    between two meeting points whether they lie inside.
+    between two meeting points whether they lie inside.  Vertices and meeting points lie on a grid (`overlay_grid`).
     """
     if how not in ("intersection", "union", "difference"):
         raise ValueError(how)
     key = [left, right]
-    le = materialize(T.numbered_edges(left_edges).select(left, "no", *T.COORDS), "overlay-left")
-    re = materialize(T.numbered_edges(right_edges).select(right, "no", *T.COORDS), "overlay-right")
+    grid = grid or overlay_grid(left_edges, right_edges)
+    put = lambda edges, own: T.numbered_edges(edges).select(own, "no", *[_on_grid(F.col(c), grid).alias(c) for c in T.COORDS]).filter(
+        (F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
+    le, re = materialize(put(left_edges, left), "overlay-left"), materialize(put(right_edges, right), "overlay-right")
     pairs = materialize(pairs.select(*key).distinct(), "overlay-pairs")
     cell = min(P.choose_cell(le, [left]), P.choose_cell(re, [right]), key=P.area_of)
     l_caps, r_caps = (materialize(P.edge_caps(e, [i], cell), "overlay-caps") for e, i in ((le, left), (re, right)))
     l_cells, r_cells = (caps.select(i, "col", "row").distinct() for caps, i in ((l_caps, left), (r_caps, right)))
     near = T.near_pairs(le, re, T.edge_cell(le), [left], [right]).join(pairs, key, "left_semi")
-    met = materialize(T.meeting_points(near).select(*key, "a_no", "b_no", "points").distinct(), "overlay-points")
+    placed = F.transform("points", lambda p: G.xy(_on_grid(p["x"], grid), _on_grid(p["y"], grid))).alias("points")
+    met = materialize(T.meeting_points(near).select(*key, "a_no", "b_no", placed).distinct(), "overlay-points")
 
     def parts(edges: DataFrame, own: str, other: str, cells: DataFrame, number: str) -> tuple[DataFrame, DataFrame]:
         """Parts of the edges that are near the other feature, and the edges that aren't."""
@@ -92,8 +113,12 @@ def overlay(left: DataFrame, right: DataFrame, left_id: str, right_id: str, how:
         size = tuple(s or 1.0 for s in boxes.agg(F.avg(F.col("xmax") - F.col("xmin")), F.avg(F.col("ymax") - F.col("ymin"))).first())
         pairs = P.bbox_join(boxes, with_bounds(right), [left_id], [right_id], size)
     key = [left_id, right_id]
-    edges = overlay_edges(explode_edges(left, [left_id]), explode_edges(right, [right_id]), pairs, left_id, right_id, how)
-    return assemble(T.stitch_rings(edges, key), key)
+    left_edges, right_edges = explode_edges(left, [left_id]), explode_edges(right, [right_id])
+    grid = overlay_grid(left_edges, right_edges)
+    out = assemble(T.stitch_rings(overlay_edges(left_edges, right_edges, pairs, left_id, right_id, how, grid), key), key)
+    # parts thinner than the grid can tell are rounding
+    thick = F.filter("geom", lambda p: F.abs(G.ring_area(p[0])) > G.ring_length(p[0]) * F.lit(4 * grid))
+    return out.withColumn("geom", thick).filter(F.size("geom") > 0)
 
 
 def clip(features: DataFrame, mask: DataFrame, ids: str, mask_id: str, pairs: DataFrame | None = None) -> DataFrame:

@@ -87,3 +87,18 @@ def test_steps_of_a_ring_are_worked_out_once(spark):
     cleaned = frame(spark, [("a", ragged)]).select(G.clean_rings("geom").alias("geom"))
     assert cleaned._jdf.queryExecution().analyzed().toString().count("zip_with(") == 2
     assert [(v["x"], v["y"]) for v in cleaned.first()[0][0][0]] == [(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]
+
+
+def test_overlay_of_lines_apart_by_rounding(spark):
+    # 3.7 is 444 of these widths, so that lines of both sides lie on each other but for rounding
+    wide = 20.0 / 2400
+    box = lambda i, dx, dy: [[ring(*[(-50 + (i + a) * wide + dx, b + dy) for a, b in ((0, 0), (1, 0), (1, 20), (0, 20), (0, 0))])]]
+    left = frame(spark, [(str(i), box(i, 0.0, 0.0)) for i in range(440, 520)]).withColumnRenamed("id", "l")
+    right = frame(spark, [(str(i), box(i, 3.7, 0.11)) for i in range(0, 60)]).withColumnRenamed("id", "r")
+    areas = {}
+    for how in ("intersection", "difference", "union"):
+        out = O.overlay(left, right, "l", "r", how).select("l", "r", F.round(G.planar_area("geom"), 5).alias("a"))
+        areas[how] = {(int(r["l"]), int(r["r"])): r["a"] for r in out.collect()}
+    assert areas["intersection"] == {(i + 444, i): round(wide * 19.89, 5) for i in range(60)}
+    assert all(areas["difference"][(i + 444, i)] == round(wide * 0.11, 5) for i in range(60))
+    assert all(areas["union"][(i + 444, i)] == round(wide * 20.11, 5) for i in range(60))
