@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from boundaryspark.functions import geometry as G
 from boundaryspark.operators import spatial as P
@@ -20,6 +22,7 @@ COORDS = ["x1", "y1", "x2", "y2"]
 EDGE = ["ax", "ay", "bx", "by"]
 NEAR = 1e-12  # share of an edge below which a crossing is taken to lie on its end
 ROUNDING = 2e-15  # share of a coordinate below which an end is taken to lie on another edge: a few units in the last place
+POINTS = T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))
 KERNEL_EDGES = 200_000  # larger groups are ordered by joins instead of one task
 EDGES_AT_ONCE = 100_000  # smaller groups are ordered together
 
@@ -472,33 +475,49 @@ def misplaced_holes(edges: DataFrame, ids: list[str]) -> DataFrame:
 # --- noding ------------------------------------------------------------------------------------------
 
 
+def _meetings(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where edges a and b (rows x1, y1, x2, y2) meet: up to four points a pair and their number; ends of the edges are kept exactly."""
+    a1, a2, b1, b2 = a[:, :2], a[:, 2:], b[:, :2], b[:, 2:]
+    (rx, ry), (sx, sy), (qx, qy) = (a2 - a1).T, (b2 - b1).T, (b1 - a1).T
+    with np.errstate(divide="ignore", invalid="ignore"):
+        den = rx * sy - ry * sx
+        scale = np.sqrt((rx * rx + ry * ry) * (sx * sx + sy * sy))
+        parallel = np.abs(den) <= scale * NEAR
+        safe = np.where(parallel, np.nan, den)
+        t, u = (qx * sy - qy * sx) / safe, (qx * ry - qy * rx) / safe
+        # coordinates are rounded, which is a large share of a short edge, or of one that crosses at a small angle: so the distance counts too
+        apart = np.maximum(np.abs(a).max(axis=1), np.abs(b).max(axis=1)) * ROUNDING
+        to_b, to_a = np.abs(den) / np.sqrt(sx * sx + sy * sy), np.abs(den) / np.sqrt(rx * rx + ry * ry)
+        on = lambda share, length: (np.abs(share) <= NEAR) | (np.abs(share) * length <= apart)
+        on_a1, on_a2, on_b1, on_b2 = on(t, to_b), on(t - 1, to_b), on(u, to_a), on(u - 1, to_a)
+        meets = ((t >= 0) | on_a1) & ((t <= 1) | on_a2) & ((u >= 0) | on_b1) & ((u <= 1) | on_b2)
+        on_line = parallel & (np.abs(qx * ry - qy * rx) <= NEAR * scale)
+        points = np.stack([a1, a2, b1, b2], axis=1)
+        crossing = np.stack([a1[:, 0] + t * rx, a1[:, 1] + t * ry], axis=1)
+    for hit, end in ((on_b2, b2), (on_b1, b1), (on_a2, a2), (on_a1, a1)):
+        crossing = np.where(hit[:, None], end, crossing)
+    points[:, 0] = np.where(on_line[:, None], a1, crossing)
+    return points, np.where(on_line, 4, np.where(meets, 1, 0))
+
+
+def _coords(batch: pa.RecordBatch, side: str) -> np.ndarray:
+    return np.stack([batch.column(f"{side}_{c}").to_numpy(zero_copy_only=False) for c in COORDS], axis=1)
+
+
 def meeting_points(pairs: DataFrame) -> DataFrame:
     """Adds `points`: where edges a and b meet; ends of the edges are kept exactly."""
-    a1, a2 = _end("a", 1), _end("a", 2)
-    b1, b2 = _end("b", 1), _end("b", 2)
-    rx, ry = a2["x"] - a1["x"], a2["y"] - a1["y"]
-    sx, sy = b2["x"] - b1["x"], b2["y"] - b1["y"]
-    den = rx * sy - ry * sx
-    qx, qy = b1["x"] - a1["x"], b1["y"] - a1["y"]
-    scale = F.sqrt((rx * rx + ry * ry) * (sx * sx + sy * sy))
-    parallel = F.abs(den) <= scale * NEAR
-    safe = F.when(parallel, F.lit(None)).otherwise(den)
-    t, u = (qx * sy - qy * sx) / safe, (qx * ry - qy * rx) / safe
-    # coordinates are rounded, which is a large share of a short edge, or of one that crosses at a small angle: so the distance counts too
-    apart = F.greatest(*[F.abs(p[c]) for p in (a1, a2, b1, b2) for c in ("x", "y")]) * ROUNDING
-    to_b, to_a = F.abs(den) / F.sqrt(sx * sx + sy * sy), F.abs(den) / F.sqrt(rx * rx + ry * ry)
-    on = lambda share, length: (F.abs(share) <= NEAR) | (F.abs(share) * length <= apart)
-    on_a1, on_a2, on_b1, on_b2 = on(t, to_b), on(t - 1, to_b), on(u, to_a), on(u - 1, to_a)
-    crossing = (F.when(on_a1, a1).when(on_a2, a2).when(on_b1, b1).when(on_b2, b2)
-                .otherwise(F.struct((a1["x"] + t * rx).alias("x"), (a1["y"] + t * ry).alias("y"))))
-    meets = ((t >= 0) | on_a1) & ((t <= 1) | on_a2) & ((u >= 0) | on_b1) & ((u <= 1) | on_b2)
-    on_line = parallel & (F.abs(qx * ry - qy * rx) <= NEAR * scale)
-    points = F.when(on_line, F.array(a1, a2, b1, b2)).when(meets, F.array(crossing))
-    return pairs.withColumn("points", points).filter(F.col("points").isNotNull())
-
-
-def _end(side: str, n: int) -> Column:
-    return F.struct(F.col(f"{side}_x{n}").alias("x"), F.col(f"{side}_y{n}").alias("y"))
+    schema = T.StructType([*pairs.schema.fields, T.StructField("points", POINTS)])
+
+    def run(batches):
+        for batch in batches:
+            points, n = _meetings(_coords(batch, "a"), _coords(batch, "b"))
+            rows = np.flatnonzero(n)
+            flat = points[rows][np.arange(4) < n[rows, None]]
+            xy = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["x", "y"])
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n[rows])), pa.int32()), xy)
+            kept = batch.take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays([*kept.columns, lists], [*batch.schema.names, "points"])
+    return pairs.mapInArrow(run, schema)
 
 
 def split_edges(edges: DataFrame, splits: DataFrame, ids: list[str], places: bool = False) -> DataFrame:
@@ -539,11 +558,26 @@ def middles(edges: DataFrame, offset: float = 0.0) -> DataFrame:
 
 def inner_splits(edges: DataFrame, layer: list[str]) -> DataFrame:
     """layer, no, points: where edges of a layer meet others strictly inside."""
-    met = meeting_points(near_pairs(edges, edges, edge_cell(edges), layer, layer, shared=layer))
-    inner = lambda s: F.filter("points", lambda p: ((p["x"] != F.col(f"{s}_x1")) | (p["y"] != F.col(f"{s}_y1"))) & (
-        (p["x"] != F.col(f"{s}_x2")) | (p["y"] != F.col(f"{s}_y2"))))
-    sides = F.array(*[F.struct(F.col(f"{s}_no").alias("no"), inner(s).alias("points")) for s in ("a", "b")])
-    return met.select(*layer, F.inline(sides)).filter(F.size("points") > 0).distinct()
+    pairs = near_pairs(edges, edges, edge_cell(edges), layer, layer, shared=layer)
+    at = {f.name: f for f in pairs.schema.fields}
+    schema = T.StructType([*[at[c] for c in layer], T.StructField("no", at["a_no"].dataType), T.StructField("points", POINTS)])
+
+    def run(batches):
+        for batch in batches:
+            sides = {s: _coords(batch, s) for s in ("a", "b")}
+            points, n = _meetings(sides["a"], sides["b"])
+            there = np.arange(4) < n[:, None]
+            for side, e in sides.items():
+                begin, step = e[:, None, :2], (e[:, 2:] - e[:, :2])[:, None]
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    along = ((points - begin) * step).sum(axis=2) / (step * step).sum(axis=2)
+                end = (points == begin).all(axis=2) | (points == e[:, None, 2:]).all(axis=2)
+                row, place = np.nonzero(there & ~end & (along > 0) & (along < 1))
+                x, y = points[row, place].T
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1), pa.int32()), pa.StructArray.from_arrays([pa.array(x), pa.array(y)], ["x", "y"]))
+                kept = batch.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([*[kept.column(c) for c in layer], kept.column(f"{side}_no"), lists], [*layer, "no", "points"])
+    return pairs.mapInArrow(run, schema).distinct()
 
 
 def node_edges(edges: DataFrame, layer: list[str], ids: list[str] | None = None) -> DataFrame:

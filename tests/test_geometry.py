@@ -421,3 +421,13 @@ def test_fraction_of_long_arcs_as_of_short_ones(spark):
     df = frame(spark, [("a", "c", [[coast + coast[:1]]]), ("b", "l", left), ("b", "r", right)], "layer string, id string")
     one, many = ({r["id"]: r["geom"] for r in S.simplify_fraction(df, ["id"], ["layer"], 0.2, kernel_vertices=k).collect()} for k in (100_000, 50))
     assert one == many and len(one["c"][0][0]) < 100
+
+
+def test_only_points_inside_an_edge_cut_it(spark):
+    # edges on a line that share an end, ends that only touch, a T, a cross and a part of another edge
+    lines = [(0, 0, 2, 0), (2, 0, 5, 0), (5, 0, 5, 3), (1, 0, 1, 4), (0, 2, 3, 2), (3, 2, 0.5, 2)]
+    edges = spark.createDataFrame([("l", n, *map(float, e)) for n, e in enumerate(lines)], "layer string, no long, x1 double, y1 double, x2 double, y2 double")
+    found = {(r["no"], p["x"], p["y"]) for r in T.inner_splits(edges, ["layer"]).collect() for p in r["points"]}
+    assert found == {(0, 1.0, 0.0), (3, 1.0, 2.0), (4, 1.0, 2.0), (4, 0.5, 2.0), (5, 1.0, 2.0)}
+    chain = edges.filter("no < 3")
+    assert T.inner_splits(chain, ["layer"]).isEmpty()
