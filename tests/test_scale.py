@@ -70,6 +70,17 @@ def test_texts_of_one_file_are_dealt_by_key(spark):
     assert counted._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
 
 
+def test_many_parts_are_dealt_from_splits_of_one_size(spark):
+    df = spark.range(500, numPartitions=1).select((F.col("id") % 250).alias("k"), "id")
+    dealt = dealt_by_key(df, ["k"], 2)
+    assert dealt.rdd.getNumPartitions() == 250
+    parts = dealt.select("k", "id", F.spark_partition_id().alias("p")).collect()
+    assert sorted(r["id"] for r in parts) == list(range(500)) and len({(r["k"], r["p"]) for r in parts}) == 250
+    # a task that deals to 250 parts sorts its split, so one that streams comes before it
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RebalancePartitions") == 1 and plan.count("RepartitionByExpression") == 1
+
+
 def test_repair_of_thin_bow_ties_with_holes_on_their_edges(spark):
     def unit(i, width=20 / 36000):
         x0, x1 = -50 + i * width, -50 + i * width + width
