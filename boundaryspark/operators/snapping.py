@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from boundaryspark.functions import geometry as G
 from boundaryspark.operators.components import connected_components
 from boundaryspark.operators.edges import assemble, explode_vertices
-from boundaryspark.runtime import broadcast_if_small, materialize
+from boundaryspark.runtime import broadcast_if_small, dealt_by_key, materialize
 
 #: Half of the neighbours of a cell whose side is tolerance / sqrt(2): those that can hold a point within the tolerance, each pair once.
 _AHEAD = [(i, j) for i in range(-2, 3) for j in range(3) if (j > 0 or i > 0) and abs(i) + j < 4]
+FEATURES_PER_TASK = 20_000
 
 
 def near_vertices(vertices: DataFrame, layer: list[str], tolerance: float = G.TOLERANCE) -> DataFrame:
@@ -19,7 +20,7 @@ def near_vertices(vertices: DataFrame, layer: list[str], tolerance: float = G.TO
 
     Vertices are linked if their distance is at most the tolerance, and chains of links are one cluster, which goes to its most used
     vertex, then the least.  Cells are so small that all vertices of one belong together, so no pairs are formed inside a cell and
-    cells are the nodes whose components are looked for.
+    cells are the nodes whose components are looked for.  A vertex is sent to those cells only that begin within the tolerance.
     """
     side = tolerance / 2 ** 0.5
     at = lambda c: F.floor(F.col(c) / F.lit(side)).cast("long")
@@ -28,7 +29,13 @@ def near_vertices(vertices: DataFrame, layer: list[str], tolerance: float = G.TO
     cell = [*layer, "i", "j"]
     node = lambda i, j: F.xxhash64(*layer, i, j)
     steps = F.array(*[F.struct(F.lit(i).alias("di"), F.lit(j).alias("dj")) for i, j in _AHEAD])
-    ahead = used.select(*layer, "x", "y", F.col("i").alias("i0"), F.col("j").alias("j0"), F.inline(steps)).select(
+    # from a vertex to the near side of a cell, in sides; coordinates are rounded when divided
+    gap = lambda c, own, step: F.when(F.col(step) > 0, F.col(step) - (F.col(c) / F.lit(side) - F.col(own))).when(
+        F.col(step) < 0, F.col(c) / F.lit(side) - F.col(own) - F.col(step) - 1).otherwise(0.0)
+    gap_x, gap_y = gap("x", "i0", "di"), gap("y", "j0", "dj")
+    slack = F.lit(1e-6) + (F.abs("x") + F.abs("y")) / F.lit(side) * F.lit(1e-14)
+    begun = used.select(*layer, "x", "y", F.col("i").alias("i0"), F.col("j").alias("j0"), F.inline(steps)).filter(gap_x * gap_x + gap_y * gap_y <= F.lit(2.0) + slack)
+    ahead = begun.select(
         *layer, F.col("x").alias("x0"), F.col("y").alias("y0"), "i0", "j0", (F.col("i0") + F.col("di")).alias("i"), (F.col("j0") + F.col("dj")).alias("j"))
     dx, dy = F.col("x") - F.col("x0"), F.col("y") - F.col("y0")
     links = ahead.join(used, cell).filter(dx * dx + dy * dy <= tolerance * tolerance).select(
@@ -49,15 +56,15 @@ def snap_near(features: DataFrame, ids: list[str], layer: list[str], tolerance:
     Features none of whose vertices move are not taken apart.
     """
     key = list(dict.fromkeys([*layer, *ids]))
+    # written in many files, as later reads are cut by file
+    features = materialize(dealt_by_key(features, key, FEATURES_PER_TASK), "snap-features")
     vertices = materialize(explode_vertices(features, key), "snap-points")
     moves = materialize(near_vertices(vertices, layer, tolerance), "snap-moves")
     placed = vertices.join(broadcast_if_small(moves), [*layer, "x", "y"], "left")
     changed = materialize(placed.filter(F.col("to_x").isNotNull()).select(*key).distinct(), "snap-changed")
     pick = lambda to, own: F.coalesce(F.col(to), F.col(own)).alias(own)
     rows = placed.join(changed, key, "left_semi").select(*key, "poly", "ring", "seq", pick("to_x", "x"), pick("to_y", "y"))
-    rebuilt = assemble(rows, key).withColumn("geom", G.clean_rings("geom"))
+    rebuilt = assemble(rows, key).withColumnRenamed("geom", "_moved")
     others = [c for c in features.columns if c != "geom" and c not in key]
-    whole = features.join(changed, key, "left_semi").drop("geom").join(rebuilt, key)
-    same = features.join(changed, key, "left_anti").withColumn("geom", G.clean_rings("geom"))
-    columns: list[str | Column] = [*key, *others, "geom"]
-    return whole.select(*columns).unionByName(same.select(*columns))
+    columns: list[str | Column] = [*key, *others, G.clean_rings(F.coalesce("_moved", "geom")).alias("geom")]
+    return features.join(rebuilt, key, "left").select(*columns)

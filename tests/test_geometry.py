@@ -355,6 +355,23 @@ def test_snapped_borders_stay_shared(spark):
     assert borders(df) == 0 and borders(out) == 1 and out.count() == 3
 
 
+def test_snapping_writes_its_features_in_parts(spark, monkeypatch):
+    from boundaryspark.operators import snapping as N
+    files, materialize = {}, N.materialize
+
+    def recorded(df, name):
+        out = materialize(df, name)
+        files[name] = len(out.inputFiles())
+        return out
+    monkeypatch.setattr(N, "materialize", recorded)
+    monkeypatch.setattr(N, "FEATURES_PER_TASK", 2, raising=False)
+    moved = lambda u: [[[(x + 3 * u + 4e-6 * (u % 2), y) for x, y in SQUARE[0][0]]]]
+    df = frame(spark, [("k", u, moved(u)) for u in range(12)], "layer string, u int").coalesce(1)
+    out = {r["u"]: r["geom"] for r in N.snap_near(df, ["u"], ["layer"], 2e-5).collect()}
+    assert sorted(out) == list(range(12)) and all(len(g[0][0]) == 5 for g in out.values())
+    assert files["snap-points"] > 1
+
+
 @pytest.mark.parametrize("kernel", [7, 60, 1000])
 def test_rings_by_contraction_as_in_one_task(spark, monkeypatch, kernel):
     coast = lambda cx, cy, r, n: [(cx + r * (1 + 0.2 * math.sin(17 * t)) * math.cos(t), cy + r * (1 + 0.2 * math.sin(17 * t)) * math.sin(t))
