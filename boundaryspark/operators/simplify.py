@@ -327,7 +327,7 @@ def _close_rings(kept: DataFrame, original: DataFrame, key: list[str]) -> DataFr
     rows = kept.select(*ring, "seq", F.col("x1").alias("x"), F.col("y1").alias("y")).join(
         sizes.filter(F.col("_n") >= 3).select(*ring), ring, "left_semi").unionByName(restored)
     # a polygon is gone once its shell is
-    rows = rows.join(rows.filter(F.col("ring") == 0).select(*key, "poly").distinct(), [*key, "poly"], "left_semi")
+    rows = materialize(rows.join(rows.filter(F.col("ring") == 0).select(*key, "poly").distinct(), [*key, "poly"], "left_semi"), "ring-rows")
     ends = rows.groupBy(*ring).agg(F.min_by(F.struct("x", "y"), "seq").alias("_v"), F.max("seq").alias("_s")).select(
         *ring, (F.col("_s") + 1).alias("seq"), "_v.*")
     return rows.unionByName(ends)
@@ -400,4 +400,5 @@ def simplify_fraction(features: DataFrame, ids: list[str], layer: list[str], fra
     vertices = materialize(measured.filter(~fixed).groupBy(*layer, "x1", "y1").agg(F.max("value").alias("value")), "vertices")
     chosen = materialize(_largest(vertices, layer, fraction), "chosen")
     kept = measured.filter(fixed).unionByName(measured.filter(~fixed).join(chosen, [*layer, "x1", "y1"], "left_semi"))
-    return assemble(_close_rings(materialize(kept, "kept"), edges, key), key)
+    closed = materialize(_close_rings(materialize(kept, "kept"), edges, key), "closed")
+    return assemble(closed, key)

@@ -47,6 +47,8 @@ def composite_layers(world: DataFrame, layers: DataFrame, names: DataFrame, alia
     coded = C.resolve_country_code(plain.withColumn("country_na", C.rename_by_pattern("country_na")), "country_na", names, aliases)
     base_names = C.dedupe_country_names(coded.select(F.col("iso_code").alias("iso"), F.col("country_na").alias("shapeName"), "fid"),
                                         "iso", "shapeName", "fid").groupBy("iso").agg(F.min_by("shapeName", "fid").alias("shapeName"))
+    # each part is written by itself: a plan of all of them is made anew after every stage, and its copies fill the driver
+    base_names = materialize(base_names, "base-names")
     base = materialize(T.dissolve(coded.select(F.col("iso_code").alias("iso"), "geom"), ["iso"]), "base")
 
     # each level of a country comes from the layer that exists nearest above it
@@ -60,14 +62,14 @@ def composite_layers(world: DataFrame, layers: DataFrame, names: DataFrame, alia
     unmasked = small.join(base.select("iso"), "iso", "left_anti").select(F.concat_ws("/", "adm", "shapeID").alias("unit"), "iso", "geom")
     cut = cut.select("unit", "iso", "geom").unionByName(unmasked)
     named = layers.select(F.concat_ws("/", "adm", "shapeID").alias("unit"), "adm", "shapeID", "shapeName")
-    national = spread_join(cut.join(named, "unit"), wanted, ["iso", "adm"]).select(
-        "level", F.col("iso").alias("shapeGroup"), F.col("adm").alias("shapeType"), "shapeName", "shapeID", "geom")
+    national = materialize(spread_join(cut.join(named, "unit"), materialize(wanted, "wanted"), ["iso", "adm"]).select(
+        "level", F.col("iso").alias("shapeGroup"), F.col("adm").alias("shapeType"), "shapeName", "shapeID", "geom"), "national")
     world_layer = base.join(base_names, "iso").select(
         F.lit("ADM0").alias("level"), F.col("iso").alias("shapeGroup"), F.lit("ADM0").alias("shapeType"), "shapeName",
         F.col("iso").alias("shapeID"), "geom")
-    areas = disputed_ids(C.resolve_country_code(marked, "country_na", names, aliases), "fid")
+    areas = materialize(disputed_ids(materialize(C.resolve_country_code(marked, "country_na", names, aliases), "marked"), "fid"), "disputed")
     disputed = areas.select(F.explode(F.array(F.lit("ADM0"), F.lit("ADM1"), F.lit("ADM2"))).alias("level"), "shapeGroup",
                             F.lit("DISP").alias("shapeType"), F.col("country_na").alias("shapeName"), "shapeID", "geom")
-    merged = materialize(C.merge_layers(world_layer, national, disputed), "merged")
+    merged = C.merge_layers(materialize(world_layer, "world-layer"), national, disputed)
     filled = T.fill_gaps(merged.select("level", "shapeID", "geom"), ["shapeID"], ["level"], gap_km2)
     return filled.join(merged.drop("geom"), ["level", "shapeID"])

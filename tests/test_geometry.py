@@ -355,6 +355,25 @@ def test_snapped_borders_stay_shared(spark):
     assert borders(df) == 0 and borders(out) == 1 and out.count() == 3
 
 
+def test_composite_plans_each_part_by_itself(spark, monkeypatch):
+    from boundaryspark.plans import composite as P
+    plans, materialize = {}, P.materialize
+
+    def recorded(df, name):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        plans[name] = sum(plan.count(step) for step in ("Join", "Aggregate", "Window", "Generate"))
+        return materialize(df, name)
+    monkeypatch.setattr(P, "materialize", recorded)
+    world = frame(spark, [(1, "Aland", SQUARE), (2, "Bland", AWAY), (3, "Cland (disp)", SQUARE)], "fid int, country_na string")
+    layers = frame(spark, [("AAA", "ADM1", "u1", "one", SQUARE)], "iso string, adm string, shapeID string, shapeName string")
+    names = spark.createDataFrame([("Aland", "AAA"), ("Bland", "BBB")], "name string, code string")
+    out = P.composite_layers(world, layers, names, keep_share=1.0)
+    assert sorted((r["level"], r["shapeID"]) for r in out.collect()) == sorted(
+        [("ADM0", "AAA"), ("ADM0", "BBB"), ("ADM1", "u1"), ("ADM2", "u1"), *[(f"ADM{n}", "DIS001") for n in range(3)]])
+    # no plan holds the national layers and the numbering of disputed areas at once
+    assert max(plans.values()) <= 40, plans
+
+
 def test_snapping_writes_its_features_in_parts(spark, monkeypatch):
     from boundaryspark.operators import snapping as N
     files, materialize = {}, N.materialize
