@@ -20,14 +20,14 @@ from boundaryspark.runtime import materialize
 EDGES_PER_CELL = 8
 
 
-def choose_cell(edges: DataFrame, ids: list[str]) -> tuple[float, float]:
+def choose_cell(edges: DataFrame, ids: list[str], times: Column | int = 1) -> tuple[float, float]:
     """Width and height of a cell, in the proportions of an average edge; one aggregate row comes to the driver.
 
     All features together cover about as many cells as there are features, or as many as their edges fill, and no cell is narrower or lower than
     an average edge.  So the pieces of all edges, and the cells inside features, are in proportion to the edges, also for long thin features.
     """
     row = edges.agg(
-        F.abs(F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1"))).alias("area2"),
+        F.abs(F.sum((F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) * times)).alias("area2"),
         F.approx_count_distinct(F.struct(*ids)).alias("n"), F.count(F.lit(1)).alias("edges"),
         F.avg(F.abs(F.col("x2") - F.col("x1"))).alias("w"), F.avg(F.abs(F.col("y2") - F.col("y1"))).alias("h"),
         F.max(F.greatest(F.abs("x1"), F.abs("y1"))).alias("far")).first()
@@ -48,16 +48,17 @@ def _floor(value: Column, cell: float) -> Column:
     return F.floor(value / F.lit(cell))
 
 
-def edge_caps(edges: DataFrame, ids: list[str], cell: Cell) -> DataFrame:
-    """ids, col, row, xl, xr, hl, hr, w for closed rings with shells counter-clockwise."""
+def edge_caps(edges: DataFrame, ids: list[str], cell: Cell, times: Column | int = 1) -> DataFrame:
+    """ids, col, row, xl, xr, hl, hr, w for closed rings with shells counter-clockwise; an edge counts `times`."""
     wide, high = sides(cell)
+    times = (times if isinstance(times, Column) else F.lit(times)).cast("int")
     size, tall = F.lit(wide), F.lit(high)
     leftward = F.col("x1") > F.col("x2")
     slanted = edges.filter(F.col("x1") != F.col("x2")).select(
         *ids, F.least("x1", "x2").alias("xl"), F.greatest("x1", "x2").alias("xr"),
         F.when(leftward, F.col("y2")).otherwise(F.col("y1")).alias("yl"),
         F.when(leftward, F.col("y1")).otherwise(F.col("y2")).alias("yr"),
-        F.when(leftward, 1).otherwise(-1).alias("w"))
+        F.when(leftward, times).otherwise(-times).alias("w"))
     columns = slanted.withColumn("col", F.explode(F.sequence(_floor(F.col("xl"), wide), _floor(F.col("xr"), wide))))
     at = lambda x: F.col("yl") + (x - F.col("xl")) * (F.col("yr") - F.col("yl")) / (F.col("xr") - F.col("xl"))
     left, right = F.col("col") * size, (F.col("col") + 1) * size
@@ -95,7 +96,7 @@ def edge_caps(edges: DataFrame, ids: list[str], cell: Cell) -> DataFrame:
     # upright edges change the cover of the rows they pass, from their x to the end of the cell
     upright = edges.filter((F.col("x1") == F.col("x2")) & (F.col("y1") != F.col("y2"))).select(
         *ids, _floor(F.col("x1"), wide).alias("col"), F.col("x1").alias("xl"),
-        F.when(F.col("y2") > F.col("y1"), -1).otherwise(1).alias("w"),
+        F.when(F.col("y2") > F.col("y1"), -times).otherwise(times).alias("w"),
         _floor(F.least("y1", "y2"), high).alias("lo"), _floor(F.greatest("y1", "y2"), high).alias("hi"))
     steps = upright.filter((F.col("lo") < F.col("hi")) & (F.col("xl") > F.col("col") * size)).select(
         *ids, "col", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("row"), "xl",
@@ -184,10 +185,10 @@ def point_in_boundary(points: DataFrame, edges: DataFrame, point_ids: list[str],
 
 
 def point_cover(points: DataFrame, edges: DataFrame, point_ids: list[str], ids: list[str],
-                cell: Cell | None = None, shared: list[str] | None = None) -> DataFrame:
-    """As `point_in_boundary`, with the winding number; `shared` columns must be equal on both sides."""
-    cell = cell or choose_cell(edges, ids)
-    return cover_by_caps(points, materialize(edge_caps(edges, ids, cell), "cover-caps"), point_ids, ids, cell, shared)
+                cell: Cell | None = None, shared: list[str] | None = None, times: Column | int = 1) -> DataFrame:
+    """As `point_in_boundary`, with the winding number; `shared` columns must be equal on both sides, and an edge counts `times`."""
+    cell = cell or choose_cell(edges, ids, times)
+    return cover_by_caps(points, materialize(edge_caps(edges, ids, cell, times), "cover-caps"), point_ids, ids, cell, shared)
 
 
 def cover_by_caps(points: DataFrame, caps: DataFrame, point_ids: list[str], ids: list[str], cell: Cell, shared: list[str] | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from boundaryspark.functions import geometry as G
 from boundaryspark.operators import spatial as P
@@ -53,9 +54,9 @@ def overlapping_edges(edges: DataFrame, layer: list[str]) -> DataFrame:
     return with_canonical(edges).groupBy(*layer, *EDGE).agg(F.count(F.lit(1)).alias("owners")).filter("owners > 2")
 
 
-def net_edges(edges: DataFrame, key: list[str]) -> DataFrame:
-    """Edges of a key after opposite ones cancel out, and how often each is left over (`times`)."""
-    net = with_canonical(edges).groupBy(*key, *EDGE).agg(F.sum("dir").alias("_net")).filter(F.col("_net") != 0)
+def net_edges(edges: DataFrame, key: list[str], times: Column | int = 1) -> DataFrame:
+    """Edges of a key after opposite ones cancel out, and how often each is left over (`times`); an edge counts `times`."""
+    net = with_canonical(edges).groupBy(*key, *EDGE).agg(F.sum(F.col("dir") * times).alias("_net")).filter(F.col("_net") != 0)
     ahead = F.col("_net") > 0
     pick = lambda a, b: F.when(ahead, F.col(a)).otherwise(F.col(b))
     return net.select(*key, pick("ax", "bx").alias("x1"), pick("ay", "by").alias("y1"),
@@ -86,8 +87,7 @@ def union_rings(edges: DataFrame, key: list[str], kernel_edges: int = KERNEL_EDG
     splits = materialize(inner_splits(net, key), "union-splits")
     noded = net.drop("no")
     if not splits.isEmpty():
-        every = net.withColumn("times", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("times")
-        noded = materialize(net_edges(split_edges(every, splits, key), key), "union-noded")
+        noded = materialize(net_edges(split_edges(net, splits, key, carried=["times"]), key, F.col("times")), "union-noded")
     busiest = noded.groupBy(*key, "x1", "y1").agg(F.sum("times").alias("n")).agg(F.max("n")).first()[0] or 0
     if busiest > 1:
         return order_rings(_by_winding(noded, key), key, kernel_edges)
@@ -100,9 +100,8 @@ def union_rings(edges: DataFrame, key: list[str], kernel_edges: int = KERNEL_EDG
 
 def _by_winding(noded: DataFrame, key: list[str]) -> DataFrame:
     """Edges with cover on their left and none on their right."""
-    every = lambda df: df.withColumn("times", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("times")
     at = [*key, *COORDS]
-    cover = P.point_cover(middles(noded.select(*at), 1e-6), every(noded), at, key, shared=key)
+    cover = P.point_cover(middles(noded.select(*at), 1e-6), noded, at, key, shared=key, times=F.col("times"))
     return noded.join(cover, at).filter((F.col("cover") > 0) & (F.col("cover") <= F.col("times"))).select(*at)
 
 
@@ -520,34 +519,39 @@ def meeting_points(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, schema)
 
 
-def split_edges(edges: DataFrame, splits: DataFrame, ids: list[str], places: bool = False) -> DataFrame:
-    """Edges (ids, no, coordinates) cut at the `points` of `splits` that lie strictly inside them.
+def split_edges(edges: DataFrame, splits: DataFrame, ids: list[str], places: bool = False, carried: list[str] | None = None) -> DataFrame:
+    """Edges (ids, no, coordinates) cut at the `points` of `splits` that lie strictly inside them; parts keep the `carried` columns.
 
     With `places` each part keeps `no`, its number `part` on the edge, and `begins` and `ends`: is this end one of the points?
+    The points of an edge are rows in order, so that an edge met by very many others is neither held in one row nor compared point by point.
     """
-    gathered = splits.groupBy(*ids, "no").agg(F.array_distinct(F.flatten(F.collect_list("points"))).alias("points"))
-    joined = edges.join(gathered, [*ids, "no"], "left")
+    on, more = [*ids, "no"], carried or []
+    met = splits.select(*on, F.explode("points").alias("_p"))
+    joined = edges.select(*on, *more, *COORDS).withColumn("_row", F.monotonically_increasing_id()).join(met, on, "left")
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    along = lambda p: ((p["x"] - F.col("x1")) * dx + (p["y"] - F.col("y1")) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
-    is_end = lambda p: ((p["x"] == F.col("x1")) & (p["y"] == F.col("y1"))) | ((p["x"] == F.col("x2")) & (p["y"] == F.col("y2")))
-    inner = F.filter("points", lambda p: ~is_end(p) & (along(p) > 0) & (along(p) < 1))
-    sorted_inner = F.array_sort(F.transform(inner, lambda p: F.struct(along(p).alias("t"), p["x"].alias("x"), p["y"].alias("y"))))
-    chain = F.concat(
-        F.array(F.struct(F.lit(0.0).alias("t"), F.col("x1").alias("x"), F.col("y1").alias("y"))),
-        F.coalesce(sorted_inner, F.array().cast("array<struct<t:double,x:double,y:double>>")),
-        F.array(F.struct(F.lit(1.0).alias("t"), F.col("x2").alias("x"), F.col("y2").alias("y"))))
-    n = F.size("_chain") - 1
-    steps = F.arrays_zip(F.slice("_chain", F.lit(1), n).alias("a"), F.slice("_chain", F.lit(2), n).alias("b"))
-    met = lambda x, y: F.exists(F.coalesce("points", F.array().cast("array<struct<x:double,y:double>>")), lambda p: (p["x"] == F.col(x)) & (p["y"] == F.col(y)))
-    more = []
-    chained = joined.withColumn("_chain", chain)
+    x, y = F.col("_p.x"), F.col("_p.y")
+    along = ((x - F.col("x1")) * dx + (y - F.col("y1")) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
+    is_begin, is_end = (x == F.col("x1")) & (y == F.col("y1")), (x == F.col("x2")) & (y == F.col("y2"))
+    inner = ~is_begin & ~is_end & (along > 0) & (along < 1)
+    placed = joined.withColumn("_at", F.when(inner, F.struct(along.alias("t"), x.alias("x"), y.alias("y"))))
+    edge = W.partitionBy(*on, "_row")
+    order = edge.orderBy(F.asc_nulls_last("_at"))
+    ranked = placed.withColumns({"_next": F.lead("_at").over(order), "_first_row": F.row_number().over(order) == 1, "_rank": F.dense_rank().over(order)})
     if places:
-        chained = chained.withColumns({"_first": met("x1", "y1"), "_last": met("x2", "y2")})
-        more = [F.col("no"), F.col("part"), ((F.col("part") > 0) | F.col("_first")).alias("begins"), ((F.col("part") < F.col("_n") - 1) | F.col("_last")).alias("ends")]
-    cut = chained.select(*ids, *(["no", n.alias("_n"), "_first", "_last"] if places else []), F.posexplode(steps).alias("part", "_s"))
-    return cut.select(*ids, *more, F.col("_s.a.x").alias("x1"), F.col("_s.a.y").alias("y1"),
-                      F.col("_s.b.x").alias("x2"), F.col("_s.b.y").alias("y2")) \
-        .filter((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
+        any_row = lambda test: F.coalesce(F.max(test).over(edge), F.lit(False))
+        ranked = ranked.withColumns({"_first": any_row(is_begin), "_last": any_row(is_end)})
+    # the first row of an edge also gives the part before its point; rows of points that cut nothing give none
+    part = lambda number, x, y, to, is_last: F.struct(number.alias("part"), x.alias("x1"), y.alias("y1"), F.coalesce(to["x"], F.col("x2")).alias("x2"),
+                                                      F.coalesce(to["y"], F.col("y2")).alias("y2"), is_last.alias("is_last"))
+    before = part(F.lit(0), F.col("x1"), F.col("y1"), F.col("_at"), F.col("_at").isNull())
+    after = part(F.col("_rank"), F.col("_at.x"), F.col("_at.y"), F.col("_next"), F.col("_next").isNull())
+    parts = F.when(F.col("_at").isNull(), F.array(before)).when(F.col("_first_row"), F.array(before, after)).otherwise(F.array(after))
+    ends = ["_first", "_last"] if places else []
+    cut = ranked.filter(F.col("_first_row") | F.col("_at").isNotNull()).select(*on, *more, *ends, F.explode(parts).alias("_s"))
+    cut = cut.select(*on, *more, *ends, "_s.*").filter((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
+    if not places:
+        return cut.select(*ids, *more, *COORDS)
+    return cut.select(*on, *more, "part", ((F.col("part") > 0) | F.col("_first")).alias("begins"), (~F.col("is_last") | F.col("_last")).alias("ends"), *COORDS)
 
 
 def middles(edges: DataFrame, offset: float = 0.0) -> DataFrame:

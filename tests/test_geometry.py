@@ -467,3 +467,32 @@ def test_only_points_inside_an_edge_cut_it(spark):
     assert found == {(0, 1.0, 0.0), (3, 1.0, 2.0), (4, 1.0, 2.0), (4, 0.5, 2.0), (5, 1.0, 2.0)}
     chain = edges.filter("no < 3")
     assert T.inner_splits(chain, ["layer"]).isEmpty()
+
+
+def test_points_of_an_edge_are_rows(spark):
+    # one long edge met by many, once with doubled rows; a part keeps the carried columns
+    many = 300
+    edges = spark.createDataFrame([("l", 1, 0.0, 0.0, 8.0, 0.0, 2), ("l", 2, 8.0, 0.0, 8.0, 1.0, 3), ("l", 2, 8.0, 0.0, 8.0, 1.0, 3), ("l", 3, 5.0, 5.0, 6.0, 5.0, 1)],
+                                  "layer string, no long, x1 double, y1 double, x2 double, y2 double, times long")
+    cuts = [("l", 1, [(8.0 * i / many, 0.0)]) for i in range(many + 1)] + [("l", 1, [(4.0, 0.0), (9.0, 0.0)]), ("l", 2, [(8.0, 0.5), (8.0, 0.0)])]
+    splits = spark.createDataFrame(cuts, "layer string, no long, points array<struct<x:double,y:double>>")
+    out = T.split_edges(edges, splits, ["layer"], carried=["times"])
+    at = sorted(8.0 * i / many for i in range(many + 1))
+    want = [(a, 0.0, b, 0.0, 2) for a, b in zip(at, at[1:])] + 2 * [(8.0, 0.0, 8.0, 0.5, 3), (8.0, 0.5, 8.0, 1.0, 3)] + [(5.0, 5.0, 6.0, 5.0, 1)]
+    assert sorted((r["x1"], r["y1"], r["x2"], r["y2"], r["times"]) for r in out.collect()) == sorted(want)
+    placed = {(r["no"], r["part"], r["begins"], r["ends"]) for r in T.split_edges(edges.filter("no > 1").distinct(), splits, ["layer"], places=True).collect()}
+    assert placed == {(2, 0, True, True), (2, 1, True, False), (3, 0, False, False)}
+    # no row holds all points of an edge, which were compared one by one
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "array_distinct" not in plan
+
+
+def test_edges_count_as_often_as_they_lie_there(spark):
+    edges = E.explode_edges(frame(spark, [("a", SQUARE), ("b", SQUARE), ("c", CORNER)]), ["id"]).withColumn("layer", F.lit("l"))
+    twice = T.net_edges(edges, ["layer"])
+    once = T.net_edges(twice, ["layer"], F.col("times"))
+    rows = lambda df: sorted((r["x1"], r["y1"], r["x2"], r["y2"], r["times"]) for r in df.collect())
+    assert rows(once) == rows(twice) and {r[-1] for r in rows(twice)} == {1, 2}
+    points = spark.createDataFrame([(0, 0.5, 0.5), (1, 1.5, 1.5), (2, 3.0, 3.0)], "p int, x double, y double").withColumn("layer", F.lit("l"))
+    cover = P.point_cover(points, twice, ["layer", "p"], ["layer"], shared=["layer"], times=F.col("times"))
+    assert as_dict(cover.select("p", "cover"), "cover") == {(0,): 2, (1,): 1}
