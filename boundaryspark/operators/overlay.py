@@ -73,12 +73,17 @@ def overlay_edges(left_edges: DataFrame, right_edges: DataFrame, pairs: DataFram
             met.select(*key, F.col(number).alias("no"))).distinct(), "overlay-near")
         mine = edges.join(close, [own, "no"])
         cut = T.split_edges(mine, met.select(*key, F.col(number).alias("no"), "points"), key, places=True)
-        return materialize(T.with_canonical(_runs(cut, key)), "overlay-parts"), close
+        return T.with_canonical(_runs(cut, key)), close
     (a, a_close), (b, b_close) = parts(le, left, right, r_cells, "a_no"), parts(re, right, left, l_cells, "b_no")
-    on = [*key, *T.EDGE]
-    both = a.join(b.select(*on, F.col("dir").alias("_dir")), on)
-    same, opposite = both.filter(F.col("dir") == F.col("_dir")), both.filter(F.col("dir") != F.col("_dir"))
-    a_only, b_only = a.join(b, on, "left_anti"), b.join(a, on, "left_anti")
+    # the parts of both sides meet once: how often does the right side pass an edge ahead and back, and does the left one?
+    at = W.partitionBy(*key, *T.EDGE)
+    passed = lambda test: F.coalesce(F.max(test).over(at), F.lit(False))
+    met_by = {"_ahead": passed((F.col("_side") == 1) & (F.col("dir") > 0)), "_back": passed((F.col("_side") == 1) & (F.col("dir") < 0)), "_left": passed(F.col("_side") == 0)}
+    both = a.withColumn("_side", F.lit(0)).unionByName(b.withColumn("_side", F.lit(1))).withColumns(met_by)
+    both = materialize(both.select(*key, "no", "run", *T.COORDS, "dir", "_side", *met_by), "overlay-parts")
+    mine = both.filter("_side = 0")
+    same, opposite = mine.filter("if(dir > 0, _ahead, _back)"), mine.filter("if(dir > 0, _back, _ahead)")
+    a_only, b_only = mine.filter("not _ahead and not _back"), both.filter("_side = 1 and not _left")
 
     def inside(edges: DataFrame, caps: DataFrame, covering: str, kind: str) -> DataFrame:
         run = [*key, "poly", "ring", "run"]

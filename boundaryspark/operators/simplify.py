@@ -23,10 +23,16 @@ from boundaryspark.runtime import materialize, numbered, running_sums, spread_jo
 METRES_PER_DEGREE = np.pi * G.SEMI_MAJOR / 180
 ANGLE_WEIGHT = 0.7
 KERNEL_VERTICES = 100_000  # longer arcs are first divided by joins, with the same result
+RING_AT_ONCE = 65_536  # a layer without longer rings has each ring in one place, without joins
 
 
 def arcs(features: DataFrame, ids: list[str], layer: list[str]) -> DataFrame:
     """Edges of rings turned to start at a node: ids, poly, ring, seq, arc, coordinates."""
+    return _arcs(features, ids, layer)[0]
+
+
+def _arcs(features: DataFrame, ids: list[str], layer: list[str]) -> tuple[DataFrame, bool]:
+    """`arcs`, and whether all rings are short, of up to `RING_AT_ONCE` edges."""
     key = [*layer, *ids]
     ring = [*key, "poly", "ring"]
     edges = materialize(explode_edges(features, key), "arc-edges")
@@ -38,11 +44,17 @@ def arcs(features: DataFrame, ids: list[str], layer: list[str]) -> DataFrame:
     flagged = edges.join(nodes, [*layer, "x1", "y1"], "left").withColumn("node", F.coalesce("node", F.lit(0)))
     flagged = materialize(flagged, "arc-nodes")
     # first vertex: the first node, or the least vertex of a ring without nodes
+    if (flagged.agg(F.max("seq")).first()[0] or 0) < RING_AT_ONCE:
+        whole = W.partitionBy(*ring)
+        first = F.coalesce(F.min(F.when(F.col("node") == 1, F.col("seq"))).over(whole), F.min_by("seq", F.struct("x1", "y1")).over(whole))
+        turned = flagged.withColumns({"_n": F.count(F.lit(1)).over(whole), "_start": first}).withColumn("seq", F.pmod(F.col("seq") - F.col("_start"), F.col("_n")))
+        upto = whole.orderBy("seq").rowsBetween(W.unboundedPreceding, W.currentRow)
+        return turned.withColumn("arc", F.sum("node").over(upto)).select(*ring, "seq", "arc", *T.COORDS), True
     start = flagged.groupBy(*ring).agg(
         F.count(F.lit(1)).alias("_n"), F.min(F.when(F.col("node") == 1, F.col("seq"))).alias("_node"),
         F.min_by("seq", F.struct("x1", "y1")).alias("_least")).select(*ring, "_n", F.coalesce("_node", "_least").alias("_start"))
     turned = flagged.join(start, ring).withColumn("seq", F.pmod(F.col("seq") - F.col("_start"), F.col("_n")))
-    return running_sums(turned, ring, "seq", {"arc": F.col("node")}).select(*ring, "seq", "arc", *T.COORDS)
+    return running_sums(turned, ring, "seq", {"arc": F.col("node")}).select(*ring, "seq", "arc", *T.COORDS), False
 
 
 def _canonical(x: np.ndarray, y: np.ndarray) -> bool:
@@ -53,14 +65,17 @@ def _canonical(x: np.ndarray, y: np.ndarray) -> bool:
     return first <= last
 
 
-def with_scale(edges: DataFrame, arc_key: list[str]) -> DataFrame:
-    """Adds `scale`, the metres per degree of longitude at the mean latitude of the whole arc.
+def with_scale(edges: DataFrame, arc_key: list[str], short: bool = False) -> DataFrame:
+    """Adds `scale`, the metres per degree of longitude at the mean latitude of the whole arc; `short` arcs are met without a join.
 
     It is fixed before an arc is divided, so parts measure like the arc does.
     """
     low, high = F.min(F.least("y1", "y2")), F.max(F.greatest("y1", "y2"))
-    scales = edges.groupBy(*arc_key).agg((F.cos(F.radians((low + high) / 2)) * float(METRES_PER_DEGREE)).alias("scale"))
-    return edges.join(scales, arc_key)
+    scale = lambda low, high: F.cos(F.radians((low + high) / 2)) * float(METRES_PER_DEGREE)
+    if short:
+        whole = W.partitionBy(*arc_key)
+        return edges.withColumn("scale", scale(low.over(whole), high.over(whole)))
+    return edges.join(edges.groupBy(*arc_key).agg(scale(low, high).alias("scale")), arc_key)
 
 
 def _distances(px, py, ax, ay, bx, by):
@@ -320,14 +335,17 @@ def _close_rings(kept: DataFrame, original: DataFrame, key: list[str]) -> DataFr
     sizes = kept.groupBy(*ring).agg(F.count(F.lit(1)).alias("_n"))
     cross = F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")
     areas = original.groupBy(*ring).agg(F.abs(F.sum(cross)).alias("_area"))
-    largest = areas.groupBy(*key).agg(F.max_by(F.struct("poly", "ring"), F.struct("_area", -F.col("poly"), -F.col("ring"))).alias("_r")) \
-        .select(*key, "_r.*")
-    collapsed = areas.join(sizes, ring, "left").filter(F.coalesce("_n", F.lit(0)) < 3).select(*ring)
-    restored = original.join(collapsed.join(largest, ring, "left_semi"), ring, "left_semi").select(*ring, "seq", F.col("x1").alias("x"), F.col("y1").alias("y"))
-    rows = kept.select(*ring, "seq", F.col("x1").alias("x"), F.col("y1").alias("y")).join(
-        sizes.filter(F.col("_n") >= 3).select(*ring), ring, "left_semi").unionByName(restored)
-    # a polygon is gone once its shell is
-    rows = materialize(rows.join(rows.filter(F.col("ring") == 0).select(*key, "poly").distinct(), [*key, "poly"], "left_semi"), "ring-rows")
+    # one row a ring tells what becomes of it; a polygon is gone once its shell is
+    size = F.struct(F.col("_area").alias("a"), (-F.col("poly")).alias("p"), (-F.col("ring")).alias("r"))
+    told = areas.join(sizes, ring, "left").select(*ring, size.alias("_size"), (F.coalesce("_n", F.lit(0)) >= 3).alias("_whole"))
+    told = told.withColumn("_there", F.col("_whole") | (F.col("_size") == F.max("_size").over(W.partitionBy(*key))))
+    shell = F.max(F.col("_there") & (F.col("ring") == 0)).over(W.partitionBy(*key, "poly"))
+    told = materialize(told.withColumn("_shell", shell).filter("_there and _shell").select(*ring, "_whole"), "ring-verdicts")
+    rows = kept.select(*ring, "seq", F.col("x1").alias("x"), F.col("y1").alias("y")).join(told.filter("_whole").select(*ring), ring, "left_semi")
+    collapsed = told.filter("not _whole").select(*ring)
+    if not collapsed.isEmpty():
+        rows = rows.unionByName(original.join(collapsed, ring, "left_semi").select(*ring, "seq", F.col("x1").alias("x"), F.col("y1").alias("y")))
+    rows = materialize(rows, "ring-rows")
     ends = rows.groupBy(*ring).agg(F.min_by(F.struct("x", "y"), "seq").alias("_v"), F.max("seq").alias("_s")).select(
         *ring, (F.col("_s") + 1).alias("seq"), "_v.*")
     return rows.unionByName(ends)
@@ -338,7 +356,8 @@ def simplify(features: DataFrame, ids: list[str], layer: list[str], metres: floa
     """Douglas-Peucker with a tolerance in metres."""
     key = [*layer, *ids]
     arc_key = [*key, "poly", "ring", "arc"]
-    edges = materialize(with_scale(arcs(features, ids, layer), arc_key), "arcs")
+    turned, short = _arcs(features, ids, layer)
+    edges = materialize(with_scale(turned, arc_key, short), "arcs")
     parts = _divide_long(edges, arc_key, metres, kernel_vertices)
     measured = _measure_arcs(parts, [*arc_key, "part"], lambda x, y: douglas_peucker(x, y, metres).astype(float))
     kept = materialize(measured.filter(F.col("value") > 0), "kept")
@@ -388,7 +407,8 @@ def simplify_fraction(features: DataFrame, ids: list[str], layer: list[str], fra
     """
     key = [*layer, *ids]
     arc_key = [*key, "poly", "ring", "arc"]
-    edges = materialize(with_scale(arcs(features, ids, layer), arc_key), "arcs")
+    turned, short = _arcs(features, ids, layer)
+    edges = materialize(with_scale(turned, arc_key, short), "arcs")
     long = materialize(edges.groupBy(*arc_key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > kernel_vertices).select(*arc_key), "long-arcs")
     if long.isEmpty():
         measured = _measure_arcs(edges, arc_key, effective_areas)

@@ -307,7 +307,8 @@ def place_rings(rings: DataFrame, key: list[str]) -> DataFrame:
     holes = areas.filter(F.col("area") < 0)
     placed = shells.select(*key, F.col("ring_id").alias("poly_id"), "ring_id", F.lit(0).alias("_hole"))
     if not holes.isEmpty():
-        shell_edges = rings.join(shells.select(*key, "ring_id"), [*key, "ring_id"], "left_semi") \
+        holed = shells.join(holes.select(*key).distinct(), key, "left_semi")
+        shell_edges = rings.join(holed.select(*key, "ring_id"), [*key, "ring_id"], "left_semi") \
             .withColumnRenamed("ring_id", "poly_id")
         points = holes.select(*key, F.col("ring_id").alias("hole_id"), "x", "y")
         inside = P.point_cover(points, shell_edges, [*key, "hole_id"], [*key, "poly_id"], shared=key)
@@ -560,9 +561,25 @@ def middles(edges: DataFrame, offset: float = 0.0) -> DataFrame:
         .withColumn("y", (F.col("y1") + F.col("y2")) / 2 + (F.col("x2") - F.col("x1")) * offset)
 
 
+def may_cut() -> Column:
+    """False for edges a and b that are the same, or meet in a common end only: at no acute angle, or at one far above rounding."""
+    c = {n: F.col(n) for p in ("a_", "b_") for n in [p + x for x in COORDS]}
+    same = lambda i, j: (c[f"a_x{i}"] == c[f"b_x{j}"]) & (c[f"a_y{i}"] == c[f"b_y{j}"])
+    far = F.greatest(*[F.abs(v) for v in c.values()])
+    harmless = (same(1, 1) & same(2, 2)) | (same(1, 2) & same(2, 1))
+    for i, j in ((1, 1), (1, 2), (2, 1), (2, 2)):
+        # both edges as they leave the common end
+        ux, uy, wx, wy = (c[f"{p}_{x}{3 - n}"] - c[f"{p}_{x}{n}"] for p, n in (("a", i), ("b", j)) for x in "xy")
+        uu, ww, cross = ux * ux + uy * uy, wx * wx + wy * wy, ux * wy - uy * wx
+        wide = (cross * cross > uu * ww * 1e-18) & (cross * cross > far * far * 1e-24 * F.greatest(uu, ww))
+        harmless = harmless | (same(i, j) & ((ux * wx + uy * wy <= 0) | wide))
+    return ~F.coalesce(harmless, F.lit(False))
+
+
 def inner_splits(edges: DataFrame, layer: list[str]) -> DataFrame:
     """layer, no, points: where edges of a layer meet others strictly inside."""
-    pairs = near_pairs(edges, edges, edge_cell(edges), layer, layer, shared=layer)
+    # most pairs of a layer are neighbours with a common end, which needs no further look
+    pairs = near_pairs(edges, edges, edge_cell(edges), layer, layer, shared=layer).filter(may_cut())
     at = {f.name: f for f in pairs.schema.fields}
     schema = T.StructType([*[at[c] for c in layer], T.StructField("no", at["a_no"].dataType), T.StructField("points", POINTS)])
 

@@ -496,3 +496,35 @@ def test_edges_count_as_often_as_they_lie_there(spark):
     points = spark.createDataFrame([(0, 0.5, 0.5), (1, 1.5, 1.5), (2, 3.0, 3.0)], "p int, x double, y double").withColumn("layer", F.lit("l"))
     cover = P.point_cover(points, twice, ["layer", "p"], ["layer"], shared=["layer"], times=F.col("times"))
     assert as_dict(cover.select("p", "cover"), "cover") == {(0,): 2, (1,): 1}
+
+
+def test_pairs_left_out_cut_nothing(spark, monkeypatch):
+    import random
+    rng = random.Random(4)
+    spot = lambda: (rng.choice([0.0, 1.0, 2.0, 3.0, 2.0 + 1e-13, 1e-9]), rng.choice([0.0, 1.0, 2.0, 1.0 + 1e-15, 1e-7]))
+    lines = {(*a, *b) for a, b in ((spot(), spot()) for _ in range(160)) if a != b}
+    edges = spark.createDataFrame([("l", n, *e) for n, e in enumerate(sorted(lines))], "layer string, no long, x1 double, y1 double, x2 double, y2 double")
+    found = lambda: {(r["no"], p["x"], p["y"]) for r in T.inner_splits(edges, ["layer"]).collect() for p in r["points"]}
+    got = found()
+    # units beside each other: shared sides, corners and borders in a line
+    strips = [(str(i), [[ring((i, 0), (i + 1, 0), (i + 1, 9), (i, 9), (i, 0))]]) for i in range(12)]
+    side = T.numbered_edges(E.explode_edges(frame(spark, strips), ["id"])).withColumns({"no": F.struct("id", "no"), "layer": F.lit("l")})
+    pairs = T.near_pairs(side, side, T.edge_cell(side), ["layer"], ["layer"], shared=["layer"])
+    assert pairs.count() > 0 and pairs.filter(T.may_cut()).isEmpty()
+    monkeypatch.setattr(T, "may_cut", lambda: F.lit(True))
+    assert got == found() and len(got) > 100
+
+
+def test_rings_in_one_place_as_by_joins(spark, monkeypatch):
+    border = wavy(60)
+    coast = [(5 * math.cos(t) * (1 + 0.02 * math.sin(31 * t)), 5 * math.sin(t)) for t in [2 * math.pi * i / 80 for i in range(80)]]
+    left = [[[(0.0, 0.0), *border, (0.0, 1.0), (0.0, 0.0)]]]
+    right = [[[(2.0, 0.0), (2.0, 1.0), *border[::-1], (2.0, 0.0)]]]
+    speck = [[ring((7, 7), (7.001, 7), (7.001, 7.001), (7, 7))], [ring((8, 8), (8.001, 8), (8.001, 8.002), (8, 8))]]
+    df = frame(spark, [("a", "c", [[coast + coast[:1]]]), ("b", "l", left), ("b", "r", right), ("a", "s", speck)], "layer string, id string")
+    found = lambda: {r["id"]: r["geom"] for r in S.simplify_fraction(df, ["id"], ["layer"], 0.2).collect()}
+    short = found()
+    plan = S.arcs(df, ["id"], ["layer"])._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(S, "RING_AT_ONCE", 1)
+    assert short == found() and set(short) == {"c", "l", "r", "s"} and len(short["s"]) >= 1
+    assert "Join" not in plan
